@@ -68,7 +68,7 @@ def lifecycle_chunks(incidents: DataFrame, positions: DataFrame, levels=DEFAULT_
     ch = chunk_summaries(incidents, hist)
     has_i, has_c, has_ic = F.col("fi").isNotNull(), F.col("fc").isNotNull(), F.col("fic").isNotNull()
     has_b = F.col("n_pos") > 0
-    ch = ch.withColumn("fn", _transition(has_i, has_c, has_ic, has_b))
+    ch = ch.select("*", _transition(has_i, has_c, has_ic, has_b).alias("fn"))
     ch = prefix_states(ch, KEYS, "batch", "fn", 3, EXPECT_INCIDENT, levels, "s")
 
     s = F.col("s")
@@ -76,22 +76,19 @@ def lifecycle_chunks(incidents: DataFrame, positions: DataFrame, levels=DEFAULT_
     acc_c = (s == EXPECT_CLEAR) & has_c
     acc_i_after_c = acc_c & has_ic
     acc_b = has_b & (acc_i_first | (s == EXPECT_USERS) | acc_i_after_c)
+    acc_i = F.when(acc_i_first, F.col("fi")).when(acc_i_after_c, F.col("fic"))
+    # windows below run over chunk rows (one per route and batch), never over events
+    wprev = key_window(KEYS, "batch")
+    prev_loc = F.last(acc_i["loc"], ignorenulls=True).over(wprev)
     ch = ch.select(
         "route_num", "batch", "n_pos", "fc", "s",
         apply_fn(F.col("fn"), s).alias("end_state"),
-        F.when(acc_i_first, F.col("fi")).when(acc_i_after_c, F.col("fic")).alias("acc_i"),
+        acc_i.alias("acc_i"),
         acc_c.alias("acc_c"),
         acc_b.alias("acc_b"),
-    )
-    wprev = key_window(KEYS, "batch")
-    ch = ch.withColumn("prev_loc", F.last("acc_i.loc", ignorenulls=True).over(wprev)).withColumn(
-        "prev_occur_ts", F.last("acc_i.ts", ignorenulls=True).over(wprev)
-    )
-    ch = ch.withColumn(
-        "bundle_loc",
-        F.when(F.col("acc_b") & (F.col("s") == EXPECT_USERS), F.col("prev_loc")).when(
-            F.col("acc_b"), F.col("acc_i.loc")
-        ),
+        prev_loc.alias("prev_loc"),
+        F.last(acc_i["ts"], ignorenulls=True).over(wprev).alias("prev_occur_ts"),
+        F.when(acc_b & (s == EXPECT_USERS), prev_loc).when(acc_b, acc_i["loc"]).alias("bundle_loc"),
     )
     # affected = positions of the accepted bundle strictly past the incident
     affected = (
@@ -100,15 +97,17 @@ def lifecycle_chunks(incidents: DataFrame, positions: DataFrame, levels=DEFAULT_
         .groupBy("route_num", "batch")
         .agg(F.sum("n").alias("b_aff"))
     )
-    ch = ch.join(affected, ["route_num", "batch"], "left").select(
-        "*",
-        F.when(F.col("acc_b"), F.col("n_pos")).otherwise(F.lit(0)).cast("long").alias("b_tot"),
-    ).withColumn("b_aff", F.when(F.col("acc_b"), F.coalesce("b_aff", F.lit(0))).otherwise(0).cast("long"))
-    return (
-        ch.withColumn("cum_tot", F.coalesce(F.sum("b_tot").over(wprev), F.lit(0)).cast("long"))
-        .withColumn("cum_aff", F.coalesce(F.sum("b_aff").over(wprev), F.lit(0)).cast("long"))
-        .withColumn("last_b_tot", F.last(F.when(F.col("acc_b"), F.col("b_tot")), True).over(wprev))
-        .withColumn("last_b_aff", F.last(F.when(F.col("acc_b"), F.col("b_aff")), True).over(wprev))
+    b_tot = F.when(F.col("acc_b"), F.col("n_pos")).otherwise(F.lit(0)).cast("long")
+    b_aff = F.when(F.col("acc_b"), F.coalesce("b_aff", F.lit(0))).otherwise(F.lit(0)).cast("long")
+    return ch.join(affected, ["route_num", "batch"], "left").select(
+        "route_num", "batch", "n_pos", "fc", "s", "end_state", "acc_i", "acc_c", "acc_b",
+        "prev_loc", "prev_occur_ts", "bundle_loc",
+        b_tot.alias("b_tot"),
+        b_aff.alias("b_aff"),
+        F.coalesce(F.sum(b_tot).over(wprev), F.lit(0)).cast("long").alias("cum_tot"),
+        F.coalesce(F.sum(b_aff).over(wprev), F.lit(0)).cast("long").alias("cum_aff"),
+        F.last(F.when(F.col("acc_b"), b_tot), True).over(wprev).alias("last_b_tot"),
+        F.last(F.when(F.col("acc_b"), b_aff), True).over(wprev).alias("last_b_aff"),
     )
 
 

@@ -31,18 +31,18 @@ def _scan_groups(df: DataFrame, gkeys: list[str], elem: str, fcol: str, n_states
     """
     merged = df.groupBy(*gkeys).agg(
         F.array_sort(F.collect_list(F.struct(F.col(elem).alias("o"), F.col(fcol).alias("f")))).alias("_a")
-    )
-    merged = merged.withColumn(
-        "_s",
+    ).select(
+        *gkeys,
+        F.col("_a.o").alias("_os"),
         F.expr(
             "aggregate(_a, named_struct('acc', sequence(0, {m}), 'pre', cast(array() as array<array<int>>)),"
             " (s, x) -> named_struct('acc', transform(s.acc, v -> element_at(x.f, v + 1)),"
             " 'pre', concat(s.pre, array(s.acc))))".format(m=n_states - 1)
-        ),
+        ).alias("_s"),
     )
     per_elem = merged.select(
-        *gkeys, F.explode(F.arrays_zip(F.col("_a.o").alias("o"), F.col("_s.pre").alias("p"))).alias("_z")
-    ).select(*gkeys, F.col("_z.o").alias(elem), F.col("_z.p").alias("_pre"))
+        *gkeys, F.inline(F.arrays_zip(F.col("_os").alias(elem), F.col("_s.pre").alias("_pre")))
+    )
     per_group = merged.select(*gkeys, F.col("_s.acc").alias("_F"))
     return per_elem, per_group
 
@@ -114,29 +114,34 @@ def carry_last(
     value: str,
     out_col: str,
     inclusive: bool = True,
+    descending: bool = False,
 ) -> DataFrame:
     """Last non-null ``value`` at (or strictly before) each row in key order.
 
-    Order is (chunk_col, *order).  Inside a chunk a chunk-local window does the
-    work; rows with nothing earlier in their chunk take the previous chunks'
-    last value from a per-(key, chunk) summary.
+    Order is (chunk_col, *order), reversed when ``descending`` (then it is the
+    *next* value).  Inside a chunk a chunk-local window does the work; rows
+    with nothing earlier in their chunk take the previous chunks' last value
+    from a per-(key, chunk) summary.
     """
     keys = list(keys)
     ckeys = keys + [chunk_col]
     ordcols = [F.col(o) if isinstance(o, str) else o for o in order]
+    sort = [c.desc() for c in ordcols] if descending else ordcols
     frame_end = Window.currentRow if inclusive else -1
-    w_in = Window.partitionBy(*ckeys).orderBy(*ordcols).rowsBetween(Window.unboundedPreceding, frame_end)
+    w_in = Window.partitionBy(*ckeys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, frame_end)
     local = df.withColumn("_loc_last", F.last(value, ignorenulls=True).over(w_in))
     # last value of each chunk, then the latest one strictly before each chunk
+    pick = F.min_by if descending else F.max_by
     chunk_last = (
         df.where(F.col(value).isNotNull())
         .groupBy(*ckeys)
-        .agg(F.max_by(F.col(value), F.struct(*ordcols)).alias("_cl"))
+        .agg(pick(F.col(value), F.struct(*ordcols)).alias("_cl"))
     )
+    wc = Window.partitionBy(*keys).orderBy(F.col(chunk_col).desc() if descending else F.col(chunk_col))
     allc = (
         df.select(*ckeys).distinct()
         .join(chunk_last, on=ckeys, how="left")
-        .withColumn("_carry", F.last("_cl", ignorenulls=True).over(key_window(keys, chunk_col)))
+        .withColumn("_carry", F.last("_cl", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)))
         .select(*ckeys, "_carry")
     )
     return (
