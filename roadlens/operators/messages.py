@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas as S
 
@@ -14,11 +14,15 @@ from .. import schemas as S
 # ---------------------------------------------------------------- parsing
 
 def parse_json(df: DataFrame, schema: StructType, col: str = "value") -> DataFrame:
-    """JSON text -> record.  Malformed text gives a null record and
-    ``_malformed`` = true instead of failing the batch."""
-    parsed = F.from_json(F.col(col), schema, {"mode": "PERMISSIVE"})
-    return df.select(parsed.alias("_r"), F.col(col).alias("_raw")).select(
-        "_r.*", (F.col("_raw").isNotNull() & F.col("_r").isNull()).alias("_malformed")
+    """JSON text -> record.  Malformed text gives null fields and
+    ``_malformed`` = true instead of failing the batch (the surveyed consumer
+    would raise)."""
+    with_bad = StructType(list(schema.fields) + [StructField("_bad", StringType(), True)])
+    parsed = F.from_json(F.col(col), with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    keep = [c for c in df.columns if c != col]
+    return df.select(*keep, parsed.alias("_r")).select(
+        *keep, *[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields],
+        F.col("_r._bad").isNotNull().alias("_malformed"),
     )
 
 
@@ -32,7 +36,9 @@ def _ts(c: str) -> Column:
 
 def parse_incidents(df: DataFrame) -> DataFrame:
     """Wire accident record -> ``incidents`` columns (ints or strings on the wire)."""
+    wire = set(S.USER_ACCIDENT_SCHEMA.fieldNames()) | {"_malformed"}
     return df.select(
+        *[c for c in df.columns if c not in wire],
         _int("incident_route_num").alias("route_num"),
         _int("incident_loc").alias("loc"),
         _ts("ts").alias("ts"),
@@ -43,7 +49,9 @@ def parse_incidents(df: DataFrame) -> DataFrame:
 
 def parse_positions(df: DataFrame) -> DataFrame:
     """Wire position record -> ``positions`` columns."""
+    wire = set(S.USER_POS_SCHEMA.fieldNames()) | {"_malformed"}
     return df.select(
+        *[c for c in df.columns if c not in wire],
         _int("user_route_num").alias("route_num"),
         _int("user_loc").alias("loc"),
         F.col("user_id"),

@@ -1 +1,190 @@
-"""Ingest checks (filled below)."""
+"""Ingest checks: A4, A5, B1, B6, C1-C4, D6, F1, F18, F20, G5, J3, J8."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import schemas as S
+from ..operators import ingest as I
+from ..operators import messages as M
+from ..sources import driver as D
+from .registry import check
+from .tables import Tables
+
+STATE = "BUILDING"
+BEFORE_DATE = "1995-06-10"
+TOP_N = 3
+MALFORMED_EVERY = 50
+
+
+def _violation_sql_columns() -> str:
+    cols = []
+    for i, name in enumerate(S.VIOLATION_COLUMNS):
+        v = f"it[{i + 1}]"
+        if i in S.VIOLATION_BOOL_POSITIONS:
+            c = f"lower({v}) = 'yes'"
+        else:
+            c = f"nullif({v}, '')"
+            if name in S.VIOLATION_DOUBLE_COLUMNS:
+                c = f"TRY_CAST({c} AS DOUBLE)"
+            elif name in S.VIOLATION_INT_COLUMNS:
+                c = f"TRY_CAST({c} AS INTEGER)"
+        cols.append(f"{c} AS {name}")
+    return ",\n       ".join(cols)
+
+
+_VIOL = f"""
+, vlines AS (
+  SELECT o_orderkey, {D.violation_line_sql()} AS value
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+vitems AS (
+  SELECT o_orderkey,
+         string_split(replace(replace(
+             CASE WHEN value LIKE '%,' AND value NOT LIKE '%,,' THEN value || ',' ELSE value END,
+             ', ', '  '), '"', ''), ',') AS it
+  FROM vlines),
+violations AS (
+  SELECT o_orderkey,
+       {_violation_sql_columns()}
+  FROM vitems)
+"""
+
+
+def _violations(spark, sf):
+    t = Tables(spark, sf)
+    return I.normalise_violations(D.violation_lines(t.raw("orders"), t.raw("customer")))
+
+
+@check("violations_ingest", _VIOL + "SELECT * FROM violations")
+def violations_ingest(spark, sf):
+    return _violations(spark, sf)
+
+
+@check("violations_upsert", _VIOL + """
+SELECT * EXCLUDE (k) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY driver_state, driver_city, date_of_stop, time_of_stop
+                               ORDER BY o_orderkey DESC) AS k
+  FROM violations
+  WHERE driver_state IS NOT NULL AND driver_city IS NOT NULL AND date_of_stop IS NOT NULL
+    AND time_of_stop IS NOT NULL) WHERE k = 1""")
+def violations_upsert(spark, sf):
+    return I.upsert_latest(_violations(spark, sf), S.VIOLATION_KEY, ["o_orderkey"])
+
+
+@check("violation_locations_by_state", _VIOL + f"""
+SELECT o_orderkey, location FROM violations WHERE driver_state = '{STATE}'""")
+def violation_locations_by_state(spark, sf):
+    return I.select_where(_violations(spark, sf), ["o_orderkey", "location"], F.col("driver_state") == STATE)
+
+
+@check("violation_locations_before", _VIOL + f"""
+SELECT o_orderkey, location FROM violations WHERE date_of_stop < '{BEFORE_DATE}'""")
+def violation_locations_before(spark, sf):
+    return I.select_where(
+        _violations(spark, sf), ["o_orderkey", "location"], F.col("date_of_stop") < F.lit(BEFORE_DATE)
+    )
+
+
+@check("violation_avg_year", _VIOL + f"""
+SELECT ROUND(AVG(CAST(year AS DOUBLE)), 6) AS avg_year FROM violations WHERE driver_state = '{STATE}'""")
+def violation_avg_year(spark, sf):
+    return I.avg_where(_violations(spark, sf), "year", F.col("driver_state") == STATE, "avg_year")
+
+
+@check("csv_pairs_ingest", """
+SELECT string_split(l, ',')[1] AS textstr, TRY_CAST(string_split(l, ',')[2] AS INTEGER) AS numero
+FROM (SELECT p_name || ',' || CAST(p_size AS VARCHAR) AS l FROM part)""")
+def csv_pairs_ingest(spark, sf):
+    return I.parse_csv_pairs(D.csv_pair_lines(Tables(spark, sf).raw("part")))
+
+
+@check("querylog_upsert", """
+SELECT query_type, ts, query_text, seq FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY query_type, ts ORDER BY seq DESC) AS k FROM querylog) WHERE k = 1""")
+def querylog_upsert(spark, sf):
+    return I.upsert_latest(D.querylog_events(Tables(spark, sf).events), ["query_type", "ts"], ["seq"])
+
+
+_PV = """(SELECT CAST(user_id AS VARCHAR) AS site_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+        COUNT(*) AS pageviews FROM events GROUP BY ALL)"""
+
+
+@check("pageviews_per_site", f"SELECT * FROM {_PV}")
+def pageviews_per_site(spark, sf):
+    return I.pageviews(D.pageview_events(Tables(spark, sf).events))
+
+
+@check("top_pageviews_per_site", f"""
+SELECT site_id, window_end, pageviews, CAST(rnk AS INTEGER) AS rank FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY site_id ORDER BY pageviews DESC, window_end) AS rnk FROM {_PV})
+WHERE rnk <= {TOP_N}""")
+def top_pageviews_per_site(spark, sf):
+    pv = I.pageviews(D.pageview_events(Tables(spark, sf).events))
+    return I.ranked_within(pv, "site_id", [F.desc("pageviews"), F.asc("window_end")], TOP_N)
+
+
+@check("distinct_words", """
+SELECT DISTINCT 'Word:' || w AS key, 1 AS value
+FROM (SELECT unnest(string_split_regex(text, '[ \n]')) AS w FROM documents)""")
+def distinct_words(spark, sf):
+    return I.distinct_words(D.text_lines(Tables(spark, sf).raw("documents")))
+
+
+@check("json_parse", f"""
+SELECT seq,
+       CASE WHEN seq % {MALFORMED_EVERY} = 0 THEN NULL ELSE CAST(route_num AS VARCHAR) END AS user_route_num,
+       CASE WHEN seq % {MALFORMED_EVERY} = 0 THEN NULL ELSE CAST(loc AS VARCHAR) END AS user_loc,
+       CASE WHEN seq % {MALFORMED_EVERY} = 0 THEN NULL ELSE user_id END AS user_id,
+       CASE WHEN seq % {MALFORMED_EVERY} = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts,
+       seq % {MALFORMED_EVERY} = 0 AS malformed
+FROM pos""")
+def json_parse(spark, sf):
+    w = M.position_wire_json(Tables(spark, sf).positions).drop("route_num")
+    # every MALFORMED_EVERY-th message arrives cut short
+    w = w.withColumn(
+        "value", F.when(F.col("seq") % MALFORMED_EVERY == 0, F.substring("value", 1, 10)).otherwise(F.col("value"))
+    )
+    p = M.parse_json(w, S.USER_POS_SCHEMA)
+    return p.select("seq", "user_route_num", "user_loc", "user_id", "ts", F.col("_malformed").alias("malformed"))
+
+
+@check("incident_projection", """
+SELECT seq, route_num, loc, date_trunc('second', ts) AS ts, occur_clear, duration FROM inc""")
+def incident_projection(spark, sf):
+    w = M.incident_wire_json(Tables(spark, sf).incidents)
+    parsed = M.parse_json(w, S.USER_ACCIDENT_SCHEMA)
+    return M.parse_incidents(parsed).select("seq", "route_num", "loc", "ts", "occur_clear", "duration")
+
+
+@check("position_projection", """
+SELECT seq, route_num, loc, user_id, date_trunc('second', ts) AS ts FROM pos""")
+def position_projection(spark, sf):
+    w = M.position_wire_json(Tables(spark, sf).positions).drop("route_num")
+    return M.parse_positions(M.parse_json(w, S.USER_POS_SCHEMA)).select("seq", "route_num", "loc", "user_id", "ts")
+
+
+@check("packed_message_roundtrip", """
+SELECT seq, occur_clear AS msg_type, route_num, loc, CAST(NULL AS VARCHAR) AS user_id,
+       date_trunc('second', ts) AS ts, duration FROM inc
+UNION ALL
+SELECT seq, 2, route_num, loc, user_id, date_trunc('second', ts), NULL FROM pos""")
+def packed_message_roundtrip(spark, sf):
+    t = Tables(spark, sf)
+    lines = M.pack_incidents(t.incidents).unionByName(M.pack_positions(t.positions))
+    return M.unpack_messages(lines)
+
+
+@check("expected_clear_time", """
+SELECT seq, route_num, ts, duration, ts + to_seconds(duration) AS expected_ts FROM inc WHERE occur_clear = 0""")
+def expected_clear_time(spark, sf):
+    return M.expected_clear_time(Tables(spark, sf).incidents)
+
+
+@check("publish_keyed_json", f"""
+SELECT seq, CAST(route_num % {S.PUBLISH_KEY_SPACE} AS INTEGER) AS key,
+       '{{"user_route_num":' || route_num || ',"user_loc":' || loc || ',"user_id":"' || user_id
+       || '","ts":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '"}}' AS value
+FROM pos""")
+def publish_keyed_json(spark, sf):
+    w = M.position_wire_json(Tables(spark, sf).positions)
+    return M.publish_keyed(w, F.col("route_num")).select("seq", "key", "value")

@@ -203,9 +203,21 @@ def violation_line_sql() -> str:
 
 
 def violation_lines(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """``value`` text lines (plus ``o_orderkey``) for the violations normaliser."""
+    """``value`` text lines (plus ``o_orderkey``) for the violations normaliser.
+
+    Same lines as ``violation_line_sql`` but the 35 fields are built once as an
+    array and cut by length, which keeps the generated code small.
+    """
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    return joined.select("o_orderkey", F.expr(violation_line_sql()).alias("value"))
+    fields = F.array(*[F.expr(f) for f in _violation_fields()])
+    k = F.col("o_orderkey")
+    n = F.when(k % 11 == 4, 20).when(k % 13 == 6, 35).when(k % 5 == 1, 34).when(k % 5 == 2, 33).otherwise(35)
+    tail = F.when(k % 11 == 4, "").when(k % 13 == 6, ",extra1,extra2").when(k % 5 == 1, ",").when(
+        k % 5 == 2, ",,").otherwise("")
+    staged = joined.select("o_orderkey", fields.alias("_f"), n.alias("_n"), tail.alias("_t"))
+    return staged.select(
+        "o_orderkey", F.concat(F.concat_ws(",", F.slice("_f", F.lit(1), F.col("_n"))), F.col("_t")).alias("value")
+    )
 
 
 CSV_PAIR_LINE_SQL = "p_name || ',' || CAST(p_size AS STRING)"
