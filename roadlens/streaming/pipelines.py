@@ -1,0 +1,198 @@
+"""Structured Streaming versions of the operators.
+
+* ``message_log_query``: incidents + positions -> typed message log, one
+  folder per micro-batch (B4/H2 over streams, B2 idempotent writes).
+* ``lifecycle_stream``: the incident automaton (K1) as
+  ``applyInPandasWithState`` keyed by route; state is O(1) per route.
+* ``pageviews_stream`` (F1), ``incident_user_join_stream`` (E1),
+  ``distinct_words_stream`` (F20): watermarked, append-mode aggregations.
+* ``upsert_stream`` (B1): per-batch deltas, merged on read with ``max_by``.
+
+Event time arrives as TIMESTAMP_NTZ in the driver data; watermarks need
+TIMESTAMP, so ``event_time`` casts it (session zone UTC).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from .. import schemas as S
+from ..operators import ingest as I
+from ..operators import messages as M
+from ..sinks.writers import write_snapshot
+from ..sources.streams import MESSAGE_LOG_SCHEMA
+
+
+def event_time(col: str | Column = "ts") -> Column:
+    c = F.col(col) if isinstance(col, str) else col
+    return c.cast("timestamp")
+
+
+# ----------------------------------------------------------------- message log
+
+
+def message_rows(incidents: DataFrame, positions: DataFrame) -> DataFrame:
+    """Message log rows (MESSAGE_LOG_SCHEMA): incidents/clears as they are, one
+    USERS row per (batch, route) carrying the location histogram."""
+    inc = incidents.select(
+        "batch", F.lit(0).alias("rnk"), "route_num", F.col("occur_clear").alias("msg_type"), "ts", "seq",
+        "loc", "duration", F.lit(None).cast("long").alias("n_positions"),
+        F.lit(None).cast("array<struct<loc:int,n:bigint>>").alias("loc_hist"),
+    )
+    b = M.bundle_positions(positions)
+    first = positions.groupBy("batch", "route_num").agg(F.min("ts").alias("ts"), F.min("seq").alias("seq"))
+    bun = b.join(first, ["batch", "route_num"]).select(
+        "batch", F.lit(1).alias("rnk"), "route_num", F.lit(S.MSG_USERS).alias("msg_type"), "ts", "seq",
+        F.lit(None).cast("int").alias("loc"), F.lit(None).cast("int").alias("duration"), "n_positions",
+        F.col("loc_hist").cast("array<struct<loc:int,n:bigint>>").alias("loc_hist"),
+    )
+    cols = [f.split()[0] for f in MESSAGE_LOG_SCHEMA.split(", ")]
+    return inc.select(*cols).unionByName(bun.select(*cols))
+
+
+def message_log_query(events: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None):
+    """Streaming producer of the message log from parsed domain events.
+
+    ``events`` carries incidents and positions together with a ``kind``
+    column (``incident`` / ``position``).  Every micro-batch writes its
+    messages to ``out_path/epoch=<n>`` (overwrite: replays are idempotent).
+    """
+
+    def _write(df: DataFrame, epoch: int) -> None:
+        inc = df.where(F.col("kind") == "incident").select(
+            "route_num", "loc", "ts", "occur_clear", "duration", "seq", "batch")
+        pos = df.where(F.col("kind") == "position").select("route_num", "loc", "user_id", "ts", "seq", "batch")
+        write_snapshot(message_rows(inc, pos).coalesce(1), out_path, epoch)
+
+    w = events.writeStream.foreachBatch(_write).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+# ----------------------------------------------------------------- lifecycle (K1)
+
+HISTORY_STREAM_SCHEMA = (
+    "tod timestamp_ntz, route_num int, location int, users_total bigint, users_affected bigint, "
+    "duration int, incident_users bigint, incident_affected bigint, occur_ts timestamp_ntz"
+)
+LIFECYCLE_STATE_SCHEMA = (
+    "expect int, loc int, occur_us bigint, tot bigint, aff bigint, last_n bigint, last_a bigint, "
+    "rep bigint, clr bigint"
+)
+_HIST_COLS = [f.split()[0] for f in HISTORY_STREAM_SCHEMA.split(", ")]
+
+
+def _affected(hist, loc) -> int:
+    if hist is None:
+        return 0
+    total = 0
+    for h in hist:
+        l, n = (h["loc"], h["n"]) if isinstance(h, dict) else (h[0], h[1])
+        if l is not None and loc is not None and l > loc:
+            total += int(n)
+    return total
+
+
+def _lifecycle_fold(key, pdfs, state):
+    """Per route: fold this micro-batch's messages in (batch, rnk, ts, seq) order."""
+    if state.exists:
+        expect, loc, occ, tot, aff, last_n, last_a, rep, clr = state.get
+    else:
+        expect, loc, occ, tot, aff, last_n, last_a, rep, clr = 0, None, None, 0, 0, None, None, 0, 0
+    frames = [p for p in pdfs if len(p)]
+    out = []
+    if frames:
+        pdf = pd.concat(frames).sort_values(["batch", "rnk", "ts", "seq"], kind="mergesort")
+        route = int(key[0])
+        for r in pdf.itertuples(index=False):
+            t = int(r.msg_type)
+            if t == S.MSG_INCIDENT and expect == 0:
+                loc, occ, rep, expect = int(r.loc), pd.Timestamp(r.ts).value // 1000, rep + 1, 1
+            elif t == S.MSG_USERS and expect == 1:
+                last_n, last_a = int(r.n_positions), _affected(r.loc_hist, loc)
+                tot, aff, expect = tot + last_n, aff + last_a, 2
+            elif t == S.MSG_CLEAR and expect == 2:
+                out.append((r.ts, route, loc, tot, aff, int(r.duration), last_n, last_a,
+                            pd.Timestamp(occ * 1000) if occ is not None else None))
+                clr, loc, expect = clr + 1, None, 0
+    state.update((expect, loc, occ, tot, aff, last_n, last_a, rep, clr))
+    yield pd.DataFrame(out, columns=_HIST_COLS)
+
+
+def lifecycle_stream(messages: DataFrame) -> DataFrame:
+    """K1 as a stream: history rows appended as clears are accepted.
+
+    Keyed by route; each call sees one route's messages of one micro-batch
+    (bounded by the trigger), and the state is a handful of numbers.
+    """
+    return messages.groupBy("route_num").applyInPandasWithState(
+        _lifecycle_fold, HISTORY_STREAM_SCHEMA, LIFECYCLE_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    )
+
+
+# ----------------------------------------------------------------- windowed operators
+
+
+def pageviews_stream(events: DataFrame, interval: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
+    """F1 as a stream: counts per site and interval, emitted once the
+    watermark passes the interval end (append mode, late rows dropped)."""
+    ev = events.withColumn("_et", event_time("ts")).withWatermark("_et", watermark)
+    return ev.groupBy(F.window("_et", interval).alias("w"), "site_id").agg(
+        F.count(F.lit(1)).alias("pageviews")
+    ).select("site_id", F.col("w.end").cast("timestamp_ntz").alias("window_end"), "pageviews")
+
+
+def incident_user_join_stream(inc: DataFrame, pos: DataFrame, interval: str = "1 hour",
+                              watermark: str = "1 hour", reach: int = S.AFFECTED_REACH) -> DataFrame:
+    """E1 as a stream-stream join: same route, same batch window, position past
+    the incident within ``reach``.  Both sides are watermarked and the time
+    range bounds the join state."""
+    i = inc.select(
+        "route_num", F.col("seq").alias("inc_seq"), F.col("loc").alias("inc_loc"),
+        event_time("ts").alias("inc_et"), F.window(event_time("ts"), interval).start.alias("i_batch"),
+        F.explode(F.sequence(F.lit(1), F.lit(reach))).alias("_d"),
+    ).withColumn("i_loc", F.col("inc_loc") + F.col("_d")).withWatermark("inc_et", watermark)
+    p = pos.select(
+        F.col("route_num").alias("p_route"), F.col("seq").alias("pos_seq"), "user_id",
+        F.col("loc").alias("user_loc"), event_time("ts").alias("pos_et"),
+        F.window(event_time("ts"), interval).start.alias("p_batch"),
+    ).withWatermark("pos_et", watermark)
+    cond = (
+        (F.col("route_num") == F.col("p_route")) & (F.col("i_loc") == F.col("user_loc"))
+        & (F.col("i_batch") == F.col("p_batch"))
+        & (F.col("pos_et") >= F.col("inc_et") - F.expr(f"INTERVAL {interval}"))
+        & (F.col("pos_et") <= F.col("inc_et") + F.expr(f"INTERVAL {interval}"))
+    )
+    return i.join(p, cond).select(
+        F.col("i_batch").cast("timestamp_ntz").alias("batch"), "route_num", "inc_seq", "inc_loc",
+        F.col("inc_et").cast("timestamp_ntz").alias("inc_ts"), "pos_seq", "user_id", "user_loc",
+        F.col("pos_et").cast("timestamp_ntz").alias("user_ts"),
+    )
+
+
+def distinct_words_stream(lines: DataFrame) -> DataFrame:
+    """F20 as a stream: first sighting of every word (state = the vocabulary)."""
+    return I.distinct_words(lines).dropDuplicates(["key"])
+
+
+# ----------------------------------------------------------------- keyed upsert (B1)
+
+
+def upsert_stream(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], path: str, checkpoint: str,
+                  trigger: dict | None = None):
+    """B1 over a stream: each micro-batch writes its latest row per key as a
+    delta folder; ``read_upserted`` merges all deltas with the same rule."""
+
+    def _write(batch: DataFrame, epoch: int) -> None:
+        write_snapshot(I.upsert_latest(batch, keys, order_cols), path, epoch)
+
+    w = df.writeStream.foreachBatch(_write).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_upserted(spark, path: str, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    return I.upsert_latest(spark.read.parquet(path).drop("epoch"), keys, order_cols)
