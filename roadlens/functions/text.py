@@ -12,8 +12,11 @@ from .. import schemas as S
 
 
 def pad_trailing_comma(line: Column) -> Column:
-    """A line ending in exactly one comma gets another one."""
-    return F.when(line.endswith(",") & ~line.endswith(",,"), F.concat(line, F.lit(","))).otherwise(line)
+    """A line ending in exactly one comma gets another one.
+
+    One regex over the line (it references ``line`` once, so an upstream
+    expression producing the line is never evaluated twice)."""
+    return F.regexp_replace(line, r"(?<!,),\z", ",,")
 
 
 def unquote(line: Column) -> Column:

@@ -33,8 +33,8 @@ def normalise_violations(lines: DataFrame, col: str = "value", skip_header: bool
     keep = [c for c in lines.columns if c != col]
     src = lines
     if skip_header:
-        first = F.lower(F.trim(F.split(F.col(col), ",", 2).getItem(0)))
-        src = lines.where(~first.eqNullSafe(F.lit(HEADER_FIRST_FIELD)))
+        head = F.lower(F.substring(F.col(col), 1, len(HEADER_FIRST_FIELD) + 1))
+        src = lines.where(~head.eqNullSafe(F.lit(HEADER_FIRST_FIELD + ",")))
     # split once; the projection over the array is not collapsed into 35 splits
     staged = src.select(*keep, T.csv_fields(F.col(col)).alias("_items"))
     return staged.select(*keep, *T.violation_record(F.col("_items")))

@@ -20,7 +20,7 @@ task for its whole history.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -35,21 +35,40 @@ def position_histogram(positions: DataFrame) -> DataFrame:
     return positions.groupBy("route_num", "batch", "loc").agg(F.count(F.lit(1)).alias("n"))
 
 
-def chunk_summaries(incidents: DataFrame, hist: DataFrame) -> DataFrame:
-    """One row per (route_num, batch) with what the automaton can accept there."""
-    ordv = F.struct("ts", "seq")
-    w = Window.partitionBy("route_num", "batch")
+def bundles(positions: DataFrame) -> DataFrame:
+    """One bundle per (route, batch): size and location histogram.  The
+    histogram has at most one entry per location of the route, whatever the
+    number of positions."""
+    return position_histogram(positions).groupBy("route_num", "batch").agg(
+        F.sum("n").cast("long").alias("n_pos"), F.collect_list(F.struct("loc", "n")).alias("hist")
+    )
+
+
+def chunk_summaries(incidents: DataFrame, positions: DataFrame) -> DataFrame:
+    """One row per (route_num, batch) with what the automaton can accept there.
+
+    Only aggregates and a many-to-one join: a hot (route, batch) is reduced
+    map-side and split by AQE's skew handling, never processed as one group.
+    """
     inc = incidents.select("route_num", "batch", "ts", "seq", "occur_clear", "loc", "duration")
-    inc = inc.withColumn("_fc_ord", F.min(F.when(F.col("occur_clear") == 0, ordv)).over(w))
     occur = F.col("occur_clear") == 1
-    summ = inc.groupBy("route_num", "batch").agg(
+    firsts = inc.groupBy("route_num", "batch").agg(
         F.min(F.when(occur, F.struct("ts", "seq", "loc"))).alias("fi"),
         F.min(F.when(~occur, F.struct("ts", "seq", "duration"))).alias("fc"),
-        F.min(F.when(occur & (ordv > F.col("_fc_ord")), F.struct("ts", "seq", "loc"))).alias("fic"),
     )
-    bundles = hist.groupBy("route_num", "batch").agg(F.sum("n").alias("n_pos"))
-    return summ.join(bundles, ["route_num", "batch"], "full").select(
-        "route_num", "batch", "fi", "fc", "fic", F.coalesce("n_pos", F.lit(0)).cast("long").alias("n_pos")
+    # first incident after the chunk's first clear
+    fic = (
+        inc.where(occur)
+        .join(firsts.where(F.col("fc").isNotNull()).select("route_num", "batch", F.col("fc.ts").alias("_cts"),
+                                                             F.col("fc.seq").alias("_cseq")),
+              ["route_num", "batch"])
+        .where(F.struct("ts", "seq") > F.struct("_cts", "_cseq"))
+        .groupBy("route_num", "batch")
+        .agg(F.min(F.struct("ts", "seq", "loc")).alias("fic"))
+    )
+    summ = firsts.join(fic, ["route_num", "batch"], "left")
+    return summ.join(bundles(positions), ["route_num", "batch"], "full").select(
+        "route_num", "batch", "fi", "fc", "fic", F.coalesce("n_pos", F.lit(0)).cast("long").alias("n_pos"), "hist"
     )
 
 
@@ -64,8 +83,7 @@ def _transition(has_i, has_c, has_ic, has_b):
 
 def lifecycle_chunks(incidents: DataFrame, positions: DataFrame, levels=DEFAULT_LEVELS) -> DataFrame:
     """Resolved chunks: start state, accepted messages and carried route values."""
-    hist = position_histogram(positions)
-    ch = chunk_summaries(incidents, hist)
+    ch = chunk_summaries(incidents, positions)
     has_i, has_c, has_ic = F.col("fi").isNotNull(), F.col("fc").isNotNull(), F.col("fic").isNotNull()
     has_b = F.col("n_pos") > 0
     ch = ch.select("*", _transition(has_i, has_c, has_ic, has_b).alias("fn"))
@@ -80,34 +98,31 @@ def lifecycle_chunks(incidents: DataFrame, positions: DataFrame, levels=DEFAULT_
     # windows below run over chunk rows (one per route and batch), never over events
     wprev = key_window(KEYS, "batch")
     prev_loc = F.last(acc_i["loc"], ignorenulls=True).over(wprev)
+    bundle_loc = F.when(acc_b & (s == EXPECT_USERS), prev_loc).when(acc_b, acc_i["loc"])
+    b_tot = F.when(acc_b, F.col("n_pos")).otherwise(F.lit(0)).cast("long")
+    # affected = positions of the accepted bundle strictly past the incident
+    b_aff = F.when(
+        acc_b,
+        F.aggregate(F.filter("hist", lambda h: h["loc"] > bundle_loc), F.lit(0).cast("long"),
+                    lambda acc, h: acc + h["n"]),
+    ).otherwise(F.lit(0)).cast("long")
     ch = ch.select(
-        "route_num", "batch", "n_pos", "fc", "s",
+        "route_num", "batch", "fc", "s",
         apply_fn(F.col("fn"), s).alias("end_state"),
         acc_i.alias("acc_i"),
         acc_c.alias("acc_c"),
         acc_b.alias("acc_b"),
         prev_loc.alias("prev_loc"),
         F.last(acc_i["ts"], ignorenulls=True).over(wprev).alias("prev_occur_ts"),
-        F.when(acc_b & (s == EXPECT_USERS), prev_loc).when(acc_b, acc_i["loc"]).alias("bundle_loc"),
-    )
-    # affected = positions of the accepted bundle strictly past the incident
-    affected = (
-        hist.join(ch.where("acc_b").select("route_num", "batch", "bundle_loc"), ["route_num", "batch"])
-        .where(F.col("loc") > F.col("bundle_loc"))
-        .groupBy("route_num", "batch")
-        .agg(F.sum("n").alias("b_aff"))
-    )
-    b_tot = F.when(F.col("acc_b"), F.col("n_pos")).otherwise(F.lit(0)).cast("long")
-    b_aff = F.when(F.col("acc_b"), F.coalesce("b_aff", F.lit(0))).otherwise(F.lit(0)).cast("long")
-    return ch.join(affected, ["route_num", "batch"], "left").select(
-        "route_num", "batch", "n_pos", "fc", "s", "end_state", "acc_i", "acc_c", "acc_b",
-        "prev_loc", "prev_occur_ts", "bundle_loc",
         b_tot.alias("b_tot"),
         b_aff.alias("b_aff"),
-        F.coalesce(F.sum(b_tot).over(wprev), F.lit(0)).cast("long").alias("cum_tot"),
-        F.coalesce(F.sum(b_aff).over(wprev), F.lit(0)).cast("long").alias("cum_aff"),
-        F.last(F.when(F.col("acc_b"), b_tot), True).over(wprev).alias("last_b_tot"),
-        F.last(F.when(F.col("acc_b"), b_aff), True).over(wprev).alias("last_b_aff"),
+    )
+    return ch.select(
+        "*",
+        F.coalesce(F.sum("b_tot").over(wprev), F.lit(0)).cast("long").alias("cum_tot"),
+        F.coalesce(F.sum("b_aff").over(wprev), F.lit(0)).cast("long").alias("cum_aff"),
+        F.last(F.when(F.col("acc_b"), F.col("b_tot")), True).over(wprev).alias("last_b_tot"),
+        F.last(F.when(F.col("acc_b"), F.col("b_aff")), True).over(wprev).alias("last_b_aff"),
     )
 
 
@@ -200,20 +215,23 @@ def incident_history_pairs(incidents: DataFrame, positions: DataFrame, levels=DE
 # K3: capped active incidents per route.
 # ---------------------------------------------------------------------------
 
-def capped_incidents(incidents: DataFrame, cap: int = S.INCIDENT_CAP, levels=DEFAULT_LEVELS) -> DataFrame:
+def capped_incidents(incidents: DataFrame, cap: int = S.INCIDENT_CAP, chunk: str = "1 minute",
+                     levels=("hour", "day", "month")) -> DataFrame:
     """Active incidents per route with a cap: an occur is dropped while ``cap``
     are active, a clear removes one (oldest first), a clear on none is ignored.
 
-    The state is the active count 0..cap.  Each (route, batch) chunk is folded
-    once for every possible start count (the chunk's own messages only, in
-    (ts, seq) order), the start count of each chunk comes from
-    ``prefix_states``, and the matching counters are summed per route.
+    The state is the active count 0..cap.  Each (route, ``chunk``) slice is
+    folded once for every possible start count (its own messages only, in
+    (ts, seq) order; the slice is bounded by the route's rate times ``chunk``),
+    the start count of each slice comes from ``prefix_states`` over
+    ``levels``, and the matching counters are summed per route.
     """
     n = cap + 1
     msgs = incidents.select(
-        "route_num", "batch", F.struct("ts", "seq", F.col("occur_clear").alias("o")).alias("m")
+        "route_num", F.window("ts", chunk).start.alias("chunk"),
+        F.struct("ts", "seq", F.col("occur_clear").alias("o")).alias("m"),
     )
-    chunks = msgs.groupBy("route_num", "batch").agg(F.array_sort(F.collect_list("m")).alias("ms"))
+    chunks = msgs.groupBy("route_num", "chunk").agg(F.array_sort(F.collect_list("m")).alias("ms"))
     # fold: for each start count keep [count, reported, dropped, cleared, ignored]
     init = "transform(sequence(0, {c}), v -> array(v, 0, 0, 0, 0))".format(c=cap)
     step = (
@@ -224,12 +242,12 @@ def capped_incidents(incidents: DataFrame, cap: int = S.INCIDENT_CAP, levels=DEF
         "        ELSE array(a[0] - 1, a[1], a[2], a[3] + 1, a[4]) END) END)"
     ).format(c=cap)
     chunks = chunks.select(
-        "route_num", "batch", F.expr(f"aggregate(ms, {init}, (acc, x) -> {step})").alias("res")
+        "route_num", "chunk", F.expr(f"aggregate(ms, {init}, (acc, x) -> {step})").alias("res")
     ).withColumn("fn", F.expr("transform(res, a -> a[0])"))
-    chunks = prefix_states(chunks, KEYS, "batch", "fn", n, 0, levels, "s")
-    picked = chunks.select("route_num", "batch", F.element_at("res", F.col("s") + 1).alias("r"))
+    chunks = prefix_states(chunks, KEYS, "chunk", "fn", n, 0, levels, "s")
+    picked = chunks.select("route_num", "chunk", F.element_at("res", F.col("s") + 1).alias("r"))
     return picked.groupBy("route_num").agg(
-        F.max_by(F.col("r")[0], "batch").cast("long").alias("active"),
+        F.max_by(F.col("r")[0], "chunk").cast("long").alias("active"),
         F.sum(F.col("r")[1]).cast("long").alias("reported"),
         F.sum(F.col("r")[2]).cast("long").alias("dropped"),
         F.sum(F.col("r")[3]).cast("long").alias("cleared"),

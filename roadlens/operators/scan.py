@@ -7,8 +7,8 @@ a hot key is spread over as many tasks as it has batches.  What has to cross
 chunk boundaries is carried by tiny per-chunk summaries:
 
 * ``prefix_states`` composes per-chunk transition functions of a finite
-  automaton with a hierarchical (day, month, all) exclusive scan, so no list
-  is longer than the number of sub-periods of one period.
+  automaton with a hierarchical (period, coarser period, all) exclusive scan,
+  so no list is longer than the number of chunks of one period.
 * ``carry_last`` / ``keyed_lag`` / ``running_sum`` stitch chunk-local values to
   the previous chunks' summary rows (one row per key and batch).
 """
@@ -20,7 +20,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_LEVELS = ("day", "month")
+DEFAULT_LEVELS = ("month",)
+
+
+_SCAN = (
+    "aggregate({arr}, named_struct('acc', sequence(0, {m}), 'pre', cast(array() as array<array<int>>)),"
+    " (s, x) -> named_struct('acc', transform(s.acc, v -> element_at(x.f, v + 1)),"
+    " 'pre', concat(s.pre, array(s.acc))))"
+)
 
 
 def _scan_groups(df: DataFrame, gkeys: list[str], elem: str, fcol: str, n_states: int):
@@ -31,15 +38,7 @@ def _scan_groups(df: DataFrame, gkeys: list[str], elem: str, fcol: str, n_states
     """
     merged = df.groupBy(*gkeys).agg(
         F.array_sort(F.collect_list(F.struct(F.col(elem).alias("o"), F.col(fcol).alias("f")))).alias("_a")
-    ).select(
-        *gkeys,
-        F.col("_a.o").alias("_os"),
-        F.expr(
-            "aggregate(_a, named_struct('acc', sequence(0, {m}), 'pre', cast(array() as array<array<int>>)),"
-            " (s, x) -> named_struct('acc', transform(s.acc, v -> element_at(x.f, v + 1)),"
-            " 'pre', concat(s.pre, array(s.acc))))".format(m=n_states - 1)
-        ).alias("_s"),
-    )
+    ).select(*gkeys, F.col("_a.o").alias("_os"), F.expr(_SCAN.format(arr="_a", m=n_states - 1)).alias("_s"))
     per_elem = merged.select(
         *gkeys, F.inline(F.arrays_zip(F.col("_os").alias(elem), F.col("_s.pre").alias("_pre")))
     )
@@ -61,37 +60,51 @@ def prefix_states(
 
     ``chunks`` has one row per (keys, order_col) with ``fn_col`` = the chunk's
     transition function as ``array<int>`` (index = state before, value = state
-    after).  ``order_col`` is a timestamp; ``levels`` are ``date_trunc`` units
-    from fine to coarse that bound every list composed in one task.
+    after).  ``order_col`` is a timestamp.  ``levels`` are ``date_trunc``
+    units from fine to coarse; chunks are composed inside the finest period,
+    periods inside coarser ones, so no list composed in one task is longer
+    than the number of chunks of one finest period (pick levels so that stays
+    in the low thousands: ``("month",)`` for hourly batches, ``("hour", "day",
+    "month")`` for second-level batches).
+
+    The chunk rows ride along in the finest period's array and are exploded
+    back with their start state, so there is no join back to ``chunks``.
     """
     keys = list(keys)
+    rest = [c for c in chunks.columns if c not in keys]
     lv = [f"_lv{i}" for i in range(len(levels))]
-    base = chunks.select(
-        *keys,
-        F.col(order_col).alias("_o"),
-        F.col(fn_col).alias("_f"),
-        *[F.date_trunc(u, F.col(order_col)).alias(c) for u, c in zip(levels, lv)],
+    base = chunks.select(*keys, *[F.date_trunc(u, F.col(order_col)).alias(c) for u, c in zip(levels, lv)],
+                         F.struct(F.col(order_col).alias("o"), F.col(fn_col).alias("f"),
+                                  F.struct(*rest).alias("row")).alias("_e"))
+    g0 = base.groupBy(*keys, *lv).agg(F.array_sort(F.collect_list("_e")).alias("_a")).select(
+        *keys, *lv, "_a", F.expr(_SCAN.format(arr="_a", m=n_states - 1)).alias("_s"))
+    if lv:
+        # coarser levels compose the finest periods' functions
+        prefixes = []
+        cur, elem, fcol = g0.select(*keys, *lv, F.col("_s.acc").alias("_F")), lv[0], "_F"
+        for i in range(1, len(lv) + 1):
+            gkeys = keys + lv[i:]
+            per_elem, per_group = _scan_groups(cur, gkeys, elem, fcol, n_states)
+            prefixes.append((gkeys, elem, per_elem))
+            if i < len(lv):
+                cur, elem, fcol = per_group, lv[i], "_F"
+        gkeys, elem, top = prefixes[-1]
+        states = top.select(*gkeys, elem, F.element_at("_pre", init + 1).alias("_st"))
+        for gkeys, elem, per_elem in reversed(prefixes[:-1]):
+            states = per_elem.join(states.withColumnRenamed("_st", "_pst"), on=gkeys).select(
+                *gkeys, elem, F.expr("element_at(_pre, _pst + 1)").alias("_st"))
+        g0 = g0.join(states, on=keys + lv)
+        start = F.col("_st")
+    else:
+        start = F.lit(init)
+    out = g0.select(
+        *keys, F.explode(F.arrays_zip(F.col("_a").alias("e"), F.col("_s.pre").alias("p"))).alias("_z"),
+        start.alias("_st0"),
+    )
+    return out.select(
+        *keys, *[F.col(f"_z.e.row.{c}").alias(c) for c in rest],
+        F.expr("element_at(_z.p, _st0 + 1)").alias(out_col),
     )
-    # Bottom-up: chunks inside the finest period, then periods inside coarser ones.
-    prefixes = []
-    cur, elem, fcol = base, "_o", "_f"
-    for i in range(len(lv) + 1):
-        gkeys = keys + lv[i:]
-        per_elem, per_group = _scan_groups(cur, gkeys, elem, fcol, n_states)
-        prefixes.append((gkeys, elem, per_elem))
-        if i < len(lv):
-            cur, elem, fcol = per_group, lv[i], "_F"
-    # Top-down: start state of each period, then of each chunk inside it.
-    gkeys, elem, top = prefixes[-1]
-    states = top.select(*gkeys, elem, F.element_at("_pre", init + 1).alias("_st"))
-    for gkeys, elem, per_elem in reversed(prefixes[:-1]):
-        parent = states.withColumnRenamed("_st", "_pst")
-        # parent rows are keyed by (keys, coarser levels..., this level's group column)
-        states = per_elem.join(parent, on=gkeys).select(
-            *gkeys, elem, F.expr("element_at(_pre, _pst + 1)").alias("_st")
-        )
-    starts = states.select(*keys, F.col("_o").alias(order_col), F.col("_st").alias(out_col))
-    return chunks.join(starts, on=keys + [order_col])
 
 
 def apply_fn(fn: Column, state: Column) -> Column:

@@ -52,7 +52,7 @@ violations AS (
 
 def _violations(spark, sf):
     t = Tables(spark, sf)
-    return I.normalise_violations(D.violation_lines(t.raw("orders"), t.raw("customer")))
+    return I.normalise_violations(D.violation_lines(t.spread("orders"), t.raw("customer")))
 
 
 @check("violations_ingest", _VIOL + "SELECT * FROM violations")
@@ -127,7 +127,7 @@ def top_pageviews_per_site(spark, sf):
 SELECT DISTINCT 'Word:' || w AS key, 1 AS value
 FROM (SELECT unnest(string_split_regex(text, '[ \n]')) AS w FROM documents)""")
 def distinct_words(spark, sf):
-    return I.distinct_words(D.text_lines(Tables(spark, sf).raw("documents")))
+    return I.distinct_words(D.text_lines(Tables(spark, sf).spread("documents")))
 
 
 @check("json_parse", f"""

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import lifecycle as L
+from ..session import spread
 from ..sources import driver as D
 
 
@@ -19,6 +20,11 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return D.table(self.spark, self.sf_dir, name)
 
+    def spread(self, name: str) -> DataFrame:
+        """A table feeding CPU-heavy per-row text work, spread over all cores
+        when it arrives in fewer partitions (see ``session.spread``)."""
+        return spread(self.raw(name))
+
     @cached_property
     def events(self) -> DataFrame:
         return self.raw("events")

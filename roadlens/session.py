@@ -58,3 +58,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, factor: int = 1) -> DataFrame:
+    """Round-robin an under-partitioned input over the session's cores.
+
+    A small file with one row group scans as one task; CPU-heavy row work on
+    it would then run on one core.  Inputs that already have at least
+    ``defaultParallelism * factor`` partitions (any large input) are returned
+    unchanged, so no shuffle is added at scale.  Filters and column pruning
+    still reach the scan below the repartition.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df._jdf.rdd().getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -140,14 +140,19 @@ def route_lengths(events: DataFrame) -> DataFrame:
 # oracle builds byte-identical lines.
 # --------------------------------------------------------------------------
 
-def _bool_field(i: int) -> str:
-    return (
-        f"CASE (o_orderkey + {i}) % 6 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' WHEN 2 THEN 'yes' "
-        f"WHEN 3 THEN 'YES' WHEN 4 THEN '' ELSE 'maybe' END"
-    )
+YES_NO_CYCLE = ("Yes", "No", "yes", "YES", "", "maybe")
+
+
+def _bool_field(i: int, dialect: str) -> str:
+    """Yes/no cell cycling through the literal cases; array lookup in Spark SQL,
+    list indexing in DuckDB (same values)."""
+    vals = ", ".join(f"'{v}'" for v in YES_NO_CYCLE)
+    if dialect == "spark":
+        return f"element_at(array({vals}), CAST((o_orderkey + {i}) % 6 + 1 AS INT))"
+    return f"[{vals}][(o_orderkey + {i}) % 6 + 1]"
 
 
-def _violation_fields() -> list[str]:
+def _violation_fields(dialect: str = "spark") -> list[str]:
     s = "CAST({} AS STRING)".format
     f: list[str] = [
         s("CAST(o_orderdate AS DATE)"),                                     # date_of_stop
@@ -161,7 +166,7 @@ def _violation_fields() -> list[str]:
         f"CASE WHEN o_orderkey % 9 = 5 THEN '' ELSE {s('c_nationkey')} || '.' || {s('o_orderkey % 1000')} END",
         f"'-' || {s('o_custkey % 180')} || '.' || {s('o_orderkey % 97')}",  # longitude
     ]
-    f += [_bool_field(i) for i in range(8, 18)]                             # 10 yes/no columns
+    f += [_bool_field(i, dialect) for i in range(8, 18)]                             # 10 yes/no columns
     f += [
         "substr(c_mktsegment, 1, 2)",                                       # state
         "o_orderpriority",                                                  # vehicle_type
@@ -172,7 +177,7 @@ def _violation_fields() -> list[str]:
         "CASE o_orderkey % 2 WHEN 0 THEN 'Citation' ELSE 'Warning' END",
         f"'21-' || {s('o_orderkey % 900')}",                                # charge
         "'Transportation Article'",
-        _bool_field(27),                                                    # contributed_to_accident
+        _bool_field(27, dialect),                                                    # contributed_to_accident
         "CASE o_custkey % 3 WHEN 0 THEN 'WHITE' WHEN 1 THEN 'BLACK' ELSE 'ASIAN' END",
         "CASE o_custkey % 2 WHEN 0 THEN 'F' ELSE 'M' END",
         f"'CITY' || {s('c_nationkey')}",                                     # driver_city
@@ -190,7 +195,7 @@ def violation_line_sql() -> str:
     orderkey % 5 = 1 -> ends in one comma, = 2 -> ends in two commas,
     % 11 = 4 -> short line (20 fields), % 13 = 6 -> long line (extra values).
     """
-    fields = _violation_fields()
+    fields = _violation_fields("duckdb")
     full = " || ',' || ".join(fields)
     short = " || ',' || ".join(fields[:20])
     return (
