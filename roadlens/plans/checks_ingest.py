@@ -51,8 +51,9 @@ violations AS (
 
 
 def _violations(spark, sf):
+    # lines generated from orders have no header row, so no header filter
     t = Tables(spark, sf)
-    return I.normalise_violations(D.violation_lines(t.spread("orders"), t.raw("customer")))
+    return I.normalise_violations(D.violation_lines(t.spread("orders"), t.raw("customer")), skip_header=False)
 
 
 @check("violations_ingest", _VIOL + "SELECT * FROM violations")
