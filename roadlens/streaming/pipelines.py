@@ -196,3 +196,78 @@ def upsert_stream(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
 
 def read_upserted(spark, path: str, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     return I.upsert_latest(spark.read.parquet(path).drop("epoch"), keys, order_cols)
+
+
+# ----------------------------------------------------------------- capped incidents (K3)
+
+CAPPED_STREAM_SCHEMA = (
+    "route_num int, n_msgs bigint, active bigint, reported bigint, dropped bigint, cleared bigint, ignored bigint"
+)
+CAPPED_STATE_SCHEMA = "n bigint, active bigint, reported bigint, dropped bigint, cleared bigint, ignored bigint"
+
+
+def _capped_fold(cap: int):
+    def fold(key, pdfs, state):
+        n, active, rep, drop, clr, ign = state.get if state.exists else (0, 0, 0, 0, 0, 0)
+        frames = [p for p in pdfs if len(p)]
+        if frames:
+            pdf = pd.concat(frames).sort_values(["ts", "seq"], kind="mergesort")
+            for o in pdf["occur_clear"].tolist():
+                n += 1
+                if int(o) == 1:
+                    if active >= cap:
+                        drop += 1
+                    else:
+                        active, rep = active + 1, rep + 1
+                elif active == 0:
+                    ign += 1
+                else:
+                    active, clr = active - 1, clr + 1
+        state.update((n, active, rep, drop, clr, ign))
+        yield pd.DataFrame([(int(key[0]), n, active, rep, drop, clr, ign)],
+                           columns=[f.split()[0] for f in CAPPED_STREAM_SCHEMA.split(", ")])
+
+    return fold
+
+
+def capped_incidents_stream(incidents: DataFrame, cap: int = S.INCIDENT_CAP) -> DataFrame:
+    """K3 as a stream: per route, the counters after each micro-batch (the row
+    with the largest ``n_msgs`` is current).  State: six numbers per route."""
+    return incidents.select("route_num", "ts", "seq", "occur_clear").groupBy("route_num").applyInPandasWithState(
+        _capped_fold(cap), CAPPED_STREAM_SCHEMA, CAPPED_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    )
+
+
+# ----------------------------------------------------------------- report queues (K5)
+
+REPORT_STREAM_SCHEMA = "route_num int, action string, seq bigint"
+REPORT_STATE_SCHEMA = "open_seqs array<bigint>"
+
+
+def _report_fold(key, pdfs, state):
+    """Per route: adds open a report, a clear closes the oldest open one (or is
+    ignored).  Emits open/close events; state is the route's open reports."""
+    open_seqs = list(state.get[0]) if state.exists and state.get[0] is not None else []
+    frames = [p for p in pdfs if len(p)]
+    out = []
+    if frames:
+        pdf = pd.concat(frames).sort_values(["ts", "seq"], kind="mergesort")
+        for delta, seq in zip(pdf["delta"].tolist(), pdf["seq"].tolist()):
+            if int(delta) == 1:
+                open_seqs.append(int(seq))
+                out.append((int(key[0]), "open", int(seq)))
+            elif open_seqs:
+                out.append((int(key[0]), "close", open_seqs.pop(0)))
+    state.update((open_seqs,))
+    yield pd.DataFrame(out, columns=["route_num", "action", "seq"])
+
+
+def report_state_stream(requests: DataFrame) -> DataFrame:
+    """K5 as a stream of open/close events per report (append mode).  The open
+    set is the opens without a matching close."""
+    from ..operators.requests import report_events
+
+    ev = report_events(requests).select("route_num", "ts", "seq", "delta")
+    return ev.groupBy("route_num").applyInPandasWithState(
+        _report_fold, REPORT_STREAM_SCHEMA, REPORT_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    )

@@ -62,6 +62,14 @@ def test_lifecycle_stream_equals_batch(spark, scratch):
     assert got == want
 
 
+def _json_value(c, v):
+    if c == "ts":
+        return v.strftime("%Y-%m-%d %H:%M:%S.%f")
+    if isinstance(v, float):  # pandas widens nullable ints to float
+        return None if v != v else int(v)
+    return v
+
+
 def _write_jsonl_by_day(df, path, cols):
     os.makedirs(path)
     pdf = df.toPandas()
@@ -69,8 +77,7 @@ def _write_jsonl_by_day(df, path, cols):
     for i, (_, part) in enumerate(sorted(pdf.groupby("day"), key=lambda kv: kv[0])):
         with open(os.path.join(path, f"part-{i:05d}.json"), "w") as fh:
             for r in part.itertuples(index=False):
-                rec = {c: (getattr(r, c).strftime("%Y-%m-%d %H:%M:%S.%f") if c == "ts" else getattr(r, c))
-                       for c in cols}
+                rec = {c: _json_value(c, getattr(r, c)) for c in cols}
                 fh.write(json.dumps(rec) + "\n")
         time.sleep(0.02)
 
@@ -183,3 +190,79 @@ def test_history_append_partitioned(spark, scratch):
     back = spark.read.parquet(out)
     assert back.count() == t.hist_traffic.count()
     assert "day" in back.columns
+
+
+def _incident_stream(spark, scratch, t):
+    inc_cols = ["route_num", "loc", "ts", "occur_clear", "duration", "seq"]
+    path = os.path.join(scratch, "inc_k3")
+    _write_jsonl_by_day(t.incidents.select(*inc_cols), path, inc_cols)
+    return spark.readStream.schema(
+        "route_num int, loc int, ts string, occur_clear int, duration int, seq bigint").option(
+        "maxFilesPerTrigger", 3).json(path).withColumn("ts", F.to_timestamp_ntz("ts"))
+
+
+def test_capped_incidents_stream_equals_batch(spark, scratch):
+    from roadlens.operators import lifecycle as L
+
+    t = Tables(spark, SF_SMALL)
+    q = _run_to_memory(P.capped_incidents_stream(_incident_stream(spark, scratch, t)), "capped_stream")
+    rows = spark.table("capped_stream").collect()
+    q.stop()
+    latest = {}
+    for r in rows:
+        if r.route_num not in latest or r.n_msgs > latest[r.route_num].n_msgs:
+            latest[r.route_num] = r
+    got = sorted((k, v.active, v.reported, v.dropped, v.cleared, v.ignored) for k, v in latest.items())
+    want = sorted(tuple(r) for r in L.capped_incidents(t.incidents).select(
+        "route_num", "active", "reported", "dropped", "cleared", "ignored").collect())
+    assert got == want
+
+
+def test_report_state_stream_equals_batch(spark, scratch):
+    from roadlens.operators import requests as R
+
+    t = Tables(spark, SF_SMALL)
+    cols = ["req_type", "sub_req_type", "user_id", "route_num", "loc", "ts", "seq"]
+    path = os.path.join(scratch, "req")
+    _write_jsonl_by_day(t.requests.select(*cols), path, cols)
+    req = spark.readStream.schema(
+        "req_type int, sub_req_type int, user_id string, route_num int, loc int, ts string, seq bigint").option(
+        "maxFilesPerTrigger", 4).json(path).withColumn("ts", F.to_timestamp_ntz("ts")).withColumn(
+        "batch", F.window("ts", "1 hour").start)
+    q = _run_to_memory(P.report_state_stream(req), "report_stream")
+    ev = spark.table("report_stream").collect()
+    q.stop()
+    opened = {r.seq for r in ev if r.action == "open"}
+    closed = {r.seq for r in ev if r.action == "close"}
+    want = {r.seq for r in R.report_state(t.requests).select("seq").collect()}
+    assert opened - closed == want
+
+
+def test_message_log_producer(spark, scratch):
+    t = Tables(spark, SF_SMALL)
+    inc = t.incidents.select("route_num", "loc", "ts", "occur_clear", "duration", "seq", "batch",
+                             F.lit(None).cast("string").alias("user_id"), F.lit("incident").alias("kind"))
+    pos = t.positions.select("route_num", "loc", "ts", F.lit(None).cast("int").alias("occur_clear"),
+                             F.lit(None).cast("int").alias("duration"), "seq", "batch", "user_id",
+                             F.lit("position").alias("kind"))
+    src = os.path.join(scratch, "domain")
+    inc.unionByName(pos).write.parquet(src)
+    stream = spark.readStream.schema(inc.unionByName(pos).schema).parquet(src)
+    out = os.path.join(scratch, "msglog")
+    q = P.message_log_query(stream, out, os.path.join(scratch, "ck_ml"))
+    q.awaitTermination(120)
+    got = spark.read.schema(SRC.MESSAGE_LOG_SCHEMA).parquet(out)
+    cols = ["batch", "rnk", "route_num", "msg_type", "seq", "n_positions"]
+    assert _rows(got, cols) == _rows(P.message_rows(t.incidents, t.positions), cols)
+
+
+def test_publish_keyed_files(spark, scratch):
+    from roadlens.operators import messages as M
+
+    t = Tables(spark, SF_SMALL)
+    w = M.publish_keyed(M.position_wire_json(t.positions), F.col("route_num"))
+    W.publish_events(w, "user_pos", path=scratch, n=S.PUBLISH_KEY_SPACE)
+    back = spark.read.text(os.path.join(scratch, "user_pos"))
+    assert back.count() == t.positions.count()
+    keys = {r.key for r in back.select("key").distinct().collect()}
+    assert keys <= set(range(S.PUBLISH_KEY_SPACE))
