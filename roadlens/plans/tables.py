@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +13,29 @@ from ..sources import driver as D
 
 
 class Tables:
-    """Lazily built domain DataFrames (plans, not data: nothing is collected)."""
+    """Lazily built domain DataFrames (plans, not data: nothing is collected
+    or cached).
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    Instances are shared per (session, folder), so the registered checks reuse
+    already analysed plans instead of re-planning the adapter and lifecycle
+    for every query; every action still scans the tables.
+    """
+
+    _shared: "weakref.WeakKeyDictionary[SparkSession, dict[str, Tables]]" = weakref.WeakKeyDictionary()
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        per_session = cls._shared.setdefault(spark, {})
+        inst = per_session.get(sf_dir)
+        if inst is None:
+            inst = super().__new__(cls)
+            inst.spark, inst.sf_dir, inst._raw = spark, sf_dir, {}
+            per_session[sf_dir] = inst
+        return inst
 
     def raw(self, name: str) -> DataFrame:
-        return D.table(self.spark, self.sf_dir, name)
+        if name not in self._raw:
+            self._raw[name] = D.table(self.spark, self.sf_dir, name)
+        return self._raw[name]
 
     def spread(self, name: str) -> DataFrame:
         """A table feeding CPU-heavy per-row text work, spread over all cores
