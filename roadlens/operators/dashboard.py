@@ -49,19 +49,14 @@ def road_condition(routes: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def metric_rows(counters: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One (name, value) row per requested counter, as a bag union.
+    """One (name, value) row per requested counter and counters row
+    (the bag union of the metric kinds, built in one pass with an explode).
 
     A name that is not a column of ``counters`` yields no row (key-exists read).
     """
-    parts = [
-        counters.select(F.lit(n).alias("name"), F.col(n).cast("long").alias("value"))
-        for n in names
-        if n in counters.columns
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    present = [n for n in names if n in counters.columns]
+    rows = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("long").alias("value")) for n in present])
+    return counters.select(F.inline(rows))
 
 
 def chart_series(df: DataFrame, category: str, metrics: Sequence[str]) -> DataFrame:
