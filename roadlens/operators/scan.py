@@ -204,13 +204,13 @@ def keyed_lag(
     ckeys = keys + [chunk_col]
     ordcols = [F.col(o) if isinstance(o, str) else o for o in order]
     w = Window.partitionBy(*ckeys).orderBy(*ordcols)
-    local = df.withColumn("_lag", F.lag(value).over(w)).withColumn("_rn", F.row_number().over(w))
-    last_in_chunk = df.groupBy(*ckeys).agg(F.max_by(F.col(value), F.struct(*ordcols)).alias("_cl"))
+    local = df.withColumn("_kl_lag", F.lag(value).over(w)).withColumn("_kl_rn", F.row_number().over(w))
+    last_in_chunk = df.groupBy(*ckeys).agg(F.max_by(F.col(value), F.struct(*ordcols)).alias("_kl_cl"))
     prev = last_in_chunk.withColumn(
-        "_prev", F.lag("_cl").over(Window.partitionBy(*keys).orderBy(chunk_col))
-    ).select(*ckeys, "_prev")
+        "_kl_prev", F.lag("_kl_cl").over(Window.partitionBy(*keys).orderBy(chunk_col))
+    ).select(*ckeys, "_kl_prev")
     return (
         local.join(prev, on=ckeys, how="left")
-        .withColumn(out_col, F.when(F.col("_rn") == 1, F.col("_prev")).otherwise(F.col("_lag")))
-        .drop("_lag", "_rn", "_prev")
+        .withColumn(out_col, F.when(F.col("_kl_rn") == 1, F.col("_kl_prev")).otherwise(F.col("_kl_lag")))
+        .drop("_kl_lag", "_kl_rn", "_kl_prev")
     )
