@@ -44,9 +44,12 @@ def bundles(positions: DataFrame) -> DataFrame:
     )
 
 
-def chunk_summaries(incidents: DataFrame, positions: DataFrame) -> DataFrame:
+def chunk_summaries(incidents: DataFrame, positions: DataFrame, bundle_rows: DataFrame | None = None) -> DataFrame:
     """One row per (route_num, batch) with what the automaton can accept there.
 
+    Bundles come from ``positions`` or, when given, from ready ``bundle_rows``
+    (route_num, batch, n_pos, hist) such as a message log's USERS rows.
+
     Only aggregates and a many-to-one join: a hot (route, batch) is reduced
     map-side and split by AQE's skew handling, never processed as one group.
     """
@@ -67,7 +70,8 @@ def chunk_summaries(incidents: DataFrame, positions: DataFrame) -> DataFrame:
         .agg(F.min(F.struct("ts", "seq", "loc")).alias("fic"))
     )
     summ = firsts.join(fic, ["route_num", "batch"], "left")
-    return summ.join(bundles(positions), ["route_num", "batch"], "full").select(
+    b = bundle_rows if bundle_rows is not None else bundles(positions)
+    return summ.join(b, ["route_num", "batch"], "full").select(
         "route_num", "batch", "fi", "fc", "fic", F.coalesce("n_pos", F.lit(0)).cast("long").alias("n_pos"), "hist"
     )
 
@@ -81,9 +85,10 @@ def _transition(has_i, has_c, has_ic, has_b):
     )
 
 
-def lifecycle_chunks(incidents: DataFrame, positions: DataFrame, levels=DEFAULT_LEVELS) -> DataFrame:
+def lifecycle_chunks(incidents: DataFrame, positions: DataFrame | None, levels=DEFAULT_LEVELS,
+                     bundle_rows: DataFrame | None = None) -> DataFrame:
     """Resolved chunks: start state, accepted messages and carried route values."""
-    ch = chunk_summaries(incidents, positions)
+    ch = chunk_summaries(incidents, positions, bundle_rows)
     has_i, has_c, has_ic = F.col("fi").isNotNull(), F.col("fc").isNotNull(), F.col("fic").isNotNull()
     has_b = F.col("n_pos") > 0
     ch = ch.select("*", _transition(has_i, has_c, has_ic, has_b).alias("fn"))
@@ -133,7 +138,10 @@ def incident_lifecycle(incidents: DataFrame, positions: DataFrame, levels=DEFAUL
     with the surveyed system); ``incident_users``/``incident_affected`` are this
     incident's own bundle values; ``occur_ts`` is the accepted incident's time.
     """
-    ch = lifecycle_chunks(incidents, positions, levels)
+    return _history_rows(lifecycle_chunks(incidents, positions, levels))
+
+
+def _history_rows(ch: DataFrame) -> DataFrame:
     return ch.where("acc_c").select(
         F.col("fc.ts").alias("tod"),
         "route_num",
@@ -147,6 +155,16 @@ def incident_lifecycle(incidents: DataFrame, positions: DataFrame, levels=DEFAUL
     )
 
 
+def lifecycle_from_messages(messages: DataFrame, levels=DEFAULT_LEVELS) -> DataFrame:
+    """K1 over a typed message log (B4 layout, as drained by A7): the same
+    history rows as ``incident_lifecycle`` on the tables the log came from."""
+    inc = messages.where(F.col("rnk") == 0).select(
+        "route_num", "batch", "ts", "seq", F.col("msg_type").alias("occur_clear"), "loc", "duration")
+    bun = messages.where(F.col("rnk") == 1).select(
+        "route_num", "batch", F.col("n_positions").alias("n_pos"), F.col("loc_hist").alias("hist"))
+    return _history_rows(lifecycle_chunks(inc, None, levels, bun))
+
+
 def hist_traffic(incidents: DataFrame, positions: DataFrame, levels=DEFAULT_LEVELS) -> DataFrame:
     """The warehouse fact table: tod, route_num, location, users_total, users_affected, duration."""
     return incident_lifecycle(incidents, positions, levels).select(*S.HIST_TRAFFIC_SCHEMA.fieldNames())

@@ -266,3 +266,13 @@ def test_publish_keyed_files(spark, scratch):
     assert back.count() == t.positions.count()
     keys = {r.key for r in back.select("key").distinct().collect()}
     assert keys <= set(range(S.PUBLISH_KEY_SPACE))
+
+
+def test_lifecycle_from_message_log_equals_tables(spark):
+    from roadlens.operators import lifecycle as L
+
+    t = Tables(spark, SF_SMALL)
+    cols = ["tod", "route_num", "location", "users_total", "users_affected", "duration", "incident_users",
+            "incident_affected", "occur_ts"]
+    log = P.message_rows(t.incidents, t.positions)
+    assert _rows(L.lifecycle_from_messages(log), cols) == _rows(t.hist_full, cols)
