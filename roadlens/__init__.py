@@ -2,7 +2,7 @@
 
 Batch operators live in ``roadlens.operators``, scalar Column helpers in
 ``roadlens.functions``, readers in ``roadlens.sources``, writers in
-``roadlens.sinks``, Structured Streaming pipelines in ``roadlens.streaming``
+``roadlens.sinks``, Structured Streaming queries in ``roadlens.streaming``
 and the registered checks (Spark query + SQL oracle) in ``roadlens.plans``.
 """
 

@@ -17,7 +17,7 @@ from roadlens.plans.tables import Tables
 from roadlens.sinks import writers as W
 from roadlens.sources import driver as D
 from roadlens.sources import streams as SRC
-from roadlens.streaming import pipelines as P
+from roadlens.streaming import queries as P
 
 MSG_ARROW = pa.schema([
     ("batch", pa.timestamp("us")), ("rnk", pa.int32()), ("route_num", pa.int32()), ("msg_type", pa.int32()),
