@@ -51,9 +51,13 @@ violations AS (
 
 
 def _violations(spark, sf):
-    # lines generated from orders have no header row, so no header filter
+    # The generated lines stand in for a text file: an exchange ends the
+    # generating stage the way a file scan would start the parsing one (and
+    # keeps each stage's generated code small).  They have no header row.
     t = Tables(spark, sf)
-    return I.normalise_violations(D.violation_lines(t.spread("orders"), t.raw("customer")), skip_header=False)
+    lines = D.violation_lines(t.spread("orders"), t.raw("customer"))
+    lines = lines.repartition(spark.sparkContext.defaultParallelism)
+    return I.normalise_violations(lines, skip_header=False)
 
 
 @check("violations_ingest", _VIOL + "SELECT * FROM violations")
