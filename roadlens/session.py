@@ -22,13 +22,22 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.shuffle.partitions": "8",
-    "spark.driver.memory": "16g",
 }
 
 
+def _driver_memory() -> str:
+    """60% of the machine's memory, at most 16g (local mode: driver = executor)."""
+    try:
+        with open("/proc/meminfo") as fh:
+            kb = next(int(line.split()[1]) for line in fh if line.startswith("MemTotal:"))
+        return f"{max(1, min(16, int(kb * 0.6 / 1024 / 1024)))}g"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def local_session(cores: int | str = "*", app: str = "roadlens", **extra: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for k, v in {**LOCAL_DEFAULTS, **extra}.items():
+    for k, v in {**LOCAL_DEFAULTS, "spark.driver.memory": _driver_memory(), **extra}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
