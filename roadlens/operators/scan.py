@@ -1,7 +1,8 @@
 """Ordered per-key scans that never pull one key into one task.
 
 The surveyed system folds each route's messages in a single process.  Here a
-key's history is cut into *chunks* (one micro-batch of one key).  Everything
+key's history is cut into *chunks* (a micro-batch, minute or second of one
+key).  Everything
 inside a chunk is computed with ordinary aggregates or chunk-local windows, so
 a hot key is spread over as many tasks as it has batches.  What has to cross
 chunk boundaries is carried by tiny per-chunk summaries:
@@ -143,17 +144,14 @@ def carry_last(
     frame_end = Window.currentRow if inclusive else -1
     w_in = Window.partitionBy(*ckeys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, frame_end)
     local = df.withColumn("_loc_last", F.last(value, ignorenulls=True).over(w_in))
-    # last value of each chunk, then the latest one strictly before each chunk
+    # last value of each chunk (null when it has none), then the latest one
+    # strictly before each chunk; one aggregate covers every chunk of the key
     pick = F.min_by if descending else F.max_by
-    chunk_last = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*ckeys)
-        .agg(pick(F.col(value), F.struct(*ordcols)).alias("_cl"))
-    )
+    has = F.col(value).isNotNull()
     wc = Window.partitionBy(*keys).orderBy(F.col(chunk_col).desc() if descending else F.col(chunk_col))
     allc = (
-        df.select(*ckeys).distinct()
-        .join(chunk_last, on=ckeys, how="left")
+        df.groupBy(*ckeys)
+        .agg(pick(F.col(value), F.when(has, F.struct(*ordcols))).alias("_cl"))
         .withColumn("_carry", F.last("_cl", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)))
         .select(*ckeys, "_carry")
     )

@@ -37,7 +37,7 @@ def _rows(df, cols):
     return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
 
 
-def test_lifecycle_stream_equals_batch(spark, scratch):
+def test_src_message_log_lifecycle_stream_equals_batch(spark, scratch):
     t = Tables(spark, SF_SMALL)
     msgs = P.message_rows(t.incidents, t.positions)
     pdf = msgs.toPandas()  # tiny test fixture (sf0.001)
@@ -118,7 +118,7 @@ def test_incident_join_stream_equals_batch(spark, scratch):
     assert len(want) > 0 and got == want
 
 
-def test_line_stream_distinct_words(spark, scratch):
+def test_src_line_stream_distinct_words(spark, scratch):
     d = os.path.join(scratch, "lines")
     os.makedirs(d)
     with open(os.path.join(d, "a.txt"), "w") as fh:
@@ -131,7 +131,7 @@ def test_line_stream_distinct_words(spark, scratch):
     assert got == ["Word:", "Word:closed", "Word:is", "Word:open", "Word:road", "Word:the"]
 
 
-def test_event_stream_source_and_snapshot_sink(spark, scratch):
+def test_src_event_stream_and_sink_foreach_batch(spark, scratch):
     src = os.path.join(scratch, "topics", "user_pos")
     os.makedirs(src)
     with open(os.path.join(src, "m.json"), "w") as fh:
@@ -150,7 +150,7 @@ def test_event_stream_source_and_snapshot_sink(spark, scratch):
     assert spark.read.parquet(out + "2").count() == 2
 
 
-def test_upsert_stream_and_reset(spark, scratch):
+def test_upsert_stream_and_state_reset(spark, scratch):
     src = os.path.join(scratch, "ql")
     os.makedirs(src)
     for i, rows in enumerate([[(0, "t1", "a", 1), (0, "t1", "b", 2)], [(0, "t1", "c", 3), (1, "t1", "d", 4)]]):
@@ -173,7 +173,7 @@ def test_upsert_stream_and_reset(spark, scratch):
     assert spark.read.parquet(v2 + "/data").count() == 0
 
 
-def test_peek_console(spark, scratch):
+def test_sink_peek(spark, scratch):
     d = os.path.join(scratch, "peek")
     os.makedirs(d)
     with open(os.path.join(d, "x.txt"), "w") as fh:
@@ -183,7 +183,7 @@ def test_peek_console(spark, scratch):
     assert q.exception() is None
 
 
-def test_history_append_partitioned(spark, scratch):
+def test_sink_history_append(spark, scratch):
     t = Tables(spark, SF_SMALL)
     out = os.path.join(scratch, "hist")
     W.append_history(t.hist_traffic, out)
