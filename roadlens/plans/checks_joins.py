@@ -56,3 +56,32 @@ def incidents_on_span(spark, sf):
     routes = DB.layout_routes(D.route_lengths(t.events))
     queries = t.requests.where("req_type = 2")
     return J.incidents_on_span(queries, t.incidents, routes)
+
+
+@check("incidents_on_span_at_query_time", """
+, ch AS (
+  SELECT route_num, loc, ts, seq, CASE WHEN sub_req_type = 2 THEN -1 ELSE 1 END AS delta
+  FROM req WHERE req_type = 4),
+qs AS (
+  SELECT q.seq, q.route_num, q.ts, r.length, q.loc % r.length AS qoff,
+         r."start" + q.loc % r.length AS span_start, r."end" AS span_end
+  FROM req q JOIN routes r ON r.route_id = q.route_num WHERE q.req_type = 2),
+probe AS (
+  SELECT qs.seq, qs.route_num, qs.ts, k.loc
+  FROM qs JOIN (SELECT DISTINCT route_num, loc FROM ch) k ON k.route_num = qs.route_num
+  WHERE k.loc % qs.length >= qs.qoff),
+asof_state AS (
+  SELECT p.seq, c.delta FROM probe p
+  ASOF LEFT JOIN ch c ON c.route_num = p.route_num AND c.loc = p.loc AND p.ts >= c.ts)
+SELECT qs.seq, qs.route_num, qs.span_start, qs.span_end,
+       CAST(COUNT(a.seq) FILTER (WHERE a.delta = 1) AS BIGINT) AS hits,
+       COUNT(a.seq) FILTER (WHERE a.delta = 1) > 0 AS notify
+FROM qs LEFT JOIN asof_state a ON a.seq = qs.seq
+GROUP BY qs.seq, qs.route_num, qs.span_start, qs.span_end""")
+def incidents_on_span_at_query_time(spark, sf):
+    from ..operators.requests import report_events
+
+    t = Tables(spark, sf)
+    routes = DB.layout_routes(D.route_lengths(t.events))
+    queries = t.requests.where("req_type = 2")
+    return J.incidents_on_span_at(queries, report_events(t.requests), routes)
