@@ -233,8 +233,8 @@ def incident_history_pairs(incidents: DataFrame, positions: DataFrame, levels=DE
 # K3: capped active incidents per route.
 # ---------------------------------------------------------------------------
 
-def capped_incidents(incidents: DataFrame, cap: int = S.INCIDENT_CAP, chunk: str = "1 second",
-                     levels=("minute", "hour", "day", "month")) -> DataFrame:
+def capped_incidents(incidents: DataFrame, cap: int = S.INCIDENT_CAP, chunk: str = "10 seconds",
+                     levels=("hour", "day", "month")) -> DataFrame:
     """Active incidents per route with a cap: an occur is dropped while ``cap``
     are active, a clear removes one (oldest first), a clear on none is ignored.
 
