@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from .scan import DEFAULT_LEVELS, apply_fn, key_window, prefix_states
+from .scan import apply_fn, key_window, levels_for, prefix_states
+
+DEFAULT_LEVELS = levels_for("1 hour")  # the checks' hourly batches
 
 EXPECT_INCIDENT, EXPECT_USERS, EXPECT_CLEAR = 0, 1, 2
 KEYS = ["route_num"]

@@ -23,6 +23,25 @@ from pyspark.sql import functions as F
 
 DEFAULT_LEVELS = ("month",)
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def levels_for(interval: str) -> tuple[str, ...]:
+    """Scan levels for chunks of ``interval`` (e.g. "4 seconds", "1 hour") so
+    that no period holds more than a few thousand chunks: at most 3600 chunks
+    per hour, 1440 per day, 744 per month, 366 per year."""
+    n, unit = interval.strip().split()
+    secs = float(n) * _UNIT_SECONDS[unit.lower().rstrip("s")]
+    if secs >= 86400:
+        return ("year",)
+    if secs >= 3600:
+        return ("month",)
+    if secs >= 60:
+        return ("day", "month")
+    if secs >= 1:
+        return ("hour", "day", "month")
+    return ("minute", "hour", "day", "month")
+
 
 _SCAN = (
     "aggregate({arr}, named_struct('acc', sequence(0, {m}), 'pre', cast(array() as array<array<int>>)),"

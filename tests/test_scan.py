@@ -86,3 +86,10 @@ def test_prefix_states_all_levels(spark):
             st = state.get(k, 1)
             assert got[(k, b)] == st, (levels, k, b)
             state[k] = fn[st]
+
+
+def test_levels_for_intervals():
+    assert SC.levels_for("1 hour") == ("month",)
+    assert SC.levels_for("4 seconds") == ("hour", "day", "month")
+    assert SC.levels_for("10 minutes") == ("day", "month")
+    assert SC.levels_for("1 day") == ("year",)
