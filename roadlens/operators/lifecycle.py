@@ -46,32 +46,59 @@ def bundles(positions: DataFrame) -> DataFrame:
     )
 
 
+# Exact (ts, seq) order as one DECIMAL(38,0): micros since the epoch * 2^63 + seq.
+# Decimal buffers are mutable in hash aggregation, so min/min_by over this key
+# aggregate with a hash map; a struct key would fall back to sort aggregation.
+ORDER_KEY = (
+    "CAST(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS DECIMAL(38,0))"
+    " * 9223372036854775808BD + CAST(seq AS DECIMAL(38,0))"
+)
+
+
+def _first(cond, key: str, fields: dict[str, str], prefix: str) -> list:
+    """min_by of each field by ``key`` over rows where ``cond`` holds."""
+    k = F.when(cond, F.col(key))
+    return [F.min(k).alias(f"{prefix}_ord")] + [
+        F.min_by(F.col(src), k).alias(f"{prefix}_{name}") for name, src in fields.items()
+    ]
+
+
+def _struct_of(prefix: str, names: list[str]):
+    return F.when(F.col(f"{prefix}_ord").isNotNull(), F.struct(*[F.col(f"{prefix}_{n}").alias(n) for n in names]))
+
+
 def chunk_summaries(incidents: DataFrame, positions: DataFrame, bundle_rows: DataFrame | None = None) -> DataFrame:
     """One row per (route_num, batch) with what the automaton can accept there.
 
     Bundles come from ``positions`` or, when given, from ready ``bundle_rows``
     (route_num, batch, n_pos, hist) such as a message log's USERS rows.
 
-    Only aggregates and a many-to-one join: a hot (route, batch) is reduced
-    map-side and split by AQE's skew handling, never processed as one group.
+    Only hash aggregates and a many-to-one join: a hot (route, batch) is
+    reduced map-side and split by AQE's skew handling, never processed as one
+    group.
     """
-    inc = incidents.select("route_num", "batch", "ts", "seq", "occur_clear", "loc", "duration")
+    inc = incidents.select("route_num", "batch", "ts", "seq", "occur_clear", "loc", "duration",
+                           F.expr(ORDER_KEY).alias("_o"))
     occur = F.col("occur_clear") == 1
     firsts = inc.groupBy("route_num", "batch").agg(
-        F.min(F.when(occur, F.struct("ts", "seq", "loc"))).alias("fi"),
-        F.min(F.when(~occur, F.struct("ts", "seq", "duration"))).alias("fc"),
+        *_first(occur, "_o", {"ts": "ts", "seq": "seq", "loc": "loc"}, "fi"),
+        *_first(~occur, "_o", {"ts": "ts", "seq": "seq", "duration": "duration"}, "fc"),
     )
     # first incident after the chunk's first clear
     fic = (
         inc.where(occur)
-        .join(firsts.where(F.col("fc").isNotNull()).select("route_num", "batch", F.col("fc.ts").alias("_cts"),
-                                                             F.col("fc.seq").alias("_cseq")),
+        .join(firsts.where(F.col("fc_ord").isNotNull()).select("route_num", "batch", "fc_ord"),
               ["route_num", "batch"])
-        .where(F.struct("ts", "seq") > F.struct("_cts", "_cseq"))
+        .where(F.col("_o") > F.col("fc_ord"))
         .groupBy("route_num", "batch")
-        .agg(F.min(F.struct("ts", "seq", "loc")).alias("fic"))
+        .agg(*_first(F.lit(True), "_o", {"ts": "ts", "seq": "seq", "loc": "loc"}, "fic"))
+    )
+    summ = firsts.join(fic, ["route_num", "batch"], "left").select(
+        "route_num", "batch",
+        _struct_of("fi", ["ts", "seq", "loc"]).alias("fi"),
+        _struct_of("fc", ["ts", "seq", "duration"]).alias("fc"),
+        _struct_of("fic", ["ts", "seq", "loc"]).alias("fic"),
     )
-    summ = firsts.join(fic, ["route_num", "batch"], "left")
     b = bundle_rows if bundle_rows is not None else bundles(positions)
     return summ.join(b, ["route_num", "batch"], "full").select(
         "route_num", "batch", "fi", "fc", "fic", F.coalesce("n_pos", F.lit(0)).cast("long").alias("n_pos"), "hist"

@@ -207,10 +207,13 @@ def incident_counters(incidents: DataFrame) -> DataFrame:
 def last_incident(incidents: DataFrame) -> DataFrame:
     """K2: last incident location per route, occur and clear alike.
 
-    ``max_by`` is a partial aggregate, so a hot route is reduced map-side.
+    ``max_by`` over the exact (ts, seq) decimal key is a hash partial
+    aggregate, so a hot route is reduced map-side without sorting.
     """
+    from .lifecycle import ORDER_KEY
+
     return incidents.groupBy("route_num").agg(
-        F.max_by("loc", F.struct("ts", "seq")).alias("location")
+        F.max_by("loc", F.expr(ORDER_KEY)).alias("location")
     )
 
 
