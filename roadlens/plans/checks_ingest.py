@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import ingest as I
 from ..operators import messages as M
+from ..session import parallelism
 from ..sources import driver as D
 from .registry import check
 from .tables import Tables
@@ -56,7 +57,7 @@ def _violations(spark, sf):
     # keeps each stage's generated code small).  They have no header row.
     t = Tables(spark, sf)
     lines = D.violation_lines(t.spread("orders"), t.raw("customer"))
-    lines = lines.repartition(spark.sparkContext.defaultParallelism)
+    lines = lines.repartition(parallelism(spark))
     return I.normalise_violations(lines, skip_header=False)
 
 

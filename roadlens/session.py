@@ -78,7 +78,18 @@ def spread(df: DataFrame, factor: int = 1) -> DataFrame:
     unchanged, so no shuffle is added at scale.  Filters and column pruning
     still reach the scan below the repartition.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df._jdf.rdd().getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    target = parallelism(df.sparkSession) * factor
+    try:
+        n = df._jdf.rdd().getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as is
+        return df
+    return df.repartition(target) if n < target else df
+
+
+def parallelism(spark: SparkSession) -> int:
+    """The session's default parallelism (classic sessions), else the
+    configured shuffle partition count."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
