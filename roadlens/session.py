@@ -7,8 +7,9 @@ shared checkpoint folder from ``spark.checkpoint.dir`` when a cluster names one.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,11 +47,11 @@ def local_session(cores: int | str = "*", app: str = "roadlens", **extra: str) -
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only when unset.
+    """Return the shared checkpoint folder, setting a scratch one only for local masters.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/...) folder and
-    is used as is.  Only when nothing is configured (local tests) do we create a
-    fresh scratch folder.
+    is used as is; a cluster session without one is an error, since a folder of
+    one machine cannot be read by the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -58,15 +59,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="roadlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return path
+    if not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="roadlens-ckpt-"))
+    return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    Cuts the lineage like a reliable checkpoint (the copy survives lost
+    executors), and gives later joins the measured size and column pruning.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, factor: int = 1) -> DataFrame:
