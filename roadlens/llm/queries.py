@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, simhash
+from . import bpe, exact_dedup, mixing, ranker, simhash
 from .common import table
 
 QUERIES = {}
@@ -39,3 +40,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query()
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op8_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return ranker.scored(documents, ranker.fit(documents, labels))
