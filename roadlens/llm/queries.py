@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, mixing, ranker, simhash
+from . import bpe, exact_dedup, html_text, mixing, quality_rules, ranker, simhash
 from .common import table
 
 QUERIES = {}
@@ -51,3 +51,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return ranker.scored(documents, ranker.fit(documents, labels))
+
+
+@query()
+def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
