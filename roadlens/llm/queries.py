@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, html_text, mixing, quality_rules, ranker, simhash
+from . import bpe, exact_dedup, html_text, mixing, pii, quality_rules, ranker, simhash
 from .common import table
 
 QUERIES = {}
@@ -61,3 +61,9 @@ def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return pii.detected(documents, pii.fit(documents))
