@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, mixing, pii, quality_rules, ranker, simhash
+from . import bpe, exact_dedup, html_text, mixing, pii, quality_rules, ranker, simhash, training_order
+from ..session import ensure_checkpoint_dir
 from .common import table
 
 QUERIES = {}
@@ -67,3 +71,12 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return pii.detected(documents, pii.fit(documents))
+
+
+@query()
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the shards beside the shared tables; one row per sequence, read from them."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shards-{uuid.uuid4().hex}"
+    layout = training_order.write_shards(training_order.byte_tokens(table(spark, sf_dir, "documents")), path)
+    return training_order.read_shards(spark, path, layout).select(
+        "slot", "shard", "byte_offset", "sequence", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
