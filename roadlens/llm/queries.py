@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, mixing, pii, quality_rules, ranker, simhash, training_order
+from . import bpe, exact_dedup, html_text, line_dedup, mixing, pii, quality_rules, ranker, simhash, training_order
 from ..session import ensure_checkpoint_dir
 from .common import table
 
@@ -80,3 +80,9 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = training_order.write_shards(training_order.byte_tokens(table(spark, sf_dir, "documents")), path)
     return training_order.read_shards(spark, path, layout).select(
         "slot", "shard", "byte_offset", "sequence", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
+
+
+@query()
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
