@@ -9,11 +9,12 @@ come from distributed contraction (``common.components``), and each component
 keeps its first line: smallest doc_id, then smallest line number.
 
 No group is expanded into all pairs.  Up to SMALL lines of a band are compared
-inside one row; in a larger band every line is verified against one pivot, and
-those it does not link go on with BANDS bands of ROWS independent minimum
-hashes, again in small groups or against pivots, until none is left.  (A link
-between a line that has a pivot and one that has not is left to the other
-bands of the two.)  At similarity 0.8 a pair shares a first band with
+inside one row, of which only (line, component) rows come; in a larger band
+every line is verified against one pivot, and those it does not link go on
+with BANDS bands of ROWS independent minimum hashes, again in small groups or
+against pivots, until none is left.  (In such a large band a link between a
+line that has a pivot and one that has not is left to the other bands of the
+two.)  At similarity 0.8 a pair shares a first band with
 probability 0.97, at 0.9 with 0.996.
 
 Lines under MIN_WORDS words are kept as they are.  Defined results: null text
@@ -36,7 +37,7 @@ from .common import BLANKS, components, join_counted
 SHINGLE = 9
 MIN_WORDS = 5
 SKETCH = 4
-SMALL = 16
+SMALL = 256
 ROWS, BANDS = 8, 24
 #: Rows of two longs up to which a measured table is broadcast (16 MB); above, the join shuffles.
 BROADCAST_ROWS = 500_000
@@ -81,12 +82,21 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
 
 
 def _within(members: DataFrame) -> DataFrame:
-    """Verified links (a, b) in groups (key; lid, set) of at most SMALL lines, compared inside one row."""
-    grouped = members.groupBy("key").agg(F.collect_list(F.struct("lid", "set")).alias("m"))
-    found = F.flatten(F.transform("m", lambda x, i: F.transform(
-        F.filter(F.slice("m", i + 2, F.size("m")), lambda y: similar(x["set"], y["set"])),
-        lambda y: F.struct(x["lid"].alias("a"), y["lid"].alias("b")))))
-    return grouped.select(F.inline(found))
+    """(member, smallest line of its component) in groups (key; lid, set) of at most
+    SMALL lines: all lines of a group are compared inside one row, and a fold over
+    them merges the labels of the lines that each next line is similar to."""
+    grouped = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("lid", "set"))).alias("m"))
+
+    def step(done: Column, x: Column) -> Column:
+        hit = F.transform(F.filter(done, lambda y: similar(x["set"], y["set"])), lambda y: y["label"])
+        # a one-element array binds `hit`, so it is computed once per step
+        return F.transform(F.array(hit), lambda h: F.concat(
+            F.transform(done, lambda y: F.struct(F.when(F.array_contains(h, y["label"]), F.array_min(h)).otherwise(y["label"]).alias("label"), y["set"].alias("set"), y["lid"].alias("lid"))),
+            F.array(F.struct(F.coalesce(F.array_min(h), x["lid"]).alias("label"), x["set"].alias("set"), x["lid"].alias("lid"))),
+        ))[0]
+
+    start = F.array().cast("array<struct<label:bigint,set:array<bigint>,lid:bigint>>")
+    return grouped.select(F.inline(F.aggregate("m", start, step))).where("lid <> label").select(F.col("lid").alias("a"), F.col("label").alias("b"))
 
 
 def _round(members: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:

@@ -1,0 +1,160 @@
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import xxhash
+
+from roadlens.llm import exact_dedup as X
+from roadlens.llm import simhash as S
+from roadlens.llm.common import components
+
+
+class Sets:
+    def __init__(self):
+        self.up = {}
+
+    def find(self, a):
+        self.up.setdefault(a, a)
+        while self.up[a] != a:
+            a = self.up[a]
+        return a
+
+    def join(self, a, b):
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)
+
+
+def normal(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def test_components_match_union_find(spark):
+    r = random.Random(4)
+    edges = [(r.randrange(400), r.randrange(400)) for _ in range(260)]
+    edges += [(1000 + i, 1001 + i) for i in range(200)] + [(5000, 6000 + i) for i in range(300)] + [(7, 7)]
+    sets = Sets()
+    for a, b in edges:
+        if a != b:
+            sets.join(a, b)
+    got = {x.node: x.root for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {v: sets.find(v) for v in sets.up}
+
+
+def test_components_of_nothing(spark):
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_fingerprints_compose():
+    fp = X.Fingerprint(chunk=64)
+    data = bytes(random.Random(1).randrange(256) for _ in range(1000))
+    for cut in (0, 1, 63, 64, 65, 500, 1000):
+        assert fp.join(fp.of(data[:cut]), fp.of(data[cut:]), len(data) - cut) == fp.of(data)
+    assert X.Fingerprint(chunk=1 << 16).of(data) == fp.of(data)
+
+
+def test_normalise():
+    for t in ("", " ", "\t\n", "a", " a", "a\x0b\x0c b ", "a\xa0b", "a\x1cb"):
+        assert X.normalise(t.encode()).decode() == normal(t)
+
+
+def expected_groups(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[normal(t)].append(i)
+    return sorted(
+        ((i, min((x for x in groups[normal(t)] if x is not None), default=None), len(groups[normal(t)]), hashlib.sha256(normal(t).encode()).hexdigest()) for i, t in rows),
+        key=str)
+
+
+def test_exact_groups(odd, odd_rows, empty, small):
+    for df, rows in ((odd, odd_rows), (small, [(r.doc_id, r.text) for r in small.collect()]), (empty, [])):
+        for primes in (X.PRIMES, (11, 13)):  # tiny primes collide: the chunks part the texts
+            got = X.exact_groups(df, primes=primes).collect()
+            assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=str) == expected_groups(rows)
+            kept = Counter(r.text_sha256 for r in got if r.kept)
+            assert set(kept.values()) <= {1} and len(kept) == len({normal(t) for _, t in rows})
+            assert all(r.doc_id == r.keep_id for r in got if r.kept)
+
+
+def test_drop_exact_copies_keeps_columns_and_one_row(odd, odd_rows, empty):
+    out = X.drop_exact_copies(odd)
+    assert out.columns == odd.columns
+    assert sorted(normal(r.text) for r in out.collect()) == sorted({normal(t) for _, t in odd_rows})
+    assert X.drop_exact_copies(empty).count() == 0
+
+
+def plain_fingerprint(text):
+    w = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+    if not w:
+        return 0
+    grams = [b" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))]
+    counts = Counter()
+    for g, k in Counter(grams).items():
+        h = xxhash.xxh64_intdigest(g, 42)
+        for b in range(64):
+            counts[b] += k * (h >> b & 1)
+    return sum(1 << b for b in range(64) if 2 * counts[b] > len(grams))
+
+
+def expected_components(rows):
+    fps = sorted({plain_fingerprint(t) for _, t in rows})
+    sets = Sets()
+    for k, a in enumerate(fps):
+        sets.find(a)
+        for b in fps[:k]:
+            if (a ^ b).bit_count() <= 2:
+                sets.join(a, b)
+    ids = defaultdict(list)
+    for i, t in rows:
+        if i is not None:
+            ids[sets.find(plain_fingerprint(t))].append(i)
+    return sorted(((i, f"{plain_fingerprint(t):016x}", min(ids[sets.find(plain_fingerprint(t))], default=None)) for i, t in rows), key=str)
+
+
+def test_simhash_components(odd, odd_rows, empty, small):
+    for df, rows in ((odd, odd_rows), (small, [(r.doc_id, r.text) for r in small.collect()]), (empty, [])):
+        got = S.simhash_components(df).collect()
+        assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got), key=str) == expected_components(rows)
+
+
+def test_near_matches_brute_force():
+    draw = np.random.default_rng(3)
+    for m in (1, 2, 63, 64, 65, 300):
+        fps = draw.integers(0, 1 << 63, 1, dtype=np.uint64) ^ (np.uint64(1) << draw.integers(0, 64, m, dtype=np.uint64)) ^ (np.uint64(1) << draw.integers(0, 64, m, dtype=np.uint64))
+        brute = [[(int(a) ^ int(b)).bit_count() <= 2 for b in fps] for a in fps]
+        assert (S.near(fps) == np.array(brute)).all()
+
+
+def test_links_survive_large_buckets(spark):
+    draw = np.random.default_rng(5)
+    fps = set()
+    for center in draw.integers(0, 1 << 63, 3).tolist():  # clusters that share their upper half
+        for _ in range(700):
+            x = center
+            for b in draw.integers(0, 24, draw.integers(0, 8)).tolist():
+                x ^= 1 << b
+            fps.add(x)
+    fps |= set(draw.integers(0, 1 << 63, 500).tolist())
+    fps = sorted(fps)
+    linked = S.near(np.array(fps, dtype=np.uint64))
+    sets = Sets()
+    for i, j in zip(*np.nonzero(linked)):
+        sets.join(fps[i], fps[j])
+    got = Sets()
+    for f in fps:
+        got.find(f)
+    for r in S.links(spark.createDataFrame([(f,) for f in fps], "fp long"), bucket=256).collect():
+        assert (r.a ^ r.b).bit_count() <= 64
+        got.join(r.a, r.b)
+    assert {f: got.find(f) for f in fps} == {f: sets.find(f) for f in fps}
+
+
+def test_drop_near_copies(odd, odd_rows, empty):
+    out = S.drop_near_copies(odd)
+    assert out.columns == odd.columns
+    got = Counter(r.text and plain_fingerprint(r.text) or 0 for r in out.collect())
+    assert len(got) == sum(got.values())
+    assert sum(got.values()) == len({c for _, _, c in expected_components([(k, t) for k, (_, t) in enumerate(odd_rows)])})
+    assert S.drop_near_copies(empty).count() == 0
