@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -27,12 +27,13 @@ def layout_routes(lengths: DataFrame) -> DataFrame:
 
 
 def with_route(df: DataFrame, routes: DataFrame, route_col: str = "route_num") -> DataFrame:
-    """E5: attach route endpoints.  ``routes`` is bounded by the route key space,
-    so it is broadcast; the event side is never shuffled for this join."""
+    """E5: attach route endpoints.  No broadcast is forced: Spark broadcasts
+    ``routes`` when its measured size is under the session's threshold and
+    shuffles both sides (with skew splitting) when it is not."""
     r = routes.select(
         F.col("route_id").alias(route_col), F.col("start").alias("route_start"), F.col("end").alias("route_end")
     )
-    return df.join(F.broadcast(r), route_col, "left")
+    return df.join(r, route_col, "left")
 
 
 def road_condition(routes: DataFrame, current: DataFrame) -> DataFrame:
@@ -48,15 +49,24 @@ def road_condition(routes: DataFrame, current: DataFrame) -> DataFrame:
     )
 
 
-def metric_rows(counters: DataFrame, names: Sequence[str]) -> DataFrame:
+def metric_rows(counters: DataFrame, names: Sequence[str], suffix: Column | None = None) -> DataFrame:
     """One (name, value) row per requested counter and counters row
     (the bag union of the metric kinds, built in one pass with an explode).
 
-    A name that is not a column of ``counters`` yields no row (key-exists read).
+    A name that is not a column of ``counters``, or whose value is null, yields
+    no row (key-exists read).  ``suffix`` is appended to the names (J4).
     """
-    present = [n for n in names if n in counters.columns]
-    rows = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).cast("long").alias("value")) for n in present])
-    return counters.select(F.inline(rows))
+    def named(n: str) -> Column:
+        return F.lit(n) if suffix is None else F.concat(F.lit(n), suffix)
+
+    rows = [F.struct(named(n).alias("name"), F.col(n).cast("long").alias("value")) for n in names if n in counters.columns]
+    typed = F.array(*rows).cast("array<struct<name:string,value:bigint>>")
+    return counters.select(F.inline(F.filter(typed, lambda r: r["value"].isNotNull())))
+
+
+def route_metric_rows(counters: DataFrame, names: Sequence[str], route_col: str = "route_num") -> DataFrame:
+    """D9 / H1 per route: names carry the route, as in ``users_total_on_route_7``."""
+    return metric_rows(counters, names, F.concat(F.lit("_on_route_"), F.col(route_col).cast("string")))
 
 
 def chart_series(df: DataFrame, category: str, metrics: Sequence[str]) -> DataFrame:

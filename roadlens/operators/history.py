@@ -7,9 +7,13 @@ columns are returned as DOUBLE rounded to 6 places.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .messages import text_of_ntz
+
 AVG_SCALE = 6
 
 
@@ -25,6 +29,17 @@ def _avgs() -> list[Column]:
     ]
 
 
+def _text() -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of TIMESTAMP_NTZ, without the session zone."""
+    return text_of_ntz("tod")
+
+
+def _odd_time() -> Column:
+    """Twelve-hour clock, month and seconds, as the surveyed pattern writes them."""
+    hour = F.lpad(((F.hour("tod") + 11) % 12 + 1).cast("string"), 2, "0")
+    return F.concat_ws(":", hour, F.substring(_text(), 6, 2), F.substring(_text(), 18, 2))
+
+
 def day_time(h: DataFrame) -> DataFrame:
     """``idate`` and ``itime`` as text.
 
@@ -32,9 +47,9 @@ def day_time(h: DataFrame) -> DataFrame:
     HH the 12-hour clock (parity); ``itime24`` is the real time of day.
     """
     return h.select(
-        F.date_format("tod", "yyyy-MM-dd").alias("idate"),
-        F.date_format("tod", "hh:MM:ss").alias("itime"),
-        F.date_format("tod", "HH:mm:ss").alias("itime24"),
+        F.substring(_text(), 1, 10).alias("idate"),
+        _odd_time().alias("itime"),
+        F.substring(_text(), 12, 8).alias("itime24"),
         "route_num", "location", "users_total", "users_affected", "duration",
     )
 
@@ -42,7 +57,7 @@ def day_time(h: DataFrame) -> DataFrame:
 def hist_text(h: DataFrame) -> DataFrame:
     """The full timestamp as text with the same parity pattern."""
     return h.select(
-        F.date_format("tod", "yyyy-MM-dd hh:MM:ss").alias("tod_text"),
+        F.concat_ws(" ", F.substring(_text(), 1, 10), _odd_time()).alias("tod_text"),
         "route_num", "location", "users_total", "users_affected", "duration",
     )
 
@@ -73,9 +88,15 @@ def daily_avg(h: DataFrame) -> DataFrame:
     )
 
 
+def _when(h: DataFrame, cond: Callable[[Column], Column]) -> DataFrame:
+    """Rows whose day satisfies ``cond``; on stored history the ``day`` folders are pruned."""
+    day = F.to_date("tod")
+    return h.where(cond(day) & cond(F.col("day"))) if "day" in h.columns else h.where(cond(day))
+
+
 def day_total(h: DataFrame, day: str) -> DataFrame:
     """global sums for one calendar day (D7 filter)."""
-    return h.where(F.to_date("tod") == F.lit(day).cast("date")).agg(
+    return _when(h, lambda d: d == F.lit(day).cast("date")).agg(
         F.sum("users_total").cast("long").alias("sum_users_total"),
         F.sum("users_affected").cast("long").alias("sum_users_affected"),
     )
@@ -83,7 +104,7 @@ def day_total(h: DataFrame, day: str) -> DataFrame:
 
 def month_avg(h: DataFrame, month: int) -> DataFrame:
     """global averages for one month (D7 filter)."""
-    return h.where(F.month("tod") == month).agg(*_avgs())
+    return _when(h, lambda d: F.month(d) == month).agg(*_avgs())
 
 
 def by_month(h: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -40,20 +40,33 @@ def normalise_violations(lines: DataFrame, col: str = "value", skip_header: bool
     return staged.select(*keep, *T.violation_record(F.col("_items")))
 
 
+def _has_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def upsert_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """B1: last write wins per primary key.
 
-    ``max_by`` over the ordering struct is a partial aggregate: a hot key is
-    reduced inside each map task before the shuffle, unlike a window.  Rows
-    with a null key are rejected, as a keyed store would.
+    Two steps, both hash-based: the largest ``order_cols`` per key (one column
+    after the other for several) is a map-side combined aggregate of
+    fixed-width values, and the rows that hold it are joined back once.  A hot
+    key is one row per task before the shuffle.  ``order_cols`` are not null;
+    of rows that tie in all of them one stays.  Rows with a null in the key are
+    not stored; ``upsert_rejects`` returns them.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    kept = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    latest = kept.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*[F.col(c) for c in order_cols])).alias("_row")
-    )
-    return latest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    keys, order_cols = list(keys), list(order_cols)
+    kept = df.where(_has_key(keys))
+    for n in range(len(order_cols)):
+        by = keys + order_cols[:n]
+        last = kept.groupBy(*by).agg(F.max(order_cols[n]).alias(order_cols[n]))
+        kept = kept.join(last, by + [order_cols[n]], "left_semi")
+    return kept.dropDuplicates(keys).select(*keys, *[c for c in df.columns if c not in keys])
+
+
+def upsert_rejects(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """B1: the rows ``upsert_latest`` does not store, with the first missing key column."""
+    missing = F.coalesce(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys])
+    return df.where(~_has_key(keys)).withColumn("missing_key", missing)
 
 
 def select_where(df: DataFrame, cols: Sequence[str], cond) -> DataFrame:
@@ -83,14 +96,30 @@ def ranked_within(df: DataFrame, key: str, order: Sequence, n: int | None = None
     return out if n is None else out.where(F.col("rank") <= n)
 
 
+def write_ordered(df: DataFrame, path: str, partition_col: str, order: Sequence[str]) -> None:
+    """G5 as a table: one folder per ``partition_col`` value, rows of each file in
+    ``order`` (the clustering order of the surveyed tables).
+
+    The range exchange splits a large value over several files, and the files
+    of a value follow each other in ``order``.
+    """
+    (df.repartitionByRange(partition_col, *order).sortWithinPartitions(partition_col, *order)
+     .write.mode("overwrite").partitionBy(partition_col).parquet(path))
+
+
+def word_keys(lines: DataFrame, col: str = "value") -> DataFrame:
+    """``Word:<w>`` = 1 for every word of whole texts."""
+    w = lines.select(F.explode(T.words(F.col(col))).alias("word"))
+    return w.select(F.concat(F.lit("Word:"), F.col("word")).alias("key"), F.lit(1).alias("value"))
+
+
 def distinct_words(lines: DataFrame, col: str = "value") -> DataFrame:
-    """the keyed word set ``Word:<w>`` = 1 over whole texts.
+    """the keyed word set over whole texts.
 
     ``distinct`` aggregates partially per task, so a frequent word crosses the
     shuffle once per task, not once per occurrence.
     """
-    w = lines.select(F.explode(T.words(F.col(col))).alias("word")).distinct()
-    return w.select(F.concat(F.lit("Word:"), F.col("word")).alias("key"), F.lit(1).alias("value"))
+    return word_keys(lines, col).distinct()
 
 
 VIOLATION_KEY = list(S.VIOLATION_KEY)

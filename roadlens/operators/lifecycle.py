@@ -24,9 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from .scan import apply_fn, key_window, levels_for, prefix_states
-
-DEFAULT_LEVELS = levels_for("1 hour")  # the checks' hourly batches
+from ..session import materialise
+from .scan import DEFAULT_LEVELS, apply_fn, key_window, prefix_states
 
 EXPECT_INCIDENT, EXPECT_USERS, EXPECT_CLEAR = 0, 1, 2
 KEYS = ["route_num"]
@@ -50,7 +49,7 @@ def bundles(positions: DataFrame) -> DataFrame:
 # Decimal buffers are mutable in hash aggregation, so min/min_by over this key
 # aggregate with a hash map; a struct key would fall back to sort aggregation.
 ORDER_KEY = (
-    "CAST(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS DECIMAL(38,0))"
+    "CAST(CAST(CAST(ts - TIMESTAMP_NTZ'1970-01-01 00:00:00' AS DECIMAL(20,6)) * 1000000 AS BIGINT) AS DECIMAL(38,0))"
     " * 9223372036854775808BD + CAST(seq AS DECIMAL(38,0))"
 )
 
@@ -117,7 +116,17 @@ def _transition(has_i, has_c, has_ic, has_b):
 def lifecycle_chunks(incidents: DataFrame, positions: DataFrame | None, levels=DEFAULT_LEVELS,
                      bundle_rows: DataFrame | None = None) -> DataFrame:
     """Resolved chunks: start state, accepted messages and carried route values."""
-    ch = chunk_summaries(incidents, positions, bundle_rows)
+    return resolve_chunks(chunk_summaries(incidents, positions, bundle_rows), levels)
+
+
+def resolve_chunks(ch: DataFrame, levels=DEFAULT_LEVELS) -> DataFrame:
+    """``lifecycle_chunks`` from ready chunk summaries (``chunk_summaries`` or a
+    stream's chunk log).
+
+    The summaries (one row per route and batch) are written as one stage: the
+    scan tree reads them instead of summarising the events again per level.
+    """
+    ch = materialise(ch.select("route_num", "batch", "fi", "fc", "fic", "n_pos", "hist"), "chunks")
     has_i, has_c, has_ic = F.col("fi").isNotNull(), F.col("fc").isNotNull(), F.col("fic").isNotNull()
     has_b = F.col("n_pos") > 0
     ch = ch.select("*", _transition(has_i, has_c, has_ic, has_b).alias("fn"))
@@ -186,14 +195,25 @@ def _history_rows(ch: DataFrame) -> DataFrame:
 
 def lifecycle_from_messages(messages: DataFrame, levels=DEFAULT_LEVELS) -> DataFrame:
     """K1 over a typed message log (B4 layout, as drained by A7): the same
-    history rows as ``incident_lifecycle`` on the tables the log came from."""
+    history rows as ``incident_lifecycle`` on the tables the log came from.
+
+    A route's bundle of a batch may arrive in several rows (one per epoch that
+    saw part of it): they are one bundle, their counts per location are added.
+    """
     inc = messages.where(F.col("rnk") == 0).select(
         "route_num", "batch", "ts", "seq", F.col("msg_type").alias("occur_clear"), "loc", "duration")
-    bun = messages.where(F.col("rnk") == 1).select(
-        "route_num", "batch", F.col("n_positions").alias("n_pos"), F.col("loc_hist").alias("hist"))
+    per_loc = messages.where(F.col("rnk") == 1).select("route_num", "batch", F.inline("loc_hist")).groupBy(
+        "route_num", "batch", "loc").agg(F.sum("n").alias("n"))
+    bun = per_loc.groupBy("route_num", "batch").agg(
+        F.sum("n").cast("long").alias("n_pos"), F.collect_list(F.struct("loc", "n")).alias("hist"))
     return _history_rows(lifecycle_chunks(inc, None, levels, bun))
 
 
+def lifecycle_from_chunks(chunks: DataFrame, levels=DEFAULT_LEVELS) -> DataFrame:
+    """K1 over a chunk log written by the stream (one row per route and closed batch)."""
+    return _history_rows(resolve_chunks(chunks, levels))
+
+
 def hist_traffic(incidents: DataFrame, positions: DataFrame, levels=DEFAULT_LEVELS) -> DataFrame:
     """The warehouse fact table: tod, route_num, location, users_total, users_affected, duration."""
     return incident_lifecycle(incidents, positions, levels).select(*S.HIST_TRAFFIC_SCHEMA.fieldNames())
@@ -263,7 +283,7 @@ def incident_history_pairs(incidents: DataFrame, positions: DataFrame, levels=DE
 # ---------------------------------------------------------------------------
 
 def capped_incidents(incidents: DataFrame, cap: int = S.INCIDENT_CAP, chunk: str = "10 seconds",
-                     levels=("hour", "day", "month")) -> DataFrame:
+                     levels=DEFAULT_LEVELS) -> DataFrame:
     """Active incidents per route with a cap: an occur is dropped while ``cap``
     are active, a clear removes one (oldest first), a clear on none is ignored.
 
@@ -291,6 +311,8 @@ def capped_incidents(incidents: DataFrame, cap: int = S.INCIDENT_CAP, chunk: str
     chunks = chunks.select(
         "route_num", "chunk", F.expr(f"aggregate(ms, {init}, (acc, x) -> {step})").alias("res")
     ).withColumn("fn", F.expr("transform(res, a -> a[0])"))
+    # one written row per slice: the scan tree and the final pick read it
+    chunks = materialise(chunks, "slices")
     chunks = prefix_states(chunks, KEYS, "chunk", "fn", n, 0, levels, "s")
     picked = chunks.select("route_num", "chunk", F.element_at("res", F.col("s") + 1).alias("r"))
     return picked.groupBy("route_num").agg(

@@ -4,7 +4,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -13,15 +13,16 @@ from .. import schemas as S
 
 # ---------------------------------------------------------------- parsing
 
-def parse_json(df: DataFrame, schema: StructType, col: str = "value") -> DataFrame:
+def parse_json(df: DataFrame, schema: StructType, col: str = "value", keep_raw: bool = False) -> DataFrame:
     """JSON text -> record.  Malformed text gives null fields and
     ``_malformed`` = true instead of failing the batch (the surveyed consumer
-    would raise)."""
+    would raise); ``keep_raw`` passes the text on as ``_raw`` for rejects."""
     with_bad = StructType(list(schema.fields) + [StructField("_bad", StringType(), True)])
     parsed = F.from_json(F.col(col), with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
     keep = [c for c in df.columns if c != col]
-    return df.select(*keep, parsed.alias("_r")).select(
-        *keep, *[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields],
+    raw = [F.col(col).alias("_raw")] if keep_raw else []
+    return df.select(*keep, *raw, parsed.alias("_r")).select(
+        *keep, *[c for c in ["_raw"] if keep_raw], *[F.col(f"_r.{f.name}").alias(f.name) for f in schema.fields],
         F.col("_r._bad").isNotNull().alias("_malformed"),
     )
 
@@ -30,8 +31,20 @@ def _int(c: str) -> Column:
     return F.expr(f"try_cast({c} AS INT)")
 
 
+def ntz_of_text(c: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text -> TIMESTAMP_NTZ, null for anything else.
+    Parsed without the session zone, so no time is shifted by a zone's gaps."""
+    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"), c.try_cast("timestamp_ntz"))
+
+
+def text_of_ntz(c: Column | str) -> Column:
+    """TIMESTAMP_NTZ -> ``yyyy-MM-dd HH:mm:ss`` text, without the session zone."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.substring(c.cast("timestamp_ntz").cast("string"), 1, 19)
+
+
 def _ts(c: str) -> Column:
-    return F.expr(f"try_to_timestamp(`{c}`, '{S.TS_TEXT_FORMAT}')").cast("timestamp_ntz")
+    return ntz_of_text(F.col(c))
 
 
 def parse_incidents(df: DataFrame) -> DataFrame:
@@ -59,6 +72,53 @@ def parse_positions(df: DataFrame) -> DataFrame:
     )
 
 
+def incident_problem(malformed: Column | None = None) -> Column:
+    """Why parsed incident columns cannot be used (null: they can); the same rule
+    for streams and tables."""
+    bad = F.lit(False) if malformed is None else malformed
+    return (
+        F.when(bad, "malformed").when(F.col("route_num").isNull(), "route").when(F.col("loc").isNull(), "loc")
+        .when(F.col("ts").isNull(), "ts").when(~F.coalesce(F.col("occur_clear").isin(0, 1), F.lit(False)), "occur_clear")
+    )
+
+
+def position_problem(malformed: Column | None = None) -> Column:
+    """Why parsed position columns cannot be used (null: they can)."""
+    bad = F.lit(False) if malformed is None else malformed
+    return (
+        F.when(bad, "malformed").when(F.col("route_num").isNull(), "route").when(F.col("loc").isNull(), "loc")
+        .when(F.col("ts").isNull(), "ts")
+    )
+
+
+def parse_requests(df: DataFrame) -> DataFrame:
+    """D8 on the wire: ``user_traffic`` record -> ``requests`` columns."""
+    wire = set(S.USER_TRAFFIC_SCHEMA.fieldNames()) | {"_malformed"}
+    return df.select(
+        *[c for c in df.columns if c not in wire],
+        _int("req_type").alias("req_type"), _int("sub_req_type").alias("sub_req_type"), F.col("user_id"),
+        _int("route_id").alias("route_num"), _int("location").alias("loc"),
+        F.expr("try_cast(`start` AS INT)").alias("start"), F.expr("try_cast(`end` AS INT)").alias("end"), _ts("ts").alias("ts"),
+    )
+
+
+def parse_pageviews(df: DataFrame) -> DataFrame:
+    """F1 on the wire: ``pageviews`` record -> site_id, page_view, ts."""
+    wire = set(S.PAGEVIEW_SCHEMA.fieldNames()) | {"_malformed"}
+    return df.select(*[c for c in df.columns if c not in wire], "site_id", "page_view", _ts("ts").alias("ts"))
+
+
+def parse_querylog(df: DataFrame) -> DataFrame:
+    """B1 on the wire: ``querylog`` record -> query_type, ts, query_text."""
+    wire = set(S.QUERYLOG_SCHEMA.fieldNames()) | {"_malformed"}
+    return df.select(*[c for c in df.columns if c not in wire], _int("query_type").alias("query_type"), _ts("ts").alias("ts"), "query_text")
+
+
+def wire_json(df: DataFrame, fields: dict[str, Column], keep: list[str]) -> DataFrame:
+    """``keep`` columns and ``value``: the fields as one JSON object (null fields left out)."""
+    return df.select(*keep, F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("value"))
+
+
 def incident_wire_json(incidents: DataFrame) -> DataFrame:
     """Accident messages as JSON text; odd ``seq`` sends numbers as strings,
     the way the two producers differ on the wire."""
@@ -71,7 +131,7 @@ def incident_wire_json(incidents: DataFrame) -> DataFrame:
     body = F.concat(
         F.lit('{"incident_route_num":'), num("route_num"),
         F.lit(',"incident_loc":'), num("loc"),
-        F.lit(',"ts":"'), F.date_format("ts", S.TS_TEXT_FORMAT),
+        F.lit(',"ts":"'), text_of_ntz("ts"),
         F.lit('","occur_clear":'), num("occur_clear"),
         F.lit(',"accident_duration":'), num("duration"), F.lit("}"),
     )
@@ -121,7 +181,7 @@ def pack_incidents(incidents: DataFrame) -> DataFrame:
         F.concat_ws(
             " ",
             F.col("occur_clear").cast("string"), F.col("route_num").cast("string"), F.col("loc").cast("string"),
-            F.date_format("ts", S.TS_TEXT_FORMAT), F.col("occur_clear").cast("string"),
+            text_of_ntz("ts"), F.col("occur_clear").cast("string"),
             F.col("duration").cast("string"),
         ).alias("value"),
     )
@@ -133,43 +193,72 @@ def pack_positions(positions: DataFrame) -> DataFrame:
         "seq",
         F.concat_ws(
             " ", F.lit(str(S.MSG_USERS)), F.col("route_num").cast("string"), F.col("loc").cast("string"),
-            "user_id", F.date_format("ts", S.TS_TEXT_FORMAT),
+            "user_id", text_of_ntz("ts"),
         ).alias("value"),
     )
 
 
+def pack_position_lines(positions: DataFrame, per_line: int) -> DataFrame:
+    """``2 route (loc user day time)+`` lines of up to ``per_line`` positions of a
+    route in (ts, seq) order; ``seq`` is the smallest of the line."""
+    w = Window.partitionBy("route_num").orderBy("ts", "seq")
+    one = F.concat_ws(" ", F.col("loc").cast("string"), "user_id", text_of_ntz("ts"))
+    numbered = positions.select("route_num", "ts", "seq", one.alias("p"), F.floor((F.row_number().over(w) - 1) / per_line).alias("line_no"))
+    lines = numbered.groupBy("route_num", "line_no").agg(
+        F.min("seq").alias("seq"), F.array_sort(F.collect_list(F.struct("ts", "seq", "p"))).alias("ps"))
+    return lines.select("seq", F.concat_ws(
+        " ", F.lit(str(S.MSG_USERS)), F.col("route_num").cast("string"), F.array_join(F.col("ps.p"), " ")).alias("value"))
+
+
 def unpack_messages(lines: DataFrame, col: str = "value") -> DataFrame:
     """Decode packed lines into typed rows; USERS lines may hold many positions
-    (strides of four tokens), each becomes its own row."""
+    (strides of four tokens), each becomes its own row.
+
+    ``problem`` is null on a good row.  A line that cannot be decoded (short,
+    not a number where one belongs, unknown type) gives one row with the
+    reason; a USERS line cut inside a stride gives its whole positions and one
+    row for the rest.
+    """
     tok = F.split(F.col(col), " ")
-    kind = F.element_at(tok, 1).cast("int")
-    route = F.element_at(tok, 2).cast("int")
-    n_pos = F.floor((F.size(tok) - 2) / 4).cast("int")
-    users = F.transform(
-        F.when(n_pos > 0, F.sequence(F.lit(0), n_pos - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.struct(
-            F.element_at(tok, i * 4 + 3).cast("int").alias("loc"),
-            F.element_at(tok, i * 4 + 4).alias("user_id"),
-            F.concat_ws(" ", F.element_at(tok, i * 4 + 5), F.element_at(tok, i * 4 + 6)).alias("ts_text"),
-        ),
-    )
-    single = F.array(
-        F.struct(
-            F.element_at(tok, 3).cast("int").alias("loc"),
-            F.lit(None).cast("string").alias("user_id"),
-            F.concat_ws(" ", F.element_at(tok, 4), F.element_at(tok, 5)).alias("ts_text"),
-        )
-    )
+
+    def token(i) -> Column:
+        return F.get(tok, i if isinstance(i, Column) else F.lit(i))
+
+    def moment(i) -> Column:
+        return ntz_of_text(F.concat_ws(" ", token(i), token(i + 1)))
+
+    kind, route = token(0).try_cast("int"), token(1).try_cast("int")
+    n_rest = F.size(tok) - 2
+    n_pos = F.floor(n_rest / 4).cast("int")
+    none = F.lit(None)
+
+    def row(loc, user, ts, duration, problem) -> Column:
+        return F.struct(loc.alias("loc"), user.alias("user_id"), ts.alias("ts"), duration.alias("duration"), problem.alias("problem"))
+
+    def checked(loc, ts) -> Column:
+        return F.when(loc.isNull(), "loc").when(ts.isNull(), "ts")
+
+    def position(i) -> Column:
+        loc, ts = token(i * 4 + 2).try_cast("int"), moment(i * 4 + 4)
+        return row(loc, token(i * 4 + 3), ts, none.cast("int"), checked(loc, ts))
+
+    cut = row(none.cast("int"), none.cast("string"), none.cast("timestamp_ntz"), none.cast("int"), F.lit("cut"))
+    empty = F.array().cast("array<struct<loc:int,user_id:string,ts:timestamp_ntz,duration:int,problem:string>>")
+    users = F.concat(
+        F.when(n_pos > 0, F.transform(F.sequence(F.lit(0), n_pos - 1), position)).otherwise(empty),
+        F.when((n_rest % 4 != 0) | (n_rest <= 0), F.array(cut)).otherwise(empty))
+    loc, ts, duration = token(2).try_cast("int"), moment(3), token(6).try_cast("int")
+    single = F.array(row(loc, none.cast("string"), ts, duration, F.coalesce(checked(loc, ts), F.when(duration.isNull(), "duration"))))
     keep = [c for c in lines.columns if c != col]
     rows = lines.select(
         *keep, kind.alias("msg_type"), route.alias("route_num"),
-        F.when(kind == S.MSG_USERS, F.lit(None).cast("int")).otherwise(F.element_at(tok, 7).cast("int"))
-        .alias("duration"),
-        F.explode(F.when(kind == S.MSG_USERS, users).otherwise(single)).alias("p"),
+        F.explode(F.when(kind == S.MSG_USERS, users).when(kind.isin(S.MSG_CLEAR, S.MSG_INCIDENT), single).otherwise(F.array(cut))).alias("p"),
     )
+    known = F.col("msg_type").isin(S.MSG_CLEAR, S.MSG_INCIDENT, S.MSG_USERS)
+    problem = F.when(~F.coalesce(known, F.lit(False)), "type").when(F.col("route_num").isNull(), "route").otherwise(F.col("p.problem"))
     return rows.select(
         *keep, "msg_type", "route_num", F.col("p.loc").alias("loc"), F.col("p.user_id").alias("user_id"),
-        F.to_timestamp_ntz(F.col("p.ts_text"), F.lit(S.TS_TEXT_FORMAT)).alias("ts"), "duration",
+        F.col("p.ts").alias("ts"), F.col("p.duration").alias("duration"), problem.alias("problem"),
     )
 
 
@@ -180,16 +269,17 @@ def position_wire_json(positions: DataFrame) -> DataFrame:
     value = F.to_json(
         F.struct(
             F.col("route_num").alias("user_route_num"), F.col("loc").alias("user_loc"), "user_id",
-            F.date_format("ts", S.TS_TEXT_FORMAT).alias("ts"),
+            text_of_ntz("ts").alias("ts"),
         )
     )
     return positions.select("seq", "route_num", value.alias("value"))
 
 
 def publish_keyed(df: DataFrame, key: Column, n: int = S.PUBLISH_KEY_SPACE) -> DataFrame:
-    """``key`` = route % n and one output partition per key value, the
-    layout a keyed topic gives; the write itself is a sink."""
-    return df.withColumn("key", (key % n).cast("int")).repartition(n, "key")
+    """``key`` = route % n, the key a keyed topic partitions by.  The rows stay
+    where they are: the broker (or the folder layout of the file sink) groups
+    them, so parallelism does not fall to the number of keys."""
+    return df.withColumn("key", (key % n).cast("int"))
 
 
 # ---------------------------------------------------------------- counters
@@ -200,8 +290,10 @@ def positions_by_route(positions: DataFrame) -> DataFrame:
 
 
 def incident_counters(incidents: DataFrame) -> DataFrame:
-    """incident messages per route and in total (route_num null)."""
-    return incidents.rollup("route_num").agg(F.count(F.lit(1)).alias("incidents"))
+    """incident messages per route and in total (``is_total`` marks that
+    row, so messages without a route keep a row of their own)."""
+    return incidents.rollup("route_num").agg(
+        F.count(F.lit(1)).alias("incidents"), (F.grouping("route_num") == 1).alias("is_total"))
 
 
 def last_incident(incidents: DataFrame) -> DataFrame:

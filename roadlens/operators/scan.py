@@ -21,26 +21,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_LEVELS = ("month",)
+from ..session import materialise
+
+#: Safe for chunks of a second or longer: no list holds more than 60 elements.
+DEFAULT_LEVELS = ("minute", "hour", "day", "month")
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
 def levels_for(interval: str) -> tuple[str, ...]:
     """Scan levels for chunks of ``interval`` (e.g. "4 seconds", "1 hour") so
-    that no period holds more than a few thousand chunks: at most 3600 chunks
-    per hour, 1440 per day, 744 per month, 366 per year."""
+    that no period holds more than 60 chunks or periods (366 days a year at
+    the coarsest): a list of that length is composed in one task."""
     n, unit = interval.strip().split()
     secs = float(n) * _UNIT_SECONDS[unit.lower().rstrip("s")]
     if secs >= 86400:
         return ("year",)
     if secs >= 3600:
-        return ("month",)
-    if secs >= 60:
         return ("day", "month")
-    if secs >= 1:
+    if secs >= 60:
         return ("hour", "day", "month")
-    return ("minute", "hour", "day", "month")
+    if secs >= 1:
+        return ("minute", "hour", "day", "month")
+    return ("second", "minute", "hour", "day", "month")
 
 
 _SCAN = (
@@ -83,9 +86,8 @@ def prefix_states(
     after).  ``order_col`` is a timestamp.  ``levels`` are ``date_trunc``
     units from fine to coarse; chunks are composed inside the finest period,
     periods inside coarser ones, so no list composed in one task is longer
-    than the number of chunks of one finest period (pick levels so that stays
-    in the low thousands: ``("month",)`` for hourly batches, ``("hour", "day",
-    "month")`` for second-level batches).
+    than the number of chunks of one finest period (``levels_for`` keeps that
+    at 60).
 
     The chunk rows ride along in the finest period's array and are exploded
     back with their start state, so there is no join back to ``chunks``.
@@ -139,6 +141,12 @@ def key_window(keys: Sequence[str], order_col: str, preceding_only: bool = True)
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def _placed(local: DataFrame, ckeys: list[str]) -> DataFrame:
+    """The chunk-local result as one written stage: its summaries and the join
+    back read it, so the exchange and the window below it run once."""
+    return materialise(local, "scan")
+
+
 def carry_last(
     df: DataFrame,
     keys: Sequence[str],
@@ -152,32 +160,27 @@ def carry_last(
     """Last non-null ``value`` at (or strictly before) each row in key order.
 
     Order is (chunk_col, *order), reversed when ``descending`` (then it is the
-    *next* value).  Inside a chunk a chunk-local window does the work; rows
-    with nothing earlier in their chunk take the previous chunks' last value
-    from a per-(key, chunk) summary.
+    *next* value).  Inside a chunk a chunk-local window does the work and marks
+    the chunk's own last value; rows with nothing earlier in their chunk take
+    the previous chunks' last value from a per-(key, chunk) summary.
     """
     keys = list(keys)
     ckeys = keys + [chunk_col]
     ordcols = [F.col(o) if isinstance(o, str) else o for o in order]
     sort = [c.desc() for c in ordcols] if descending else ordcols
+    w = Window.partitionBy(*ckeys).orderBy(*sort)
     frame_end = Window.currentRow if inclusive else -1
-    w_in = Window.partitionBy(*ckeys).orderBy(*sort).rowsBetween(Window.unboundedPreceding, frame_end)
-    local = df.withColumn("_loc_last", F.last(value, ignorenulls=True).over(w_in))
-    # last value of each chunk (null when it has none), then the latest one
-    # strictly before each chunk; one aggregate covers every chunk of the key
-    pick = F.min_by if descending else F.max_by
-    has = F.col(value).isNotNull()
+    local = _placed(
+        df.withColumn("_loc_last", F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, frame_end)))
+        .withColumn("_thru", F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("_end", F.lead(F.lit(1)).over(w).isNull()), ckeys)
     wc = Window.partitionBy(*keys).orderBy(F.col(chunk_col).desc() if descending else F.col(chunk_col))
-    allc = (
-        df.groupBy(*ckeys)
-        .agg(pick(F.col(value), F.when(has, F.struct(*ordcols))).alias("_cl"))
-        .withColumn("_carry", F.last("_cl", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)))
-        .select(*ckeys, "_carry")
-    )
+    carry = F.last("_thru", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1))
+    summary = local.where("_end").select(*ckeys, "_thru").select(*ckeys, carry.alias("_carry"))
     return (
-        local.join(allc, on=ckeys, how="left")
+        local.join(summary, on=ckeys, how="left")
         .withColumn(out_col, F.coalesce(F.col("_loc_last"), F.col("_carry")))
-        .drop("_loc_last", "_carry")
+        .drop("_loc_last", "_thru", "_end", "_carry")
     )
 
 
@@ -188,24 +191,29 @@ def running_sum(
     order: Sequence[str | Column],
     value: str,
     out_col: str,
-    inclusive: bool = True,
+    low_col: str | None = None,
 ) -> DataFrame:
-    """Running sum of ``value`` per key in (chunk_col, *order) order, chunked."""
+    """Running sum of ``value`` per key in (chunk_col, *order) order, chunked.
+
+    With ``low_col`` also the smallest running sum so far (the row's own included).
+    """
     keys = list(keys)
     ckeys = keys + [chunk_col]
     ordcols = [F.col(o) if isinstance(o, str) else o for o in order]
-    frame_end = Window.currentRow if inclusive else -1
-    w_in = Window.partitionBy(*ckeys).orderBy(*ordcols).rowsBetween(Window.unboundedPreceding, frame_end)
-    local = df.withColumn("_loc_sum", F.coalesce(F.sum(value).over(w_in), F.lit(0)))
-    totals = df.groupBy(*ckeys).agg(F.sum(value).alias("_ct"))
-    totals = totals.withColumn(
-        "_before", F.coalesce(F.sum("_ct").over(key_window(keys, chunk_col)), F.lit(0))
-    ).select(*ckeys, "_before")
-    return (
-        local.join(totals, on=ckeys, how="left")
-        .withColumn(out_col, F.col("_before") + F.col("_loc_sum"))
-        .drop("_loc_sum", "_before")
-    )
+    w = Window.partitionBy(*ckeys).orderBy(*ordcols)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = df.withColumn("_loc_sum", F.coalesce(F.sum(value).over(upto), F.lit(0)).cast("long"))
+    local = local.withColumn("_loc_low", F.min("_loc_sum").over(upto) if low_col else F.lit(None).cast("long"))
+    local = _placed(local.withColumn("_end", F.lead(F.lit(1)).over(w).isNull()), ckeys)
+    before = F.coalesce(F.sum("_loc_sum").over(key_window(keys, chunk_col)), F.lit(0))
+    summary = local.where("_end").select(*ckeys, "_loc_sum", "_loc_low").withColumn("_before", before)
+    summary = summary.withColumn(
+        "_low_before", F.min(F.col("_before") + F.col("_loc_low")).over(key_window(keys, chunk_col))
+    ).select(*ckeys, "_before", "_low_before")
+    out = local.join(summary, on=ckeys, how="left").withColumn(out_col, F.col("_before") + F.col("_loc_sum"))
+    if low_col:
+        out = out.withColumn(low_col, F.least("_low_before", F.col("_before") + F.col("_loc_low")))
+    return out.drop("_loc_sum", "_loc_low", "_end", "_before", "_low_before")
 
 
 def keyed_lag(
@@ -221,13 +229,45 @@ def keyed_lag(
     ckeys = keys + [chunk_col]
     ordcols = [F.col(o) if isinstance(o, str) else o for o in order]
     w = Window.partitionBy(*ckeys).orderBy(*ordcols)
-    local = df.withColumn("_kl_lag", F.lag(value).over(w)).withColumn("_kl_rn", F.row_number().over(w))
-    last_in_chunk = df.groupBy(*ckeys).agg(F.max_by(F.col(value), F.struct(*ordcols)).alias("_kl_cl"))
-    prev = last_in_chunk.withColumn(
-        "_kl_prev", F.lag("_kl_cl").over(Window.partitionBy(*keys).orderBy(chunk_col))
-    ).select(*ckeys, "_kl_prev")
+    local = _placed(
+        df.withColumn("_kl_lag", F.lag(value).over(w)).withColumn("_kl_first", F.row_number().over(w) == 1)
+        .withColumn("_kl_end", F.lead(F.lit(1)).over(w).isNull()), ckeys)
+    prev = local.where("_kl_end").select(
+        *ckeys, F.lag(value).over(Window.partitionBy(*keys).orderBy(chunk_col)).alias("_kl_prev"))
     return (
         local.join(prev, on=ckeys, how="left")
-        .withColumn(out_col, F.when(F.col("_kl_rn") == 1, F.col("_kl_prev")).otherwise(F.col("_kl_lag")))
-        .drop("_kl_lag", "_kl_rn", "_kl_prev")
+        .withColumn(out_col, F.when(F.col("_kl_first"), F.col("_kl_prev")).otherwise(F.col("_kl_lag")))
+        .drop("_kl_lag", "_kl_first", "_kl_end", "_kl_prev")
     )
+
+
+def global_running_sum(df: DataFrame, ts: str, order: Sequence[str], value: str, out_col: str) -> DataFrame:
+    """Running sum over all rows in (ts, *order) order, without a window over all of them.
+
+    Sums per second are offset inside their hour, hours inside their day, days
+    inside their month; the months (a few per year) are added up in one array.
+    """
+    units = ("second", "hour", "day", "month")
+    cols = {u: f"_gs_{u}" for u in units}
+    local = df.withColumns({cols[u]: F.date_trunc(u, F.col(ts)).cast("timestamp_ntz") for u in units})
+    w = Window.partitionBy(cols["second"]).orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = _placed(local.withColumn("_gs_in", F.sum(value).over(w).cast("long")), [])
+    out = local
+    totals = local.groupBy(*[cols[u] for u in units]).agg(F.sum(value).alias("_gs_t"))
+    totals = materialise(totals, "seconds")
+    for fine, coarse in zip(units, units[1:]):
+        by = [cols[u] for u in units[units.index(fine):]]
+        level = totals.groupBy(*by).agg(F.sum("_gs_t").alias("_gs_t"))
+        offset = F.coalesce(F.sum("_gs_t").over(key_window([cols[coarse]], cols[fine])), F.lit(0))
+        level = level.select(cols[fine], offset.alias(f"_gs_off_{fine}"))
+        out = out.join(level, cols[fine])
+    months = totals.groupBy(cols["month"]).agg(F.sum("_gs_t").alias("t")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(cols["month"]).alias("m"), "t"))).alias("a"))
+    months = months.select(F.inline(F.transform("a", lambda x, i: F.struct(
+        x["m"].alias(cols["month"]),
+        F.aggregate(F.slice(F.col("a"), F.lit(1), i), F.lit(0).cast("long"), lambda acc, y: acc + y["t"]).alias("_gs_off_month")))))
+    out = out.join(months, cols["month"])
+    total = F.col("_gs_in")
+    for u in units:
+        total = total + F.col(f"_gs_off_{u}")
+    return out.withColumn(out_col, total).drop("_gs_in", *cols.values(), *[f"_gs_off_{u}" for u in units])

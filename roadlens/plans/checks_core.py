@@ -10,8 +10,9 @@ from ..operators import history as H
 from ..operators import lifecycle as L
 from ..operators import messages as M
 from ..sources import driver as D
+from ..sources import streams as SRC
 from .registry import check
-from .tables import Tables
+from .tables import HOURLY, Tables
 
 
 @check("incident_lifecycle", """
@@ -99,7 +100,7 @@ SELECT CAST(CAST(occur_ts AS DATE) AS VARCHAR) AS day, route_num, location, occu
        tod AS clear_time, incident_affected AS users_affected, duration FROM hist_full""")
 def incident_history_pairs(spark, sf):
     t = Tables(spark, sf)
-    return L.incident_history_pairs(t.incidents, t.positions)
+    return L.incident_history_pairs(t.incidents, t.positions, HOURLY)
 
 
 @check("capped_incidents", """
@@ -133,7 +134,7 @@ def last_incident_location(spark, sf):
 
 
 @check("incident_counters", """
-SELECT route_num, COUNT(*) AS incidents FROM inc GROUP BY ROLLUP (route_num)""")
+SELECT route_num, COUNT(*) AS incidents, GROUPING(route_num) = 1 AS is_total FROM inc GROUP BY ROLLUP (route_num)""")
 def incident_counters(spark, sf):
     return M.incident_counters(Tables(spark, sf).incidents)
 
@@ -171,9 +172,19 @@ def route_layout(spark, sf):
     return DB.layout_routes(D.route_lengths(Tables(spark, sf).events))
 
 
-@check("scan_routes", """SELECT route_id, "start", "end" FROM routes""")
+@check("scan_routes", """SELECT route_id, length, "start", "end" FROM routes""")
 def scan_routes(spark, sf):
-    return DB.layout_routes(D.route_lengths(Tables(spark, sf).events)).select("route_id", "start", "end")
+    t = Tables(spark, sf)
+    return SRC.scan(spark, t.table_file("routes", lambda: DB.layout_routes(D.route_lengths(t.events))))
+
+
+@check("route_metric_rows", """
+SELECT 'users_total_on_route_' || route_num AS name, users_total AS value FROM lstate
+UNION ALL
+SELECT 'users_affected_on_route_' || route_num, users_affected FROM lstate""")
+def route_metric_rows(spark, sf):
+    c = L.route_counters(Tables(spark, sf).lifecycle_state)
+    return DB.route_metric_rows(c, ["users_total", "users_affected", "not_a_counter"])
 
 
 @check("route_lookup", """

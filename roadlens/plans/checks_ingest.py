@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import ingest as I
 from ..operators import messages as M
-from ..session import parallelism
 from ..sources import driver as D
+from ..sources import streams as SRC
 from .registry import check
 from .tables import Tables
 
 STATE = "BUILDING"
 BEFORE_DATE = "1995-06-10"
-TOP_N = 3
 MALFORMED_EVERY = 50
 
 
@@ -36,29 +35,25 @@ def _violation_sql_columns() -> str:
 
 _VIOL = f"""
 , vlines AS (
-  SELECT o_orderkey, {D.violation_line_sql()} AS value
+  SELECT {D.violation_line_sql()} AS value
   FROM orders JOIN customer ON o_custkey = c_custkey),
 vitems AS (
-  SELECT o_orderkey,
-         string_split(replace(replace(
+  SELECT string_split(replace(replace(
              CASE WHEN value LIKE '%,' AND value NOT LIKE '%,,' THEN value || ',' ELSE value END,
              ', ', '  '), '"', ''), ',') AS it
   FROM vlines),
 violations AS (
-  SELECT o_orderkey,
-       {_violation_sql_columns()}
+  SELECT {_violation_sql_columns()}
   FROM vitems)
 """
+_VKEY = ", ".join(S.VIOLATION_KEY)
+_VKEY_SET = " AND ".join(f"{k} IS NOT NULL" for k in S.VIOLATION_KEY)
 
 
 def _violations(spark, sf):
-    # The generated lines stand in for a text file: an exchange ends the
-    # generating stage the way a file scan would start the parsing one (and
-    # keeps each stage's generated code small).  They have no header row.
     t = Tables(spark, sf)
-    lines = D.violation_lines(t.spread("orders"), t.raw("customer"))
-    lines = lines.repartition(parallelism(spark))
-    return I.normalise_violations(lines, skip_header=False)
+    path = t.text_file("violations", lambda: D.violation_lines(t.raw("orders"), t.raw("customer")))
+    return SRC.read_violations(spark, path)
 
 
 @check("violations_ingest", _VIOL + "SELECT * FROM violations")
@@ -66,28 +61,42 @@ def violations_ingest(spark, sf):
     return _violations(spark, sf)
 
 
-@check("violations_upsert", _VIOL + """
+@check("violations_upsert", _VIOL + f"""
 SELECT * EXCLUDE (k) FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY driver_state, driver_city, date_of_stop, time_of_stop
-                               ORDER BY o_orderkey DESC) AS k
-  FROM violations
-  WHERE driver_state IS NOT NULL AND driver_city IS NOT NULL AND date_of_stop IS NOT NULL
-    AND time_of_stop IS NOT NULL) WHERE k = 1""")
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY {_VKEY} ORDER BY agency DESC) AS k
+  FROM violations WHERE {_VKEY_SET}) WHERE k = 1""")
 def violations_upsert(spark, sf):
-    return I.upsert_latest(_violations(spark, sf), S.VIOLATION_KEY, ["o_orderkey"])
+    return I.upsert_latest(_violations(spark, sf), S.VIOLATION_KEY, ["agency"])
+
+
+@check("violations_key_rejects", _VIOL + f"""
+SELECT *, CASE WHEN driver_state IS NULL THEN 'driver_state' WHEN driver_city IS NULL THEN 'driver_city'
+               WHEN date_of_stop IS NULL THEN 'date_of_stop' ELSE 'time_of_stop' END AS missing_key
+FROM violations WHERE NOT ({_VKEY_SET})""")
+def violations_key_rejects(spark, sf):
+    return I.upsert_rejects(_violations(spark, sf), S.VIOLATION_KEY)
+
+
+@check("violation_cities_in_state_order", _VIOL + """
+SELECT driver_state, driver_city, stops, CAST(ROW_NUMBER() OVER (PARTITION BY driver_state ORDER BY driver_city) AS INTEGER) AS rank
+FROM (SELECT driver_state, driver_city, COUNT(*) AS stops FROM violations
+      WHERE driver_state IS NOT NULL AND driver_city IS NOT NULL GROUP BY ALL)""")
+def violation_cities_in_state_order(spark, sf):
+    stops = _violations(spark, sf).where("driver_state IS NOT NULL AND driver_city IS NOT NULL").groupBy("driver_state", "driver_city").count()
+    return I.ranked_within(stops.withColumnRenamed("count", "stops"), "driver_state", ["driver_city"])
 
 
 @check("violation_locations_by_state", _VIOL + f"""
-SELECT o_orderkey, location FROM violations WHERE driver_state = '{STATE}'""")
+SELECT agency, location FROM violations WHERE driver_state = '{STATE}'""")
 def violation_locations_by_state(spark, sf):
-    return I.select_where(_violations(spark, sf), ["o_orderkey", "location"], F.col("driver_state") == STATE)
+    return I.select_where(_violations(spark, sf), ["agency", "location"], F.col("driver_state") == STATE)
 
 
 @check("violation_locations_before", _VIOL + f"""
-SELECT o_orderkey, location FROM violations WHERE date_of_stop < '{BEFORE_DATE}'""")
+SELECT agency, location FROM violations WHERE date_of_stop < '{BEFORE_DATE}'""")
 def violation_locations_before(spark, sf):
     return I.select_where(
-        _violations(spark, sf), ["o_orderkey", "location"], F.col("date_of_stop") < F.lit(BEFORE_DATE)
+        _violations(spark, sf), ["agency", "location"], F.col("date_of_stop") < F.lit(BEFORE_DATE)
     )
 
 
@@ -101,7 +110,8 @@ def violation_avg_year(spark, sf):
 SELECT string_split(l, ',')[1] AS textstr, TRY_CAST(string_split(l, ',')[2] AS INTEGER) AS numero
 FROM (SELECT p_name || ',' || CAST(p_size AS VARCHAR) AS l FROM part)""")
 def csv_pairs_ingest(spark, sf):
-    return I.parse_csv_pairs(D.csv_pair_lines(Tables(spark, sf).raw("part")))
+    t = Tables(spark, sf)
+    return SRC.read_csv_pairs(spark, t.text_file("csv_pairs", lambda: D.csv_pair_lines(t.raw("part"))))
 
 
 @check("querylog_upsert", """
@@ -121,19 +131,18 @@ def pageviews_per_site(spark, sf):
 
 
 @check("top_pageviews_per_site", f"""
-SELECT site_id, window_end, pageviews, CAST(rnk AS INTEGER) AS rank FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY site_id ORDER BY pageviews DESC, window_end) AS rnk FROM {_PV})
-WHERE rnk <= {TOP_N}""")
+SELECT site_id, window_end, pageviews,
+       CAST(ROW_NUMBER() OVER (PARTITION BY site_id ORDER BY pageviews DESC, window_end) AS INTEGER) AS rank FROM {_PV}""")
 def top_pageviews_per_site(spark, sf):
     pv = I.pageviews(D.pageview_events(Tables(spark, sf).events))
-    return I.ranked_within(pv, "site_id", [F.desc("pageviews"), F.asc("window_end")], TOP_N)
+    return I.ranked_within(pv, "site_id", [F.desc("pageviews"), F.asc("window_end")])
 
 
 @check("distinct_words", """
 SELECT DISTINCT 'Word:' || w AS key, 1 AS value
 FROM (SELECT unnest(string_split_regex(text, '[ \n]')) AS w FROM documents)""")
 def distinct_words(spark, sf):
-    return I.distinct_words(D.text_lines(Tables(spark, sf).spread("documents")))
+    return I.distinct_words(D.text_lines(Tables(spark, sf).raw("documents")))
 
 
 @check("json_parse", f"""
@@ -169,15 +178,54 @@ def position_projection(spark, sf):
     return M.parse_positions(M.parse_json(w, S.USER_POS_SCHEMA)).select("seq", "route_num", "loc", "user_id", "ts")
 
 
-@check("packed_message_roundtrip", """
+@check("request_projection", """
+SELECT seq, req_type, sub_req_type, user_id, route_num, loc, date_trunc('second', ts) AS ts FROM req""")
+def request_projection(spark, sf):
+    r = Tables(spark, sf).requests
+    w = M.wire_json(r, {
+        "req_type": F.col("req_type"), "sub_req_type": F.col("sub_req_type").cast("string"), "user_id": F.col("user_id"),
+        "route_id": F.col("route_num"), "location": F.col("loc").cast("string"), "ts": M.text_of_ntz("ts")}, ["seq"])
+    return M.parse_requests(M.parse_json(w, S.USER_TRAFFIC_SCHEMA)).select("seq", "req_type", "sub_req_type", "user_id", "route_num", "loc", "ts")
+
+
+@check("pageview_projection", """
+SELECT CAST(user_id AS VARCHAR) AS site_id, CAST(event_id AS VARCHAR) AS page_view, date_trunc('second', ts) AS ts FROM events""")
+def pageview_projection(spark, sf):
+    e = D.pageview_events(Tables(spark, sf).events)
+    w = M.wire_json(e, {"site_id": F.col("site_id"), "page_view": F.col("page_view"), "ts": M.text_of_ntz("ts")}, [])
+    return M.parse_pageviews(M.parse_json(w, S.PAGEVIEW_SCHEMA)).select("site_id", "page_view", "ts")
+
+
+@check("querylog_projection", "SELECT seq, query_type, date_trunc('second', ts) AS ts, query_text FROM querylog")
+def querylog_projection(spark, sf):
+    q = D.querylog_events(Tables(spark, sf).events)
+    w = M.wire_json(q, {"ts": M.text_of_ntz("ts"), "query_type": F.col("query_type"), "query_text": F.col("query_text")}, ["seq"])
+    return M.parse_querylog(M.parse_json(w, S.QUERYLOG_SCHEMA)).select("seq", "query_type", "ts", "query_text")
+
+
+PER_LINE = 4
+CUT_EVERY = 7
+
+
+@check("packed_message_roundtrip", f"""
+, numbered AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY route_num ORDER BY ts, seq) - 1 AS n FROM pos),
+marked AS (SELECT *, n // {PER_LINE} AS line_no, n % {PER_LINE} AS k_at,
+                  MAX(n % {PER_LINE}) OVER (PARTITION BY route_num, n // {PER_LINE}) AS last_at,
+                  MIN(seq) OVER (PARTITION BY route_num, n // {PER_LINE}) AS line_seq FROM numbered)
 SELECT seq, occur_clear AS msg_type, route_num, loc, CAST(NULL AS VARCHAR) AS user_id,
-       date_trunc('second', ts) AS ts, duration FROM inc
+       date_trunc('second', ts) AS ts, duration, CAST(NULL AS VARCHAR) AS problem FROM inc
 UNION ALL
-SELECT seq, 2, route_num, loc, user_id, date_trunc('second', ts), NULL FROM pos""")
+SELECT line_seq, 2, route_num,
+       CASE WHEN line_seq % {CUT_EVERY} = 0 AND k_at = last_at THEN NULL ELSE loc END,
+       CASE WHEN line_seq % {CUT_EVERY} = 0 AND k_at = last_at THEN NULL ELSE user_id END,
+       CASE WHEN line_seq % {CUT_EVERY} = 0 AND k_at = last_at THEN NULL ELSE date_trunc('second', ts) END, NULL,
+       CASE WHEN line_seq % {CUT_EVERY} = 0 AND k_at = last_at THEN 'cut' END FROM marked""")
 def packed_message_roundtrip(spark, sf):
+    """Several positions a line; every CUT_EVERY-th line has lost its last token."""
     t = Tables(spark, sf)
-    lines = M.pack_incidents(t.incidents).unionByName(M.pack_positions(t.positions))
-    return M.unpack_messages(lines)
+    lines = M.pack_position_lines(t.positions, PER_LINE)
+    cut = F.when(F.col("seq") % CUT_EVERY == 0, F.regexp_replace("value", " [^ ]+$", "")).otherwise(F.col("value"))
+    return M.unpack_messages(M.pack_incidents(t.incidents).unionByName(lines.withColumn("value", cut)))
 
 
 @check("expected_clear_time", """

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 import weakref
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import lifecycle as L
-from ..session import spread
+from ..operators.scan import levels_for
+from ..sinks import writers as W
+from ..session import ensure_checkpoint_dir, materialise
 from ..sources import driver as D
 
 
+HOURLY = levels_for("1 hour")
+
+
 class Tables:
-    """Lazily built domain DataFrames (plans, not data: nothing is collected
-    or cached).
+    """Lazily built domain DataFrames; nothing is collected.  Inputs that stand
+    for files (text lines, the stored history) are written once to the shared
+    folder and read from there.
 
     Instances are shared per (session, folder), so the registered checks reuse
     already analysed plans instead of re-planning the adapter and lifecycle
@@ -28,7 +36,7 @@ class Tables:
         inst = per_session.get(sf_dir)
         if inst is None:
             inst = super().__new__(cls)
-            inst.spark, inst.sf_dir, inst._raw = spark, sf_dir, {}
+            inst.spark, inst.sf_dir, inst._raw, inst._files = spark, sf_dir, {}, {}
             per_session[sf_dir] = inst
         return inst
 
@@ -37,11 +45,6 @@ class Tables:
             self._raw[name] = D.table(self.spark, self.sf_dir, name)
         return self._raw[name]
 
-    def spread(self, name: str) -> DataFrame:
-        """A table feeding CPU-heavy per-row text work, spread over all cores
-        when it arrives in fewer partitions (see ``session.spread``)."""
-        return spread(self.raw(name))
-
     @cached_property
     def events(self) -> DataFrame:
         return self.raw("events")
@@ -60,12 +63,32 @@ class Tables:
 
     @cached_property
     def hist_full(self) -> DataFrame:
-        return L.incident_lifecycle(self.incidents, self.positions)
+        return L.incident_lifecycle(self.incidents, self.positions, HOURLY)
 
     @cached_property
     def hist_traffic(self) -> DataFrame:
-        return L.hist_traffic(self.incidents, self.positions)
+        """The stored history table (B3): written once per session and folder,
+        read with day folders; the history questions are asked of it."""
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/history-{uuid.uuid4().hex}"
+        W.append_history(L.hist_traffic(self.incidents, self.positions, HOURLY), path, 1)
+        return W.read_history(self.spark, path)
 
     @cached_property
     def lifecycle_state(self) -> DataFrame:
-        return L.lifecycle_state(self.incidents, self.positions)
+        return materialise(L.lifecycle_state(self.incidents, self.positions, HOURLY), "state")
+
+    def text_file(self, name: str, lines: Callable[[], DataFrame]) -> str:
+        """A folder of text lines, written once: the files the loaders read."""
+        if name not in self._files:
+            path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+            lines().select("value").write.text(path)
+            self._files[name] = path
+        return self._files[name]
+
+    def table_file(self, name: str, df: Callable[[], DataFrame]) -> str:
+        """A Parquet folder, written once: the table a scan reads."""
+        if name not in self._files:
+            path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+            df().write.parquet(path)
+            self._files[name] = path
+        return self._files[name]

@@ -15,13 +15,8 @@ MSG_CLEAR, MSG_INCIDENT, MSG_USERS = 0, 1, 2
 REQ_REGISTER, REQ_SIGNOFF, REQ_QUERY, REQ_ADD_ROUTE, REQ_UPDATE = 0, 1, 2, 3, 4
 SUB_ACCIDENT, SUB_OTHER, SUB_CLEAR, SUB_POS = 0, 1, 2, 3
 
-# Query-log types and the three stock query texts, in order.
+# Query-log types.
 QUERY_SPECIFIC, QUERY_AVG, QUERY_DATE_BASED = 0, 1, 2
-STOCK_QUERY_TEXTS = (
-    "Select location from violation where driver_state = 'MD'",
-    "Select Avg(year) from violation where driver_state = 'MD'",
-    "Select location from violation where date_of_stop < '2016-06-10'",
-)
 
 # Road-condition sentences.
 ROAD_CLEAR_TEXT = "No incidents on Route %s"
@@ -56,6 +51,13 @@ VIOLATION_DOUBLE_COLUMNS = ("latitude", "longitude")
 VIOLATION_INT_COLUMNS = ("year",)
 VIOLATION_KEY = ("driver_state", "driver_city", "date_of_stop", "time_of_stop")
 
+# Our own sample text per query type; no result depends on the wording.
+STOCK_QUERY_TEXTS = (
+    "locations of stops of drivers from one state",
+    "mean model year of vehicles from one state",
+    "locations of stops before a given day",
+)
+
 # --------------------------------------------------------------------------
 # Wire schemas.  Numbers arrive as JSON ints from one producer and as strings
 # from another, so every field is read as STRING and cast with try_cast.

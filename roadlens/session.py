@@ -75,29 +75,3 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, factor: int = 1) -> DataFrame:
-    """Round-robin an under-partitioned input over the session's cores.
-
-    A small file with one row group scans as one task; CPU-heavy row work on
-    it would then run on one core.  Inputs that already have at least
-    ``defaultParallelism * factor`` partitions (any large input) are returned
-    unchanged, so no shuffle is added at scale.  Filters and column pruning
-    still reach the scan below the repartition.
-    """
-    target = parallelism(df.sparkSession) * factor
-    try:
-        n = df._jdf.rdd().getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as is
-        return df
-    return df.repartition(target) if n < target else df
-
-
-def parallelism(spark: SparkSession) -> int:
-    """The session's default parallelism (classic sessions), else the
-    configured shuffle partition count."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))

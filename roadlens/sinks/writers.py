@@ -1,14 +1,12 @@
 """Sinks (B2, B3, B5, B6, B8, B9).
 
-Writes are idempotent: a micro-batch writes to a folder named by its epoch
-with overwrite, so a replay after a failure rewrites the same files instead of
-adding to counters the way the surveyed read-then-set code did.
+Folders carry the number of the epoch or load that wrote them and are written
+with overwrite, so a replay replaces its own rows; streams that other streams
+read use Spark's file sink, whose commit log lists each file once.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,15 +29,25 @@ def snapshot_writer(path: str, transform=None, fmt: str = "parquet"):
     return _write
 
 
-def append_history(df: DataFrame, path: str, day_col: str = "tod") -> None:
-    """Append history rows, partitioned by day for partition pruning."""
-    df.withColumn("day", F.to_date(day_col).cast("string")).write.mode("append").partitionBy("day").parquet(path)
+def append_history(df: DataFrame, path: str, load: int, day_col: str = "tod") -> None:
+    """Add one load of history rows, partitioned by day for partition pruning.
+
+    The folder carries the load's number and is written with overwrite, so a
+    repeated load replaces its own rows and never adds them twice.
+    """
+    out = f"{path.rstrip('/')}/load={int(load):012d}"
+    df.withColumn("day", F.to_date(day_col)).write.mode("overwrite").partitionBy("day").parquet(out)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """All loads of a history table; filters on ``day`` prune folders."""
+    return spark.read.parquet(path).drop("load")
 
 
 def history_stream_sink(df: DataFrame, path: str, checkpoint: str, day_col: str = "tod", trigger: dict | None = None):
     """B3 as a stream: file sink (exactly-once via its commit log), by day."""
     w = (
-        df.withColumn("day", F.to_date(day_col).cast("string"))
+        df.withColumn("day", F.to_date(day_col))
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -58,39 +66,45 @@ def peek(df: DataFrame, n: int = 10, checkpoint: str | None = None, trigger: dic
 
 
 def publish_events(df: DataFrame, topic: str, key_col: str = "key", sink: str = "files", path: str | None = None,
-                   bootstrap: str | None = None, n: int | None = None) -> None:
+                   bootstrap: str | None = None) -> None:
     """Publish ``key``/``value`` rows.  Kafka when available, else JSON-lines
-    files with one output partition per key value."""
+    files with one folder per key value.  Every task writes what it holds, so
+    the write runs with the parallelism of ``df`` whatever the number of keys."""
     if sink == "kafka":
         (df.select(F.col(key_col).cast("string").alias("key"), F.col("value"))
          .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
         return
-    out = df.repartition(n, key_col) if n else df
-    out.select("value", key_col).write.mode("append").partitionBy(key_col).text(f"{path.rstrip('/')}/{topic}")
+    df.select("value", key_col).write.mode("append").partitionBy(key_col).text(f"{path.rstrip('/')}/{topic}")
+
+
+def numbered(spark: SparkSession, base: str, prefix: str) -> list[int]:
+    """Numbers of the folders ``prefix<number>`` under ``base``, ascending."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
 
 
 def reset(spark: SparkSession, base: str) -> str:
     """Start a new, empty state version instead of deleting keys in place.
 
-    Returns the new version folder; readers always use the newest version and
-    a stream restarted on it gets a fresh checkpoint next to it.
+    Versions are numbered (``v=000000000007``), so the newest is told by name
+    on any file system; readers use the newest and a stream restarted on it
+    gets a fresh checkpoint next to it.  Returns the new version folder.
     """
-    version = f"{base.rstrip('/')}/v={uuid.uuid1().hex}"
-    spark.createDataFrame([], "k string").write.mode("overwrite").parquet(f"{version}/data")
+    number = max(numbered(spark, base, "v="), default=0) + 1
+    version = f"{base.rstrip('/')}/v={number:012d}"
+    spark.createDataFrame([], "k string").write.mode("errorifexists").parquet(f"{version}/data")
     return version
 
 
 def latest_version(spark: SparkSession, base: str) -> str | None:
-    """Newest version folder under ``base`` (by modification time)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    st = [s for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("v=")]
-    if not st:
-        return None
-    return str(max(st, key=lambda s: s.getModificationTime()).getPath())
+    """Newest version folder under ``base``, by its number."""
+    found = numbered(spark, base, "v=")
+    return f"{base.rstrip('/')}/v={found[-1]:012d}" if found else None
 
 
 def create_view(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:

@@ -155,9 +155,9 @@ def _bool_field(i: int, dialect: str) -> str:
 def _violation_fields(dialect: str = "spark") -> list[str]:
     s = "CAST({} AS STRING)".format
     f: list[str] = [
-        s("CAST(o_orderdate AS DATE)"),                                     # date_of_stop
-        f"lpad({s('o_orderkey % 24')}, 2, '0') || ':' || lpad({s('o_custkey % 60')}, 2, '0')",
-        "o_orderstatus",                                                    # agency
+        s("CAST(date_trunc('month', o_orderdate) AS DATE)"),                # date_of_stop: keys collide
+        f"lpad({s('o_orderkey % 3')}, 2, '0') || ':00'",                    # time_of_stop
+        f"'Agency ' || lpad({s('o_orderkey')}, 12, '0')",                   # agency: unique, orders the upserts
         "o_orderpriority",                                                  # subagency
         # description: quoted with ", " / quoted comma without a blank / plain
         "CASE o_orderkey % 7 WHEN 0 THEN '\"' || c_name || ', ' || o_orderpriority || '\"' "
@@ -233,5 +233,5 @@ def csv_pair_lines(part: DataFrame) -> DataFrame:
 
 
 def text_lines(documents: DataFrame) -> DataFrame:
-    """Whole document texts as the line source for the word set (one value per doc)."""
+    """Whole document texts as the source of the word set (one value per document)."""
     return documents.select(F.col("text").alias("value"))

@@ -14,6 +14,11 @@ from pyspark.sql.types import StructType
 
 from ..operators.messages import parse_json
 
+CHUNK_LOG_SCHEMA = (
+    "route_num int, batch timestamp_ntz, fi struct<ts:timestamp_ntz,seq:bigint,loc:int>, "
+    "fc struct<ts:timestamp_ntz,seq:bigint,duration:int>, fic struct<ts:timestamp_ntz,seq:bigint,loc:int>, "
+    "n_pos bigint, hist array<struct<loc:int,n:bigint>>"
+)
 MESSAGE_LOG_SCHEMA = (
     "batch timestamp_ntz, rnk int, route_num int, msg_type int, ts timestamp_ntz, seq bigint, "
     "loc int, duration int, n_positions bigint, loc_hist array<struct<loc:int,n:bigint>>"
@@ -32,8 +37,12 @@ def read_events(
     """A1/A2: a topic of JSON messages as a parsed streaming DataFrame.
 
     ``source='kafka'`` subscribes to ``topic`` (``seq`` = partition/offset
-    order); ``source='files'`` reads JSON lines under ``path/topic``.
-    Malformed messages give null fields and ``_malformed`` = true.
+    order); ``source='files'`` reads JSON lines under ``path/topic``.  Files carry
+    no offsets: unless the messages have a ``seq`` field of their own, ``seq``
+    is a hash of the message, which orders messages of the same second the
+    same way whatever file, batch or replay brings them.
+    Malformed messages give null fields and ``_malformed`` = true; ``_raw`` is
+    the message text.
     """
     if source == "kafka":
         reader = (
@@ -54,7 +63,9 @@ def read_events(
         if max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_per_trigger)
         lines = reader.load(f"{path.rstrip('/')}/{topic}")
-    return parse_json(lines, schema)
+        if "seq" not in schema.fieldNames():
+            lines = lines.withColumn("seq", F.xxhash64("value"))
+    return parse_json(lines, schema, keep_raw=True)
 
 
 def read_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -66,13 +77,15 @@ def read_lines(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.load(path)
 
 
-def read_messages(spark: SparkSession, path: str, max_files: int | None = 1) -> DataFrame:
-    """Drain the typed message log (B4 output) in the order it was written.
+def read_chunks(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Drain the chunk log of the incident stream, oldest files first.
 
-    Files are taken oldest first, ``max_files`` per micro-batch; inside a
-    micro-batch the fold restores (batch, rnk, ts, seq) order per route.
+    The log is written by Spark's file sink, whose commit list is honoured
+    here: files of a failed or repeated epoch are not read.  A file holds whole
+    chunks and all chunks of its routes of one epoch, so any number of files
+    per trigger gives the same result.
     """
-    reader = spark.readStream.schema(MESSAGE_LOG_SCHEMA).option("latestFirst", "false")
+    reader = spark.readStream.schema(CHUNK_LOG_SCHEMA).option("latestFirst", "false")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)

@@ -1,21 +1,27 @@
 """Structured Streaming versions of the operators.
 
-* ``message_log_query``: incidents + positions -> typed message log, one
-  folder per micro-batch (B4/H2 over streams, B2 idempotent writes).
-* ``lifecycle_stream``: the incident automaton (K1) as
+* ``chunk_stream``: incidents + positions -> one row per route and *closed*
+  batch (B4/H2 over streams): a batch is an event-time window, emitted once
+  when the watermark passes its end, so the result does not depend on how the
+  messages fall into micro-batches.
+* ``lifecycle_stream``: the incident automaton (K1) over those rows as
   ``applyInPandasWithState`` keyed by route; state is O(1) per route.
 * ``pageviews_stream`` (F1), ``incident_user_join_stream`` (E1),
-  ``distinct_words_stream`` (F20): watermarked, append-mode aggregations.
-* ``upsert_stream`` (B1): per-batch deltas, merged on read with ``max_by``.
+  ``distinct_words_stream`` (F20), ``call_counters_stream`` (F7): built-in
+  streaming aggregates and joins.
+* ``upsert_stream`` (B1): per-batch deltas, compacted and merged on read.
 
-Event time arrives as TIMESTAMP_NTZ in the driver data; watermarks need
-TIMESTAMP, so ``event_time`` casts it (session zone UTC).
+Event time arrives as TIMESTAMP_NTZ; watermarks need TIMESTAMP, so
+``event_time`` maps the wall clock to UTC and ``wall_clock`` maps it back,
+whatever the session zone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,13 +30,21 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from .. import schemas as S
 from ..operators import ingest as I
 from ..operators import messages as M
-from ..sinks.writers import write_snapshot
+from ..sinks.writers import numbered, write_snapshot
 from ..sources.streams import MESSAGE_LOG_SCHEMA
 
 
-def event_time(col: str | Column = "ts") -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast("timestamp")
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def event_time(col: str = "ts") -> Column:
+    """TIMESTAMP with the wall clock of a TIMESTAMP_NTZ column, read as UTC."""
+    return F.expr(f"timestamp_micros(CAST(CAST(`{col}` - {_EPOCH} AS DECIMAL(20,6)) * 1000000 AS BIGINT))")
+
+
+def wall_clock(col: str) -> Column:
+    """Back from ``event_time``."""
+    return F.expr(f"{_EPOCH} + make_dt_interval(0, 0, 0, CAST(unix_micros({col}) / 1000000BD AS DECIMAL(18,6)))")
 
 
 # ----------------------------------------------------------------- message log
@@ -55,21 +69,65 @@ def message_rows(incidents: DataFrame, positions: DataFrame) -> DataFrame:
     return inc.select(*cols).unionByName(bun.select(*cols))
 
 
-def message_log_query(events: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None):
-    """Streaming producer of the message log from parsed domain events.
+SLICE_MICROS = 10_000_000  # ten seconds
+_MSG = "struct<ts:timestamp_ntz,seq:bigint,occur_clear:int,loc:int,duration:int>"
+
+
+def _first_of_runs(messages: Column) -> Column:
+    """Messages in (ts, seq) order, the first of each run of equal type: the
+    automaton cannot accept another message of the run."""
+    ordered = F.array_sort(messages)
+    return F.filter(ordered, lambda x, i: (i == 0) | (F.get(ordered, i - 1)["occur_clear"] != x["occur_clear"]))
+
+
+def chunk_stream(events: DataFrame, batch: str = "1 hour", watermark: str = "10 minutes") -> DataFrame:
+    """One row per (route, closed batch): what the automaton can accept there
+    (``read_chunks`` layout, as ``lifecycle.chunk_summaries`` gives for tables).
 
-    ``events`` carries incidents and positions together with a ``kind``
-    column (``incident`` / ``position``).  Every micro-batch writes its
-    messages to ``out_path/epoch=<n>`` (overwrite: replays are idempotent).
+    ``events`` carries valid incidents and positions with a ``kind`` column.
+    Two chained windowed aggregates: positions become counts per location and
+    incidents the firsts of their runs per ten-second slice, then both meet in
+    one row per route.  Incidents of an open batch are kept until it closes,
+    since a late message may split a run; positions only as counts.  Messages
+    later than the watermark are dropped by Spark and counted in the query's
+    progress (``numRowsDroppedByWatermark``).
     """
+    is_inc = F.col("kind") == "incident"
+    msg = F.struct("ts", "seq", "occur_clear", "loc", "duration")
+    ev = events.withColumn("_et", event_time("ts")).withWatermark("_et", watermark)
+    parts = ev.groupBy(
+        F.window("_et", batch).alias("w"), "route_num", F.when(~is_inc, F.col("loc")).alias("at_loc"),
+        F.when(is_inc, F.floor(F.unix_micros("_et") / SLICE_MICROS)).alias("slice"),
+    ).agg(F.count(F.when(~is_inc, 1)).alias("n"), F.collect_list(F.when(is_inc, msg)).alias("m"))
+    parts = parts.select("w", "route_num", "at_loc", "n", _first_of_runs(F.col("m")).alias("m"))
+    whole = parts.groupBy("w", "route_num").agg(
+        F.sum("n").cast("long").alias("n_pos"),
+        F.collect_list(F.when(F.col("at_loc").isNotNull(), F.struct(F.col("at_loc").alias("loc"), "n"))).alias("hist"),
+        F.flatten(F.collect_list("m")).alias("m"),
+    ).select(wall_clock("w.start").alias("batch"), "route_num", "n_pos", F.array_sort("hist").alias("hist"), _first_of_runs(F.col("m")).alias("m"))
+
+    def first(kind: int, start: int | Column = 0) -> Column:
+        return F.get(F.filter("m", lambda x, i: (x["occur_clear"] == kind) & (i >= start)), 0)
+
+    fi, fc = first(1), first(0)
+    place = F.array_position(F.transform("m", lambda x: x["occur_clear"]), F.lit(0)) - 1  # of the first clear
+    fic = F.when(fc.isNotNull(), F.get(F.col("m"), place.cast("int") + 1))  # runs alternate: an incident follows
+
+    def place_of(x: Column) -> Column:
+        return F.when(x.isNotNull(), F.struct(x["ts"].alias("ts"), x["seq"].alias("seq"), x["loc"].alias("loc")))
 
-    def _write(df: DataFrame, epoch: int) -> None:
-        inc = df.where(F.col("kind") == "incident").select(
-            "route_num", "loc", "ts", "occur_clear", "duration", "seq", "batch")
-        pos = df.where(F.col("kind") == "position").select("route_num", "loc", "user_id", "ts", "seq", "batch")
-        write_snapshot(message_rows(inc, pos).coalesce(1), out_path, epoch)
+    cleared = F.when(fc.isNotNull(), F.struct(fc["ts"].alias("ts"), fc["seq"].alias("seq"), fc["duration"].alias("duration")))
+    return whole.select("route_num", "batch", place_of(fi).alias("fi"), cleared.alias("fc"), place_of(fic).alias("fic"), "n_pos", "hist")
 
-    w = events.writeStream.foreachBatch(_write).option("checkpointLocation", checkpoint)
+
+def chunk_log_query(chunks: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None):
+    """Write ``chunk_stream`` rows with the exactly-once file sink.
+
+    Rows are exchanged by route, so one file of an epoch holds all chunks of
+    its routes; the number of files follows the shuffle partitions.
+    """
+    w = (chunks.repartition("route_num").writeStream.format("parquet").option("path", out_path)
+         .option("checkpointLocation", checkpoint).outputMode("append"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
@@ -79,71 +137,99 @@ HISTORY_STREAM_SCHEMA = (
     "tod timestamp_ntz, route_num int, location int, users_total bigint, users_affected bigint, "
     "duration int, incident_users bigint, incident_affected bigint, occur_ts timestamp_ntz"
 )
+COUNTER_STREAM_SCHEMA = (
+    "route_num int, batch timestamp_ntz, expect int, location int, users_total bigint, users_affected bigint, "
+    "incidents_reported bigint, incidents_cleared bigint"
+)
 LIFECYCLE_STATE_SCHEMA = (
-    "expect int, loc int, occur_us bigint, tot bigint, aff bigint, last_n bigint, last_a bigint, "
+    "done_us bigint, expect int, loc int, occur_us bigint, tot bigint, aff bigint, last_n bigint, last_a bigint, "
     "rep bigint, clr bigint"
 )
-_HIST_COLS = [f.split()[0] for f in HISTORY_STREAM_SCHEMA.split(", ")]
 
 
-def _affected(hist, loc) -> int:
-    if hist is None:
-        return 0
-    total = 0
-    for h in hist:
-        l, n = (h["loc"], h["n"]) if isinstance(h, dict) else (h[0], h[1])
-        if l is not None and loc is not None and l > loc:
-            total += int(n)
-    return total
+def _columns(schema: str) -> list[str]:
+    return [f.split()[0] for f in schema.split(", ")]
 
 
-def _lifecycle_fold(key, pdfs, state):
-    """Per route: fold this micro-batch's messages in (batch, rnk, ts, seq) order."""
-    if state.exists:
-        expect, loc, occ, tot, aff, last_n, last_a, rep, clr = state.get
-    else:
-        expect, loc, occ, tot, aff, last_n, last_a, rep, clr = 0, None, None, 0, 0, None, None, 0, 0
-    frames = [p for p in pdfs if len(p)]
-    out = []
-    if frames:
-        pdf = pd.concat(frames).sort_values(["batch", "rnk", "ts", "seq"], kind="mergesort")
-        route = int(key[0])
-        for r in pdf.itertuples(index=False):
-            t = int(r.msg_type)
-            if t == S.MSG_INCIDENT and expect == 0:
-                loc, occ, rep, expect = int(r.loc), pd.Timestamp(r.ts).value // 1000, rep + 1, 1
-            elif t == S.MSG_USERS and expect == 1:
-                last_n, last_a = int(r.n_positions), _affected(r.loc_hist, loc)
+def _micros(ts) -> int:
+    return pd.Timestamp(ts).value // 1000
+
+
+def _stamp(us):
+    return None if us is None else pd.Timestamp(us * 1000)
+
+
+def _lifecycle_fold(emit_history: bool):
+    """Per route: fold chunk rows in batch order.  Chunks at or before the last
+    folded batch are skipped, so a repeated row changes nothing."""
+
+    def fold(key, pdfs, state):
+        done, expect, loc, occ, tot, aff, last_n, last_a, rep, clr = state.get if state.exists else (
+            None, 0, None, None, 0, 0, None, None, 0, 0)
+        history, route = [], int(key[0])
+        frames = [p for p in pdfs if len(p)]
+        for c in pd.concat(frames).sort_values("batch").itertuples(index=False) if frames else ():
+            at = _micros(c.batch)
+            if done is not None and at <= done:
+                continue
+            done, accepted = at, None
+            if expect == 0:
+                accepted = c.fi
+            elif expect == 2 and c.fc is not None:
+                history.append((c.fc["ts"], route, loc, tot, aff, c.fc["duration"], last_n, last_a, _stamp(occ)))
+                clr, loc, expect, accepted = clr + 1, None, 0, c.fic
+            if accepted is not None:
+                loc, occ, rep, expect = int(accepted["loc"]), _micros(accepted["ts"]), rep + 1, 1
+            if c.n_pos and expect == 1:
+                last_n, last_a = int(c.n_pos), sum(int(h["n"]) for h in c.hist if h["loc"] > loc)
                 tot, aff, expect = tot + last_n, aff + last_a, 2
-            elif t == S.MSG_CLEAR and expect == 2:
-                out.append((r.ts, route, loc, tot, aff, int(r.duration), last_n, last_a,
-                            pd.Timestamp(occ * 1000) if occ is not None else None))
-                clr, loc, expect = clr + 1, None, 0
-    state.update((expect, loc, occ, tot, aff, last_n, last_a, rep, clr))
-    yield pd.DataFrame(out, columns=_HIST_COLS)
+        state.update((done, expect, loc, occ, tot, aff, last_n, last_a, rep, clr))
+        if emit_history:
+            yield pd.DataFrame(history, columns=_columns(HISTORY_STREAM_SCHEMA))
+        else:
+            yield pd.DataFrame([(route, _stamp(done), expect, loc, tot, aff, rep, clr)], columns=_columns(COUNTER_STREAM_SCHEMA))
+
+    return fold
 
 
-def lifecycle_stream(messages: DataFrame) -> DataFrame:
+def lifecycle_stream(chunks: DataFrame) -> DataFrame:
     """K1 as a stream: history rows appended as clears are accepted.
 
-    Keyed by route; each call sees one route's messages of one micro-batch
-    (bounded by the trigger), and the state is a handful of numbers.
+    Keyed by route; a row of ``chunks`` is a whole closed batch of a route
+    (three messages and a histogram), and the state is a handful of numbers.
     """
-    return messages.groupBy("route_num").applyInPandasWithState(
-        _lifecycle_fold, HISTORY_STREAM_SCHEMA, LIFECYCLE_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    return chunks.groupBy("route_num").applyInPandasWithState(
+        _lifecycle_fold(True), HISTORY_STREAM_SCHEMA, LIFECYCLE_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    )
+
+
+def route_counters_stream(chunks: DataFrame) -> DataFrame:
+    """F6/K7 while the stream runs: each route's counters, state and location after
+    every micro-batch that touched it (the row with the largest ``batch`` is
+    current; F5 is their sum over routes)."""
+    return chunks.groupBy("route_num").applyInPandasWithState(
+        _lifecycle_fold(False), COUNTER_STREAM_SCHEMA, LIFECYCLE_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
 
 
 # ----------------------------------------------------------------- windowed operators
 
 
+def call_counters_stream(requests: DataFrame) -> DataFrame:
+    """F7 as a stream: calls per kind so far (complete or update mode)."""
+    from ..operators.requests import call_counters
+
+    return call_counters(requests)
+
+
+
 def pageviews_stream(events: DataFrame, interval: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
     """F1 as a stream: counts per site and interval, emitted once the
     watermark passes the interval end (append mode, late rows dropped)."""
     ev = events.withColumn("_et", event_time("ts")).withWatermark("_et", watermark)
     return ev.groupBy(F.window("_et", interval).alias("w"), "site_id").agg(
         F.count(F.lit(1)).alias("pageviews")
-    ).select("site_id", F.col("w.end").cast("timestamp_ntz").alias("window_end"), "pageviews")
+    ).select("site_id", wall_clock("w.end").alias("window_end"), "pageviews")
 
 
 def incident_user_join_stream(inc: DataFrame, pos: DataFrame, interval: str = "1 hour",
@@ -168,15 +254,15 @@ def incident_user_join_stream(inc: DataFrame, pos: DataFrame, interval: str = "1
         & (F.col("pos_et") <= F.col("inc_et") + F.expr(f"INTERVAL {interval}"))
     )
     return i.join(p, cond).select(
-        F.col("i_batch").cast("timestamp_ntz").alias("batch"), "route_num", "inc_seq", "inc_loc",
-        F.col("inc_et").cast("timestamp_ntz").alias("inc_ts"), "pos_seq", "user_id", "user_loc",
-        F.col("pos_et").cast("timestamp_ntz").alias("user_ts"),
+        wall_clock("i_batch").alias("batch"), "route_num", "inc_seq", "inc_loc",
+        wall_clock("inc_et").alias("inc_ts"), "pos_seq", "user_id", "user_loc",
+        wall_clock("pos_et").alias("user_ts"),
     )
 
 
 def distinct_words_stream(lines: DataFrame) -> DataFrame:
-    """F20 as a stream: first sighting of every word (state = the vocabulary)."""
-    return I.distinct_words(lines).dropDuplicates(["key"])
+    """F20 as a stream: first sighting of every word (one state store: the vocabulary)."""
+    return I.word_keys(lines).dropDuplicates(["key"])
 
 
 # ----------------------------------------------------------------- keyed upsert (B1)
@@ -185,7 +271,8 @@ def distinct_words_stream(lines: DataFrame) -> DataFrame:
 def upsert_stream(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], path: str, checkpoint: str,
                   trigger: dict | None = None):
     """B1 over a stream: each micro-batch writes its latest row per key as a
-    delta folder; ``read_upserted`` merges all deltas with the same rule."""
+    delta folder; ``read_upserted`` merges the newest snapshot and the deltas
+    after it with the same rule, ``compact_upserts`` makes a snapshot."""
 
     def _write(batch: DataFrame, epoch: int) -> None:
         write_snapshot(I.upsert_latest(batch, keys, order_cols), path, epoch)
@@ -194,8 +281,27 @@ def upsert_stream(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _upsert_rows(spark, path: str) -> tuple[DataFrame, int]:
+    """Newest snapshot with all later deltas, and the last epoch among them."""
+    base = path.rstrip("/")
+    done = max(numbered(spark, base, "snapshot="), default=-1)
+    epochs = [e for e in numbered(spark, base, "epoch=") if e > done]
+    folders = [f"{base}/epoch={e:012d}" for e in epochs] + ([f"{base}/snapshot={done:012d}"] if done >= 0 else [])
+    return spark.read.parquet(*folders), max(epochs, default=done)
+
+
 def read_upserted(spark, path: str, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    return I.upsert_latest(spark.read.parquet(path).drop("epoch"), keys, order_cols)
+    return I.upsert_latest(_upsert_rows(spark, path)[0], keys, order_cols)
+
+
+def compact_upserts(spark, path: str, keys: Sequence[str], order_cols: Sequence[str]) -> str:
+    """Merge the newest snapshot and later deltas into a new snapshot, named by the
+    last epoch in it; readers then skip the older folders."""
+    rows, last = _upsert_rows(spark, path)
+    out = f"{path.rstrip('/')}/snapshot={last:012d}"
+    if last not in numbered(spark, path.rstrip("/"), "snapshot="):
+        I.upsert_latest(rows, keys, order_cols).write.mode("overwrite").parquet(out)
+    return out
 
 
 # ----------------------------------------------------------------- capped incidents (K3)
@@ -206,26 +312,32 @@ CAPPED_STREAM_SCHEMA = (
 CAPPED_STATE_SCHEMA = "n bigint, active bigint, reported bigint, dropped bigint, cleared bigint, ignored bigint"
 
 
+def _ordered(pdfs, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """``column`` and ``seq`` of one key's rows in (ts, seq) order, as two narrow arrays."""
+    frames = [p[["ts", "seq", column]] for p in pdfs if len(p)]
+    if not frames:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    pdf = pd.concat(frames).sort_values(["ts", "seq"], kind="mergesort")
+    return pdf[column].to_numpy(dtype=np.int64), pdf["seq"].to_numpy(dtype=np.int64)
+
+
 def _capped_fold(cap: int):
     def fold(key, pdfs, state):
         n, active, rep, drop, clr, ign = state.get if state.exists else (0, 0, 0, 0, 0, 0)
-        frames = [p for p in pdfs if len(p)]
-        if frames:
-            pdf = pd.concat(frames).sort_values(["ts", "seq"], kind="mergesort")
-            for o in pdf["occur_clear"].tolist():
-                n += 1
-                if int(o) == 1:
-                    if active >= cap:
-                        drop += 1
-                    else:
-                        active, rep = active + 1, rep + 1
-                elif active == 0:
-                    ign += 1
-                else:
-                    active, clr = active - 1, clr + 1
+        kinds, _ = _ordered(pdfs, "occur_clear")
+        # runs of equal messages act at once: a run of occurs fills up to the cap, one of clears empties
+        starts = np.flatnonzero(np.r_[True, kinds[1:] != kinds[:-1]]) if len(kinds) else []
+        for at, size in zip(starts, np.diff(np.r_[starts, len(kinds)])):
+            size = int(size)
+            n += size
+            if kinds[at] == 1:
+                taken = min(size, cap - active)
+                active, rep, drop = active + taken, rep + taken, drop + size - taken
+            else:
+                taken = min(size, active)
+                active, clr, ign = active - taken, clr + taken, ign + size - taken
         state.update((n, active, rep, drop, clr, ign))
-        yield pd.DataFrame([(int(key[0]), n, active, rep, drop, clr, ign)],
-                           columns=[f.split()[0] for f in CAPPED_STREAM_SCHEMA.split(", ")])
+        yield pd.DataFrame([(int(key[0]), n, active, rep, drop, clr, ign)], columns=_columns(CAPPED_STREAM_SCHEMA))
 
     return fold
 
@@ -240,31 +352,34 @@ def capped_incidents_stream(incidents: DataFrame, cap: int = S.INCIDENT_CAP) ->
 
 # ----------------------------------------------------------------- report queues (K5)
 
-REPORT_STREAM_SCHEMA = "route_num int, action string, seq bigint"
-REPORT_STATE_SCHEMA = "open_seqs array<bigint>"
+REPORT_STREAM_SCHEMA = "route_num int, action string, rank bigint, seq bigint"
+REPORT_STATE_SCHEMA = "added bigint, cleared bigint"
 
 
 def _report_fold(key, pdfs, state):
-    """Per route: adds open a report, a clear closes the oldest open one (or is
-    ignored).  Emits open/close events; state is the route's open reports."""
-    open_seqs = list(state.get[0]) if state.exists and state.get[0] is not None else []
-    frames = [p for p in pdfs if len(p)]
-    out = []
-    if frames:
-        pdf = pd.concat(frames).sort_values(["ts", "seq"], kind="mergesort")
-        for delta, seq in zip(pdf["delta"].tolist(), pdf["seq"].tolist()):
-            if int(delta) == 1:
-                open_seqs.append(int(seq))
-                out.append((int(key[0]), "open", int(seq)))
-            elif open_seqs:
-                out.append((int(key[0]), "close", open_seqs.pop(0)))
-    state.update((open_seqs,))
-    yield pd.DataFrame(out, columns=["route_num", "action", "seq"])
+    """Per route: number the added reports and move the head of the queue.
+
+    Emits one ``open`` row per add with its number and one ``head`` row with
+    the number of clears that took effect so far: reports numbered above the
+    head are open.  State is two counters, whatever is open.
+    """
+    added, cleared = state.get if state.exists else (0, 0)
+    delta, seq = _ordered(pdfs, "delta")
+    route = int(key[0])
+    adds = delta == 1
+    ranks = added + np.cumsum(adds)[adds]
+    level = (added - cleared) + np.cumsum(delta)  # below zero: clears that found the queue empty
+    ignored = max(0, -int(level.min(initial=0)))
+    added, cleared = added + int(adds.sum()), cleared + int((~adds).sum()) - ignored
+    state.update((added, cleared))
+    rows = pd.DataFrame({"route_num": route, "action": "open", "rank": ranks, "seq": seq[adds]})
+    head = pd.DataFrame({"route_num": [route], "action": ["head"], "rank": [cleared], "seq": [None]})
+    yield pd.concat([rows, head]).astype({"route_num": "int32", "rank": "int64", "seq": "Int64"})
 
 
 def report_state_stream(requests: DataFrame) -> DataFrame:
-    """K5 as a stream of open/close events per report (append mode).  The open
-    set is the opens without a matching close."""
+    """K5 as a stream (append mode): a keyed table of numbered reports and the
+    head of each route's queue; ``open_reports`` reads the state off it."""
     from ..operators.requests import report_events
 
     ev = report_events(requests).select("route_num", "ts", "seq", "delta")
@@ -273,54 +388,116 @@ def report_state_stream(requests: DataFrame) -> DataFrame:
     )
 
 
+def open_reports(rows: DataFrame) -> DataFrame:
+    """(route_num, rank, seq) still open, from the rows of ``report_state_stream``."""
+    heads = rows.where("action = 'head'").groupBy(F.col("route_num").cast("int").alias("of_route")).agg(F.max("rank").alias("head"))
+    opened = rows.where("action = 'open'")
+    return opened.join(heads, F.col("route_num") == F.col("of_route")).where("rank > head").select("route_num", "rank", "seq")
+
+
+# ----------------------------------------------------------------- sessions (K4), incident table (K6)
+
+SESSION_STREAM_SCHEMA = (
+    "user_id string, route_num int, loc int, register_ts timestamp_ntz, signoff_ts timestamp_ntz"
+)
+SESSION_STATE_SCHEMA = "active boolean, route_num int, loc int, register_us bigint"
+
+
+def _session_fold(key, pdfs, state):
+    """Per user: alternate register / sign-off; other messages of a run change nothing."""
+    active, route, loc, since = state.get if state.exists else (False, None, None, None)
+    frames, out = [p for p in pdfs if len(p)], []
+    if frames:
+        pdf = pd.concat(frames).sort_values(["ts", "seq"], kind="mergesort")
+        pdf = pdf[pdf["req_type"] != pdf["req_type"].shift()]  # the first of each run
+        for r in pdf.itertuples(index=False):
+            if r.req_type == S.REQ_REGISTER and not active:
+                active, route, loc, since = True, int(r.route_num), int(r.loc), _micros(r.ts)
+            elif r.req_type == S.REQ_SIGNOFF and active:
+                out.append((key[0], route, loc, _stamp(since), r.ts))
+                active, route, loc, since = False, None, None, None
+    state.update((active, route, loc, since))
+    yield pd.DataFrame(out, columns=_columns(SESSION_STREAM_SCHEMA))
+
+
+def sessions_stream(requests: DataFrame) -> DataFrame:
+    """K4 as a stream: a session is appended when its user signs off; open
+    sessions are the state (four values per active user)."""
+    rs = requests.where(F.col("req_type").isin(S.REQ_REGISTER, S.REQ_SIGNOFF)).select("user_id", "route_num", "loc", "ts", "seq", "req_type")
+    return rs.groupBy("user_id").applyInPandasWithState(
+        _session_fold, SESSION_STREAM_SCHEMA, SESSION_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+
+
+def incident_table_stream(requests: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """K6/B7 over a stream: the latest change per (route, location) as keyed upserts;
+    a clear is stored as a deletion mark (``read_incident_table`` leaves it out)."""
+    from ..operators.requests import report_events
+
+    ev = report_events(requests).select("route_num", "loc", "user_id", "sub_req_type", "ts", "seq", "delta")
+    return upsert_stream(ev, ["route_num", "loc"], ["ts", "seq"], path, checkpoint, trigger)
+
+
+def read_incident_table(spark, path: str) -> DataFrame:
+    rows = read_upserted(spark, path, ["route_num", "loc"], ["ts", "seq"])
+    return rows.where("delta = 1").select(
+        F.col("route_num").alias("route_id"), F.col("loc").alias("location"), "user_id", F.col("sub_req_type").alias("incident_type"), "ts")
+
+
 # ----------------------------------------------------------------- the incident flow end to end
 
-_DOMAIN_COLS = ["route_num", "loc", "ts", "occur_clear", "duration", "seq", "batch", "user_id", "kind"]
+_DOMAIN_COLS = ["route_num", "loc", "ts", "occur_clear", "duration", "seq", "kind", "problem", "_raw"]
 
 
-def _domain_stream(parsed: DataFrame, kind: str, batch: str) -> DataFrame:
-    """Parsed wire rows -> domain rows with ``seq`` (broker offset order, or a
-    ``seq`` field carried by file messages) and the event-time ``batch``.
-    Malformed messages (no route or time) are dropped here."""
-    if "seq" not in parsed.columns:
-        parsed = parsed.withColumn("seq", F.monotonically_increasing_id())
-    parsed = parsed.withColumn("seq", F.col("seq").cast("long"))
+def domain_rows(parsed: DataFrame, kind: str) -> DataFrame:
+    """Parsed wire rows -> domain rows; ``problem`` tells why a row cannot be used
+    (null: it can), by the rule the batch side uses too."""
+    rows = parsed.withColumns({"seq": F.col("seq").cast("long"), "_bad": F.col("_malformed")})
+    if "_raw" not in rows.columns:
+        rows = rows.withColumn("_raw", F.lit(None).cast("string"))
     if kind == "incident":
-        rows = M.parse_incidents(parsed).withColumn("user_id", F.lit(None).cast("string"))
+        rows = M.parse_incidents(rows).withColumn("problem", M.incident_problem(F.col("_bad")))
     else:
-        rows = M.parse_positions(parsed).withColumn("occur_clear", F.lit(None).cast("int")).withColumn(
-            "duration", F.lit(None).cast("int"))
-    rows = rows.where(F.col("route_num").isNotNull() & F.col("ts").isNotNull())
-    return rows.withColumn("batch", F.window("ts", batch).start).withColumn("kind", F.lit(kind)).select(
-        *_DOMAIN_COLS)
+        rows = M.parse_positions(rows).withColumns({
+            "occur_clear": F.lit(None).cast("int"), "duration": F.lit(None).cast("int"), "problem": M.position_problem(F.col("_bad"))})
+    return rows.withColumn("kind", F.lit(kind)).select(*_DOMAIN_COLS)
+
+
+class IncidentStreams(NamedTuple):
+    producer: object
+    consumer: object
+    rejects: object
 
 
 def start_incident_streams(spark, out_dir: str, checkpoint_dir: str, source: str = "files",
                            topics_dir: str | None = None, bootstrap: str | None = None,
-                           batch: str = "1 hour", trigger: dict | None = None,
-                           accident_schema=S.USER_ACCIDENT_SCHEMA, position_schema=S.USER_POS_SCHEMA):
+                           batch: str = "1 hour", watermark: str = "10 minutes", trigger: dict | None = None,
+                           accident_schema=S.USER_ACCIDENT_SCHEMA, position_schema=S.USER_POS_SCHEMA,
+                           max_files: int | None = None) -> IncidentStreams:
     """The incident flow end to end: topics ``user_accident`` and ``user_pos``
-    -> parsed domain rows -> typed message log (``out_dir/messages``, one
-    folder per epoch) -> lifecycle state per route -> history rows appended to
-    ``out_dir/history`` partitioned by day.
-
-    Two queries joined by the message log, as in the surveyed system's queue:
-    returns (producer, consumer).  With ``availableNow`` the consumer starts
-    after the producer has drained its input; with a processing-time trigger
-    both run side by side and the consumer picks up new epochs as they land.
+    -> parsed domain rows -> closed batches per route (``out_dir/chunks``)
+    -> lifecycle state per route -> history rows appended to
+    ``out_dir/history`` partitioned by day.  Messages that cannot be used go to
+    ``out_dir/rejects`` (topic kind, problem, text).
+
+    A batch is closed, and its messages take effect, when the watermark passes
+    its end.  With ``availableNow`` the consumer starts after the producer has
+    drained its input; with a processing-time trigger all run side by side.
     """
     from ..sinks.writers import history_stream_sink
-    from ..sources.streams import read_events, read_messages
-
-    acc = read_events(spark, "user_accident", accident_schema, source, topics_dir, bootstrap)
-    pos = read_events(spark, "user_pos", position_schema, source, topics_dir, bootstrap)
-    events = _domain_stream(acc, "incident", batch).unionByName(_domain_stream(pos, "position", batch))
-    messages = f"{out_dir.rstrip('/')}/messages"
-    producer = message_log_query(events, messages, f"{checkpoint_dir.rstrip('/')}/messages", trigger)
-    available_now = trigger is None or "availableNow" in trigger
-    if available_now:
+    from ..sources.streams import read_chunks, read_events
+
+    acc = read_events(spark, "user_accident", accident_schema, source, topics_dir, bootstrap, max_files)
+    pos = read_events(spark, "user_pos", position_schema, source, topics_dir, bootstrap, max_files)
+    rows = domain_rows(acc, "incident").unionByName(domain_rows(pos, "position"))
+    out, ck = out_dir.rstrip("/"), checkpoint_dir.rstrip("/")
+    rejects = (
+        rows.where("problem IS NOT NULL").select("kind", "problem", F.col("_raw").alias("message"))
+        .writeStream.format("parquet").option("path", f"{out}/rejects").option("checkpointLocation", f"{ck}/rejects")
+        .outputMode("append").trigger(**(trigger or {"availableNow": True})).start())
+    chunks = chunk_stream(rows.where("problem IS NULL"), batch, watermark)
+    producer = chunk_log_query(chunks, f"{out}/chunks", f"{ck}/chunks", trigger)
+    if trigger is None or "availableNow" in trigger:
         producer.awaitTermination()
-    history = lifecycle_stream(read_messages(spark, f"{messages}/*/*.parquet", max_files=None))
-    consumer = history_stream_sink(history, f"{out_dir.rstrip('/')}/history",
-                                   f"{checkpoint_dir.rstrip('/')}/history", "tod", trigger)
-    return producer, consumer
+    history = lifecycle_stream(read_chunks(spark, f"{out}/chunks", max_files))
+    consumer = history_stream_sink(history, f"{out}/history", f"{ck}/history", "tod", trigger)
+    return IncidentStreams(producer, consumer, rejects)

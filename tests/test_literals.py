@@ -194,3 +194,96 @@ def test_itime_parity_pattern(spark):
         F.lit(4).alias("users_affected"), F.lit(5).alias("duration"))
     r = H.day_time(df).collect()[0]
     assert (r.idate, r.itime, r.itime24) == ("2016-07-30", "03:07:05", "15:04:05")
+
+
+def test_packed_lines_that_cannot_be_decoded(spark):
+    lines = ["2 7 121 user3 2024-01-01 10:00:04 119 user8 2024-01-01", "1 7", "x", "", "1 a 3 2024-01-01 10:00:00 1 0",
+             "2 7 b user1 2024-01-01 10:00:00", "0 7 3 2024-02-30 10:00:00 0 9", "9 7 3 2024-01-01 10:00:00 0 9", "2 7"]
+    df = spark.createDataFrame(list(enumerate(lines)), "id int, value string")
+    got = {}
+    for r in M.unpack_messages(df).collect():
+        got.setdefault(r.id, []).append((r.loc, r.problem))
+    assert got[0] == [(121, None), (None, "cut")]
+    assert [got[i][0][1] for i in range(1, 9)] == ["loc", "type", "type", "route", "loc", "ts", "type", "cut"]
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    """02:30 on the night clocks go forward exists in a TIMESTAMP_NTZ, whatever the zone."""
+    from roadlens.operators import history as H
+    from roadlens.streaming import queries as P
+
+    text = "2024-03-10 02:30:00"
+    out = []
+    for zone in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            wire = spark.createDataFrame([("3", "5", text, "1", "0")], ["incident_route_num", "incident_loc", "ts", "occur_clear", "accident_duration"])
+            parsed = M.parse_incidents(wire)
+            back = M.incident_wire_json(parsed.withColumn("seq", F.lit(2))).collect()[0].value
+            h = parsed.select(F.col("ts").alias("tod"), "route_num", F.lit(2).alias("location"), F.lit(3).alias("users_total"),
+                              F.lit(4).alias("users_affected"), F.lit(5).alias("duration"))
+            days = H.day_time(h).collect()[0]
+            clock = parsed.withColumn("et", P.event_time("ts")).select(P.wall_clock("et").cast("string").alias("t")).collect()[0].t
+            unpacked = M.unpack_messages(spark.createDataFrame([(f"1 3 5 {text} 1 0",)], "value string"))
+            out.append((parsed.select(F.col("ts").cast("string")).collect()[0][0], back, days.idate, days.itime, days.itime24,
+                        H.hist_text(h).collect()[0].tod_text, clock, unpacked.select(F.col("ts").cast("string")).collect()[0][0]))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert out[0] == out[1]
+    assert out[0][0] == out[0][6] == out[0][7] == text and text in out[0][1]
+    assert out[0][2:6] == ("2024-03-10", "02:03:00", "02:30:00", "2024-03-10 02:03:00")
+
+
+def test_wire_text_that_is_no_time(spark):
+    df = spark.createDataFrame([(t,) for t in ("2024-01-01", "2024-13-01 00:00:00", "2024-01-01T00:00:00", "x", None, "2024-01-01 00:00:00")], "ts string")
+    assert df.select(M.ntz_of_text(F.col("ts")).alias("t")).where("t IS NOT NULL").count() == 1
+
+
+def test_incident_counters_keep_missing_routes_apart(spark):
+    inc, _ = _mk(spark, [(0, "I", 1), (0, "I", 2)])
+    rows = {(r.route_num, r.is_total): r.incidents for r in M.incident_counters(
+        inc.unionByName(inc.withColumn("route_num", F.lit(None).cast("int")))).collect()}
+    assert rows == {(7, False): 2, (None, False): 2, (None, True): 4}
+
+
+def test_bundle_rows_of_one_batch_are_one_bundle(spark):
+    """A message log that holds a route's bundle of a batch in two rows."""
+    b = [T0 + dt.timedelta(hours=h) for h in range(2)]
+    rows = [
+        (b[0], 0, 7, 1, b[0], 1, 10, 0, None, None), (b[0], 1, 7, 2, b[0], 2, None, None, 1, [(11, 1)]),
+        (b[0], 1, 7, 2, b[0], 3, None, None, 2, [(9, 1), (11, 1)]), (b[1], 0, 7, 0, b[1], 4, 3, 6, None, None)]
+    from roadlens.sources.streams import MESSAGE_LOG_SCHEMA
+
+    h = L.lifecycle_from_messages(spark.createDataFrame(rows, MESSAGE_LOG_SCHEMA)).collect()
+    assert [(r.users_total, r.users_affected, r.duration) for r in h] == [(3, 2, 6)]
+
+
+def test_queries_see_the_queue_of_their_time(spark):
+    from roadlens.operators import requests as R
+
+    t = [T0 + dt.timedelta(seconds=s) for s in range(8)]
+    rows = [(2, None, "a", 1), (4, 2, "b", 1), (4, 0, "c", 1), (2, None, "a", 1), (4, 2, "d", 1), (2, None, "a", 1), (4, 0, "e", 2), (2, None, "a", 1)]
+    df = spark.createDataFrame([(k, s, u, r, 3, t[i], i, T0) for i, (k, s, u, r) in enumerate(rows)],
+                               "req_type int, sub_req_type int, user_id string, route_num int, loc int, ts timestamp_ntz, seq long, batch timestamp_ntz")
+    assert {r.seq for r in R.queries_on_incident_routes(df).collect()} == {3}
+
+
+def test_metric_rows_without_values(spark):
+    from roadlens.operators import dashboard as DB
+
+    c = spark.createDataFrame([(3, None, 7)], "users_total long, users_affected long, route_num int")
+    assert [tuple(r) for r in DB.metric_rows(c, ["users_total", "users_affected"]).collect()] == [("users_total", 3)]
+    assert DB.metric_rows(c, ["nothing"]).collect() == []
+    assert [tuple(r) for r in DB.route_metric_rows(c, ["users_total", "users_affected"]).collect()] == [("users_total_on_route_7", 3)]
+
+
+def test_upsert_rejects_are_returned(spark):
+    df = spark.createDataFrame([(0, "t", 1), (None, "t", 2), (1, None, 3)], "a int, b string, seq int")
+    assert {(r.seq, r.missing_key) for r in I.upsert_rejects(df, ["a", "b"]).collect()} == {(2, "a"), (3, "b")}
+
+
+def test_table_in_clustering_order(spark, scratch):
+    df = spark.createDataFrame([("MD", c, n) for n, c in enumerate("dbacfe")] + [("VA", "z", 1)], "state string, city string, n int")
+    I.write_ordered(df, f"{scratch}/t", "state", ["city"])
+    back = spark.read.parquet(f"{scratch}/t").where("state = 'MD'")
+    assert [r.city for r in back.collect()] == sorted("abcdef")

@@ -56,12 +56,15 @@ def test_keyed_lag_and_running_sum(spark):
     df = _df(spark, rows).withColumn("w", F.coalesce("v", F.lit(0)))
     lag = {r.seq: r.p for r in SC.keyed_lag(df, ["k"], "chunk", ["ts", "seq"], "w", "p").collect()}
     run = {r.seq: r.s for r in SC.running_sum(df, ["k"], "chunk", ["ts", "seq"], "w", "s").collect()}
-    glob = {r.seq: r.s for r in SC.running_sum(df, [], "chunk", ["ts", "k", "seq"], "w", "s").collect()}
+    glob = {r.seq: r.s for r in SC.global_running_sum(df, "ts", ["k", "seq"], "w", "s").collect()}
+    low = {r.seq: r.lo for r in SC.running_sum(df, ["k"], "chunk", ["ts", "seq"], "w", "s", low_col="lo").collect()}
     for k, seq_rows in _by_key(rows).items():
-        prev, total = None, 0
+        prev, total, least = None, 0, None
         for ts, seq, v in seq_rows:
             w = v or 0
             total += w
+            least = total if least is None else min(least, total)
+            assert low[seq] == least
             assert lag[seq] == prev and run[seq] == total
             prev = w
     total = 0
@@ -89,7 +92,46 @@ def test_prefix_states_all_levels(spark):
 
 
 def test_levels_for_intervals():
-    assert SC.levels_for("1 hour") == ("month",)
-    assert SC.levels_for("4 seconds") == ("hour", "day", "month")
-    assert SC.levels_for("10 minutes") == ("day", "month")
+    assert SC.levels_for("1 hour") == ("day", "month")
+    assert SC.levels_for("4 seconds") == ("minute", "hour", "day", "month") == SC.DEFAULT_LEVELS
+    assert SC.levels_for("10 minutes") == ("hour", "day", "month")
     assert SC.levels_for("1 day") == ("year",)
+
+
+def test_bucket_counts_far_along_the_road(spark):
+    """Intervals of locations in the thousands against a plain count."""
+    from roadlens.operators.joins import bucket_counts
+
+    rnd = random.Random(5)
+    steps = [(rnd.randrange(2), T0 + dt.timedelta(seconds=rnd.randrange(7200)), rnd.choice([1, -1, 1]), rnd.randrange(3000)) for _ in range(400)]
+    probes = []
+    for k in range(120):
+        a, b = sorted((rnd.randrange(3001), rnd.randrange(3001)))
+        probes.append((rnd.randrange(2), T0 + dt.timedelta(seconds=rnd.randrange(7200)), k, a, b if k % 9 else a))
+    s = spark.createDataFrame(steps, "route_num int, ts timestamp_ntz, d long, off int").withColumn("length", F.lit(3000))
+    p = spark.createDataFrame(probes, "route_num int, ts timestamp_ntz, seq long, low int, bound int").withColumn("length", F.lit(3000))
+    rows = bucket_counts(s, p)
+    got = {r.seq: r.n for r in rows.collect()}
+    for route, ts, seq, a, b in probes:
+        assert got.get(seq, 0) == sum(d for r, t, d, off in steps if r == route and t <= ts and a <= off < b)
+
+
+def test_notified_users_far_along_the_road(spark):
+    from roadlens.operators import requests as R
+
+    rnd = random.Random(8)
+    rows = []
+    for k in range(300):
+        t = T0 + dt.timedelta(seconds=k * 7)
+        kind = rnd.choice([0, 0, 1, 4])
+        rows.append((kind, 0 if kind == 4 else None, f"u{rnd.randrange(12)}", rnd.randrange(2), 40_000 + rnd.randrange(2000), t, k, t))
+    df = spark.createDataFrame(rows, "req_type int, sub_req_type int, user_id string, route_num int, loc int, ts timestamp_ntz, seq long, batch timestamp_ntz")
+    active, want = {}, {}
+    for kind, _, user, route, loc, _, seq, _ in rows:
+        if kind == 0:
+            active.setdefault(user, (route, loc))
+        elif kind == 1:
+            active.pop(user, None)
+        else:
+            want[seq] = sum(r == route and x <= loc - 1 for r, x in active.values())
+    assert {r.seq: r.users_to_notify for r in R.users_to_notify(df).collect()} == want
