@@ -66,7 +66,8 @@ SELECT * EXCLUDE (k) FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY {_VKEY} ORDER BY agency DESC) AS k
   FROM violations WHERE {_VKEY_SET}) WHERE k = 1""")
 def violations_upsert(spark, sf):
-    return I.upsert_latest(_violations(spark, sf), S.VIOLATION_KEY, ["agency"])
+    rows = _violations(spark, sf).withColumn("seq", F.expr("try_cast(substring(agency, 8) AS BIGINT)"))
+    return I.upsert_latest(rows, S.VIOLATION_KEY, ["seq"]).drop("seq")
 
 
 @check("violations_key_rejects", _VIOL + f"""

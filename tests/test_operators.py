@@ -49,3 +49,15 @@ def test_create_view(spark):
     v = W.create_view(spark, "hist_day_time_test", df)
     assert spark.sql("SELECT SUM(n) AS s FROM hist_day_time_test").collect()[0].s == 1
     assert v.count() == 1
+
+
+def test_written_tables_can_be_released(spark, monkeypatch):
+    import os
+
+    from roadlens import session as SE
+
+    monkeypatch.setattr(SE, "_written", [])
+    df = SE.materialise(spark.range(5), "five")
+    folder = os.path.dirname(df.inputFiles()[0]).removeprefix("file://").removeprefix("file:")
+    assert df.count() == 5 and os.path.isdir(folder)
+    assert SE.release_tables(spark) == 1 and not os.path.exists(folder) and SE.release_tables(spark) == 0
