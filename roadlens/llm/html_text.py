@@ -55,9 +55,9 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dial
 FIRM = frozenset((
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr comment comments commentlist "
     "respond replies disqus related recommended recommendations newsletter subscribe signup login popup modal breadcrumb breadcrumbs pagination pager "
-    "share sharing social copyright hidden"
+    "share sharing social copyright hidden responses discussion reactions reply guestbook subscription paywall partner partners tracking"
 ).split())
-#: ... and of parts that may still wrap it.
+#: ... and of parts that may still wrap it (inside it they are dropped too, but for its header).
 LOOSE = frozenset("nav navbar navigation menu sidebar header footer masthead topbar toolbar notice notices alert banner widget legal disclaimer search".split())
 #: ... and of parts that are the article where no such element is used.
 GOOD = frozenset("article articlebody content entry main post story".split())
@@ -165,8 +165,9 @@ class Page:
             frame.drop = frame.firm = True
         elif "" in names and frame.tag in ("div", "section", "td"):
             frame.content = True
-        elif names & LOOSE and frame.tag not in CONTENT and not any(f.content for f in self.frames):
-            frame.drop = True
+        elif names & LOOSE and frame.tag not in CONTENT:
+            inside = any(f.content for f in self.frames)  # an article's own header holds its title
+            frame.drop = not inside or bool(names & LOOSE - {"header"})
 
     def close(self, tag: str) -> None:
         if tag == "a":
