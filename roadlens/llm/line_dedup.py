@@ -1,7 +1,8 @@
 """Fuzzy line deduplication by MinHash, in DataFrame operations only.
 
-A line (white space collapsed) is the set of its character shingles: SHINGLE
-characters from the start of each word.  Equal lines collapse first, by two
+A line (white space collapsed) is the set of its character shingles: from the
+start of each word SHINGLE characters of it and the next two (short ones occur
+in too many lines to tell them apart).  Equal lines collapse first, by two
 64-bit hashes.  A line's signature is its SKETCH smallest shingle hashes; each
 pair of them is a band, so lines that share two of the four meet.  Candidates
 are verified by the exact Jaccard similarity of their shingle sets, components
@@ -11,10 +12,10 @@ keeps its first line: smallest doc_id, then smallest line number.
 No group is expanded into all pairs.  Up to SMALL lines of a band are compared
 inside one row, of which only (line, component) rows come; in a larger band
 every line is verified against one pivot, and those it does not link go on
-with BANDS bands of ROWS independent minimum hashes, again in small groups or
-against pivots, until none is left.  (In such a large band a link between a
-line that has a pivot and one that has not is left to the other bands of the
-two.)  At similarity 0.8 a pair shares a first band with
+with BANDS bands of ROWS independent minimum hashes, again in one row (up to
+FINE lines) or against pivots, until none is left.  (In such a large band a
+link between a line that has a pivot and one that has not is left to the other
+bands of the two.)  At similarity 0.8 a pair shares a first band with
 probability 0.97, at 0.9 with 0.996.
 
 Lines under MIN_WORDS words are kept as they are.  Defined results: null text
@@ -34,11 +35,12 @@ from pyspark.sql import functions as F
 from ..session import materialise
 from .common import BLANKS, components, join_counted
 
-SHINGLE = 9
+SHINGLE = 16
 MIN_WORDS = 5
 SKETCH = 4
-SMALL = 256
-ROWS, BANDS = 8, 24
+SMALL = 512
+FINE = 2048  # the same in the finer bands, where few lines meet
+ROWS, BANDS = 6, 16
 #: Rows of two longs up to which a measured table is broadcast (16 MB); above, the join shuffles.
 BROADCAST_ROWS = 500_000
 
@@ -51,30 +53,44 @@ def _doc_hash(docs: DataFrame, id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col).cast("long"), _text(text_col))
 
 
-def long_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines of MIN_WORDS words or more: doc_id, doc_hash, line_no, words, line, lid1, lid2."""
-    lines = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), _doc_hash(docs, id_col, text_col).alias("doc_hash"),
-        F.posexplode(F.split(_text(text_col), "\n")).alias("line_no", "raw"),
-    ).select("doc_id", "doc_hash", "line_no", F.array_remove(F.split("raw", BLANKS), "").alias("words")).where(F.size("words") >= MIN_WORDS)
-    return lines.withColumn("line", F.array_join("words", " ")).withColumns({"lid1": F.xxhash64("line"), "lid2": F.xxhash64(F.lit(1), F.col("line"))})
+def _words(raw: Column) -> Column:
+    return F.array_remove(F.split(raw, BLANKS), "")
+
+
+def all_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All lines: doc_id, doc_hash, line_no, words, n_words, line, lid1, lid2.
+
+    Short lines are left out only once the rows are written: a filter here would
+    be pushed below the split and split every line twice.
+    """
+    whole = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), _doc_hash(docs, id_col, text_col).alias("doc_hash"), F.split(_text(text_col), "\n").alias("raws"))
+    lines = whole.select("doc_id", "doc_hash", F.posexplode_outer("raws").alias("line_no", "raw")).select(
+        "doc_id", "doc_hash", "line_no", _words(F.col("raw")).alias("words"))
+    return lines.withColumns({"line": F.array_join("words", " "), "n_words": F.size("words")}).withColumns(
+        {"lid1": F.xxhash64("line"), "lid2": F.xxhash64(F.lit(1), F.col("line"))})
 
 
 def shingles(words: str = "words") -> Column:
-    """Set of the 64-bit hashes of a line's character shingles."""
-    reach = (SHINGLE + 1) // 2  # so many words hold SHINGLE characters at least
+    """64-bit hashes of a line's character shingles, in line order, repeats included."""
+    return F.transform(F.col(words), lambda w, i: F.xxhash64(F.substring(F.concat_ws(" ", w, F.get(F.col(words), i + 1), F.get(F.col(words), i + 2)), 1, SHINGLE)))
 
-    def one(w: Column, i: Column) -> Column:
-        later = [F.get(F.col(words), i + k) for k in range(1, reach)]
-        return F.xxhash64(F.substring(F.concat_ws(" ", w, *later), 1, SHINGLE))
 
-    return F.array_distinct(F.transform(F.col(words), one))
+def sketch(hashes: Column) -> Column:
+    """The SKETCH smallest different hashes (repeats among the smallest are few, so a
+    longer head is made distinct first and the whole set only if that falls short)."""
+    def smallest(ordered: Column) -> Column:  # bound by a one-element array: sorted once
+        head = F.array_distinct(F.slice(ordered, 1, 2 * SKETCH))
+        return F.slice(F.when((F.size(head) < SKETCH) & (F.size(ordered) > 2 * SKETCH), F.array_distinct(ordered)).otherwise(head), 1, SKETCH)
+
+    return F.transform(F.array(F.sort_array(hashes)), smallest)[0]
 
 
 def similar(a: Column, b: Column) -> Column:
     """Jaccard similarity of two sets of 0.8 or more, in whole numbers."""
     both = F.size(F.array_intersect(a, b))
-    return 5 * both >= 4 * (F.size(a) + F.size(b) - both)
+    sizes = 5 * F.least(F.size(a), F.size(b)) >= 4 * F.greatest(F.size(a), F.size(b))  # else it cannot be
+    return sizes & (5 * both >= 4 * (F.size(a) + F.size(b) - both))
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
@@ -83,7 +99,7 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
 
 def _within(members: DataFrame) -> DataFrame:
     """(member, smallest line of its component) in groups (key; lid, set) of at most
-    SMALL lines: all lines of a group are compared inside one row, and a fold over
+    SMALL (FINE) lines: all lines of a group are compared inside one row, and a fold over
     them merges the labels of the lines that each next line is similar to."""
     grouped = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("lid", "set"))).alias("m"))
 
@@ -99,30 +115,64 @@ def _within(members: DataFrame) -> DataFrame:
     return grouped.select(F.inline(F.aggregate("m", start, step))).where("lid <> label").select(F.col("lid").alias("a"), F.col("label").alias("b"))
 
 
-def _round(members: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
-    """(links, lines left) of one comparison of (key, lid, set) members."""
-    counts = members.groupBy("key").agg(F.count("*").alias("n"), F.min("lid").alias("pivot")).where("n > 1")
-    counts = materialise(counts, "bands")
-    sized = join_counted(members, counts, ["key"], "n", total)
-    small = _within(sized.where(F.col("n") <= SMALL).select("key", "lid", "set"))
-    large = sized.where(F.col("n") > SMALL)
-    pivots = materialise(large.where("lid = pivot").select("key", F.col("set").alias("pivot_set"), "n"), "pivots")
-    tried = join_counted(large.drop("n"), pivots, ["key"], "n", total)
-    tried = materialise(tried.select("key", "lid", "pivot", "set", similar(F.col("set"), F.col("pivot_set")).alias("linked")), "tried")
-    links = small.unionByName(tried.where("linked AND lid <> pivot").select(F.col("lid").alias("a"), F.col("pivot").alias("b")))
-    return materialise(links.distinct(), "line_links"), tried.where("NOT linked").select("key", "lid", "set")
+def _round(met: DataFrame, sets: DataFrame, total: int, small: int) -> tuple[DataFrame, DataFrame]:
+    """(links, (key, lid) left) of one comparison of the lines that meet under a key.
+
+    Keys often bring the same lines together: groups and pairs are made
+    distinct as ids before their sets join them.
+    """
+    counts = materialise(met.groupBy("key").agg(F.count("*").alias("n"), F.min("lid").alias("pivot")).where("n > 1"), "bands")
+    sized = join_counted(met, counts, ["key"], "n", total)
+    groups = sized.where(F.col("n") <= small).groupBy("key").agg(F.sort_array(F.collect_list("lid")).alias("ls")).select("ls").distinct()
+    members = groups.select(F.xxhash64("ls").alias("key"), F.explode("ls").alias("lid")).join(sets, "lid")
+    links = _within(members)
+    large = sized.where((F.col("n") > small) & (F.col("lid") != F.col("pivot"))).select("key", "lid", "pivot")
+    pairs = materialise(large.select("lid", "pivot").distinct(), "pairs")
+    n_pairs = pairs.count()
+    if not n_pairs:
+        return materialise(links.distinct(), "line_links"), met.where("false")
+    pivots = materialise(pairs.groupBy("pivot").agg(F.count("*").alias("n")).join(sets.select(F.col("lid").alias("pivot"), F.col("set").alias("pivot_set")), "pivot"), "pivots")
+    tried = join_counted(pairs.join(sets, "lid"), pivots, ["pivot"], "n", n_pairs)
+    tried = materialise(tried.select("lid", "pivot", similar(F.col("set"), F.col("pivot_set")).alias("linked")), "tried")
+    links = links.unionByName(tried.where("linked").select(F.col("lid").alias("a"), F.col("pivot").alias("b")))
+    left = large.join(tried.where("NOT linked"), ["lid", "pivot"]).select("key", "lid")
+    return materialise(links.distinct(), "line_links"), left
 
 
 def _bands(lines: DataFrame) -> DataFrame:
-    """(key, lid, set) for BANDS bands of ROWS independent minimum hashes."""
-    keys = [
-        F.xxhash64(F.lit(band), *[F.array_min(F.transform("set", lambda h, s=band * ROWS + r: F.xxhash64(F.lit(s), h))) for r in range(ROWS)])
-        for band in range(BANDS)
-    ]
-    return lines.select("lid", "set", F.explode(F.array(*keys)).alias("key"))
-
-
-def line_links(occurrences: DataFrame, distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(key, lid) for BANDS bands of ROWS independent minimum hashes."""
+    minima = F.transform(
+        F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)),
+        lambda seed: F.array_min(F.transform("set", lambda h: F.xxhash64(seed, h))))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice("minima", b * ROWS + 1, F.lit(ROWS))))
+    return lines.select("lid", minima.alias("minima")).select("lid", F.explode(keys).alias("key"))
+
+
+def _sets_of(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(lid, set) of ``wanted`` distinct lines (lid1, lid2, first), read again from the texts.
+
+    ``first`` tells the document and the number of a line's first occurrence, so
+    a document is joined once, with the numbers of its wanted lines, and no
+    other line is looked at.
+    """
+    last = F.lit(9223372036854775807)  # stands for a null doc_id; the hashes are checked below
+    place = F.lit("10000000000").cast("decimal(11,0)")
+    doc = F.floor(F.col("first") / place).cast("decimal(20,0)")
+    per_doc = wanted.select(
+        F.least(doc, last.cast("decimal(20,0)")).cast("long").alias("__id"),
+        F.struct((F.col("first") % place).cast("int").alias("no"), "lid1", "lid2").alias("line")
+    ).groupBy("__id").agg(F.collect_list("line").alias("wanted"))
+    per_doc = materialise(per_doc, "wanted_docs")
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("__id"), F.split(_text(text_col), "\n").alias("raw"))
+    taken = F.transform("wanted", lambda w: F.struct(w["lid1"].alias("lid1"), w["lid2"].alias("lid2"), F.get("raw", w["no"]).alias("raw")))
+    found = texts.join(_sized(per_doc, per_doc.count()), "__id").select(F.inline(taken)).select(
+        "lid1", "lid2", _words(F.col("raw")).alias("words"))
+    line = F.array_join("words", " ")
+    same = (F.xxhash64(line) == F.col("lid1")) & (F.xxhash64(F.lit(1), line) == F.col("lid2"))
+    return found.where(same).select(F.col("lid1").alias("lid"), F.array_distinct(shingles()).alias("set")).dropDuplicates(["lid"])
+
+
+def line_links(distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Verified links (a, b) between distinct lines, by their lid1."""
     pairs = [F.xxhash64(f"m{i}", f"m{j}") for i, j in combinations(range(SKETCH), 2)]
     keyed = distinct.select(F.col("lid1").alias("lid"), F.explode(F.array_distinct(F.array(*pairs))).alias("key"))
@@ -130,23 +180,18 @@ def line_links(occurrences: DataFrame, distinct: DataFrame, docs: DataFrame, id_
     n_keys, total = counts.agg(F.count("*"), F.sum("n")).first()
     if not total:
         return distinct.sparkSession.createDataFrame([], "a long, b long")
-    # the lines that meet another in some band; their sets are read again from the texts
-    met = materialise(
-        (keyed.join(F.broadcast(counts), "key") if n_keys <= BROADCAST_ROWS else join_counted(keyed, counts, ["key"], "n", total)).select("key", "lid"), "met")
-    wanted = materialise(met.select("lid").distinct().join(distinct.select(F.col("lid1").alias("lid"), "lid2", "first"), "lid").withColumnRenamed("lid", "lid1"), "wanted")
-    lines = long_lines(docs, id_col, text_col)
-    seen = lines.withColumn("first", _order()).join(_sized(wanted, wanted.count()), ["lid1", "lid2", "first"])
-    sets = materialise(seen.select(F.col("lid1").alias("lid"), shingles().alias("set")).dropDuplicates(["lid"]), "sets")
-    members = materialise(met.join(sets, "lid").select("key", "lid", "set"), "members")
-    links, left = _round(members, total)
-    out = links
-    again = materialise(left.select("lid", "set").dropDuplicates(["lid"]), "left")
+    met = keyed.join(F.broadcast(counts), "key") if n_keys <= BROADCAST_ROWS else join_counted(keyed, counts, ["key"], "n", total)
+    met = materialise(met.select("key", "lid"), "met")
+    wanted = met.select(F.col("lid").alias("lid1")).distinct().join(distinct.select("lid1", "lid2", "first"), "lid1")
+    sets = materialise(_sets_of(wanted, docs, id_col, text_col), "sets")
+    out, left = _round(met, sets, total, SMALL)
+    again = materialise(left.select("lid").distinct().join(sets, "lid"), "left")
     if again.limit(1).count():
-        members = materialise(_bands(again), "members")
-        while size := members.count():
-            links, left = _round(members, size)
+        met = materialise(_bands(again), "met")
+        while size := met.count():
+            links, left = _round(met, again, size, FINE)
             out = out.unionByName(links)
-            members = materialise(left, "members")
+            met = materialise(left, "met")
     return out
 
 
@@ -158,14 +203,14 @@ def _order() -> Column:
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, doc_hash, drop): the numbers of the lines each document loses."""
-    sketch = F.slice(F.sort_array(shingles()), 1, SKETCH)
-    rows = long_lines(docs, id_col, text_col).withColumn("sketch", sketch)
+    rows = all_lines(docs, id_col, text_col).withColumn("hashes", shingles()).withColumn("sketch", sketch(F.col("hashes")))
     low = [F.coalesce(F.get("sketch", F.lit(i)), F.get("sketch", F.lit(0))).alias(f"m{i}") for i in range(SKETCH)]
-    occurrences = materialise(rows.select("doc_id", "doc_hash", "line_no", "lid1", "lid2", *low).withColumn("first", _order()), "lines")
+    written = materialise(rows.select("doc_id", "doc_hash", "line_no", "n_words", "lid1", "lid2", *low).withColumn("first", _order()), "lines")
+    occurrences = written.where(F.col("n_words") >= MIN_WORDS)
     distinct = materialise(
         occurrences.groupBy("lid1", "lid2").agg(F.min("first").alias("first"), F.count("*").alias("n"), *[F.min(f"m{i}").alias(f"m{i}") for i in range(SKETCH)]),
         "distinct_lines")
-    roots = materialise(components(line_links(occurrences, distinct, docs, id_col, text_col)), "line_roots")
+    roots = materialise(components(line_links(distinct, docs, id_col, text_col)), "line_roots")
     joined = distinct.select("lid1", "lid2", "first", "n").join(roots.withColumnRenamed("node", "lid1"), "lid1", "left")
     placed = materialise(joined.select(
         "lid1", "lid2", "first", "n", F.coalesce("root", "lid1").alias("c1"), F.when(F.col("root").isNull(), F.col("lid2")).otherwise(0).alias("c2")), "placed_lines")

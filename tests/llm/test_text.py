@@ -143,8 +143,8 @@ def test_page_without_an_article_element():
 
 def test_page_with_wrappers_named_like_other_parts():
     page = f"""<div class="page-header with-sidebar"><main><p>{PROSE}<p>Short <b>bold</b><br>line</p><div class="ad">{OTHER}</div>
-    <p class="share">{OTHER}</p><p>Last</p></main><div id="sidebar"><p>{OTHER}</p></div></div>"""
-    assert H.main_text(page) == f"{PROSE}\nShort bold line\nLast"
+    <p class="share">{OTHER}</p><div class="entry-header"><h2>Part</h2></div><div class="site-notice">{OTHER}</div><div class="menu">{OTHER}</div><p>Last</p></main><div id="sidebar"><p>{OTHER}</p></div></div>"""
+    assert H.main_text(page) == f"{PROSE}\nShort bold line\nPart\nLast"
 
 
 def test_short_blocks_follow_the_nearest_decided_block():
@@ -175,7 +175,7 @@ def lines_without_copies(rows):
             if len(w := words(x)) >= L.MIN_WORDS:
                 key = " ".join(w)
                 first.setdefault(key, (i, n))
-                sets.setdefault(key, frozenset(" ".join(w[k:k + 5])[:9] for k in range(len(w))))
+                sets.setdefault(key, frozenset(" ".join(w[k:k + 3])[:16] for k in range(len(w))))
                 up.setdefault(key, key)
 
     def find(a):
@@ -209,15 +209,16 @@ def test_lines(odd, odd_rows, empty, small):
 def test_lines_in_large_bands(spark, monkeypatch):
     """Many near copies of few lines: bands above SMALL go to pivots and further bands."""
     monkeypatch.setattr(L, "SMALL", 4)
+    monkeypatch.setattr(L, "FINE", 6)
     r = random.Random(6)
     names = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
-    passage, rows = [r.choice(names) for _ in range(60)], []
+    passage, rows = [r.choice(names) for _ in range(150)], []
     for k in range(60):
         line = list(passage)
-        line[r.randrange(60)] = r.choice(names)  # a near copy
+        line[r.randrange(150)] = r.choice(names)  # a near copy
         rows.append((k, " ".join(line)))
     for k in range(60, 120):  # the same passage between words of its own: not alike
-        rows.append((k, " ".join([r.choice(names) for _ in range(24)] + passage + [r.choice(names) for _ in range(24)])))
+        rows.append((k, " ".join([r.choice(names) for _ in range(60)] + passage + [r.choice(names) for _ in range(60)])))
     got = L.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == lines_without_copies(rows)
 
