@@ -71,6 +71,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     spark = edges.sparkSession
     left = F.least(F.col(a), F.col(b)).alias("a"), F.greatest(F.col(a), F.col(b)).alias("b")
+    # n counts an id on either side, so the sums below are twice the edges: fewer than 2 * HOT_KEYS hot ids
     now = materialise(edges.where(F.col(a) != F.col(b)).select(*left).distinct(), "edges")
     rounds: list[DataFrame] = []
     while total := now.count():
