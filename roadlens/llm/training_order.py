@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import SLICE_ROWS
 
 LENGTH = 2048
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 KEY = 0x5EED
 ROUNDS = 6
 #: Byte vocabulary: a token is a byte of the UTF-8 text; two bytes that UTF-8 never uses end and pad.
