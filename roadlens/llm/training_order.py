@@ -32,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,7 +137,7 @@ def _partitions(tokens: DataFrame, width: int) -> DataFrame:
 
 
 def pieces(tokens: DataFrame, width: int = 1, end: int = END, pad: int = PAD, length: int = LENGTH, key: int = KEY, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, Layout]:
-    """(slot, at, shard, piece) rows that make up all sequences, and the layout."""
+    """(slot, at, shard, compressed piece) rows that make up all sequences, and the layout."""
     spark = tokens.sparkSession
     known, before = [], 0
     for r in _partitions(tokens, width).orderBy("part").collect():  # one row per scan partition
@@ -148,6 +149,7 @@ def pieces(tokens: DataFrame, width: int = 1, end: int = END, pad: int = PAD, le
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, at, docs, sums, want = layout.order, None, 0, 0, None
+        pack = zstandard.ZstdCompressor(level=1).compress  # halves what crosses the shuffle
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(lo, SLICE_ROWS)
@@ -162,7 +164,7 @@ def pieces(tokens: DataFrame, width: int = 1, end: int = END, pad: int = PAD, le
                         piece = stream[done:done + (length - within) * width]
                         seqs.append(seq)
                         ats.append(within)
-                        data.append(piece)
+                        data.append(pack(piece))
                         done += len(piece)
                         at += len(piece) // width
                 docs += part.num_rows
@@ -170,7 +172,7 @@ def pieces(tokens: DataFrame, width: int = 1, end: int = END, pad: int = PAD, le
                 if at == layout.n_tokens and layout.n_tokens % length:  # the end of the stream is padded
                     seqs.append(at // length)
                     ats.append(at % length)
-                    data.append(pad_bytes * (length - at % length))
+                    data.append(pack(pad_bytes * (length - at % length)))
                 slots = order.slot(seqs)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(slots), pa.array(ats, pa.int32()), pa.array((slots // layout.per_shard).astype(np.int32)), pa.array(data, pa.binary())],
@@ -189,14 +191,15 @@ def write_shards(tokens: DataFrame, path: str, **options) -> Layout:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, held, n, now = layout.length * layout.width, [], 0, None
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
             for slot, piece in zip(batch.column("slot").to_pylist(), batch.column("piece").to_pylist()):
                 if n and slot != now:
                     raise RuntimeError(f"slot {now} has {n} of {size} bytes")
                 now = slot
-                held.append(piece)
-                n += len(piece)
+                held.append(unpack(piece))
+                n += len(held[-1])
                 if n == size:
                     out.append(b"".join(held))
                     held, n = [], 0
