@@ -1,10 +1,14 @@
 """Fuzzy line deduplication by MinHash, in DataFrame operations only.
 
-A line (white space collapsed) is the set of its character shingles: from the
-start of each word SHINGLE characters of it and the next two (short ones occur
-in too many lines to tell them apart).  Equal lines collapse first, by two
-64-bit hashes.  A line's signature is its SKETCH smallest shingle hashes; each
-pair of them is a band, so lines that share two of the four meet.  Candidates
+A line (white space collapsed) is the set of its character shingles.  With
+``every_position`` (the registered query) these are SPAN characters from each
+character position, so every character of every word counts; a line shorter
+than that is one shingle.  The default takes them at word starts only: SHINGLE
+characters of a word and the next two.  Equal lines collapse first, by two
+64-bit hashes.  The signature at every position is one-permutation MinHash:
+BINS ranges of the shingle hashes, each with its smallest hash (an empty range
+takes that of the next), and every KEYS-th range in a band of four, KEYS bands.
+The default's is its SKETCH smallest hashes, each pair a band.  Candidates
 are verified by the exact Jaccard similarity of their shingle sets, components
 come from distributed contraction (``common.components``), and each component
 keeps its first line: smallest doc_id, then smallest line number.
@@ -16,7 +20,7 @@ with BANDS bands of ROWS independent minimum hashes, again in one row (up to
 FINE lines) or against pivots, until none is left.  (In such a large band a
 link between a line that has a pivot and one that has not is left to the other
 bands of the two.)  At similarity 0.8 a pair shares a first band with
-probability 0.97, at 0.9 with 0.996.
+probability 0.97, at 0.9 with 0.996; at every position with 0.999 and more.
 
 Lines under MIN_WORDS words are kept as they are.  Defined results: null text
 counts as empty; blank and short lines always stay; rows that repeat doc_id
@@ -36,6 +40,8 @@ from ..session import materialise
 from .common import BLANKS, components, join_counted
 
 SHINGLE = 16
+SPAN = 9  # characters of a shingle at every position
+BINS, KEYS = 64, 16
 MIN_WORDS = 5
 SKETCH = 4
 SMALL = 512
@@ -76,6 +82,31 @@ def shingles(words: str = "words") -> Column:
     return F.transform(F.col(words), lambda w, i: F.xxhash64(F.substring(F.concat_ws(" ", w, F.get(F.col(words), i + 1), F.get(F.col(words), i + 2)), 1, SHINGLE)))
 
 
+def positions(line: str = "line") -> Column:
+    """64-bit hashes of the SPAN characters from each position of a line, repeats included."""
+    def cut(chars: Column) -> Column:  # four bytes a character: each is reached without a scan
+        last = F.greatest(F.octet_length(chars) / 4 - SPAN, F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(chars, i * 4 + 1, F.lit(4 * SPAN))))
+
+    return F.transform(F.array(F.encode(F.col(line), "UTF-32")), cut)[0]
+
+
+def position_bands(hashes: Column) -> Column:
+    """KEYS band keys of a line from its shingle hashes."""
+    def place(x: Column) -> Column:
+        return F.shiftright(x, 64 - (BINS - 1).bit_length()).cast("int")  # from -BINS / 2
+
+    def smallest(s: Column) -> Column:  # of each range that holds a hash
+        return F.filter(s, lambda x, i: (i == 0) | (place(x) != place(F.get(s, i - 1))))
+
+    def fill(m: Column) -> Column:  # ranges without one, the last ones from the first
+        known = F.transform(m, lambda x, i: F.array_repeat(x, place(x) - F.coalesce(place(F.get(m, i - 1)), F.lit(-BINS // 2 - 1))))
+        return F.concat(F.flatten(known), F.array_repeat(F.get(m, F.lit(0)), F.lit(BINS // 2 - 1) - place(F.element_at(m, -1))))
+
+    full = F.transform(F.transform(F.array(F.sort_array(hashes)), smallest), fill)
+    return F.transform(full, lambda f: F.array(*[F.xxhash64(F.lit(k), *[F.get(f, F.lit(at)) for at in range(k, BINS, KEYS)]) for k in range(KEYS)]))[0]
+
+
 def sketch(hashes: Column) -> Column:
     """The SKETCH smallest different hashes (repeats among the smallest are few, so a
     longer head is made distinct first and the whole set only if that falls short)."""
@@ -148,7 +179,7 @@ def _bands(lines: DataFrame) -> DataFrame:
     return lines.select("lid", minima.alias("minima")).select("lid", F.explode(keys).alias("key"))
 
 
-def _sets_of(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _sets_of(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, every_position: bool) -> DataFrame:
     """(lid, set) of ``wanted`` distinct lines (lid1, lid2, first), read again from the texts.
 
     ``first`` tells the document and the number of a line's first occurrence, so
@@ -166,15 +197,15 @@ def _sets_of(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), last).alias("__id"), F.split(_text(text_col), "\n").alias("raw"))
     taken = F.transform("wanted", lambda w: F.struct(w["lid1"].alias("lid1"), w["lid2"].alias("lid2"), F.get("raw", w["no"]).alias("raw")))
     found = texts.join(_sized(per_doc, per_doc.count()), "__id").select(F.inline(taken)).select(
-        "lid1", "lid2", _words(F.col("raw")).alias("words"))
-    line = F.array_join("words", " ")
-    same = (F.xxhash64(line) == F.col("lid1")) & (F.xxhash64(F.lit(1), line) == F.col("lid2"))
-    return found.where(same).select(F.col("lid1").alias("lid"), F.array_distinct(shingles()).alias("set")).dropDuplicates(["lid"])
+        "lid1", "lid2", _words(F.col("raw")).alias("words")).withColumn("line", F.array_join("words", " "))
+    same = (F.xxhash64("line") == F.col("lid1")) & (F.xxhash64(F.lit(1), F.col("line")) == F.col("lid2"))
+    hashes = positions() if every_position else shingles()
+    return found.where(same).select(F.col("lid1").alias("lid"), F.array_distinct(hashes).alias("set")).dropDuplicates(["lid"])
 
 
-def line_links(distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def line_links(distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str, every_position: bool = False) -> DataFrame:
     """Verified links (a, b) between distinct lines, by their lid1."""
-    pairs = [F.xxhash64(f"m{i}", f"m{j}") for i, j in combinations(range(SKETCH), 2)]
+    pairs = [F.col(f"m{k}") for k in range(KEYS)] if every_position else [F.xxhash64(f"m{i}", f"m{j}") for i, j in combinations(range(SKETCH), 2)]
     keyed = distinct.select(F.col("lid1").alias("lid"), F.explode(F.array_distinct(F.array(*pairs))).alias("key"))
     counts = materialise(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "band_sizes")
     n_keys, total = counts.agg(F.count("*"), F.sum("n")).first()
@@ -183,7 +214,7 @@ def line_links(distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str)
     met = keyed.join(F.broadcast(counts), "key") if n_keys <= BROADCAST_ROWS else join_counted(keyed, counts, ["key"], "n", total)
     met = materialise(met.select("key", "lid"), "met")
     wanted = met.select(F.col("lid").alias("lid1")).distinct().join(distinct.select("lid1", "lid2", "first"), "lid1")
-    sets = materialise(_sets_of(wanted, docs, id_col, text_col), "sets")
+    sets = materialise(_sets_of(wanted, docs, id_col, text_col, every_position), "sets")
     out, left = _round(met, sets, total, SMALL)
     again = materialise(left.select("lid").distinct().join(sets, "lid"), "left")
     if again.limit(1).count():
@@ -201,16 +232,20 @@ def _order() -> Column:
     return (F.coalesce(F.col("doc_id").cast("decimal(20,0)"), last) * F.lit("10000000000").cast("decimal(11,0)") + F.col("line_no")).cast("decimal(38,0)")
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every_position: bool = False) -> DataFrame:
     """(doc_id, doc_hash, drop): the numbers of the lines each document loses."""
-    rows = all_lines(docs, id_col, text_col).withColumn("hashes", shingles()).withColumn("sketch", sketch(F.col("hashes")))
-    low = [F.coalesce(F.get("sketch", F.lit(i)), F.get("sketch", F.lit(0))).alias(f"m{i}") for i in range(SKETCH)]
+    rows = all_lines(docs, id_col, text_col)
+    if every_position:
+        rows = rows.withColumn("sketch", position_bands(positions()))
+    else:
+        rows = rows.withColumn("hashes", shingles()).withColumn("sketch", sketch(F.col("hashes")))
+    low = [F.coalesce(F.get("sketch", F.lit(i)), F.get("sketch", F.lit(0))).alias(f"m{i}") for i in range(KEYS if every_position else SKETCH)]
     written = materialise(rows.select("doc_id", "doc_hash", "line_no", "n_words", "lid1", "lid2", *low).withColumn("first", _order()), "lines")
     occurrences = written.where(F.col("n_words") >= MIN_WORDS)
     distinct = materialise(
-        occurrences.groupBy("lid1", "lid2").agg(F.min("first").alias("first"), F.count("*").alias("n"), *[F.min(f"m{i}").alias(f"m{i}") for i in range(SKETCH)]),
+        occurrences.groupBy("lid1", "lid2").agg(F.min("first").alias("first"), F.count("*").alias("n"), *[F.min(f"m{i}").alias(f"m{i}") for i in range(len(low))]),
         "distinct_lines")
-    roots = materialise(components(line_links(distinct, docs, id_col, text_col)), "line_roots")
+    roots = materialise(components(line_links(distinct, docs, id_col, text_col, every_position)), "line_roots")
     joined = distinct.select("lid1", "lid2", "first", "n").join(roots.withColumnRenamed("node", "lid1"), "lid1", "left")
     placed = materialise(joined.select(
         "lid1", "lid2", "first", "n", F.coalesce("root", "lid1").alias("c1"), F.when(F.col("root").isNull(), F.col("lid2")).otherwise(0).alias("c2")), "placed_lines")
@@ -222,9 +257,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return materialise(dropped.groupBy("doc_id", "doc_hash").agg(F.collect_set("line_no").alias("drop")), "dropped")
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every_position: bool = False) -> DataFrame:
     """One row per document: doc_id, n_lines, n_dropped, text (without the dropped lines)."""
-    dropped = repeated_lines(docs, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("doc_hash").alias("__hash"), "drop")
+    dropped = repeated_lines(docs, id_col, text_col, every_position).select(F.col("doc_id").alias("__id"), F.col("doc_hash").alias("__hash"), "drop")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text(text_col).alias("text"), _doc_hash(docs, id_col, text_col).alias("__doc_hash"))
     same = (F.col("__doc_hash") == F.col("__hash")) & F.col("doc_id").eqNullSafe(F.col("__id"))
     joined = rows.join(_sized(dropped, dropped.count()), same, "left").withColumn("lines", F.split("text", "\n"))

@@ -84,5 +84,5 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.deduplicated(table(spark, sf_dir, "documents")).select(
+    return line_dedup.deduplicated(table(spark, sf_dir, "documents"), every_position=True).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
