@@ -22,8 +22,9 @@ link between a line that has a pivot and one that has not is left to the other
 bands of the two.)  At similarity 0.8 a pair shares a first band with
 probability 0.97, at 0.9 with 0.996; at every position with 0.999 and more.
 
-Lines under MIN_WORDS words are kept as they are.  Defined results: null text
-counts as empty; blank and short lines always stay; rows that repeat doc_id
+At every position there is no floor: every line that is not blank takes part.
+The default keeps lines under MIN_WORDS words as they are.  Defined results: null
+text counts as empty; blank lines always stay; rows that repeat doc_id
 and text are treated as one document, and rows that repeat a doc_id with other
 text as versions of it (a line first seen there stays in each); a null doc_id
 sorts last; an empty table gives an empty result; extra columns are ignored.
@@ -241,7 +242,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         rows = rows.withColumn("hashes", shingles()).withColumn("sketch", sketch(F.col("hashes")))
     low = [F.coalesce(F.get("sketch", F.lit(i)), F.get("sketch", F.lit(0))).alias(f"m{i}") for i in range(KEYS if every_position else SKETCH)]
     written = materialise(rows.select("doc_id", "doc_hash", "line_no", "n_words", "lid1", "lid2", *low).withColumn("first", _order()), "lines")
-    occurrences = written.where(F.col("n_words") >= MIN_WORDS)
+    occurrences = written.where(F.col("n_words") >= (1 if every_position else MIN_WORDS))
     distinct = materialise(
         occurrences.groupBy("lid1", "lid2").agg(F.min("first").alias("first"), F.count("*").alias("n"), *[F.min(f"m{i}").alias(f"m{i}") for i in range(len(low))]),
         "distinct_lines")

@@ -54,3 +54,10 @@ def test_one_changed_word_and_long_words(spark):
     rows = [(1, line), (2, line.replace("road", "path")), (3, f"{url}{'x' * 60} {tail}"), (4, f"{url}{'y' * 60} {tail}"), (5, "x" * 40 + " " + tail), (6, "x" * 30 + "y" * 10 + " " + tail)]
     want = [(1, line), (2, "")] + rows[2:]
     assert kept(spark.createDataFrame(rows, "doc_id long, text string")) == want == without_copies(rows)
+
+
+def test_short_and_unspaced_lines(spark):
+    script = "".join(chr(0x4E00 + k * 37 % 900) for k in range(120))
+    rows = [(1, "Les.\n\nRead more"), (2, "Les.\n \nRead more\nRead less"), (3, script), (4, script[:60] + chr(0x5F00) + script[61:]), (5, "Les"), (6, "12345678a"), (7, "12345678b")]
+    want = [(1, "Les.\n\nRead more"), (2, " \nRead less"), (3, script), (4, "")] + rows[4:]
+    assert kept(spark.createDataFrame(rows, "doc_id long, text string")) == want == without_copies(rows)
