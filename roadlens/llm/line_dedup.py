@@ -13,13 +13,11 @@ are verified by the exact Jaccard similarity of their shingle sets, components
 come from distributed contraction (``common.components``), and each component
 keeps its first line: smallest doc_id, then smallest line number.
 
-No group is expanded into all pairs.  Up to SMALL lines of a band are compared
-inside one row, of which only (line, component) rows come; in a larger band
-every line is verified against one pivot, and those it does not link go on
-with BANDS bands of ROWS independent minimum hashes, again in one row (up to
-FINE lines) or against pivots, until none is left.  (In such a large band a
-link between a line that has a pivot and one that has not is left to the other
-bands of the two.)  At similarity 0.8 a pair shares a first band with
+No group is expanded into all pairs of rows.  Up to SMALL lines of a band are
+compared inside one row, of which only (line, component) rows come.  A larger
+band is dealt into blocks, and each two blocks (FINE lines) are compared inside
+one row, so every two lines that share a band are compared, whatever its size.
+At similarity 0.8 a pair shares a first band with
 probability 0.97, at 0.9 with 0.996; at every position with 0.999 and more.
 
 At every position there is no floor: every line that is not blank takes part.
@@ -46,8 +44,7 @@ BINS, KEYS = 64, 16
 MIN_WORDS = 5
 SKETCH = 4
 SMALL = 512
-FINE = 2048  # the same in the finer bands, where few lines meet
-ROWS, BANDS = 6, 16
+FINE = 2048  # lines in two blocks of a larger band
 #: Rows of two longs up to which a measured table is broadcast (16 MB); above, the join shuffles.
 BROADCAST_ROWS = 500_000
 
@@ -78,18 +75,18 @@ def all_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         {"lid1": F.xxhash64("line"), "lid2": F.xxhash64(F.lit(1), F.col("line"))})
 
 
-def shingles(words: str = "words") -> Column:
+def shingles(words: Column) -> Column:
     """64-bit hashes of a line's character shingles, in line order, repeats included."""
-    return F.transform(F.col(words), lambda w, i: F.xxhash64(F.substring(F.concat_ws(" ", w, F.get(F.col(words), i + 1), F.get(F.col(words), i + 2)), 1, SHINGLE)))
+    return F.transform(words, lambda w, i: F.xxhash64(F.substring(F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)), 1, SHINGLE)))
 
 
-def positions(line: str = "line") -> Column:
+def positions(line: Column) -> Column:
     """64-bit hashes of the SPAN characters from each position of a line, repeats included."""
     def cut(chars: Column) -> Column:  # four bytes a character: each is reached without a scan
         last = F.greatest(F.octet_length(chars) / 4 - SPAN, F.lit(0)).cast("int")
         return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.substring(chars, i * 4 + 1, F.lit(4 * SPAN))))
 
-    return F.transform(F.array(F.encode(F.col(line), "UTF-32")), cut)[0]
+    return F.transform(F.array(F.encode(line, "UTF-32")), cut)[0]
 
 
 def position_bands(hashes: Column) -> Column:
@@ -129,59 +126,56 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _within(members: DataFrame) -> DataFrame:
-    """(member, smallest line of its component) in groups (key; lid, set) of at most
-    SMALL (FINE) lines: all lines of a group are compared inside one row, and a fold over
-    them merges the labels of the lines that each next line is similar to."""
-    grouped = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("lid", "set"))).alias("m"))
+def _set(line: Column, every_position: bool) -> Column:
+    if every_position:
+        return F.array_distinct(positions(line))
+    return F.transform(F.array(F.split(line, " ")), lambda words: F.array_distinct(shingles(words)))[0]
+
+
+def _within(members: DataFrame, every_position: bool) -> DataFrame:
+    """(member, smallest line of its component) in groups (key; lid, block, line): the lines
+    of a group are compared inside one row, and a fold over them merges the labels of the
+    lines that each next line is similar to.  Lines of one block (not null) are not compared.
+    Lines cross the shuffle as text, which is shorter than their sets."""
+    listed = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("lid", "block", "line"))).alias("m"))
+    grouped = listed.select(F.transform("m", lambda x: F.struct(x["lid"].alias("lid"), x["block"].alias("block"), _set(x["line"], every_position).alias("set"))).alias("m"))
 
     def step(done: Column, x: Column) -> Column:
-        hit = F.transform(F.filter(done, lambda y: similar(x["set"], y["set"])), lambda y: y["label"])
+        apart = lambda y: F.coalesce(x["block"] != y["block"], F.lit(True))
+        hit = F.transform(F.filter(done, lambda y: apart(y) & similar(x["set"], y["set"])), lambda y: y["label"])
         # a one-element array binds `hit`, so it is computed once per step
         return F.transform(F.array(hit), lambda h: F.concat(
-            F.transform(done, lambda y: F.struct(F.when(F.array_contains(h, y["label"]), F.array_min(h)).otherwise(y["label"]).alias("label"), y["set"].alias("set"), y["lid"].alias("lid"))),
-            F.array(F.struct(F.coalesce(F.array_min(h), x["lid"]).alias("label"), x["set"].alias("set"), x["lid"].alias("lid"))),
+            F.transform(done, lambda y: F.struct(
+                F.when(F.array_contains(h, y["label"]), F.array_min(h)).otherwise(y["label"]).alias("label"), y["set"].alias("set"), y["lid"].alias("lid"), y["block"].alias("block"))),
+            F.array(F.struct(F.coalesce(F.array_min(h), x["lid"]).alias("label"), x["set"].alias("set"), x["lid"].alias("lid"), x["block"].alias("block"))),
         ))[0]
 
-    start = F.array().cast("array<struct<label:bigint,set:array<bigint>,lid:bigint>>")
+    start = F.array().cast("array<struct<label:bigint,set:array<bigint>,lid:bigint,block:bigint>>")
     return grouped.select(F.inline(F.aggregate("m", start, step))).where("lid <> label").select(F.col("lid").alias("a"), F.col("label").alias("b"))
 
 
-def _round(met: DataFrame, sets: DataFrame, total: int, small: int) -> tuple[DataFrame, DataFrame]:
-    """(links, (key, lid) left) of one comparison of the lines that meet under a key.
+def _compared(met: DataFrame, lines: DataFrame, total: int, every_position: bool) -> DataFrame:
+    """Links of the lines that meet under a key.
 
-    Keys often bring the same lines together: groups and pairs are made
-    distinct as ids before their sets join them.
+    Keys often bring the same lines together: groups are made distinct as ids
+    before their lines (lid, line) join them.
     """
-    counts = materialise(met.groupBy("key").agg(F.count("*").alias("n"), F.min("lid").alias("pivot")).where("n > 1"), "bands")
+    counts = materialise(met.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bands")
     sized = join_counted(met, counts, ["key"], "n", total)
-    groups = sized.where(F.col("n") <= small).groupBy("key").agg(F.sort_array(F.collect_list("lid")).alias("ls")).select("ls").distinct()
-    members = groups.select(F.xxhash64("ls").alias("key"), F.explode("ls").alias("lid")).join(sets, "lid")
-    links = _within(members)
-    large = sized.where((F.col("n") > small) & (F.col("lid") != F.col("pivot"))).select("key", "lid", "pivot")
-    pairs = materialise(large.select("lid", "pivot").distinct(), "pairs")
-    n_pairs = pairs.count()
-    if not n_pairs:
-        return materialise(links.distinct(), "line_links"), met.where("false")
-    pivots = materialise(pairs.groupBy("pivot").agg(F.count("*").alias("n")).join(sets.select(F.col("lid").alias("pivot"), F.col("set").alias("pivot_set")), "pivot"), "pivots")
-    tried = join_counted(pairs.join(sets, "lid"), pivots, ["pivot"], "n", n_pairs)
-    tried = materialise(tried.select("lid", "pivot", similar(F.col("set"), F.col("pivot_set")).alias("linked")), "tried")
-    links = links.unionByName(tried.where("linked").select(F.col("lid").alias("a"), F.col("pivot").alias("b")))
-    left = large.join(tried.where("NOT linked"), ["lid", "pivot"]).select("key", "lid")
-    return materialise(links.distinct(), "line_links"), left
-
-
-def _bands(lines: DataFrame) -> DataFrame:
-    """(key, lid) for BANDS bands of ROWS independent minimum hashes."""
-    minima = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)),
-        lambda seed: F.array_min(F.transform("set", lambda h: F.xxhash64(seed, h))))
-    keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice("minima", b * ROWS + 1, F.lit(ROWS))))
-    return lines.select("lid", minima.alias("minima")).select("lid", F.explode(keys).alias("key"))
-
-
-def _sets_of(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, every_position: bool) -> DataFrame:
-    """(lid, set) of ``wanted`` distinct lines (lid1, lid2, first), read again from the texts.
+    none = F.lit(None).cast("long")
+    small = sized.where(F.col("n") <= SMALL).select("key", none.alias("lo"), none.alias("hi"), "lid", none.alias("block"))
+    width = F.ceil(F.col("n") / (FINE // 2))
+    large = sized.where(F.col("n") > SMALL).select("key", "lid", width.alias("width"), F.pmod(F.xxhash64("lid"), width).alias("own"))
+    dealt = large.select("key", "lid", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("width") - 1)).alias("other"))
+    # in the group of a block with itself all lines are compared, in the others only across
+    dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "lid", F.when(F.col("own") != F.col("other"), F.col("own")).alias("block"))
+    listed = small.unionByName(dealt).groupBy("key", "lo", "hi").agg(F.sort_array(F.collect_list(F.struct("lid", "block"))).alias("ls")).select("ls").distinct()
+    members = listed.select(F.xxhash64("ls").alias("key"), F.explode("ls").alias("x")).select("key", "x.lid", "x.block")
+    return materialise(_within(members.join(lines, "lid"), every_position).distinct(), "line_links")
+
+
+def _lines_of(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(lid, line) of ``wanted`` distinct lines (lid1, lid2, first), read again from the texts.
 
     ``first`` tells the document and the number of a line's first occurrence, so
     a document is joined once, with the numbers of its wanted lines, and no
@@ -200,8 +194,7 @@ def _sets_of(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, eve
     found = texts.join(_sized(per_doc, per_doc.count()), "__id").select(F.inline(taken)).select(
         "lid1", "lid2", _words(F.col("raw")).alias("words")).withColumn("line", F.array_join("words", " "))
     same = (F.xxhash64("line") == F.col("lid1")) & (F.xxhash64(F.lit(1), F.col("line")) == F.col("lid2"))
-    hashes = positions() if every_position else shingles()
-    return found.where(same).select(F.col("lid1").alias("lid"), F.array_distinct(hashes).alias("set")).dropDuplicates(["lid"])
+    return found.where(same).select(F.col("lid1").alias("lid"), "line").dropDuplicates(["lid"])
 
 
 def line_links(distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str, every_position: bool = False) -> DataFrame:
@@ -215,16 +208,8 @@ def line_links(distinct: DataFrame, docs: DataFrame, id_col: str, text_col: str,
     met = keyed.join(F.broadcast(counts), "key") if n_keys <= BROADCAST_ROWS else join_counted(keyed, counts, ["key"], "n", total)
     met = materialise(met.select("key", "lid"), "met")
     wanted = met.select(F.col("lid").alias("lid1")).distinct().join(distinct.select("lid1", "lid2", "first"), "lid1")
-    sets = materialise(_sets_of(wanted, docs, id_col, text_col, every_position), "sets")
-    out, left = _round(met, sets, total, SMALL)
-    again = materialise(left.select("lid").distinct().join(sets, "lid"), "left")
-    if again.limit(1).count():
-        met = materialise(_bands(again), "met")
-        while size := met.count():
-            links, left = _round(met, again, size, FINE)
-            out = out.unionByName(links)
-            met = materialise(left, "met")
-    return out
+    lines = materialise(_lines_of(wanted, docs, id_col, text_col), "candidates")
+    return _compared(met, lines, total, every_position)
 
 
 def _order() -> Column:
@@ -237,9 +222,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(doc_id, doc_hash, drop): the numbers of the lines each document loses."""
     rows = all_lines(docs, id_col, text_col)
     if every_position:
-        rows = rows.withColumn("sketch", position_bands(positions()))
+        rows = rows.withColumn("sketch", position_bands(positions(F.col("line"))))
     else:
-        rows = rows.withColumn("hashes", shingles()).withColumn("sketch", sketch(F.col("hashes")))
+        rows = rows.withColumn("hashes", shingles(F.col("words"))).withColumn("sketch", sketch(F.col("hashes")))
     low = [F.coalesce(F.get("sketch", F.lit(i)), F.get("sketch", F.lit(0))).alias(f"m{i}") for i in range(KEYS if every_position else SKETCH)]
     written = materialise(rows.select("doc_id", "doc_hash", "line_no", "n_words", "lid1", "lid2", *low).withColumn("first", _order()), "lines")
     occurrences = written.where(F.col("n_words") >= (1 if every_position else MIN_WORDS))

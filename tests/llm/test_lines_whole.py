@@ -61,3 +61,60 @@ def test_short_and_unspaced_lines(spark):
     rows = [(1, "Les.\n\nRead more"), (2, "Les.\n \nRead more\nRead less"), (3, script), (4, script[:60] + chr(0x5F00) + script[61:]), (5, "Les"), (6, "12345678a"), (7, "12345678b")]
     want = [(1, "Les.\n\nRead more"), (2, " \nRead less"), (3, script), (4, "")] + rows[4:]
     assert kept(spark.createDataFrame(rows, "doc_id long, text string")) == want == without_copies(rows)
+
+
+def large_bands():
+    """Sixty-word lines: near copies of a passage, chains of edits, and the passage among other words."""
+    r = random.Random(8)
+    names = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
+    passage, rows = [r.choice(names) for _ in range(60)], []
+    line = list(passage)
+    for k in range(90):  # each differs in one word from the one before
+        line[r.randrange(60)] = r.choice(names)
+        rows.append((k, " ".join(line)))
+    for k in range(90, 150):
+        line = list(passage)
+        for _ in range(r.randrange(1, 5)):
+            line[r.randrange(60)] = r.choice(names)
+        rows.append((k, " ".join(line)))
+    for k in range(150, 180):
+        rows.append((k, " ".join([r.choice(names) for _ in range(30)] + passage + [r.choice(names) for _ in range(30)])))
+    return rows
+
+
+@pytest.mark.parametrize("small, fine", [(4, 6), (16, 32)])
+def test_every_two_lines_of_a_large_band_are_compared(spark, monkeypatch, small, fine):
+    monkeypatch.setattr(L, "SMALL", small)
+    monkeypatch.setattr(L, "FINE", fine)
+    rows = large_bands()
+    assert kept(spark.createDataFrame(rows, "doc_id long, text string")) == without_copies(rows)
+
+
+def test_one_large_band_in_full(spark, monkeypatch):
+    """One key for all lines: the links are those of all pairs."""
+    monkeypatch.setattr(L, "SMALL", 4)
+    monkeypatch.setattr(L, "FINE", 6)
+    texts = sorted({t for _, t in large_bands()})
+    sets = {k: {t[i:i + 9] for i in range(len(t) - 8)} for k, t in enumerate(texts)}
+    up = {k: k for k in sets}
+
+    def find(a):
+        while up[a] != a:
+            a = up[a]
+        return a
+
+    for a in sets:
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both):
+                up[find(a)] = find(b)
+    met = spark.createDataFrame([(1, k) for k in sets], "key long, lid long")
+    found = L._compared(met, spark.createDataFrame(list(enumerate(texts)), "lid long, line string"), len(sets), True)
+    got = {r.node: r.root for r in L.components(found).collect()}
+    want = {k: find(k) for k in sets}
+    groups = lambda of: {frozenset(x for x in of if of[x] == v) for v in of.values()}
+    assert groups(got) == {g for g in groups(want) if len(g) > 1}
+
+
+def test_every_position_on_data(small):
+    assert kept(small) == without_copies([(r.doc_id, r.text) for r in small.collect()])
