@@ -132,14 +132,22 @@ def _set(line: Column, every_position: bool) -> Column:
     return F.transform(F.array(F.split(line, " ")), lambda words: F.array_distinct(shingles(words)))[0]
 
 
-def _within(members: DataFrame, every_position: bool) -> DataFrame:
-    """(member, smallest line of its component) in groups (key; lid, block, line): the lines
-    of a group are compared inside one row, and a fold over them merges the labels of the
-    lines that each next line is similar to.  Lines of one block (not null) are not compared.
-    Lines cross the shuffle as text, which is shorter than their sets."""
+def _within(members: DataFrame) -> DataFrame:
+    """(member, smallest line of its component) in groups (key; lid, set): all lines of a
+    group are compared inside one row."""
+    member = F.struct("lid", F.lit(None).cast("long").alias("block"), "set")
+    return _folded(members.groupBy("key").agg(F.sort_array(F.collect_list(member)).alias("m")))
+
+
+def _within_texts(members: DataFrame, every_position: bool) -> DataFrame:
+    """The same in groups (key; lid, block, line), without comparing lines of one block (not
+    null).  Lines cross the shuffle as text, which is shorter than their sets."""
     listed = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("lid", "block", "line"))).alias("m"))
-    grouped = listed.select(F.transform("m", lambda x: F.struct(x["lid"].alias("lid"), x["block"].alias("block"), _set(x["line"], every_position).alias("set"))).alias("m"))
+    return _folded(listed.select(F.transform("m", lambda x: F.struct(x["lid"].alias("lid"), x["block"].alias("block"), _set(x["line"], every_position).alias("set"))).alias("m")))
+
 
+def _folded(grouped: DataFrame) -> DataFrame:
+    """A fold over the lines of a row merges the labels of those that each next line is similar to."""
     def step(done: Column, x: Column) -> Column:
         apart = lambda y: F.coalesce(x["block"] != y["block"], F.lit(True))
         hit = F.transform(F.filter(done, lambda y: apart(y) & similar(x["set"], y["set"])), lambda y: y["label"])
@@ -171,7 +179,7 @@ def _compared(met: DataFrame, lines: DataFrame, total: int, every_position: bool
     dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "lid", F.when(F.col("own") != F.col("other"), F.col("own")).alias("block"))
     listed = small.unionByName(dealt).groupBy("key", "lo", "hi").agg(F.sort_array(F.collect_list(F.struct("lid", "block"))).alias("ls")).select("ls").distinct()
     members = listed.select(F.xxhash64("ls").alias("key"), F.explode("ls").alias("x")).select("key", "x.lid", "x.block")
-    return materialise(_within(members.join(lines, "lid"), every_position).distinct(), "line_links")
+    return materialise(_within_texts(members.join(lines, "lid"), every_position).distinct(), "line_links")
 
 
 def _lines_of(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
