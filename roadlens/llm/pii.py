@@ -6,8 +6,9 @@ numpy on labelled spans, gives tag scores; a linear-chain CRF ties the tags of
 neighbours.  Texts are read whole in overlapping windows; where windows
 overlap their scores are averaged by distance from the window's edge, and one
 Viterbi pass per region decides globally, so no window border cuts a span.
-Every span of these kinds holds a digit or "@", so a stretch farther than
-CONTEXT characters from any such character cannot hold one and has no window.
+Every span that passes the exact check of its kind holds a digit, "@" or a
+written-out one ("(at)", "[at]"), so regions open at these; a region goes CONTEXT
+characters beyond them, and at least over the whole name and host around an "@".
 An added span must pass the exact check of its kind and touch no base span.
 
 Training: the labelled spans are the base spans of about ``sample_rows`` rows
@@ -45,6 +46,7 @@ SAMPLE_ROWS = 20_000
 HIDDEN = 16
 EMBED = 12
 EPOCHS = 10
+COPIES = 3  # written-out copies of a labelled address
 N_TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 
 # the patterns of the base contract; a lookbehind or a possessive run keeps each scan linear
@@ -54,7 +56,12 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TRIGGER = re.compile(r"[0-9@]+")
+_AT = r"(?:@|[(\[] ?at ?[)\]])"
+_DOT = r"(?:\.| dot | ?(?:\[\.\]|\(dot\)|\[dot\]) ?)"
+_HOST = rf"[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)"
+_TRIGGER = re.compile(r"[0-9@]+|[(\[] ?at ?[)\]]")
+_AFTER = re.compile(rf" ?{_HOST}*+")
+_WRITTEN = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?{_AT} ?{_HOST}++")
 
 Span = tuple[str, int, int]
 
@@ -116,14 +123,21 @@ def char_ids(text: str) -> np.ndarray:
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches within CONTEXT of a digit or "@", merged, in order."""
+    """Stretches within CONTEXT of a trigger, and over the whole address around it, merged, in order."""
     out: list[tuple[int, int]] = []
     for m in _TRIGGER.finditer(text):
-        a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], b)
-        else:
-            out.append((a, b))
+        a, b = m.span()
+        if not m[0].isdigit():
+            a -= a > 0 and text[a - 1] == " "
+            while a > 0 and text[a - 1] in _LOCAL:
+                a -= 1
+            if after := _AFTER.match(text, b):
+                b = after.end()
+        a, b = max(0, min(m.start() - CONTEXT, a - 1)), min(len(text), max(m.end() + CONTEXT, b + 1))
+        while out and a <= out[-1][1]:
+            a, b = min(a, out[-1][0]), max(b, out[-1][1])
+            out.pop()
+        out.append((a, b))
     return out
 
 
@@ -288,9 +302,17 @@ def _variants(kind: str, text: str, draw: np.random.Generator) -> str:
     return text.replace(".", draw.choice([".", " . ", "[.]"]))
 
 
+def _written_out(text: str, draw: np.random.Generator) -> str:
+    """An address with its "@" written out, and its dots in half of them."""
+    name, host = text.rsplit("@", 1)
+    dot = draw.choice([".", ".", ".", " dot ", "(dot)", " (dot) "])
+    return name + draw.choice(["(at)", " (at) ", "[at]", " [at] ", " @ "]) + host.replace(".", dot)
+
+
 def examples(windows: list[tuple[str, list[Span]]], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Character ids and tags, WINDOW long, of labelled windows and of rewritten ones."""
     draw, ids, tags = np.random.default_rng(seed), [], []
+    out = np.random.default_rng(seed + 1)
 
     def add(text: str, spans: list[Span]):
         row, tag = np.full(WINDOW, PAD), np.zeros(WINDOW, int)
@@ -310,6 +332,10 @@ def examples(windows: list[tuple[str, list[Span]]], seed: int = 5) -> tuple[np.n
             kind, a, b = spans[0]
             new = _variants(kind, text[a:b], draw)
             add(text[:a] + new + text[b:], [(kind, a, a + len(new))])
+            if kind == "email":
+                for new in (_written_out(text[a:b], out) for _ in range(COPIES)):
+                    if a + len(new) <= WINDOW:
+                        add(text[:a] + new + text[b:], [(kind, a, a + len(new))])
     return np.array(ids).reshape(-1, WINDOW), np.array(tags).reshape(-1, WINDOW)
 
 
@@ -361,7 +387,7 @@ def holds(kind: str, text: str) -> bool:
     """Exact check of an added span."""
     digits = _digits(text)
     if kind == "email":
-        return re.fullmatch(r"[A-Za-z0-9._%+-]+ ?(?:@|[(\[] ?at ?[)\]]|@) ?[A-Za-z0-9-]+(?:(?:\.| dot |\[\.\]|\(dot\))[A-Za-z0-9-]+)+", text) is not None
+        return _WRITTEN.fullmatch(text) is not None
     if kind == "ip":
         return re.fullmatch(r"[0-9]{1,3}(?:(?:\.| \. |\[\.\])[0-9]{1,3}){3}", text) is not None and all(int(x) <= 255 for x in re.findall(r"[0-9]+", text))
     if kind == "card":
@@ -377,7 +403,7 @@ def all_spans(texts: list[str], tagger: Tagger | None) -> tuple[list[list[Span]]
     where = [(k, a, b) for k, t in enumerate(texts) for a, b in regions(t)]
     emit = region_scores(tagger, [char_ids(texts[k][a:b]) for k, a, b in where])
     both = [list(s) for s in base]
-    for (k, a, _), path in zip(where, tagger.decode(emit)):
+    for (k, a, b), path in zip(where, tagger.decode(emit)):
         starts = np.flatnonzero(path % 2 == 1)
         for s in starts.tolist():
             e = s + 1
@@ -389,9 +415,11 @@ def all_spans(texts: list[str], tagger: Tagger | None) -> tuple[list[list[Span]]
                 lo += 1
             while hi > lo and text[hi - 1] in " .,;:-/(":
                 hi -= 1
+            if kind == "email":  # the whole address that the tagged part belongs to
+                lo, hi = next((m.span() for m in _WRITTEN.finditer(text, a, b) if m.start() < hi and m.end() > lo), (lo, hi))
             edge = text[lo - 1:lo] + text[hi:hi + 1]
             clear = all(hi <= x or lo >= y for _, x, y in base[k])
-            if clear and not any(c.isalnum() or c == "_" for c in edge) and holds(kind, text[lo:hi]):
+            if clear and not any(c.isalnum() or c == "_" for c in edge) and holds(kind, text[lo:hi]) and (kind, lo, hi) not in both[k]:
                 both[k].append((kind, lo, hi))
     return base, [sorted(s, key=lambda x: (x[1], KINDS.index(x[0]))) for s in both]
 
