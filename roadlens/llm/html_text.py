@@ -51,14 +51,22 @@ BLOCKS = {
 }
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar"}
-#: Class and id words of parts that are never the article, even inside it ...
+#: Class and id words of parts that are never the article ...
 FIRM = frozenset((
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr comment comments commentlist "
     "respond replies disqus related recommended recommendations newsletter subscribe signup login popup modal breadcrumb breadcrumbs pagination pager "
     "share sharing social copyright hidden responses discussion reactions reply guestbook subscription paywall partner partners tracking"
 ).split())
-#: ... and of parts that may still wrap it (inside it they are dropped too, but for its header).
+#: ... and of parts that may still wrap it.
 LOOSE = frozenset("nav navbar navigation menu sidebar header footer masthead topbar toolbar notice notices alert banner widget legal disclaimer search".split())
+#: Inside an article whole class names count, ids do not: parts that are dropped there ...
+INSIDE = frozenset((
+    "ad ads adbox advert adverts advertisement advertising adsbygoogle ad-banner ad-container ad-slot ad-unit ad-wrapper sponsor sponsored promo "
+    "cookie-banner cookie-notice cookies comment comments commentlist comment-list comments-area post-comments respond replies disqus "
+    "related-articles related-links related-posts recommended recommendations newsletter newsletter-signup subscribe signup login popup modal "
+    "breadcrumb breadcrumbs pagination pager share sharing share-buttons social-links social-share hidden paywall guestbook "
+    "nav navbar navigation menu sidebar footer masthead topbar toolbar site-notice"
+).split())
 #: ... and of parts that are the article where no such element is used.
 GOOD = frozenset("article articlebody content entry main post story".split())
 
@@ -73,6 +81,7 @@ class Frame:
     drop: bool = False   # its text is not the article
     firm: bool = False   # ... whatever it wraps
     content: bool = False
+    doubt: bool = False  # named like another part inside the article: its blocks decide
 
 
 @dataclass
@@ -81,6 +90,7 @@ class Block:
     link_chars: int
     dropped: bool
     inside: bool
+    doubt: bool = False
     label: bool | None = None
 
 
@@ -102,7 +112,7 @@ class Page:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append(Block(text, self.link_chars, any(f.drop for f in self.frames), any(f.content for f in self.frames)))
+                self.blocks.append(Block(text, self.link_chars, any(f.drop for f in self.frames), any(f.content for f in self.frames), any(f.doubt for f in self.frames)))
             self.parts, self.link_chars = [], 0
 
     def open(self, tag: str, attributes: str) -> None:
@@ -143,8 +153,11 @@ class Page:
 
     def hints(self, frame: Frame, attributes: str) -> None:
         names: set[str] = set()
+        classes: set[str] = set()
         for m in _ATTR.finditer(attributes):
             key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
+            if key == "class":
+                classes.update(value.split())
             if key in ("class", "id"):
                 for token in value.split():
                     words = set(_NAME.findall(token))
@@ -161,13 +174,17 @@ class Page:
                 frame.content = True
         if frame.tag in ("html", "body"):
             frame.drop = frame.firm = False
+        elif any(f.content for f in self.frames):
+            if classes & INSIDE:
+                frame.drop = frame.firm = True
+            elif not frame.drop and frame.tag[0] != "h":
+                frame.doubt = any(words & (FIRM | LOOSE - {"header"}) for words in (set(_NAME.findall(c)) for c in classes))
         elif names & FIRM:
             frame.drop = frame.firm = True
         elif "" in names and frame.tag in ("div", "section", "td"):
             frame.content = True
         elif names & LOOSE and frame.tag not in CONTENT:
-            inside = any(f.content for f in self.frames)  # an article's own header holds its title
-            frame.drop = not inside or bool(names & LOOSE - {"header"})
+            frame.drop = True
 
     def close(self, tag: str) -> None:
         if tag == "a":
@@ -232,6 +249,8 @@ def decide(found: list[Block]) -> None:
             b.label = False
         elif links > LINK_DENSITY and (not b.inside or links > 0.9 and len(b.text) < SHORT):
             b.label = None if b.inside else False
+        elif b.doubt and (links > LINK_DENSITY or len(b.text) < SHORT):
+            b.label = False if links > LINK_DENSITY else None
         elif b.inside:
             b.label = True
         elif len(b.text) >= SHORT:
