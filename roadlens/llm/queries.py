@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, exact_dedup, html_text, line_dedup, mixing, pii, quality_rules, ranker, simhash, training_order
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialise
 from .common import table
 
 QUERIES = {}
@@ -75,9 +75,13 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes the shards beside the shared tables; one row per sequence, read from them."""
+    """Writes the token ids as shards beside the shared tables; one row per sequence, read from them."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shards-{uuid.uuid4().hex}"
-    layout = training_order.write_shards(training_order.byte_tokens(table(spark, sf_dir, "documents")), path)
+    words = public_tokenizers.path("word_bpe_49k.json")
+    # written once: counted and cut from the same files, without encoding twice
+    tokens = materialise(bpe.encoded(table(spark, sf_dir, "documents"), words).select("doc_id", "ids"), "token_ids")
+    end = len(bpe.vocabulary(words).tokens)  # two ids past the vocabulary end and pad
+    layout = training_order.write_shards(tokens, path, width=4, end=end, pad=end + 1)
     return training_order.read_shards(spark, path, layout).select(
         "slot", "shard", "byte_offset", "sequence", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
 
