@@ -51,7 +51,7 @@ _SPACE = "\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x
 _SPLIT = re.compile(f"[{_SPACE}]+")
 _ODD = re.compile("[\x1c-\x1f]")  # str.split() alone takes these for white space
 #: The vocabulary's contractions.
-_CONTRACTION = re.compile("'(?:re|ve|ll|[stmd])", re.IGNORECASE)
+_CONTRACTION = re.compile("'(?:[rv]e|ll|[stmd])", re.IGNORECASE | re.ASCII)
 #: A word of plain Latin-1 characters (no apostrophe, no "<") and its runs.
 _PLAIN = re.compile("[!-&(-;=-~\xc0-\xd6\xd8-\xf6\xf8-\xff]{1,64}")
 _PIECES = re.compile("[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[!-/:-@\\[-`{-~]+")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -101,5 +101,31 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return later
 
 
+def places(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """``rows``, written in (group, order) order, with ``pos`` (place in their group
+    from 0) and ``n`` (size of the group).  Columns of ``group`` are not null;
+    nulls of ``order`` come first; equal rows need a column that parts them.
+
+    Range partitions hold contiguous stretches of each group, and the row id
+    counts within a partition: only one row per group and partition is summed
+    up across partitions, whatever the size of a group.
+    """
+    by = [F.col(c).asc_nulls_first() for c in group + order]
+    dealt = materialise(
+        rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id()), name
+    ).withColumn("_part", F.shiftright("_row", 33))
+    one = Window.partitionBy(*group)
+    earlier = one.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = dealt.groupBy(*group, "_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_n")).select(
+        *group, "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_n").over(one).alias("n"))
+    return dealt.join(spans, group + ["_part"]).withColumn("pos", F.col("_row") + F.col("_shift")).drop("_row", "_part", "_shift")
+
+
+def lower_ascii(column: Column) -> Column:
+    """``column`` with A-Z alone lower-cased (texts without other letters take the fast way)."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.when(F.octet_length(column) == F.length(column), F.lower(column)).otherwise(F.translate(column, upper, upper.lower()))
+
+
 def crc_mod(column: Column, m: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % m

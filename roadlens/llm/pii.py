@@ -95,7 +95,7 @@ def base_spans(text: str) -> list[Span]:
         at = text.find("@", max(at + 1, end))
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+            if all(len(d := x.lstrip("0")) <= 3 and int(d or "0") <= 255 for x in m[0].split(".")):
                 out.append(("ip", m.start(), m.end()))
         for m in _CARD.finditer(text):
             if 12 <= len(d := _digits(m[0])) <= 19 and luhn(d):

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, line_dedup, mixing, pii, quality_rules, ranker, simhash, training_order
+from . import bpe, exact_dedup, html_text, line_dedup, merkle, mixing, pii, quality_rules, ranker, simhash, training_order
 from ..session import ensure_checkpoint_dir, materialise
 from .common import table
 
@@ -90,3 +90,8 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated(table(spark, sf_dir, "documents"), every_position=True).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query(merkle.SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
