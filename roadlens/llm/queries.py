@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, line_dedup, merkle, mixing, pii, quality_rules, ranker, simhash, training_order
+from . import bpe, exact_dedup, html_text, line_dedup, merkle, mixing, pii, quality_rules, ranker, simhash, spelling, training_order
 from ..session import ensure_checkpoint_dir, materialise
 from .common import table
 
@@ -92,6 +92,11 @@ def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
 
 
+@query(spelling.SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query(merkle.SQL)
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
