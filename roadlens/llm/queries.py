@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, line_dedup, merkle, mixing, pii, quality_rules, ranker, simhash, spelling, training_order
+from . import bpe, exact_dedup, html_text, line_dedup, merkle, mixing, mtree, pii, quality_rules, ranker, simhash, spelling, training_order
 from ..session import ensure_checkpoint_dir, materialise
 from .common import table
 
@@ -100,3 +100,8 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(merkle.SQL)
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query(mtree.SQL)
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"))
