@@ -7,7 +7,7 @@ from its own run up to the root.
 
 Leaves get their place in the source from a range sort and per-partition
 counts, never from one window over a source.  Places are cut into superblocks
-of 16^3 leaves.  Going up, a superblock is reduced in its own task, and the
+of 16^3 leaves (``levels`` = 3).  Going up, a superblock is reduced in its own task, and the
 superblocks of a long source are the nodes of the next tier (each tier is 4096
 times smaller).  Going down, the rows of a superblock and the outer nodes it
 needs (the siblings of its ancestors, a few kilobytes) are cogrouped:
@@ -34,8 +34,7 @@ from ..session import materialise
 from .common import crc_mod, lower_ascii, places
 
 FAN = 16
-LEVELS = 3               # levels reduced in one task
-BLOCK = FAN**LEVELS      # nodes of a superblock
+LEVELS = 3               # levels reduced in one task: a superblock holds FAN**LEVELS nodes
 HEX = 64                 # characters of a digest
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
@@ -82,10 +81,10 @@ def digest(text: str) -> str:
     return sha256(text.encode()).hexdigest()
 
 
-def reduce(nodes: list[str], n: int) -> list[list[str]]:
+def reduce(nodes: list[str], n: int, levels: int) -> list[list[str]]:
     """Levels from ``nodes`` up to the one digest of a superblock of a group of ``n`` nodes."""
     out = [nodes]
-    for _ in range(min(LEVELS, levels_above(n))):
+    for _ in range(min(levels, levels_above(n))):
         out.append([digest("".join(out[-1][i:i + FAN])) for i in range(0, len(out[-1]), FAN)])
     return out
 
@@ -127,25 +126,29 @@ def fold(leaf: str, path: Path) -> str:
 # ---- tiers ---------------------------------------------------------------------
 
 
-def _reduced(nodes: DataFrame) -> DataFrame:
+def _blocks(nodes: DataFrame, levels: int, *columns) -> DataFrame:
+    """``nodes`` with the number of their superblock."""
+    return nodes.select("grp", F.floor(F.col("pos") / FAN**levels).alias("block"), "pos", "n", "digest", *columns)
+
+
+def _reduced(nodes: DataFrame, levels: int) -> DataFrame:
     """One node per superblock: (grp, pos, n, digest), ``n`` superblocks in its group."""
 
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         rows, n = rows.sort_values("pos"), int(rows["n"].iloc[0])
-        top = reduce([d.hex() for d in rows["digest"]], n)[-1]
-        return pd.DataFrame({"grp": [key[0]], "pos": [key[1]], "n": [-(-n // BLOCK)], "digest": [bytes.fromhex(top[0])]})
+        top = reduce([d.hex() for d in rows["digest"]], n, levels)[-1]
+        return pd.DataFrame({"grp": [key[0]], "pos": [key[1]], "n": [-(-n // FAN**levels)], "digest": [bytes.fromhex(top[0])]})
 
-    narrow = nodes.select("grp", F.floor(F.col("pos") / BLOCK).alias("block"), "pos", "n", "digest")
-    return narrow.groupBy("grp", "block").applyInPandas(run, "grp string, pos long, n long, digest binary")
+    return _blocks(nodes, levels).groupBy("grp", "block").applyInPandas(run, "grp string, pos long, n long, digest binary")
 
 
-def tiers(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def tiers(nodes: DataFrame, levels: int) -> tuple[list[DataFrame], DataFrame]:
     """The tiers above ``nodes`` (grp, pos, n, digest) that hold several superblocks
     of a group, and the digest of every group: (grp, digest).  One round for every
     4096-fold of the longest group."""
     found, tops = [], None
     while True:
-        blocks = materialise(_reduced(nodes), "superblocks")
+        blocks = materialise(_reduced(nodes, levels), "superblocks")
         done = blocks.where("n = 1").select("grp", "digest")
         tops = done if tops is None else tops.unionByName(done)
         nodes = blocks.where("n > 1")
@@ -154,26 +157,26 @@ def tiers(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         found.append(nodes)
 
 
-def _descended(nodes: DataFrame, outer: DataFrame) -> DataFrame:
+def _descended(nodes: DataFrame, outer: DataFrame, levels: int) -> DataFrame:
     """The paths of ``nodes`` from the outer paths of their superblocks (grp, block, PATH)."""
 
     def run(key, rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         rows, up = rows.sort_values("pos"), above.iloc[0]
-        levels = reduce([d.hex() for d in rows["digest"]], int(rows["n"].iloc[0]))
-        paths = path_of(levels, Path(list(up["spots"]), list(up["sizes"]), up["others"]))
+        nodes = reduce([d.hex() for d in rows["digest"]], int(rows["n"].iloc[0]), levels)
+        paths = path_of(nodes, Path(list(up["spots"]), list(up["sizes"]), up["others"]))
         return pd.DataFrame({"grp": key[0], "block": rows["pos"].to_numpy(),
                              **dict(zip(("spots", "sizes", "others"), map(list, zip(*paths)))),
                              "subroot": up["subroot"], "root": up["root"]})
 
-    narrow = nodes.select("grp", F.floor(F.col("pos") / BLOCK).alias("block"), "pos", "n", "digest")
-    return narrow.groupBy("grp", "block").cogroup(outer.groupBy("grp", "block")).applyInPandas(run, f"grp string, block long, {PATH}")
+    return _blocks(nodes, levels).groupBy("grp", "block").cogroup(outer.groupBy("grp", "block")).applyInPandas(run, f"grp string, block long, {PATH}")
 
 
-def descend(above: list[DataFrame], outer: DataFrame) -> DataFrame:
+def descend(above: list[DataFrame], outer: DataFrame, levels: int) -> DataFrame:
     """From the outer path of each group down to those of the lowest superblocks."""
     for nodes in reversed(above):
-        single = outer.join(nodes.select("grp").distinct(), "grp", "left_anti")  # groups that end at a lower tier
-        outer = materialise(single.unionByName(_descended(nodes, outer.join(nodes.select("grp").distinct(), "grp", "left_semi"))), "paths")
+        here = nodes.select("grp").distinct()  # the other groups end at a lower tier
+        below = _descended(nodes, outer.join(here, "grp", "left_semi"), levels)
+        outer = materialise(outer.join(here, "grp", "left_anti").unionByName(below), "paths")
     return outer
 
 
@@ -181,31 +184,31 @@ def descend(above: list[DataFrame], outer: DataFrame) -> DataFrame:
 PROOF = "id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
-def manifest(docs: DataFrame, every: int = 5) -> DataFrame:
+def manifest(docs: DataFrame, every: int = 5, levels: int = LEVELS) -> DataFrame:
     """One row per row of ``docs``: its leaf, the subroot of its source, the root,
     the digest of its proof, and the root folded from the (tampered) leaf."""
     rows = places(leaves(docs, every), ["grp"], ["doc_id", "digest", "uid"], "leaves_in_order")
-    above, subroots = tiers(rows.select("grp", "pos", "n", "digest"))
+    above, subroots = tiers(rows.select("grp", "pos", "n", "digest"), levels)
 
     # the subroots are the nodes of one group; their paths end at the root
     ordered = places(subroots.select(F.lit("").alias("all"), "grp", "digest"), ["all"], ["grp"], "subroots")
-    tops, root = tiers(ordered.select(F.col("all").alias("grp"), "pos", "n", "digest"))
+    tops, root = tiers(ordered.select(F.col("all").alias("grp"), "pos", "n", "digest"), levels)
     empty = F.array().cast("array<int>")
     start = root.select(
         "grp", F.lit(0).cast("long").alias("block"), empty.alias("spots"), empty.alias("sizes"), F.lit("").alias("others"),
         F.lit(None).cast("string").alias("subroot"), F.lower(F.hex("digest")).alias("root"))
-    lowest = descend(tops, start)
-    to_root = _descended(ordered.select(F.col("all").alias("grp"), "pos", "n", "digest"), lowest)
+    lowest = descend(tops, start, levels)
+    to_root = _descended(ordered.select(F.col("all").alias("grp"), "pos", "n", "digest"), lowest, levels)
     outer = ordered.join(to_root.select(F.col("block").alias("pos"), "spots", "sizes", "others", "root"), "pos").select(
         "grp", F.lit(0).cast("long").alias("block"), "spots", "sizes", "others", F.lower(F.hex("digest")).alias("subroot"), "root")
-    outer = descend(above, materialise(outer, "paths"))
+    outer = descend(above, materialise(outer, "paths"), levels)
 
     def run(key, rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         rows, up = rows.sort_values("pos"), above.iloc[0]
         own = [d.hex() for d in rows["digest"]]
-        levels = reduce(own, int(rows["n"].iloc[0]))
+        nodes = reduce(own, int(rows["n"].iloc[0]), levels)
         proofs, folded = [], []
-        paths = path_of(levels, Path(list(up["spots"]), list(up["sizes"]), up["others"]))
+        paths = path_of(nodes, Path(list(up["spots"]), list(up["sizes"]), up["others"]))
         for leaf, bent, path in zip(own, rows["bent"], paths):
             proofs.append(digest(path.others))
             folded.append(fold(leaf if bent is None else bent.hex(), path))
@@ -213,7 +216,7 @@ def manifest(docs: DataFrame, every: int = 5) -> DataFrame:
             "id": rows["id"], "leaf": own, "subroot": up["subroot"], "root": up["root"],
             "proof_sha256": proofs, "folded_root": folded, "verified": [f == up["root"] for f in folded]})
 
-    cut = rows.select("grp", F.floor(F.col("pos") / BLOCK).alias("block"), "pos", "n", F.col("doc_id").cast("string").alias("id"), "digest", "bent")
+    cut = _blocks(rows, levels, F.col("doc_id").cast("string").alias("id"), "bent")
     proven = cut.groupBy("grp", "block").cogroup(outer.groupBy("grp", "block")).applyInPandas(run, PROOF)
     return proven.select(F.col("id").cast("long").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
