@@ -32,19 +32,8 @@ from ..operators import ingest as I
 from ..operators import messages as M
 from ..sinks.writers import numbered, write_snapshot
 from ..sources.streams import MESSAGE_LOG_SCHEMA
-
-
-_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
-
-def event_time(col: str = "ts") -> Column:
-    """TIMESTAMP with the wall clock of a TIMESTAMP_NTZ column, read as UTC."""
-    return F.expr(f"timestamp_micros(CAST(CAST(`{col}` - {_EPOCH} AS DECIMAL(20,6)) * 1000000 AS BIGINT))")
-
-
-def wall_clock(col: str) -> Column:
-    """Back from ``event_time``."""
-    return F.expr(f"{_EPOCH} + make_dt_interval(0, 0, 0, CAST(unix_micros({col}) / 1000000BD AS DECIMAL(18,6)))")
+from . import ordered as O
+from .ordered import event_time, names, stamp, wall_clock
 
 
 # ----------------------------------------------------------------- message log
@@ -147,18 +136,10 @@ LIFECYCLE_STATE_SCHEMA = (
 )
 
 
-def _columns(schema: str) -> list[str]:
-    return [f.split()[0] for f in schema.split(", ")]
-
-
 def _micros(ts) -> int:
     return pd.Timestamp(ts).value // 1000
 
 
-def _stamp(us):
-    return None if us is None else pd.Timestamp(us * 1000)
-
-
 def _lifecycle_fold(emit_history: bool):
     """Per route: fold chunk rows in batch order.  Chunks at or before the last
     folded batch are skipped, so a repeated row changes nothing."""
@@ -176,7 +157,7 @@ def _lifecycle_fold(emit_history: bool):
             if expect == 0:
                 accepted = c.fi
             elif expect == 2 and c.fc is not None:
-                history.append((c.fc["ts"], route, loc, tot, aff, c.fc["duration"], last_n, last_a, _stamp(occ)))
+                history.append((c.fc["ts"], route, loc, tot, aff, c.fc["duration"], last_n, last_a, stamp(occ)))
                 clr, loc, expect, accepted = clr + 1, None, 0, c.fic
             if accepted is not None:
                 loc, occ, rep, expect = int(accepted["loc"]), _micros(accepted["ts"]), rep + 1, 1
@@ -185,9 +166,9 @@ def _lifecycle_fold(emit_history: bool):
                 tot, aff, expect = tot + last_n, aff + last_a, 2
         state.update((done, expect, loc, occ, tot, aff, last_n, last_a, rep, clr))
         if emit_history:
-            yield pd.DataFrame(history, columns=_columns(HISTORY_STREAM_SCHEMA))
+            yield pd.DataFrame(history, columns=names(HISTORY_STREAM_SCHEMA))
         else:
-            yield pd.DataFrame([(route, _stamp(done), expect, loc, tot, aff, rep, clr)], columns=_columns(COUNTER_STREAM_SCHEMA))
+            yield pd.DataFrame([(route, stamp(done), expect, loc, tot, aff, rep, clr)], columns=names(COUNTER_STREAM_SCHEMA))
 
     return fold
 
@@ -306,12 +287,6 @@ def compact_upserts(spark, path: str, keys: Sequence[str], order_cols: Sequence[
 
 # ----------------------------------------------------------------- capped incidents (K3)
 
-CAPPED_STREAM_SCHEMA = (
-    "route_num int, n_msgs bigint, active bigint, reported bigint, dropped bigint, cleared bigint, ignored bigint"
-)
-CAPPED_STATE_SCHEMA = "n bigint, active bigint, reported bigint, dropped bigint, cleared bigint, ignored bigint"
-
-
 def _ordered(pdfs, column: str) -> tuple[np.ndarray, np.ndarray]:
     """``column`` and ``seq`` of one key's rows in (ts, seq) order, as two narrow arrays."""
     frames = [p[["ts", "seq", column]] for p in pdfs if len(p)]
@@ -321,70 +296,49 @@ def _ordered(pdfs, column: str) -> tuple[np.ndarray, np.ndarray]:
     return pdf[column].to_numpy(dtype=np.int64), pdf["seq"].to_numpy(dtype=np.int64)
 
 
-def _capped_fold(cap: int):
+def _by_arrival(step: O.Step, column: str, init: tuple):
+    """The fold for sources that keep each key's order: a micro-batch is sorted, then taken."""
+
     def fold(key, pdfs, state):
-        n, active, rep, drop, clr, ign = state.get if state.exists else (0, 0, 0, 0, 0, 0)
-        kinds, _ = _ordered(pdfs, "occur_clear")
-        # runs of equal messages act at once: a run of occurs fills up to the cap, one of clears empties
-        starts = np.flatnonzero(np.r_[True, kinds[1:] != kinds[:-1]]) if len(kinds) else []
-        for at, size in zip(starts, np.diff(np.r_[starts, len(kinds)])):
-            size = int(size)
-            n += size
-            if kinds[at] == 1:
-                taken = min(size, cap - active)
-                active, rep, drop = active + taken, rep + taken, drop + size - taken
-            else:
-                taken = min(size, active)
-                active, clr, ign = active - taken, clr + taken, ign + size - taken
-        state.update((n, active, rep, drop, clr, ign))
-        yield pd.DataFrame([(int(key[0]), n, active, rep, drop, clr, ign)], columns=_columns(CAPPED_STREAM_SCHEMA))
+        values, seq = _ordered(pdfs, column)
+        rows = np.column_stack([np.zeros_like(seq), seq, values])
+        kept, out = step(key, rows, tuple(state.get) if state.exists else init)
+        state.update(kept)
+        yield out
 
     return fold
 
 
-def capped_incidents_stream(incidents: DataFrame, cap: int = S.INCIDENT_CAP) -> DataFrame:
+def capped_incidents_stream(incidents: DataFrame, cap: int = S.INCIDENT_CAP, watermark: str | None = None) -> DataFrame:
     """K3 as a stream: per route, the counters after each micro-batch (the row
-    with the largest ``n_msgs`` is current).  State: six numbers per route."""
+    with the largest ``n_msgs`` is current).  State: six numbers per route.
+
+    With ``watermark`` messages take effect in event-time order once it has passed
+    them, however late they come within it (``ordered.in_event_order``); without,
+    the source must bring each route's messages in order.
+    """
+    if watermark:
+        return O.in_event_order(incidents, "route_num", ["occur_clear"], watermark, O.capped_step(cap), (0,) * 6,
+                                O.CAPPED_STREAM_SCHEMA, O.CAPPED_STATE_SCHEMA)
     return incidents.select("route_num", "ts", "seq", "occur_clear").groupBy("route_num").applyInPandasWithState(
-        _capped_fold(cap), CAPPED_STREAM_SCHEMA, CAPPED_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        _by_arrival(O.capped_step(cap), "occur_clear", (0,) * 6), O.CAPPED_STREAM_SCHEMA, O.CAPPED_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
 
 
 # ----------------------------------------------------------------- report queues (K5)
 
-REPORT_STREAM_SCHEMA = "route_num int, action string, rank bigint, seq bigint"
-REPORT_STATE_SCHEMA = "added bigint, cleared bigint"
-
 
-def _report_fold(key, pdfs, state):
-    """Per route: number the added reports and move the head of the queue.
-
-    Emits one ``open`` row per add with its number and one ``head`` row with
-    the number of clears that took effect so far: reports numbered above the
-    head are open.  State is two counters, whatever is open.
-    """
-    added, cleared = state.get if state.exists else (0, 0)
-    delta, seq = _ordered(pdfs, "delta")
-    route = int(key[0])
-    adds = delta == 1
-    ranks = added + np.cumsum(adds)[adds]
-    level = (added - cleared) + np.cumsum(delta)  # below zero: clears that found the queue empty
-    ignored = max(0, -int(level.min(initial=0)))
-    added, cleared = added + int(adds.sum()), cleared + int((~adds).sum()) - ignored
-    state.update((added, cleared))
-    rows = pd.DataFrame({"route_num": route, "action": "open", "rank": ranks, "seq": seq[adds]})
-    head = pd.DataFrame({"route_num": [route], "action": ["head"], "rank": [cleared], "seq": [None]})
-    yield pd.concat([rows, head]).astype({"route_num": "int32", "rank": "int64", "seq": "Int64"})
-
-
-def report_state_stream(requests: DataFrame) -> DataFrame:
+def report_state_stream(requests: DataFrame, watermark: str | None = None) -> DataFrame:
     """K5 as a stream (append mode): a keyed table of numbered reports and the
-    head of each route's queue; ``open_reports`` reads the state off it."""
+    head of each route's queue; ``open_reports`` reads the state off it.
+    ``watermark`` as in ``capped_incidents_stream``."""
     from ..operators.requests import report_events
 
     ev = report_events(requests).select("route_num", "ts", "seq", "delta")
+    if watermark:
+        return O.in_event_order(ev, "route_num", ["delta"], watermark, O.report_step, (0, 0), O.REPORT_STREAM_SCHEMA, O.REPORT_STATE_SCHEMA)
     return ev.groupBy("route_num").applyInPandasWithState(
-        _report_fold, REPORT_STREAM_SCHEMA, REPORT_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+        _by_arrival(O.report_step, "delta", (0, 0)), O.REPORT_STREAM_SCHEMA, O.REPORT_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
 
 
@@ -397,12 +351,6 @@ def open_reports(rows: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- sessions (K4), incident table (K6)
 
-SESSION_STREAM_SCHEMA = (
-    "user_id string, route_num int, loc int, register_ts timestamp_ntz, signoff_ts timestamp_ntz"
-)
-SESSION_STATE_SCHEMA = "active boolean, route_num int, loc int, register_us bigint"
-
-
 def _session_fold(key, pdfs, state):
     """Per user: alternate register / sign-off; other messages of a run change nothing."""
     active, route, loc, since = state.get if state.exists else (False, None, None, None)
@@ -414,18 +362,22 @@ def _session_fold(key, pdfs, state):
             if r.req_type == S.REQ_REGISTER and not active:
                 active, route, loc, since = True, int(r.route_num), int(r.loc), _micros(r.ts)
             elif r.req_type == S.REQ_SIGNOFF and active:
-                out.append((key[0], route, loc, _stamp(since), r.ts))
+                out.append((key[0], route, loc, stamp(since), r.ts))
                 active, route, loc, since = False, None, None, None
     state.update((active, route, loc, since))
-    yield pd.DataFrame(out, columns=_columns(SESSION_STREAM_SCHEMA))
+    yield pd.DataFrame(out, columns=names(O.SESSION_STREAM_SCHEMA))
 
 
-def sessions_stream(requests: DataFrame) -> DataFrame:
+def sessions_stream(requests: DataFrame, watermark: str | None = None) -> DataFrame:
     """K4 as a stream: a session is appended when its user signs off; open
-    sessions are the state (four values per active user)."""
+    sessions are the state (four values per active user).  ``watermark`` as in
+    ``capped_incidents_stream``."""
     rs = requests.where(F.col("req_type").isin(S.REQ_REGISTER, S.REQ_SIGNOFF)).select("user_id", "route_num", "loc", "ts", "seq", "req_type")
+    if watermark:
+        return O.in_event_order(rs, "user_id", ["req_type", "route_num", "loc"], watermark, O.session_step, (False, None, None, None),
+                                O.SESSION_STREAM_SCHEMA, O.SESSION_STATE_SCHEMA)
     return rs.groupBy("user_id").applyInPandasWithState(
-        _session_fold, SESSION_STREAM_SCHEMA, SESSION_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _session_fold, O.SESSION_STREAM_SCHEMA, O.SESSION_STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
 def incident_table_stream(requests: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):

@@ -1,0 +1,149 @@
+"""Streams of requests in event-time order: the batch operator's answer, whatever
+order the messages come in, from nothing but wire messages."""
+
+import json
+import os
+import random
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadlens import schemas as S
+from roadlens.operators import lifecycle as L
+from roadlens.operators import messages as M
+from roadlens.operators import requests as R
+from roadlens.plans.tables import Tables
+from roadlens.sources import streams as SRC
+from roadlens.streaming import queries as Q
+
+SF = "/root/testdata/sf0.001"
+CLOCK = "2050-01-01 00:00:00"  # a last message that carries the watermark past all others
+
+
+def _write(folder, messages, files, seed):
+    """Messages shuffled over ``files`` files, then one that closes time."""
+    os.makedirs(folder)
+    order = list(messages)
+    random.Random(seed).shuffle(order)
+    for k in range(files):
+        with open(os.path.join(folder, f"m{k:03d}.json"), "w") as fh:
+            fh.writelines(json.dumps(m) + "\n" for m in order[k::files])
+        time.sleep(0.02)
+
+
+def _close(folder, message):
+    with open(os.path.join(folder, "n999.json"), "w") as fh:
+        fh.write(json.dumps(message) + "\n")
+
+
+def _text(ts):
+    return ts.strftime("%Y-%m-%d %H:%M:%S")
+
+
+def _wire_requests(spark):
+    rows = Tables(spark, SF).requests.orderBy("ts", "seq").collect()
+    rows += [r for r in rows if r.seq % 7 == 0]  # messages that come twice
+    return [{"req_type": str(r.req_type), "sub_req_type": None if r.sub_req_type is None else str(r.sub_req_type), "ts": _text(r.ts),
+             "user_id": str(int(r.user_id) % 12), "route_id": str(r.route_num), "location": str(r.loc)} for r in rows]
+
+
+def _run(spark, make, folder, name, ck):
+    """Drain the folder, then the closing message, in one query restarted from its checkpoint."""
+    out = os.path.join(ck, name)
+    for part in range(2):
+        if part:
+            _close(*folder)
+        q = (make().writeStream.format("parquet").option("path", out + "/rows").option("checkpointLocation", out + "/ck")
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination(300)
+    return spark.read.parquet(out + "/rows")
+
+
+@pytest.mark.parametrize("files", [1, 5, 20])
+def test_requests_from_the_wire_in_any_order(spark, scratch, files):
+    topics = os.path.join(scratch, "topics")
+    wire = _wire_requests(spark)
+    folder = os.path.join(topics, "user_traffic")
+    _write(folder, wire, files, files)
+    close = {"req_type": "4", "sub_req_type": "0", "ts": CLOCK, "user_id": "clock", "route_id": "-1", "location": "0"}
+
+    def parsed():
+        return M.parse_requests(SRC.read_events(spark, "user_traffic", S.USER_TRAFFIC_SCHEMA, path=topics, max_per_trigger=1))
+
+    got = _run(spark, lambda: Q.report_state_stream(parsed(), "3000 days"), (folder, close), "reports", scratch)
+    batch = M.parse_requests(M.parse_json(spark.read.text(folder).withColumn("seq", F.xxhash64("value")), S.USER_TRAFFIC_SCHEMA, keep_raw=True))
+    want = R.report_state(batch).where("route_num >= 0").select("route_num", "seq")
+    opened = Q.open_reports(got).select("route_num", "seq").where("route_num >= 0")
+    assert sorted(map(tuple, opened.collect())) == sorted(map(tuple, want.collect())) and want.count() > 5
+
+    os.remove(os.path.join(folder, "n999.json"))
+    close = {**close, "req_type": "1", "sub_req_type": None}
+    got = _run(spark, lambda: Q.sessions_stream(parsed(), "3000 days"), (folder, close), "sessions", scratch)
+    batch = batch.where("user_id <> 'clock'")
+    want = R.sessions(batch).where("signoff_ts IS NOT NULL")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect())) and want.count() > 5
+
+    path = os.path.join(scratch, "table")
+    Q.incident_table_stream(parsed(), path, os.path.join(scratch, "ck_table")).awaitTermination(300)
+    want = R.incident_table_state(batch)
+    got = Q.read_incident_table(spark, path).where("route_id >= 0")
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.where("route_id >= 0").collect()))
+
+
+@pytest.mark.parametrize("files", [1, 5, 20])
+def test_capped_incidents_in_any_order(spark, scratch, files):
+    rows = Tables(spark, SF).incidents.orderBy("ts", "seq").collect()
+    wire = [{"incident_route_num": str(r.route_num % 3), "incident_loc": str(r.loc), "ts": _text(r.ts), "occur_clear": str(r.occur_clear),
+             "accident_duration": str(r.duration)} for r in rows]
+    topics = os.path.join(scratch, "topics")
+    folder = os.path.join(topics, "user_accident")
+    _write(folder, wire, files, files)
+    close = {"incident_route_num": "-1", "incident_loc": "0", "ts": CLOCK, "occur_clear": "1", "accident_duration": "0"}
+
+    def parsed():
+        return M.parse_incidents(SRC.read_events(spark, "user_accident", S.USER_ACCIDENT_SCHEMA, path=topics, max_per_trigger=1))
+
+    got = _run(spark, lambda: Q.capped_incidents_stream(parsed(), watermark="3000 days"), (folder, close), "capped", scratch)
+    got = got.groupBy("route_num").agg(F.max_by(F.struct("active", "reported", "dropped", "cleared", "ignored"), "n_msgs").alias("s")).select("route_num", "s.*")
+    batch = M.parse_incidents(M.parse_json(spark.read.text(folder).withColumn("seq", F.xxhash64("value")), S.USER_ACCIDENT_SCHEMA, keep_raw=True))
+    want = L.capped_incidents(batch.where("route_num >= 0"))
+    assert sorted(map(tuple, got.where("route_num >= 0").collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
+
+
+def test_late_messages_of_the_two_known_cases(spark, scratch):
+    """An occur at 10 s and a late clear of 5 s; a register at 10 s and a late sign-off of 5 s."""
+    topics = os.path.join(scratch, "topics")
+
+    def message(kind, second):
+        return {"req_type": kind, "sub_req_type": None, "ts": f"2024-01-01 00:00:{second:02d}", "user_id": "u", "route_id": "1", "location": "2"}
+
+    folder = os.path.join(topics, "user_traffic")
+    os.makedirs(folder)
+    for k, m in enumerate([message("0", 10), message("1", 5), message("1", 20)]):
+        with open(os.path.join(folder, f"{k}.json"), "w") as fh:
+            fh.write(json.dumps(m) + "\n")
+        time.sleep(0.02)
+    close = {**message("1", 0), "ts": CLOCK, "user_id": "clock"}
+
+    def parsed():
+        return M.parse_requests(SRC.read_events(spark, "user_traffic", S.USER_TRAFFIC_SCHEMA, path=topics, max_per_trigger=1))
+
+    got = _run(spark, lambda: Q.sessions_stream(parsed(), "1 minute"), (folder, close), "sessions", scratch).collect()
+    assert [(r.register_ts.second, r.signoff_ts.second) for r in got] == [(10, 20)]
+
+    topics = os.path.join(scratch, "incidents")
+    folder = os.path.join(topics, "user_accident")
+    os.makedirs(folder)
+    for k, (flag, second) in enumerate([("1", 10), ("0", 5)]):
+        with open(os.path.join(folder, f"{k}.json"), "w") as fh:
+            fh.write(json.dumps({"incident_route_num": "1", "incident_loc": "2", "ts": f"2024-01-01 00:00:{second:02d}", "occur_clear": flag, "accident_duration": "0"}) + "\n")
+        time.sleep(0.02)
+    close = {"incident_route_num": "9", "incident_loc": "2", "ts": CLOCK, "occur_clear": "0", "accident_duration": "0"}
+
+    def incidents():
+        return M.parse_incidents(SRC.read_events(spark, "user_accident", S.USER_ACCIDENT_SCHEMA, path=topics, max_per_trigger=1))
+
+    got = _run(spark, lambda: Q.capped_incidents_stream(incidents(), watermark="1 minute"), (folder, close), "capped", scratch)
+    last = got.where("route_num = 1").orderBy(F.desc("n_msgs")).first()
+    assert (last.active, last.ignored, last.cleared) == (1, 1, 0)
