@@ -40,33 +40,31 @@ def normalise_violations(lines: DataFrame, col: str = "value", skip_header: bool
     return staged.select(*keep, *T.violation_record(F.col("_items")))
 
 
-def _has_key(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+def _all_known(columns: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
 def upsert_latest(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """B1: last write wins per primary key.
 
-    Two steps, both hash-based: the largest ``order_cols`` per key (one column
-    after the other for several) is a map-side combined aggregate of
-    fixed-width values, and the rows that hold it are joined back once.  A hot
-    key is one row per task before the shuffle.  ``order_cols`` are not null;
-    of rows that tie in all of them one stays.  Rows with a null in the key are
-    not stored; ``upsert_rejects`` returns them.
+    The row with the largest ``order_cols`` of each key stays; of rows that tie in
+    all of them one stays.  The input is read once: Spark keeps the first row of each key in
+    every task before the shuffle (a group limit below the window), so a hot key
+    is one row per task.  Rows with a null among key or order columns are not
+    stored; ``upsert_rejects`` returns them.
     """
     keys, order_cols = list(keys), list(order_cols)
-    kept = df.where(_has_key(keys))
-    for n in range(len(order_cols)):
-        by = keys + order_cols[:n]
-        last = kept.groupBy(*by).agg(F.max(order_cols[n]).alias(order_cols[n]))
-        kept = kept.join(last, by + [order_cols[n]], "left_semi")
-    return kept.dropDuplicates(keys).select(*keys, *[c for c in df.columns if c not in keys])
-
-
-def upsert_rejects(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """B1: the rows ``upsert_latest`` does not store, with the first missing key column."""
-    missing = F.coalesce(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys])
-    return df.where(~_has_key(keys)).withColumn("missing_key", missing)
+    place = "_upsert_place"
+    newest = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order_cols])
+    kept = df.where(_all_known(keys + order_cols)).withColumn(place, F.row_number().over(newest)).where(F.col(place) == 1)
+    return kept.select(*keys, *[c for c in df.columns if c not in keys])
+
+
+def upsert_rejects(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] = ()) -> DataFrame:
+    """B1: the rows ``upsert_latest`` does not store, with the first missing key or order column."""
+    needed = [*keys, *order_cols]
+    missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in needed])
+    return df.where(~_all_known(needed)).withColumn("missing_key", missing)
 
 
 def select_where(df: DataFrame, cols: Sequence[str], cond) -> DataFrame:

@@ -9,7 +9,7 @@
 * ``pageviews_stream`` (F1), ``incident_user_join_stream`` (E1),
   ``distinct_words_stream`` (F20), ``call_counters_stream`` (F7): built-in
   streaming aggregates and joins.
-* ``upsert_stream`` (B1): per-batch deltas, compacted and merged on read.
+* ``upsert_stream`` (B1): per-batch deltas and rejects, compacted into buckets and merged on read.
 
 Event time arrives as TIMESTAMP_NTZ; watermarks need TIMESTAMP, so
 ``event_time`` maps the wall clock to UTC and ``wall_clock`` maps it back,
@@ -30,7 +30,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from .. import schemas as S
 from ..operators import ingest as I
 from ..operators import messages as M
-from ..sinks.writers import numbered, write_snapshot
+from ..sinks import keyed_table as KT
 from ..sources.streams import MESSAGE_LOG_SCHEMA
 from . import ordered as O
 from .ordered import event_time, names, stamp, wall_clock
@@ -252,37 +252,23 @@ def distinct_words_stream(lines: DataFrame) -> DataFrame:
 def upsert_stream(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], path: str, checkpoint: str,
                   trigger: dict | None = None):
     """B1 over a stream: each micro-batch writes its latest row per key as a
-    delta folder; ``read_upserted`` merges the newest snapshot and the deltas
-    after it with the same rule, ``compact_upserts`` makes a snapshot."""
+    delta, and the rows it cannot store as rejects (``sinks.keyed_table``);
+    ``read_upserted`` merges on read, ``compact_upserts`` folds deltas into buckets."""
 
     def _write(batch: DataFrame, epoch: int) -> None:
-        write_snapshot(I.upsert_latest(batch, keys, order_cols), path, epoch)
+        KT.write_delta(batch, keys, order_cols, path, epoch)
 
     w = df.writeStream.foreachBatch(_write).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _upsert_rows(spark, path: str) -> tuple[DataFrame, int]:
-    """Newest snapshot with all later deltas, and the last epoch among them."""
-    base = path.rstrip("/")
-    done = max(numbered(spark, base, "snapshot="), default=-1)
-    epochs = [e for e in numbered(spark, base, "epoch=") if e > done]
-    folders = [f"{base}/epoch={e:012d}" for e in epochs] + ([f"{base}/snapshot={done:012d}"] if done >= 0 else [])
-    return spark.read.parquet(*folders), max(epochs, default=done)
-
-
 def read_upserted(spark, path: str, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    return I.upsert_latest(_upsert_rows(spark, path)[0], keys, order_cols)
+    return KT.read(spark, path, keys, order_cols)
 
 
-def compact_upserts(spark, path: str, keys: Sequence[str], order_cols: Sequence[str]) -> str:
-    """Merge the newest snapshot and later deltas into a new snapshot, named by the
-    last epoch in it; readers then skip the older folders."""
-    rows, last = _upsert_rows(spark, path)
-    out = f"{path.rstrip('/')}/snapshot={last:012d}"
-    if last not in numbered(spark, path.rstrip("/"), "snapshot="):
-        I.upsert_latest(rows, keys, order_cols).write.mode("overwrite").parquet(out)
-    return out
+def compact_upserts(spark, path: str, keys: Sequence[str], order_cols: Sequence[str], buckets: int = KT.BUCKETS) -> str:
+    """Fold the deltas into the buckets they touch; returns the folder of the new version."""
+    return KT.compact(spark, path, keys, order_cols, buckets)
 
 
 # ----------------------------------------------------------------- capped incidents (K3)
