@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import topic_log
+
 
 def write_snapshot(df: DataFrame, path: str, epoch: int, fmt: str = "parquet") -> str:
     """B2: write one micro-batch under ``path/epoch=<n>`` (overwrite = idempotent)."""
@@ -67,16 +69,31 @@ def peek(df: DataFrame, n: int = 10, checkpoint: str | None = None, trigger: dic
 
 def publish_events(df: DataFrame, topic: str, key_col: str = "key", sink: str = "files", path: str | None = None,
                    bootstrap: str | None = None) -> None:
-    """Publish ``key``/``value`` rows.  Kafka when available, else JSON-lines
-    files with one folder per key value.  Every task writes what it holds, so
+    """Publish ``key``/``value`` rows: to Kafka, to a topic log (``sink='log'``, as one
+    commit), or as JSON-lines files with one folder per key value.  Every task writes what it holds, so
     the write runs with the parallelism of ``df`` whatever the number of keys."""
     if sink == "kafka":
         (df.select(F.col(key_col).cast("string").alias("key"), F.col("value"))
          .write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
         return
+    if sink == "log":
+        topic_log.register(df.sparkSession)
+        (df.select(F.col(key_col).cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+         .write.format(topic_log.FORMAT).option("path", path).option("topic", topic).mode("append").save())
+        return
     df.select("value", key_col).write.mode("append").partitionBy(key_col).text(f"{path.rstrip('/')}/{topic}")
 
 
+def publish_stream(df: DataFrame, topic: str, path: str, checkpoint: str, writer: str, partitions: int = 8, trigger: dict | None = None):
+    """B6 over a stream: each micro-batch is one commit of the topic log; failed, retried
+    and replayed batches leave one copy of each message."""
+    topic_log.register(df.sparkSession)
+    w = (df.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")).writeStream.format(topic_log.FORMAT)
+         .option("path", path).option("topic", topic).option("partitions", partitions).option("writer", writer)
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def numbered(spark: SparkSession, base: str, prefix: str) -> list[int]:
     """Numbers of the folders ``prefix<number>`` under ``base``, ascending."""
     jvm = spark.sparkContext._jvm

@@ -3,7 +3,8 @@
 Brokered topics are read with the Kafka source when its package is on the
 classpath; the same functions read JSON-lines / text / parquet folders, which
 is what tests use (no Kafka jar ships here).  Consumer-group offsets of the
-surveyed receiver streams become the query's checkpoint.
+surveyed receiver streams become the query's checkpoint.  A topic log in files
+(``topic_log``) has partitions, offsets and groups without a broker.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.messages import parse_json
+from . import topic_log
 
 CHUNK_LOG_SCHEMA = (
     "route_num int, batch timestamp_ntz, fi struct<ts:timestamp_ntz,seq:bigint,loc:int>, "
@@ -33,11 +35,13 @@ def read_events(
     path: str | None = None,
     bootstrap: str | None = None,
     max_per_trigger: int | None = None,
+    group: str | None = None,
 ) -> DataFrame:
     """A1/A2: a topic of JSON messages as a parsed streaming DataFrame.
 
     ``source='kafka'`` subscribes to ``topic`` (``seq`` = partition/offset
-    order); ``source='files'`` reads JSON lines under ``path/topic``.  Files carry
+    order); ``source='log'`` reads the topic log under ``path`` (``topic_log``) with the
+    same ``seq``, ``max_per_trigger`` commits at a time; ``source='files'`` reads JSON lines under ``path/topic``.  Files carry
     no offsets: unless the messages have a ``seq`` field of their own, ``seq``
     is a hash of the message, which orders messages of the same second the
     same way whatever file, batch or replay brings them.
@@ -58,6 +62,14 @@ def read_events(
             F.col("value").cast("string").alias("value"),
             (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("seq"),
         )
+    elif source == "log":
+        topic_log.register(spark)
+        reader = spark.readStream.format(topic_log.FORMAT).option("path", path).option("topic", topic)
+        if max_per_trigger:
+            reader = reader.option("maxCommitsPerTrigger", max_per_trigger)
+        if group:
+            reader = reader.option("group", group)
+        lines = reader.load().select("value", (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("seq"))
     else:
         reader = spark.readStream.format("text")
         if max_per_trigger:

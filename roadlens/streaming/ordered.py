@@ -89,6 +89,37 @@ def in_event_order(df: DataFrame, key: str, values: Sequence[str], watermark: st
         _fold(step, columns, init), out_schema, f"held binary, {state_schema}", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+# ----------------------------------------------------------------- late messages (L1)
+
+ADMITTED_SCHEMA = "kind string, value string, seq bigint, late boolean"
+NEVER = 1 << 62  # event time of a message without one: never late
+
+
+def admitted(messages: DataFrame, watermark: str, buckets: int = 200) -> DataFrame:
+    """Tell on-time messages from late ones, and keep both (append mode).
+
+    ``messages``: kind, value, seq, ts (null where it cannot be read).  A message is late
+    when the watermark had passed its time before its micro-batch; the stateful
+    operators below would drop it without a trace.  Here an operator without timeouts,
+    which Spark lets late rows reach, reads the watermark and marks them.  Messages
+    are dealt by a hash, so no key is a bottleneck; the state is a count per bucket.
+    """
+    rows = messages.withColumn("_et", F.coalesce(event_time("ts"), F.timestamp_millis(F.lit(0)))).withWatermark("_et", watermark)
+    rows = rows.select(
+        F.pmod(F.xxhash64("value", "seq"), F.lit(buckets)).alias("bucket"), "_et", "kind", "value", "seq",
+        F.coalesce(F.unix_millis(event_time("ts")), F.lit(NEVER)).alias("_ms"))
+
+    def tap(key, pdfs, state):
+        n = state.get[0] if state.exists else 0
+        mark = state.getCurrentWatermarkMs()
+        for p in pdfs:
+            n += len(p)
+            yield p[["kind", "value", "seq"]].assign(late=p["_ms"] <= mark)
+        state.update((n,))
+
+    return rows.groupBy("bucket").applyInPandasWithState(tap, ADMITTED_SCHEMA, "n bigint", "append", GroupStateTimeout.NoTimeout)
+
+
 def run_starts(kinds: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin."""
     return np.flatnonzero(np.r_[True, kinds[1:] != kinds[:-1]]) if len(kinds) else np.zeros(0, dtype=np.int64)

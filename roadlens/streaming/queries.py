@@ -19,6 +19,7 @@ whatever the session zone.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -404,18 +405,44 @@ class IncidentStreams(NamedTuple):
     producer: object
     consumer: object
     rejects: object
+    admission: object = None
+
+
+def admission_query(rows: DataFrame, out_path: str, checkpoint: str, watermark: str, trigger: dict | None = None):
+    """L1: all messages of ``rows`` (``domain_rows`` of any kinds) in folders ``late=false`` and
+    ``late=true``, by the exactly-once file sink.  Whoever reads whole epochs of the first
+    with the same watermark delay drops none of them: its watermark cannot be ahead
+    of the one they were admitted under."""
+    marked = O.admitted(rows.select("kind", F.col("_raw").alias("value"), "seq", "ts"), watermark)
+    # a computed column: the partitioned writer's sort needs rows that a projection has made
+    marked = marked.withColumn("late", F.coalesce("late", F.lit(False)))
+    w = (marked.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+         .partitionBy("late").outputMode("append"))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def read_admitted(spark, path: str, schemas: dict) -> DataFrame:
+    """The on-time messages of an admission log as domain rows; ``schemas``: wire schema per kind."""
+    log = spark.readStream.schema(O.ADMITTED_SCHEMA).parquet(path).where(~F.col("late"))
+    parts = []
+    for kind, schema in schemas.items():
+        lines = log.where(F.col("kind") == kind).select("value", *([] if "seq" in schema.fieldNames() else ["seq"]))
+        parts.append(domain_rows(M.parse_json(lines, schema, keep_raw=True), kind))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def start_incident_streams(spark, out_dir: str, checkpoint_dir: str, source: str = "files",
                            topics_dir: str | None = None, bootstrap: str | None = None,
                            batch: str = "1 hour", watermark: str = "10 minutes", trigger: dict | None = None,
                            accident_schema=S.USER_ACCIDENT_SCHEMA, position_schema=S.USER_POS_SCHEMA,
-                           max_files: int | None = None) -> IncidentStreams:
+                           max_files: int | None = None, keep_late: bool = False) -> IncidentStreams:
     """The incident flow end to end: topics ``user_accident`` and ``user_pos``
     -> parsed domain rows -> closed batches per route (``out_dir/chunks``)
     -> lifecycle state per route -> history rows appended to
     ``out_dir/history`` partitioned by day.  Messages that cannot be used go to
-    ``out_dir/rejects`` (topic kind, problem, text).
+    ``out_dir/rejects`` (topic kind, problem, text).  With ``keep_late`` all messages first
+    pass the admission log ``out_dir/messages``: those later than the watermark stay
+    in its folder ``late=true``, the flow reads the others.
 
     A batch is closed, and its messages take effect, when the watermark passes
     its end.  With ``availableNow`` the consumer starts after the producer has
@@ -428,6 +455,13 @@ def start_incident_streams(spark, out_dir: str, checkpoint_dir: str, source: str
     pos = read_events(spark, "user_pos", position_schema, source, topics_dir, bootstrap, max_files)
     rows = domain_rows(acc, "incident").unionByName(domain_rows(pos, "position"))
     out, ck = out_dir.rstrip("/"), checkpoint_dir.rstrip("/")
+    admission = None
+    if keep_late:
+        spark.createDataFrame([], O.ADMITTED_SCHEMA).write.mode("ignore").partitionBy("late").parquet(f"{out}/messages")
+        admission = admission_query(rows, f"{out}/messages", f"{ck}/messages", watermark, trigger)
+        if trigger is None or "availableNow" in trigger:
+            admission.awaitTermination()
+        rows = read_admitted(spark, f"{out}/messages", {"incident": accident_schema, "position": position_schema})
     rejects = (
         rows.where("problem IS NOT NULL").select("kind", "problem", F.col("_raw").alias("message"))
         .writeStream.format("parquet").option("path", f"{out}/rejects").option("checkpointLocation", f"{ck}/rejects")
@@ -438,4 +472,4 @@ def start_incident_streams(spark, out_dir: str, checkpoint_dir: str, source: str
         producer.awaitTermination()
     history = lifecycle_stream(read_chunks(spark, f"{out}/chunks", max_files))
     consumer = history_stream_sink(history, f"{out}/history", f"{ck}/history", "tod", trigger)
-    return IncidentStreams(producer, consumer, rejects)
+    return IncidentStreams(producer, consumer, rejects, admission)
