@@ -51,12 +51,12 @@ def names(schema: str) -> list[str]:
 Step = Callable[[tuple, np.ndarray, tuple], tuple[tuple, pd.DataFrame | None]]
 
 
-def _fold(step: Step, columns: list[str], init: tuple):
+def _fold(step: Step, columns: list[str], init: tuple, n_order: int = 1):
     def fold(key, pdfs, state):
         held, *kept = state.get if state.exists else (b"", *init)
         new = [np.column_stack([p[c].to_numpy(dtype=np.int64) for c in columns]) for p in pdfs if len(p)]
         rows = np.concatenate([np.frombuffer(held, dtype="<i8").reshape(-1, len(columns)), *new])
-        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        rows = rows[np.lexsort(rows[:, n_order::-1].T)]  # by the first columns: ts, then the order
         mark = state.getCurrentWatermarkMs()
         ready = int(np.searchsorted(rows[:, 0], mark * 1000, side="left"))
         out = None
@@ -73,20 +73,20 @@ def _fold(step: Step, columns: list[str], init: tuple):
 
 
 def in_event_order(df: DataFrame, key: str, values: Sequence[str], watermark: str, step: Step,
-                   init: tuple, out_schema: str, state_schema: str) -> DataFrame:
-    """Fold each ``key``'s rows of a stream in (ts, seq) order (append mode).
+                   init: tuple, out_schema: str, state_schema: str, order: Sequence[str] = ("seq",)) -> DataFrame:
+    """Fold each ``key``'s rows of a stream in (ts, *order) order (append mode).
 
-    ``df`` has ``ts`` (TIMESTAMP_NTZ), ``seq`` and the integer columns ``values``; rows
+    ``df`` has ``ts`` (TIMESTAMP_NTZ) and the integer columns ``order`` and ``values``; rows
     without key or ts take no part.  A message takes effect when the watermark
     has passed it.
     """
     rows = df.where(F.col(key).isNotNull() & F.col("ts").isNotNull()).withColumn("_et", event_time("ts")).withWatermark("_et", watermark)
     packed = rows.select(
         key, "_et", F.unix_micros("_et").alias("_ts"),
-        *[F.coalesce(F.col(c).cast("long"), F.lit(NULL)).alias(f"_{c}") for c in ("seq", *values)])
-    columns = ["_ts", "_seq", *[f"_{c}" for c in values]]
+        *[F.coalesce(F.col(c).cast("long"), F.lit(NULL)).alias(f"_{c}") for c in (*order, *values)])
+    columns = ["_ts", *[f"_{c}" for c in (*order, *values)]]
     return packed.groupBy(key).applyInPandasWithState(
-        _fold(step, columns, init), out_schema, f"held binary, {state_schema}", "append", GroupStateTimeout.EventTimeTimeout)
+        _fold(step, columns, init, len(order)), out_schema, f"held binary, {state_schema}", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # ----------------------------------------------------------------- late messages (L1)
@@ -183,6 +183,40 @@ def report_step(key, rows, kept):
     return (added, cleared), pd.concat([opened, head]).astype({"route_num": "int32", "rank": "int64", "seq": "Int64"})
 
 
+# ----------------------------------------------------------------- as-of join
+
+ASOF_STREAM_SCHEMA = "route_num int, day string, positions bigint, affected bigint"
+ASOF_STATE_SCHEMA = "occur bigint, loc bigint"
+_DAY = 86_400_000_000
+
+
+def asof_step(reach: int) -> Step:
+    """Each position against the latest incident message of its route: rows are (ts, rank, seq,
+    occur, loc) with incidents of rank 0.  Emits counts per day; the state is that message."""
+
+    def step(key, rows, kept):
+        occur, loc = (NULL if x is None else x for x in kept)
+        incident = rows[:, 1] == 0
+        last = np.maximum.accumulate(np.where(incident, np.arange(len(rows)), -1))
+        seen = last >= 0
+        at_occur, at_loc = np.where(seen, rows[last, 3], occur), np.where(seen, rows[last, 4], loc)
+        user = rows[:, 4]
+        known = (at_occur == 1) & (at_loc != NULL) & (user != NULL)
+        ahead = np.where(known, at_loc, 0) - np.where(known, user, 0)
+        hit = known & (ahead > 0) & (ahead <= reach)
+        if seen[-1]:
+            occur, loc = int(at_occur[-1]), int(at_loc[-1])
+        kept = tuple(None if x == NULL else int(x) for x in (occur, loc))
+        days, which = np.unique(rows[~incident, 0] // _DAY, return_inverse=True)
+        if not len(days):
+            return kept, None
+        return kept, pd.DataFrame({
+            "route_num": int(key[0]), "day": days.astype("datetime64[D]").astype(str),
+            "positions": np.bincount(which), "affected": np.bincount(which, weights=hit[~incident]).astype(np.int64)})
+
+    return step
+
+
 # ----------------------------------------------------------------- sessions (K4)
 
 SESSION_STREAM_SCHEMA = (

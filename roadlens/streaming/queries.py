@@ -194,6 +194,16 @@ def route_counters_stream(chunks: DataFrame) -> DataFrame:
     )
 
 
+def lifecycle_state_now(spark, checkpoint: str) -> DataFrame:
+    """The state of a ``lifecycle_stream`` (or ``route_counters_stream``) query as of its
+    last committed batch, read from its checkpoint: the columns of ``lifecycle.lifecycle_state``.
+    No output is scanned; the read grows with the number of routes."""
+    state = spark.read.format("statestore").load(checkpoint).select("key.route_num", "value.groupState.*")
+    return state.select(
+        "route_num", F.col("expect"), F.col("loc").alias("location"), F.col("tot").alias("users_total"), F.col("aff").alias("users_affected"),
+        F.col("rep").alias("incidents_reported"), F.col("clr").alias("incidents_cleared"))
+
+
 # ----------------------------------------------------------------- windowed operators
 
 
@@ -242,6 +252,21 @@ def incident_user_join_stream(inc: DataFrame, pos: DataFrame, interval: str = "1
     )
 
 
+def asof_affected_stream(inc: DataFrame, pos: DataFrame, watermark: str, reach: int = S.AFFECTED_REACH) -> DataFrame:
+    """E2 as a stream: each position against the latest incident message of its route at
+    or before it, whatever order both streams arrive in.  Emits (route_num, day,
+    positions, affected) as messages are passed by the watermark; their sums per
+    route and day (``asof_totals``) equal ``joins.asof_affected_counts``."""
+    rows = inc.select("route_num", "ts", F.lit(0).alias("rank"), "seq", F.col("occur_clear").alias("occur"), "loc").unionByName(
+        pos.select("route_num", "ts", F.lit(1).alias("rank"), "seq", F.lit(None).cast("int").alias("occur"), "loc"))
+    return O.in_event_order(rows, "route_num", ["occur", "loc"], watermark, O.asof_step(reach), (None, None),
+                            O.ASOF_STREAM_SCHEMA, O.ASOF_STATE_SCHEMA, order=["rank", "seq"])
+
+
+def asof_totals(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("route_num", "day").agg(F.sum("positions").alias("positions"), F.sum("affected").alias("affected"))
+
+
 def distinct_words_stream(lines: DataFrame) -> DataFrame:
     """F20 as a stream: first sighting of every word (one state store: the vocabulary)."""
     return I.word_keys(lines).dropDuplicates(["key"])
