@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import text as T
+from .scan import ranks
 
 HEADER_FIRST_FIELD = "date of stop"
 
@@ -87,11 +88,16 @@ def pageviews(events: DataFrame, interval: str = "1 hour") -> DataFrame:
 
 def ranked_within(df: DataFrame, key: str, order: Sequence, n: int | None = None) -> DataFrame:
     """Rank rows inside a key by ``order`` (e.g. page views descending),
-    optionally keeping the first ``n``.  Input rows are already aggregated
-    (one per key and interval), so a key's partition grows with time only."""
+    optionally keeping the first ``n``.
+
+    The first ``n`` are cut in every task before the shuffle; all rows are ranked by
+    range partitions (``scan.ranks``), so a key with most rows is no single task.
+    """
+    order = [F.col(o) if isinstance(o, str) else o for o in order]
+    if n is None:
+        return ranks(df, [key], order, "rank")
     w = Window.partitionBy(key).orderBy(*order)
-    out = df.withColumn("rank", F.row_number().over(w))
-    return out if n is None else out.where(F.col("rank") <= n)
+    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
 def write_ordered(df: DataFrame, path: str, partition_col: str, order: Sequence[str]) -> None:

@@ -271,3 +271,25 @@ def global_running_sum(df: DataFrame, ts: str, order: Sequence[str], value: str,
     for u in units:
         total = total + F.col(f"_gs_off_{u}")
     return out.withColumn(out_col, total).drop("_gs_in", *cols.values(), *[f"_gs_off_{u}" for u in units])
+
+
+def ranks(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out_col: str) -> DataFrame:
+    """Place of every row among the rows of its ``keys`` in ``order``, from 1, without a window
+    over a key's rows.
+
+    Range partitions by (keys, order) hold contiguous stretches of each key, and a row
+    id counts inside a partition: one summary row per key and partition is summed up,
+    so a key with most of the rows is ranked by as many tasks as it fills.
+    """
+    keys = list(keys)
+    by = [F.col(k).asc_nulls_first() for k in keys] + list(order)
+    placed = _placed(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_rk_row", F.monotonically_increasing_id()), keys)
+    placed = placed.withColumn("_rk_part", F.shiftright("_rk_row", 33))
+    before = F.coalesce(F.sum("_n").over(key_window([f"_k{i}" for i in range(len(keys))], "_part")), F.lit(0))
+    spans = placed.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_rk_part").alias("_part")).agg(
+        F.min("_rk_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    spans = spans.select(*[f"_k{i}" for i in range(len(keys))], "_part", (before - F.col("_first") + 1).alias("_shift"))
+    same = F.col("_rk_part") == F.col("_part")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return placed.join(spans, same).withColumn(out_col, (F.col("_rk_row") + F.col("_shift")).cast("int")).select(*df.columns, out_col)

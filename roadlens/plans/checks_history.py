@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..operators import history as H
+from ..operators import history_partials as HP
 from .registry import check
 from .tables import Tables
 
@@ -130,3 +131,24 @@ JOIN (SELECT month(tod) AS m, ROUND(AVG(CAST(users_total AS DOUBLE)), 6) AS avg_
 WHERE h2.m = {MONTH}""")
 def hist_vs_month_avg(spark, sf):
     return H.vs_month_avg(Tables(spark, sf).hist_traffic, MONTH)
+
+
+@check("hist_folded_daily", """
+SELECT idate, CAST(SUM(users_total) AS BIGINT) AS sum_users_total, CAST(SUM(users_affected) AS BIGINT) AS sum_users_affected,
+       ROUND(AVG(CAST(duration AS DOUBLE)), 6) AS avg_duration
+FROM hist_day_time GROUP BY idate""")
+def hist_folded_daily(spark, sf):
+    return HP.daily_avg(Tables(spark, sf).hist_partials)
+
+
+@check("hist_folded_by_month", f"""
+SELECT CAST(month(tod) AS INTEGER) AS month, {_AVG3} FROM hist_traffic GROUP BY month(tod)""")
+def hist_folded_by_month(spark, sf):
+    return HP.by_month(Tables(spark, sf).hist_partials)
+
+
+@check("hist_folded_hotspots", """
+SELECT route_num, location, CAST(SUM(users_affected) AS BIGINT) AS affected
+FROM hist_day_time GROUP BY route_num, location ORDER BY affected DESC, route_num, location LIMIT 10""")
+def hist_folded_hotspots(spark, sf):
+    return HP.hotspots(Tables(spark, sf).hist_partials)

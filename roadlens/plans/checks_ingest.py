@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import ingest as I
+from ..sinks import keyed_table as KT
 from ..operators import messages as M
 from ..sources import driver as D
 from ..sources import streams as SRC
@@ -122,6 +123,13 @@ def querylog_upsert(spark, sf):
     return I.upsert_latest(D.querylog_events(Tables(spark, sf).events), ["query_type", "ts"], ["seq"])
 
 
+@check("querylog_keyed_table", """
+SELECT query_type, ts, query_text, seq FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY query_type, ts ORDER BY seq DESC) AS k FROM querylog) WHERE k = 1""")
+def querylog_keyed_table(spark, sf):
+    return KT.read(spark, Tables(spark, sf).querylog_table, ["query_type", "ts"], ["seq"])
+
+
 _PV = """(SELECT CAST(user_id AS VARCHAR) AS site_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
         COUNT(*) AS pageviews FROM events GROUP BY ALL)"""
 

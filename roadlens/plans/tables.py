@@ -8,9 +8,12 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import history_partials as HP
 from ..operators import lifecycle as L
 from ..operators.scan import levels_for
+from ..sinks import keyed_table as KT
 from ..sinks import writers as W
 from ..session import ensure_checkpoint_dir, materialise
 from ..sources import driver as D
@@ -73,6 +76,25 @@ class Tables:
         W.append_history(L.hist_traffic(self.incidents, self.positions, HOURLY), path, 1)
         return W.read_history(self.spark, path)
 
+    @cached_property
+    def hist_partials(self) -> DataFrame:
+        """The folded history: three loads of the stored rows, each reduced once."""
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/partials-{uuid.uuid4().hex}"
+        for load in range(3):
+            HP.append(self.hist_traffic.where(F.dayofmonth("tod") % 3 == load), path, load)
+        return HP.read(self.spark, path)
+
+    @cached_property
+    def querylog_table(self) -> str:
+        """A keyed table of the query log: three writes, the first two compacted."""
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/querylog-{uuid.uuid4().hex}"
+        rows = D.querylog_events(self.events)
+        for load in range(3):
+            KT.write_delta(rows.where(F.col("seq") % 3 == load), ["query_type", "ts"], ["seq"], path, load)
+            if load == 1:
+                KT.compact(self.spark, path, ["query_type", "ts"], ["seq"])
+        return path
+
     @cached_property
     def lifecycle_state(self) -> DataFrame:
         return materialise(L.lifecycle_state(self.incidents, self.positions, HOURLY), "state")

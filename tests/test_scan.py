@@ -135,3 +135,15 @@ def test_notified_users_far_along_the_road(spark):
         else:
             want[seq] = sum(r == route and x <= loc - 1 for r, x in active.values())
     assert {r.seq: r.users_to_notify for r in R.users_to_notify(df).collect()} == want
+
+
+def test_ranks_equal_a_window_over_each_key(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 < 8, "hot").when(F.col("id") % 50 == 9, None).otherwise(F.col("id").cast("string")).alias("k"),
+        (F.xxhash64("id") % 100).alias("v"), "id")
+    want = df.withColumn("rank", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("v"), "id")))
+    got = SC.ranks(df, ["k"], [F.desc("v"), F.col("id")], "rank")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert SC.ranks(df.where("false"), ["k"], [F.col("id")], "rank").count() == 0
