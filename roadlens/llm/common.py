@@ -121,6 +121,26 @@ def places(rows: DataFrame, group: list[str], order: list[str], name: str) -> Da
     return dealt.join(spans, group + ["_part"]).withColumn("pos", F.col("_row") + F.col("_shift")).drop("_row", "_part", "_shift")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until no column of ``df`` has one of them (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def first_of_each(df: DataFrame, key: str) -> DataFrame:
+    """One row per ``key``, by a hash of the whole row: the same one in every run.  Each task
+    keeps one row per key before the shuffle, so a key repeated in most rows is no large group."""
+    (place,) = unused(df, "__place")
+    whole = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    ranked = df.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(whole)))
+    return ranked.where(F.col(place) == 1).drop(place)
+
+
 def lower_ascii(column: Column) -> Column:
     """``column`` with A-Z alone lower-cased (texts without other letters take the fast way)."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import BLANKS, id_and_text, join_counted, slices
+from .common import BLANKS, first_of_each, id_and_text, join_counted, slices, unused
 
 PRIMES = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
@@ -179,16 +179,15 @@ def row_key(doc_id, text):
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they came.
 
-    The rows that stay are found by (doc_id, digest of the text); rows that
-    repeat both are ranked, and one stays.  That ranking runs only if such rows
-    exist, which a count over the narrow table tells.
+    The rows that stay are found by (doc_id, digest of the text); of rows that
+    repeat both, the first by a hash of all columns stays.  That ranking runs only
+    if such rows exist, which a count over the narrow table tells.
     """
-    mark = "__exact_key"
+    (mark,) = unused(docs, "__exact_key")
     groups = exact_groups(docs, id_col, text_col).select(
         F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text_sha256").alias(mark), "kept")
     marked = docs.withColumn(mark, row_key(F.col(id_col), F.col(text_col)))
     found = marked.join(groups.where("kept").select(mark), mark, "left_semi")
     if groups.groupBy(mark).count().where("count > 1").limit(1).count():
-        rank = F.row_number().over(Window.partitionBy(mark).orderBy(F.lit(0)))
-        found = found.withColumn("__exact_rank", rank).where("__exact_rank = 1").drop("__exact_rank")
+        found = first_of_each(found, mark)
     return found.drop(mark)

@@ -6,7 +6,8 @@ role or class) are bad; blocks of links are bad; in the article or main
 element other blocks are good; elsewhere long blocks with stop words are good,
 long ones without are bad, and short ones stay open.  Pass 2 gives each open
 block the label of its nearest decided neighbours in the page (good when both
-sides or the nearer side are good).  If a page names an article or main
+sides or the nearer side are good; a page without any decided block keeps
+its text).  If a page names an article or main
 element with text, blocks outside it are bad.
 
 Per-page work only: Spark partitions the pages, no shuffle.  The scanner is
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,7 +43,7 @@ STOP_WORDS = frozenset((
     "als auf aus bei das dem den der des die ein eine er es für im ist mit nicht sich sie sind und von zu zum "
     "al como con del el en es la las lo los más no para pero por que se si sin su un una y"
 ).split())
-RAW = {"script", "style", "template", "noscript", "iframe", "svg", "math", "canvas", "object", "textarea", "title", "select", "option", "button", "video", "audio", "head"}
+RAW = {"script", "style", "template", "noscript", "iframe", "svg", "canvas", "object", "textarea", "title", "select", "option", "button", "video", "audio", "head"}
 SKIPPED = {"nav", "footer", "aside", "form", "menu", "dialog"}
 CONTENT = {"article", "main"}
 BLOCKS = {
@@ -62,7 +64,8 @@ LOOSE = frozenset("nav navbar navigation menu sidebar header footer masthead top
 #: Inside an article whole class names count, ids do not: parts that are dropped there ...
 INSIDE = frozenset((
     "ad ads adbox advert adverts advertisement advertising adsbygoogle ad-banner ad-container ad-slot ad-unit ad-wrapper sponsor sponsored promo "
-    "cookie-banner cookie-notice cookies comment comments commentlist comment-list comments-area post-comments respond replies disqus "
+    "cookie-banner cookie-notice cookies comment comments commentlist comment-list comments-list comment-thread comment-section comments-section "
+    "comments-area post-comments respond replies disqus alert "
     "related-articles related-links related-posts recommended recommendations newsletter newsletter-signup subscribe signup login popup modal "
     "breadcrumb breadcrumbs pagination pager share sharing share-buttons social-links social-share hidden paywall guestbook "
     "nav navbar navigation menu sidebar footer masthead topbar toolbar site-notice"
@@ -83,6 +86,11 @@ class Frame:
     content: bool = False
     doubt: bool = False  # named like another part inside the article: its blocks decide
 
+    @property
+    def loose(self) -> bool:
+        """Dropped for its name alone: an article inside shows that it is none."""
+        return self.drop and not self.firm and self.tag not in SKIPPED
+
 
 @dataclass
 class Block:
@@ -101,8 +109,27 @@ class Page:
     parts: list[str] = field(default_factory=list)
     link_chars: int = 0
     in_link: int = 0
+    # frames that are open: by tag, and how many drop, loosely drop, hold the article, are in doubt, mute
+    tags: Counter = field(default_factory=Counter)
+    marks: Counter = field(default_factory=Counter)
+
+    def count(self, frame: Frame, by: int) -> None:
+        self.tags[frame.tag] += by
+        self.marks["drop"] += by * frame.drop
+        self.marks["loose"] += by * frame.loose
+        self.marks["content"] += by * frame.content
+        self.marks["doubt"] += by * frame.doubt
+        self.marks["mute"] += by * (frame.drop and frame.tag == "span")  # inside a line: left out without ending the block
+
+    def cut(self, at: int) -> None:
+        """Close the frames from place ``at`` on."""
+        for frame in self.frames[at:]:
+            self.count(frame, -1)
+        del self.frames[at:]
 
     def add(self, raw: str) -> None:
+        if self.marks["mute"]:
+            return
         text = _html.unescape(raw) if "&" in raw else raw
         self.parts.append(text)
         if self.in_link:
@@ -112,7 +139,7 @@ class Page:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append(Block(text, self.link_chars, any(f.drop for f in self.frames), any(f.content for f in self.frames), any(f.doubt for f in self.frames)))
+                self.blocks.append(Block(text, self.link_chars, *(self.marks[m] > 0 for m in ("drop", "content", "doubt"))))
             self.parts, self.link_chars = [], 0
 
     def open(self, tag: str, attributes: str) -> None:
@@ -126,29 +153,30 @@ class Page:
             return
         self.end_block()
         if self.frames and self.frames[-1].tag == "p":
-            self.frames.pop()  # a block ends an open paragraph
+            self.cut(len(self.frames) - 1)  # a block ends an open paragraph
         if tag == "li":
             for k in range(len(self.frames) - 1, -1, -1):
                 if self.frames[k].tag in ("ul", "ol", "menu"):
                     break
                 if self.frames[k].tag == "li":
-                    del self.frames[k:]
+                    self.cut(k)
                     break
         if tag not in VOID:
             self.push(tag, attributes)
 
     def push(self, tag: str, attributes: str) -> None:
         frame = Frame(tag, drop=tag in SKIPPED, content=tag in CONTENT)
-        if tag == "header" and not any(f.content for f in self.frames):
+        if tag == "header" and not self.marks["content"]:
             frame.drop = True
         if attributes.strip(" /"):
             self.hints(frame, attributes)
-        if frame.content and not frame.drop:
+        if frame.content and not frame.drop and self.marks["loose"]:
             for f in self.frames:  # what wraps the article was named for another part
-                if f.tag not in SKIPPED and not f.firm:
+                if f.loose:
+                    self.count(f, -1)
                     f.drop = False
-        if frame.drop and tag == "span":
-            self.end_block()
+                    self.count(f, 1)
+        self.count(frame, 1)
         self.frames.append(frame)
 
     def hints(self, frame: Frame, attributes: str) -> None:
@@ -174,7 +202,7 @@ class Page:
                 frame.content = True
         if frame.tag in ("html", "body"):
             frame.drop = frame.firm = False
-        elif any(f.content for f in self.frames):
+        elif self.marks["content"]:
             if classes & INSIDE:
                 frame.drop = frame.firm = True
             elif not frame.drop and frame.tag[0] != "h":
@@ -191,16 +219,17 @@ class Page:
             self.in_link = 0
         if tag not in BLOCKS and tag != "span":
             return
-        at = next((k for k in range(len(self.frames) - 1, -1, -1) if self.frames[k].tag == tag), None)
-        if tag in BLOCKS or at is not None and self.frames[at].drop:
+        if tag in BLOCKS:
             self.end_block()
-        if at is not None and not (tag == "span" and any(f.tag != "span" for f in self.frames[at:])):
-            del self.frames[at:]
+        if not self.tags[tag] or tag == "span" and self.frames[-1].tag != "span":
+            return  # never opened, or a block stands open inside
+        self.cut(next(k for k in range(len(self.frames) - 1, -1, -1) if self.frames[k].tag == tag))
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order, with what pass 1 needs."""
     out, at, n = Page(), 0, len(page)
+    unclosed: set[str] = set()  # elements without a closing tag further on: searched for once
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -229,7 +258,9 @@ def blocks(page: str) -> list[Block]:
         if m[1]:
             out.close(tag)
         elif tag in RAW and not m[3].endswith("/"):
-            end = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
+            end = None if tag in unclosed else re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
+            if end is None:
+                unclosed.add(tag)
             if tag == "title" or tag == "head" or end is None and tag in ("script", "style"):
                 at = (at if tag == "head" else n) if end is None else at if tag == "head" else end.end()
             else:
@@ -275,7 +306,9 @@ def inherit(found: list[Block]) -> None:
             after = (i, b.label)
             continue
         (left, left_label), (right, right_label) = before[i], after
-        if left_label is None or right_label is None:
+        if left_label is None and right_label is None:
+            b.label = True  # nothing on the page could be decided: its text is all there is
+        elif left_label is None or right_label is None:
             b.label = bool(left_label or right_label)
         else:
             b.label = left_label if i - left < right - i else right_label if right - i < i - left else left_label or right_label

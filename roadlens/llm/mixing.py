@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import WORD, join_counted
+from .common import WORD, join_counted, unused
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -100,12 +100,12 @@ def emit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     sized = docs.select(words(F.col(text_col)).alias("size"), *_keyed(docs, source_col))
     targets = materialise(source_targets(sized, weights, cap), "targets")
     total = targets.agg(F.sum("n")).first()[0] or 0
-    null, source = _keyed(docs, source_col)
-    marked = docs.withColumns({"__mix_null": null, "__mix_source": source})
-    rates = targets.select(F.col("is_null").alias("__mix_null"), F.col("source").alias("__mix_source"), F.col("rate").alias("__mix_rate"), F.col("n").alias("__mix_n"))
-    joined = join_counted(marked, rates, ["__mix_null", "__mix_source"], "__mix_n", total)
-    taken = joined.withColumn("__mix_copies", copies(F.col(id_col), F.col("__mix_rate"), seed)).where("__mix_copies > 0")
-    return taken.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), "__mix_copies"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    is_null, source, rate, n, times, copy = unused(docs, "__mix_null", "__mix_source", "__mix_rate", "__mix_n", "__mix_copies", "__mix_copy")
+    marked = docs.withColumns(dict(zip((is_null, source), _keyed(docs, source_col))))
+    rates = targets.select(F.col("is_null").alias(is_null), F.col("source").alias(source), F.col("rate").alias(rate), F.col("n").alias(n))
+    joined = join_counted(marked, rates, [is_null, source], n, total)
+    taken = joined.withColumn(times, copies(F.col(id_col), F.col(rate), seed)).where(F.col(times) > 0)
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), times))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 SQL = r"""

@@ -28,11 +28,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import components, join_counted, slices
+from .common import components, first_of_each, join_counted, slices, unused
 from .exact_dedup import row_key
 
 SHINGLE = 3
@@ -246,13 +246,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     The row with the smallest doc_id stays; of rows that share it, the one
     with the smallest digest.  A component of null doc_ids keeps one row too.
     """
-    mark = "__near_key"
+    (mark,) = unused(docs, "__near_key")
     key = row_key(F.col(id_col), F.col(text_col))
     rows = simhash_components(docs, id_col, text_col, shingle, radius, mark=key)
     first = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = materialise(first.groupBy("root").agg(F.min("mark").alias(mark), F.count("*").alias("n")), "near_kept")
     found = docs.withColumn(mark, key).join(keep.select(mark), mark, "left_semi")
     if keep.where("n > 1").limit(1).count():  # a doc_id repeats: rows of equal text may too
-        rank = F.row_number().over(Window.partitionBy(mark).orderBy(F.lit(0)))
-        found = found.withColumn("__near_rank", rank).where("__near_rank = 1").drop("__near_rank")
+        found = first_of_each(found, mark)
     return found.drop(mark)
