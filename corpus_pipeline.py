@@ -21,22 +21,36 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts.  Null texts are scored as empty ones; rows that
+    repeat an id or a text are scored alike; an empty table stays empty.
+    """
     return ranker.accepted(docs, ranker.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts: the smallest doc_id (null last), of rows equal in id
+    and text the first by a hash of all columns.  Null texts equal empty ones.
+    """
     return exact_dedup.drop_exact_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each SimHash component, chosen as in ``exact``.  Texts without words share the
+    fingerprint zero and are one component.
+    """
     return simhash.drop_near_copies(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row as often as its source's rate says; a null source is a source of its own, empty
+    texts are taken at their source's rate, reruns agree.
+    """
     return mixing.emit(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each row's whole text; null texts have none, repeated rows repeat.
+    """
     return bpe.encoded(docs, VOCABULARY)
 
 
