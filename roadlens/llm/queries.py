@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, line_dedup, merkle, mixing, mtree, pii, quality_rules, ranker, simhash, spelling, training_order
+from . import bpe, exact_dedup, html_text, line_dedup, merkle, mixing, mtree, pii, quality_rules, ranker, simhash, spelling, token_ids, training_order
 from ..session import ensure_checkpoint_dir, materialise
 from .common import table
 
@@ -79,9 +79,10 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shards-{uuid.uuid4().hex}"
     words = public_tokenizers.path("word_bpe_49k.json")
     # written once: counted and cut from the same files, without encoding twice
-    tokens = materialise(bpe.encoded(table(spark, sf_dir, "documents"), words).select("doc_id", "ids"), "token_ids")
-    end = len(bpe.vocabulary(words).tokens)  # two ids past the vocabulary end and pad
-    layout = training_order.write_shards(tokens, path, width=4, end=end, pad=end + 1)
+    tokens = materialise(token_ids.token_ids(table(spark, sf_dir, "documents"), words), "token_ids", compression="zstd")
+    vocab = bpe.vocabulary(words)
+    end = len(vocab.tokens)  # two ids past the vocabulary end and pad
+    layout = training_order.write_shards(tokens, path, width=4, id_width=token_ids.id_width(vocab), end=end, pad=end + 1)
     return training_order.read_shards(spark, path, layout).select(
         "slot", "shard", "byte_offset", "sequence", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
 

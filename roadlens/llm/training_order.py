@@ -19,8 +19,8 @@ or a very long document makes no hot shard.  A task whose partition differs
 from the one counted (the input changed in between) fails instead of writing
 wrong offsets.
 
-Defined results: null text counts as empty (its end token alone); repeated
-rows are separate documents; an empty table gives no shard; extra columns are
+Defined results: null text counts as empty (its end token alone); a null doc_id is
+an id like any other; repeated rows are separate documents; an empty table gives no shard; extra columns are
 ignored.
 """
 
@@ -136,14 +136,22 @@ def _partitions(tokens: DataFrame, width: int) -> DataFrame:
         F.count("*").alias("docs"), F.sum(n).alias("tokens"), F.sum(F.coalesce(F.xxhash64("doc_id"), F.lit(0)).bitwiseAND(F.lit(0xFFFFFFFF))).alias("ids_sum"))
 
 
-def pieces(tokens: DataFrame, width: int = 1, end: int = END, pad: int = PAD, length: int = LENGTH, key: int = KEY, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, Layout]:
-    """(slot, at, shard, compressed piece) rows that make up all sequences, and the layout."""
+def pieces(tokens: DataFrame, width: int = 1, end: int = END, pad: int = PAD, length: int = LENGTH, key: int = KEY, shard_bytes: int = SHARD_BYTES,
+           id_width: int | None = None) -> tuple[DataFrame, Layout]:
+    """(slot, at, shard, compressed piece) rows that make up all sequences, and the layout.
+
+    ``width`` is the bytes of a token in the shards, ``id_width`` those in ``tokens`` and
+    in the pieces (the same if None): narrow ids are widened when a shard is written.
+    """
     spark = tokens.sparkSession
+    record, width = width, id_width or width
+    if record < width:
+        raise ValueError("shard tokens must be at least as wide as the ids")
     known, before = [], 0
     for r in _partitions(tokens, width).orderBy("part").collect():  # one row per scan partition
         known.append((r["part"], before, r["docs"], r["tokens"], r["ids_sum"]))
         before += r["tokens"]
-    layout = Layout(before, length, width, key, shard_bytes)
+    layout = Layout(before, length, record, key, shard_bytes)
     starts = spark.createDataFrame(known, "part int, start long, docs long, tokens long, ids_sum long")
     end_bytes, pad_bytes = end.to_bytes(width, "little"), pad.to_bytes(width, "little")
 
@@ -185,9 +193,21 @@ def pieces(tokens: DataFrame, width: int = 1, end: int = END, pad: int = PAD, le
     return placed.mapInArrow(run, "slot long, at int, shard int, piece binary"), layout
 
 
+def _from(first: int, last: int) -> list[str]:
+    """File name patterns of the five-digit (or longer) numbers from ``first`` to ``last``."""
+    low, out = f"{first:05d}", []
+    for length in range(len(low), len(f"{last:05d}") + 1):
+        if length > len(low):
+            low = "1" + "0" * (length - 1)
+        out.append(low)
+        out += [low[:i] + f"[{int(d) + 1}-9]" + "[0-9]" * (length - 1 - i) for i, d in enumerate(low) if d != "9"]
+    return out
+
+
 def write_shards(tokens: DataFrame, path: str, **options) -> Layout:
-    """Write the sequences of ``tokens`` (doc_id, ids) as shards under ``path``."""
+    """Write the sequences of ``tokens`` (doc_id, ids) as shards under ``path``; ``options`` as in ``pieces``."""
     rows, layout = pieces(tokens, **options)
+    given, stored = f"<u{options.get('id_width') or layout.width}", f"<u{layout.width}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, held, n, now = layout.length * layout.width, [], 0, None
@@ -198,7 +218,8 @@ def write_shards(tokens: DataFrame, path: str, **options) -> Layout:
                 if n and slot != now:
                     raise RuntimeError(f"slot {now} has {n} of {size} bytes")
                 now = slot
-                held.append(unpack(piece))
+                part = unpack(piece)
+                held.append(part if given == stored else np.frombuffer(part, given).astype(stored).tobytes())
                 n += len(held[-1])
                 if n == size:
                     out.append(b"".join(held))
@@ -215,7 +236,8 @@ def write_shards(tokens: DataFrame, path: str, **options) -> Layout:
 def read_shards(spark: SparkSession, path: str, layout: Layout, first_slot: int = 0) -> DataFrame:
     """(slot, shard, byte_offset, sequence, n_tokens, ids) from ``first_slot`` on, in slot order within a shard.
 
-    Shards before the one that holds ``first_slot`` are not opened.
+    Shards before the one that holds ``first_slot`` are neither listed nor opened: the
+    file names that a read takes are made from the shard numbers.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,7 +254,7 @@ def read_shards(spark: SparkSession, path: str, layout: Layout, first_slot: int
                          pa.array([bytes(data[r * layout.stride:(r + 1) * layout.stride - 1]) for r in range(lo, hi)], pa.binary())],
                         names=["slot", "shard", "byte_offset", "sequence", "n_tokens", "ids"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    names = ",".join(_from(first_slot // layout.per_shard, layout.shards))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"part-{{{names}}}-*").load(path)
     shard = F.regexp_extract("path", r"part-([0-9]+)-", 1).cast("int")
-    wanted = files.select(shard.alias("shard"), "content").where(F.col("shard") >= first_slot // layout.per_shard)
-    return wanted.mapInArrow(run, "slot long, shard int, byte_offset long, sequence long, n_tokens long, ids binary")
+    return files.select(shard.alias("shard"), "content").mapInArrow(run, "slot long, shard int, byte_offset long, sequence long, n_tokens long, ids binary")
