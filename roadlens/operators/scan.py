@@ -241,20 +241,21 @@ def keyed_lag(
     )
 
 
-def global_running_sum(df: DataFrame, ts: str, order: Sequence[str], value: str, out_col: str) -> DataFrame:
+def global_running_sum(df: DataFrame, ts: str, order: Sequence[str], value: str, out_col: str, store: bool = True) -> DataFrame:
     """Running sum over all rows in (ts, *order) order, without a window over all of them.
 
     Sums per second are offset inside their hour, hours inside their day, days
     inside their month; the months (a few per year) are added up in one array.
+    ``store=False`` writes no table between the steps: for a ``df`` that is read from one.
     """
     units = ("second", "hour", "day", "month")
     cols = {u: f"_gs_{u}" for u in units}
     local = df.withColumns({cols[u]: F.date_trunc(u, F.col(ts)).cast("timestamp_ntz") for u in units})
     w = Window.partitionBy(cols["second"]).orderBy(ts, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = _placed(local.withColumn("_gs_in", F.sum(value).over(w).cast("long")), [])
-    out = local
+    local = local.withColumn("_gs_in", F.sum(value).over(w).cast("long"))
+    out = local = _placed(local, []) if store else local
     totals = local.groupBy(*[cols[u] for u in units]).agg(F.sum(value).alias("_gs_t"))
-    totals = materialise(totals, "seconds")
+    totals = materialise(totals, "seconds") if store else totals
     for fine, coarse in zip(units, units[1:]):
         by = [cols[u] for u in units[units.index(fine):]]
         level = totals.groupBy(*by).agg(F.sum("_gs_t").alias("_gs_t"))

@@ -65,7 +65,7 @@ def _fold(step: Step, columns: list[str], init: tuple, n_order: int = 1):
         rows = rows[ready:]
         state.update((rows.astype("<i8").tobytes(), *kept))
         if len(rows):
-            state.setTimeoutTimestamp(max(mark + 1, int(rows[0, 0] // 1000)))
+            state.setTimeoutTimestamp(max(mark, int(rows[0, 0] // 1000), 1))  # released by the first watermark past it
         if out is not None:
             yield out
 
@@ -240,3 +240,16 @@ def session_step(key, rows, kept):
             out.append((key[0], route, loc, stamp(since), stamp(int(ts))))
             active, route, loc, since = False, None, None, None
     return (active, route, loc, since), pd.DataFrame(out, columns=names(SESSION_STREAM_SCHEMA)) if out else None
+
+
+TRANSITION_SCHEMA = "ts timestamp_ntz, seq bigint, delta int"
+
+
+def transition_step(key, rows, kept):
+    """+1 for a register of an inactive user, -1 for a sign-off of an active one; others change nothing."""
+    active, out = kept[0], []
+    for ts, seq, kind in rows[run_starts(rows[:, 2])]:
+        if (kind == S.REQ_REGISTER) != active:
+            active = not active
+            out.append((stamp(int(ts)), int(seq), 1 if active else -1))
+    return (active,), pd.DataFrame(out, columns=names(TRANSITION_SCHEMA)) if out else None

@@ -1,0 +1,80 @@
+"""G3 live: the gauge of a stream is the batch gauge, whatever order messages come in."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from roadlens import schemas as S
+from roadlens.operators import messages as M
+from roadlens.operators import requests as R
+from roadlens.sources import streams as SRC
+from roadlens.streaming import gauge as G
+from tests.test_event_order import CLOCK, _close, _wire_requests, _write
+
+CLOSE = {"req_type": "1", "sub_req_type": None, "ts": CLOCK, "user_id": "clock", "route_id": "-1", "location": "0"}
+
+
+def _parsed(spark, topics):
+    return M.parse_requests(SRC.read_events(spark, "user_traffic", S.USER_TRAFFIC_SCHEMA, path=topics, max_per_trigger=1))
+
+
+def _batch_gauge(spark, folder):
+    rows = M.parse_requests(M.parse_json(spark.read.text(folder).withColumn("seq", F.xxhash64("value")), S.USER_TRAFFIC_SCHEMA, keep_raw=True))
+    return R.active_users_gauge(rows.where("user_id <> 'clock'"))
+
+
+def _rows(df):
+    return sorted(map(tuple, df.select("ts", "seq", "delta", "active_users").collect()))
+
+
+@pytest.mark.parametrize("files", [1, 6])
+def test_shuffled_messages_and_restarts(spark, scratch, files):
+    topics, out, ck = (os.path.join(scratch, x) for x in ("topics", "gauge", "ck"))
+    folder = os.path.join(topics, "user_traffic")
+    _write(folder, _wire_requests(spark), files, files)
+    assert G.read_gauge(spark, out).count() == 0 and G.active_users_now(spark, out) == 0
+    G.active_users_stream(_parsed(spark, topics), out, ck, "3000 days").awaitTermination(300)
+    _close(folder, CLOSE)
+    G.active_users_stream(_parsed(spark, topics), out, ck, "3000 days").awaitTermination(300)
+    want = _batch_gauge(spark, folder)
+    assert _rows(G.read_gauge(spark, out)) == _rows(want) and want.count() > 10
+    assert G.active_users_now(spark, out) == want.agg(F.sum("delta")).first()[0]
+
+
+def test_messages_in_time_order_close_many_micro_batches(spark, scratch):
+    """A short watermark: every file closes what the one before brought, and the carried count goes on."""
+    topics, out, ck = (os.path.join(scratch, x) for x in ("topics", "gauge", "ck"))
+    folder = os.path.join(topics, "user_traffic")
+    wire = sorted(_wire_requests(spark), key=lambda m: m["ts"])
+    step = -(-len(wire) // 5)
+    os.makedirs(folder)
+    for k in range(5):
+        stop = (k + 1) * step
+        _write(os.path.join(scratch, f"part{k}"), wire[k * step:stop], 1, k)
+        os.rename(os.path.join(scratch, f"part{k}", "m000.json"), os.path.join(folder, f"m{k:03d}.json"))
+    G.active_users_stream(_parsed(spark, topics), out, ck, "1 second").awaitTermination(300)
+    _close(folder, CLOSE)
+    G.active_users_stream(_parsed(spark, topics), out, ck, "1 second").awaitTermination(300)
+    assert _rows(G.read_gauge(spark, out)) == _rows(_batch_gauge(spark, folder))
+    assert len([e for e in os.listdir(os.path.join(out, "gauge")) if e.startswith("epoch=")]) >= 3
+
+
+def test_dead_writer_and_replay(spark, scratch):
+    def changes(*rows):
+        return spark.createDataFrame(list(rows), "sec int, seq long, delta int").selectExpr(
+            "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, sec) AS ts", "seq", "delta")
+
+    out = os.path.join(scratch, "gauge")
+    write = G.gauge_writer(out)
+    write(changes((1, 1, 1), (1, 2, 1), (3, 3, -1)), 0)
+    with pytest.raises(RuntimeError):  # an epoch is missing
+        write(changes((9, 4, 1)), 2)
+    # a writer that died before it closed its epoch: half of its rows are there, none is read
+    changes((5, 8, 1)).withColumn("active_users", F.lit(99).cast("long")).write.parquet(os.path.join(out, "gauge", "epoch=000000000001"))
+    assert len(_rows(G.read_gauge(spark, out))) == 3 and G.active_users_now(spark, out) == 1
+    write(changes((5, 8, 1), (7, 9, 1)), 1)
+    write(changes((5, 8, 1), (7, 9, 1)), 1)  # a replay of a closed epoch
+    write(changes(), 2)
+    write(changes((8, 10, -1)), 3)
+    assert [r[3] for r in _rows(G.read_gauge(spark, out))] == [1, 2, 1, 2, 3, 2] and G.active_users_now(spark, out) == 2
