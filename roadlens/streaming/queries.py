@@ -76,9 +76,11 @@ def chunk_stream(events: DataFrame, batch: str = "1 hour", watermark: str = "10
 
     ``events`` carries valid incidents and positions with a ``kind`` column.
     Two chained windowed aggregates: positions become counts per location and
-    incidents the firsts of their runs per ten-second slice, then both meet in
-    one row per route.  Incidents of an open batch are kept until it closes,
-    since a late message may split a run; positions only as counts.  Messages
+    incidents the first three run firsts per ten-second slice, then both meet in
+    one row per route.  Three are enough: the first incident, the first clear and the
+    first incident after it of a batch are among those of its slices, so what meets
+    is bounded by the slices of a batch, whatever the rate.  Incidents of an open slice
+    are kept until it closes, since a late message may split a run; positions only as counts.  Messages
     later than the watermark are dropped by Spark and counted in the query's
     progress (``numRowsDroppedByWatermark``).
     """
@@ -89,7 +91,7 @@ def chunk_stream(events: DataFrame, batch: str = "1 hour", watermark: str = "10
         F.window("_et", batch).alias("w"), "route_num", F.when(~is_inc, F.col("loc")).alias("at_loc"),
         F.when(is_inc, F.floor(F.unix_micros("_et") / SLICE_MICROS)).alias("slice"),
     ).agg(F.count(F.when(~is_inc, 1)).alias("n"), F.collect_list(F.when(is_inc, msg)).alias("m"))
-    parts = parts.select("w", "route_num", "at_loc", "n", _first_of_runs(F.col("m")).alias("m"))
+    parts = parts.select("w", "route_num", "at_loc", "n", F.slice(_first_of_runs(F.col("m")), 1, 3).alias("m"))
     whole = parts.groupBy("w", "route_num").agg(
         F.sum("n").cast("long").alias("n_pos"),
         F.collect_list(F.when(F.col("at_loc").isNotNull(), F.struct(F.col("at_loc").alias("loc"), "n"))).alias("hist"),

@@ -446,3 +446,24 @@ def test_pageviews_and_querylog_from_the_wire(spark, scratch):
     got = P.read_upserted(spark, path, ["query_type", "ts"], ["seq"])
     want = I.upsert_latest(D.querylog_events(t.events), ["query_type", "ts"], ["seq"])
     assert _rows(got, ["query_type", "ts", "query_text"]) == _rows(want, ["query_type", "ts", "query_text"])
+
+
+def test_three_run_firsts_of_a_slice_are_enough(spark):
+    """Any mix of incidents and clears in slices: the kept messages give the batch's own first ones."""
+    import itertools
+
+    from roadlens.streaming.queries import _first_of_runs
+
+    cases = [[flags[:k], flags[k:]] for n in (4, 6) for flags in itertools.product((0, 1), repeat=n) for k in (1, n // 2, n - 1)]
+    rows = [(c, s, [(c * 100 + s * 10 + i, f) for i, f in enumerate(part)]) for c, case in enumerate(cases) for s, part in enumerate(case)]
+    df = spark.createDataFrame(rows, "c int, s int, m array<struct<ts:int,occur_clear:int>>")
+    kept = df.groupBy("c").agg(F.flatten(F.collect_list(F.slice(_first_of_runs(F.col("m")), 1, 3))).alias("m")).select("c", _first_of_runs(F.col("m")).alias("m"))
+
+    def three(messages):
+        fi = next((t for t, f in messages if f == 1), None)
+        fc = next((t for t, f in messages if f == 0), None)
+        return fi, fc, next((t for t, f in messages if f == 1 and fc is not None and t > fc), None)
+
+    got = {r.c: three([(m.ts, m.occur_clear) for m in r.m]) for r in kept.collect()}
+    want = {c: three([(c * 100 + s * 10 + i, f) for s, part in enumerate(case) for i, f in enumerate(part)]) for c, case in enumerate(cases)}
+    assert got == want
