@@ -11,6 +11,8 @@ from roadlens.llm import html_text as H
 from roadlens.llm import line_dedup as L
 from roadlens.llm import pii as P
 
+from .test_lines_whole import without_copies
+
 
 def plain_spans(t):
     out = []
@@ -164,50 +166,16 @@ def test_broken_pages(spark):
     assert H.extracted(pages.where("false")).count() == 0
 
 
-def lines_without_copies(rows):
-    """Brute force: links by exact Jaccard over all pairs of lines, one line per component."""
-    def words(x):
-        return re.findall(r"[^\x20\x09-\x0D]+", x)
-
-    first, sets, up = {}, {}, {}
-    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
-        for n, x in enumerate((t or "").split("\n")):
-            if len(w := words(x)) >= L.MIN_WORDS:
-                key = " ".join(w)
-                first.setdefault(key, (i, n))
-                sets.setdefault(key, frozenset(" ".join(w[k:k + 3])[:16] for k in range(len(w))))
-                up.setdefault(key, key)
-
-    def find(a):
-        while up[a] != a:
-            a = up[a]
-        return a
-
-    held = defaultdict(list)
-    for key, s in sets.items():
-        for o, both in Counter(o for x in s for o in held[x]).items():
-            if 5 * both >= 4 * (len(s) + len(sets[o]) - both):
-                up[find(key)] = find(o)
-        for x in s:
-            held[x].append(key)
-    keep = {}
-    for key, at in first.items():
-        root = find(key)
-        keep[root] = min(keep.get(root, at), at, key=lambda a: (a[0] is None, a[0] or 0, a[1]))
-    return sorted(
-        ((i, "\n".join(x for n, x in enumerate((t or "").split("\n")) if len(words(x)) < L.MIN_WORDS or keep[find(" ".join(words(x)))] == (i, n))) for i, t in rows), key=str)
-
-
 def test_lines(odd, odd_rows, empty, small):
     for df, rows in ((odd, odd_rows), (small, [(r.doc_id, r.text) for r in small.collect()])):
         got = L.deduplicated(df).collect()
-        assert sorted(((r.doc_id, r.text) for r in got), key=str) == lines_without_copies(rows)
+        assert sorted(((r.doc_id, r.text) for r in got), key=str) == without_copies(rows)
         assert all(r.n_lines - r.n_dropped == (len(r.text.split("\n")) if r.text or not r.n_dropped else 0) for r in got)
     assert L.deduplicated(empty).count() == 0
 
 
 def test_lines_in_large_bands(spark, monkeypatch):
-    """Many near copies of few lines: bands above SMALL go to pivots and further bands."""
+    """Many near copies of few lines: bands above SMALL are dealt into blocks."""
     monkeypatch.setattr(L, "SMALL", 4)
     monkeypatch.setattr(L, "FINE", 6)
     r = random.Random(6)
@@ -220,9 +188,4 @@ def test_lines_in_large_bands(spark, monkeypatch):
     for k in range(60, 120):  # the same passage between words of its own: not alike
         rows.append((k, " ".join([r.choice(names) for _ in range(60)] + passage + [r.choice(names) for _ in range(60)])))
     got = L.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted(((r.doc_id, r.text) for r in got), key=str) == lines_without_copies(rows)
-
-
-def test_no_python_in_line_plans(small):
-    plan = L.deduplicated(small)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "InArrow" not in plan
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == without_copies(rows)
