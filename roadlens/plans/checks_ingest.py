@@ -10,6 +10,7 @@ from ..sinks import keyed_table as KT
 from ..operators import messages as M
 from ..sources import driver as D
 from ..sources import streams as SRC
+from ..streaming import vocabulary as V
 from .registry import check
 from .tables import Tables
 
@@ -154,6 +155,13 @@ def distinct_words(spark, sf):
     return I.distinct_words(D.text_lines(Tables(spark, sf).raw("documents")))
 
 
+@check("word_first_sightings", """
+SELECT 'Word:' || w AS key, 1 AS value, MIN(load) AS first_epoch
+FROM (SELECT unnest(string_split_regex(text, '[ \n]')) AS w, doc_id % 4 AS load FROM documents) GROUP BY w""")
+def word_first_sightings(spark, sf):
+    return V.read_vocabulary(spark, Tables(spark, sf).vocabulary)
+
+
 @check("json_parse", f"""
 SELECT seq,
        CASE WHEN seq % {MALFORMED_EVERY} = 0 THEN NULL ELSE CAST(route_num AS VARCHAR) END AS user_route_num,

@@ -17,6 +17,7 @@ from ..sinks import keyed_table as KT
 from ..sinks import writers as W
 from ..session import ensure_checkpoint_dir, materialise
 from ..sources import driver as D
+from ..streaming import vocabulary as V
 
 
 HOURLY = levels_for("1 hour")
@@ -95,6 +96,16 @@ class Tables:
                 KT.compact(self.spark, path, ["query_type", "ts"], ["seq"])
         return path
 
+    @cached_property
+    def vocabulary(self) -> str:
+        """The words of all documents in four loads, the first two compacted."""
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/words-{uuid.uuid4().hex}"
+        for load in range(4):
+            V.add_words(D.text_lines(self.raw("documents").where(F.col("doc_id") % 4 == load)), path, load)
+            if load == 1:
+                KT.compact(self.spark, path, V.KEYS, V.ORDER)
+        return path
+
     @cached_property
     def lifecycle_state(self) -> DataFrame:
         return materialise(L.lifecycle_state(self.incidents, self.positions, HOURLY), "state")

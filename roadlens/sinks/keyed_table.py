@@ -85,6 +85,18 @@ def read(spark: SparkSession, path: str, keys: Sequence[str], order_cols: Sequen
     return I.upsert_latest(spark.read.parquet(*folders), keys, order_cols)
 
 
+def candidates(rows: DataFrame, path: str, keys: Sequence[str], before: int) -> DataFrame | None:
+    """Stored rows among which the keys of ``rows`` can be: the buckets those fall into and the
+    deltas not folded yet, numbered below ``before``.  None where there are none.  A key may come twice."""
+    spark, base = rows.sparkSession, path.rstrip("/")
+    m = Manifest(spark, base)
+    folders = [f"{base}/epoch={n:012d}" for n in _deltas(spark, base, m.folded) if n < before]
+    if m.versions:
+        touched = {r[0] for r in rows.select(_bucket_of(keys, m.buckets)).distinct().collect()}  # at most ``buckets`` rows
+        folders += m.folders(base, touched)
+    return spark.read.parquet(*folders) if folders else None
+
+
 def compact(spark: SparkSession, path: str, keys: Sequence[str], order_cols: Sequence[str], buckets: int = BUCKETS) -> str:
     """Fold the deltas after the newest manifest into the buckets they touch, then write the
     manifest that names them.  Returns the folder of the newest version."""
