@@ -3,14 +3,18 @@
 From labelled rows (crc32 of doc_id as text, modulo HELD_OUT, not 0) come
 pairs of a preferred and a rejected text; the logistic loss on the difference
 of their features is minimised by Newton steps.  The share of rejected labels
-gives the quantile of the sampled scores below which a text is rejected; a
+gives the quantile of all their scores below which a text is rejected; a
 logistic curve places that threshold at THRESHOLD, so scores lie in (0, 1).
 
-Fitting takes a bounded sample: ``sample`` labelled rows with the smallest
-hashes of their ids (at most that many ids are broadcast and that many feature
-rows collected) and PAIRS preferred texts for each rejected one.  Scoring runs
-over every row and whole texts, without a shuffle.  Features come from the
-text alone.
+Fitting takes every labelled row that is not held out: their features are
+written once (about 140 bytes a row) and dealt into blocks of about BLOCK rows,
+each with texts of both labels, in which every preferred text is compared with
+every rejected one.  A Newton step is one pass over the blocks; means, spread and
+the exact quantile are passes over the features.  What comes to the driver is one
+row of sums per task, at most BINS counts, or KEPT scores.  Sums are taken in
+whole multiples of 1 / FIXED, so no order of adding shows in the result.
+Scoring runs over every row and whole texts, without a shuffle.  Features come
+from the text alone.
 
 Defined results: null text counts as empty; empty texts have a score; without
 labels of both kinds every score is THRESHOLD; a doc_id labelled twice has its
@@ -21,8 +25,9 @@ columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 from operator import eq
 
 import numpy as np
@@ -30,13 +35,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, id_and_text, slices
+from ..session import materialise
+from .common import crc_mod, id_and_text, places, slices
 
 HELD_OUT = 5
 THRESHOLD = 0.3
-SAMPLE = 6000
-PAIRS = 32
+BLOCK = 2048
 RIDGE = 1e-3
+STEPS = 25
+FIXED = float(1 << 32)
+BINS = 1024
+KEPT = 10_000
 
 _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(65, 91))
@@ -92,7 +101,8 @@ class Ranker:
     steepness: float
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return ((x - np.array(self.mean)) / np.array(self.scale)) @ np.array(self.weights)
+        z = (x - np.array(self.mean)) / np.array(self.scale)
+        return (z * np.array(self.weights)).sum(axis=1)  # row by row: equal texts score alike in any batch
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """In (0, 1); THRESHOLD at the cut."""
@@ -103,31 +113,6 @@ class Ranker:
 CONSTANT = Ranker((0.0,) * N_FEATURES, (0.0,) * N_FEATURES, (1.0,) * N_FEATURES, 0.0, 1.0)
 
 
-def learn(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, ridge: float = RIDGE, steps: int = 25) -> Ranker:
-    """Bradley-Terry weights from features and labels (1 preferred, 0 rejected)."""
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    if not len(good) or not len(bad):
-        return CONSTANT
-    mean, scale = x.mean(axis=0), x.std(axis=0)
-    scale[scale < 1e-9] = 1.0
-    z = (x - mean) / scale
-    draw = np.random.default_rng(7)
-    left, right = draw.choice(good, size=len(bad) * pairs), np.repeat(bad, pairs)
-    diff = z[left] - z[right]
-    w = np.zeros(x.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(np.clip(diff @ w, -35, 35)))  # chance of the wrong order
-        grad = -(diff * p[:, None]).mean(axis=0) + ridge * w
-        hess = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + ridge * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
-        w -= step / max(1.0, np.abs(step).max() / 2)
-        if np.abs(step).max() < 1e-6:
-            break
-    raw = z @ w
-    cut = float(np.quantile(raw, len(bad) / len(y)))
-    return Ranker(tuple(w), tuple(mean), tuple(scale), cut, float(1 / max(1e-6, raw.std())) * 3)
-
-
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(crc_mod(doc_id, HELD_OUT) == 0, F.lit(False))
 
@@ -135,17 +120,123 @@ def held_out(doc_id: Column) -> Column:
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         rows = [features(t.as_py()) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("quality"), pa.array(rows, pa.list_(pa.float64()))], names=["quality", "x"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "x"])
+
 
+def _matrix(values: pa.Array) -> np.ndarray:
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Ranker:
+
+def _sums(df: DataFrame, measured: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """The sum of the vectors that ``measured`` makes of the rows of ``df``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            whole = np.rint(measured(batch) * FIXED).astype(np.int64).sum(axis=0)
+            total = whole if total is None else total + whole
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.int64()))], names=["sums"])
+
+    rows = df.mapInArrow(run, "sums array<long>").collect()  # one row per task
+    return np.array([sum(column) / FIXED for column in zip(*[r["sums"] for r in rows])])
+
+
+def _blocks(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """One row per block: the features of its ``good`` and ``bad`` rows.
+
+    Both labels are dealt out in turn; rows of a label that has fewer of them than
+    there are blocks go to several, so each block holds both and each row is in one.
+    """
+    blocks = -(-sum(counts.values()) // BLOCK)
+    dealt = places(rows.select("quality", F.xxhash64("doc_id").alias("h"), F.xxhash64("x").alias("hx"), "x"), ["quality"], ["h", "hx"], "ranked")
+    turns = F.when(F.col("n") >= blocks, F.array(F.col("pos") % blocks)).otherwise(F.sequence(F.col("pos"), F.greatest("pos", F.lit(blocks - 1).cast("long")), F.col("n")))
+    dealt = dealt.select("quality", "x", F.explode(turns).alias("block"))
+    of = {name: F.sort_array(F.collect_list(F.when(F.col("quality") == q, F.col("x")))).alias(name) for name, q in (("good", 1), ("bad", 0))}
+    return materialise(dealt.groupBy("block").agg(*of.values()).select("good", "bad"), "blocks")
+
+
+def _slopes(weights: np.ndarray, mean: np.ndarray, scale: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+    """Per block: gradient and Hessian of the mean loss over its pairs, and 1."""
+    out = []
+    for k in range(batch.num_rows):
+        good, bad = ((_matrix(batch.column(c)[k].values) - mean) / scale for c in ("good", "bad"))
+        p = 1 / (1 + np.exp(np.clip((good @ weights)[:, None] - (bad @ weights)[None, :], -35, 35)))  # chance of the wrong order
+        q, n = p * (1 - p), len(good) * len(bad)
+        grad = p.sum(axis=0) @ bad - p.sum(axis=1) @ good
+        cross = good.T @ (q @ bad)
+        hess = (good * q.sum(axis=1)[:, None]).T @ good + (bad * q.sum(axis=0)[:, None]).T @ bad - cross - cross.T
+        out.append(np.concatenate([grad, hess.ravel(), [n]]) / n)
+    return np.array(out)
+
+
+def _moments(center: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+    off = _matrix(batch.column("x")) - center
+    return np.concatenate([off, off * off], axis=1)
+
+
+def learn(rows: DataFrame, ridge: float = RIDGE, steps: int = STEPS) -> Ranker:
+    """Bradley-Terry weights and the cut from all ``rows``: doc_id, quality (1 preferred, 0 rejected), x."""
+    counts = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+    if len(counts) < 2:
+        return CONSTANT
+    n, d = sum(counts.values()), N_FEATURES
+    x = rows.select("x")
+    mean = _sums(x, partial(_moments, np.zeros(d)))[:d] / n
+    scale = np.sqrt(_sums(x, partial(_moments, mean))[d:] / n)
+    scale[scale < 1e-9] = 1.0
+    blocks, w = _blocks(rows, counts), np.zeros(d)
+    for _ in range(steps):
+        sums = _sums(blocks, partial(_slopes, w, mean, scale))
+        grad, hess = sums[:d] / sums[-1] + ridge * w, sums[d:-1].reshape(d, d) / sums[-1] + ridge * np.eye(d)
+        step = np.linalg.solve(hess, grad)
+        w -= step / max(1.0, np.abs(step).max() / 2)
+        if np.abs(step).max() < 1e-6:
+            break
+    linear = Ranker(tuple(w), tuple(mean), tuple(scale), 0.0, 1.0)
+
+    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(linear.raw(_matrix(batch.column("x"))))], names=["raw"])
+
+    scores = materialise(x.mapInArrow(raw, "raw double"), "raw_scores")
+    exact = [F.sum(c.cast("decimal(28,15)")).cast("double") for c in (F.col("raw"), F.col("raw") * F.col("raw"))]
+    total, squares = scores.agg(*exact).first()
+    spread = np.sqrt(max(0.0, squares / n - (total / n) ** 2))
+    return Ranker(tuple(w), tuple(mean), tuple(scale), quantile(scores, counts[0], n), float(1 / max(1e-6, spread)) * 3)
+
+
+def quantile(scores: DataFrame, below: int, n: int) -> float:
+    """The exact quantile ``below`` / ``n`` of ``raw`` in ``scores`` (``n`` rows), interpolated as numpy does."""
+    low = _value_at(scores, below - 1)
+    upto, after = scores.agg(F.count(F.when(F.col("raw") <= low, 1)), F.min(F.when(F.col("raw") > low, F.col("raw")))).first()
+    high = low if upto > below else after
+    return low + (1 - below / n) * (high - low)
+
+
+def _value_at(scores: DataFrame, rank: int) -> float:
+    """The value with ``rank`` others before it, by counts in ever narrower bins."""
+    while True:
+        low, high, n = scores.agg(F.min("raw"), F.max("raw"), F.count("*")).first()
+        if low == high:
+            return low
+        if n <= KEPT:
+            return sorted(r["raw"] for r in scores.collect())[rank]
+        at = F.least(F.floor((F.col("raw") - low) / (high - low) * BINS), F.lit(BINS - 1)).cast("int")
+        for r in sorted(scores.groupBy(at.alias("bin")).count().collect()):  # at most BINS rows
+            if rank < r["count"]:
+                break
+            rank -= r["count"]
+        scores = scores.where(at == r["bin"])
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Ranker:
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("quality"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
-    chosen = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").mapInArrow(_feature_rows, "quality int, x array<double>").collect()
-    rows.sort()
-    x = np.array([r["x"] for r in rows]).reshape(-1, N_FEATURES)
-    return learn(x, np.array([r["quality"] for r in rows]))
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    texts = id_and_text(docs, id_col, text_col).where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    # features before the join: the texts do not cross a shuffle
+    return learn(materialise(texts.mapInArrow(_feature_rows, "doc_id long, x array<double>").join(known, "doc_id"), "features"))
 
 
 def scored(docs: DataFrame, ranker: Ranker, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,6 +2,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from roadlens.llm import quality_rules as Q
 from roadlens.llm import ranker as R
@@ -94,3 +96,60 @@ def test_ranker_ignores_labels_of_held_out_rows(spark, small):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
     flipped = labels.withColumn("held", R.held_out(labels.doc_id)).selectExpr("doc_id", "if(held, 1 - quality, quality) AS quality")
     assert R.fit(small, labels) == R.fit(small, flipped)
+
+
+def _labelled(spark, n, share, seed):
+    """Feature rows with a noisy linear preference."""
+    draw = np.random.default_rng(seed)
+    x = np.round(draw.random((n, R.N_FEATURES)), 3)
+    quality = (x @ np.linspace(-1, 1, R.N_FEATURES) + 0.3 * draw.standard_normal(n) > np.quantile(x @ np.linspace(-1, 1, R.N_FEATURES), share)).astype(int)
+    return x, quality, spark.createDataFrame([(k, int(q), v.tolist()) for k, (q, v) in enumerate(zip(quality, x))], "doc_id long, quality int, x array<double>")
+
+
+def _plain(x, quality):
+    """All pairs at once, as one matrix."""
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    z, w = (x - mean) / scale, np.zeros(x.shape[1])
+    diff = (z[quality == 1][:, None] - z[quality == 0][None]).reshape(-1, x.shape[1])
+    for _ in range(R.STEPS):
+        p = 1 / (1 + np.exp(np.clip(diff @ w, -35, 35)))
+        step = np.linalg.solve((diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + R.RIDGE * np.eye(len(w)), R.RIDGE * w - (diff * p[:, None]).mean(axis=0))
+        w -= step / max(1.0, np.abs(step).max() / 2)
+    return w, float(np.quantile(z @ w, (quality == 0).mean())), 3 / (z @ w).std()
+
+
+def test_ranker_like_all_pairs_compared(spark):
+    x, quality, rows = _labelled(spark, 400, 0.2, 3)
+    got, (w, cut, steepness) = R.learn(rows), _plain(x, quality)
+    assert np.allclose(got.weights, w, atol=1e-5) and abs(got.cut - cut) < 1e-5 and abs(got.steepness - steepness) < 1e-5
+
+
+@pytest.mark.parametrize("share", [0.004, 0.3, 0.996])
+def test_every_labelled_row_is_in_a_block_with_both_labels(spark, monkeypatch, share):
+    monkeypatch.setattr(R, "BLOCK", 40)
+    x, quality, rows = _labelled(spark, 1000, share, 5)
+    blocks = R._blocks(rows, {q: int((quality == q).sum()) for q in (0, 1)}).collect()
+    assert len(blocks) == 25 and all(b.good and b.bad and len(b.good) + len(b.bad) <= 41 for b in blocks)
+    for q, name in ((1, "good"), (0, "bad")):
+        assert {tuple(v) for b in blocks for v in b[name]} == {tuple(v) for v in x[quality == q].tolist()}
+    fitted = R.learn(rows)
+    assert fitted == R.learn(rows.orderBy(F.desc("doc_id")).repartition(5)) and np.corrcoef(fitted.weights, np.linspace(-1, 1, R.N_FEATURES))[0, 1] > 0.5
+
+
+def test_ranker_counts_labels_beyond_a_sample(spark):
+    """Rejected rows alone beyond the 6,000 smallest id hashes: a sample of those has one label."""
+    ids = spark.range(8000).withColumnRenamed("id", "doc_id").where(~R.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id")).collect()
+    rows = [(r.doc_id, f"some plain words {r.doc_id}" if k < 6000 else f"$$ ## {r.doc_id} !!", int(k < 6000)) for k, r in enumerate(ids)]
+    assert 6000 < len(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    got = R.scored(df, R.fit(df.drop("quality"), df.drop("text"))).join(df, "doc_id")
+    assert got.where("predicted <> quality").count() <= 1  # the cut lies between the labels
+
+
+def test_quantile_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(R, "KEPT", 10)
+    draw = np.random.default_rng(2)
+    values = np.concatenate([draw.standard_normal(900), np.full(700, 0.25), [1e9, -1e-12, 1e-12]])
+    df = spark.createDataFrame([(float(v),) for v in values], "raw double")
+    for below in (1, 2, 400, 800, 1100, len(values) - 1):
+        assert abs(R.quantile(df, below, len(values)) - np.quantile(values, below / len(values))) <= 1e-9 * max(1, abs(np.quantile(values, below / len(values))))
