@@ -36,8 +36,9 @@ def normalise_violations(lines: DataFrame, col: str = "value", skip_header: bool
     if skip_header:
         head = F.lower(F.substring(F.col(col), 1, len(HEADER_FIRST_FIELD) + 1))
         src = lines.where(~head.eqNullSafe(F.lit(HEADER_FIRST_FIELD + ",")))
-    # split once; the projection over the array is not collapsed into 35 splits
-    staged = src.select(*keep, T.csv_fields(F.col(col)).alias("_items"))
+    # split once: neither is the projection over the array collapsed into 35 splits, nor are
+    # conditions on its fields moved below the explode, where each would split the line again
+    staged = src.select(*keep, F.explode(F.array(T.csv_fields(F.col(col)))).alias("_items"))
     return staged.select(*keep, *T.violation_record(F.col("_items")))
 
 
