@@ -221,8 +221,12 @@ def _shared(of: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
 
 def similar(lines: list[str]) -> np.ndarray:
     """Which two lines have a Jaccard similarity of 0.8 or more, in whole numbers."""
-    n = len(lines)
-    counts, hashes = shingle_hashes(lines)
+    return _alike(*shingle_hashes(lines))
+
+
+def _alike(counts: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The same from the number of shingles of each line and their hashes in line order."""
+    n = len(counts)
     of = np.repeat(np.arange(n), counts)
     order = np.lexsort((of, hashes))
     of, hashes = of[order], hashes[order]
@@ -253,6 +257,28 @@ def labels(linked: np.ndarray) -> np.ndarray:
         label = least
 
 
+def _linked(lid: np.ndarray, linked: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(line, smallest line of its component) of the lines that are not the smallest."""
+    label = labels(linked)
+    at = np.flatnonzero(label != np.arange(len(label)))
+    if len(at):
+        yield pa.RecordBatch.from_arrays([pa.array(lid[at]), pa.array(lid[label[at]])], ["a", "b"])
+
+
+def _within(members: DataFrame) -> DataFrame:
+    """(member, smallest line of its component) in groups (key; lid, set) of lines given by their shingles."""
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):  # one group at a time
+                group = batch.column("m")[row].values
+                sets = group.field("set")
+                counts = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+                yield from _linked(group.field("lid").to_numpy(zero_copy_only=False), _alike(counts, sets.flatten().to_numpy(zero_copy_only=False)))
+
+    listed = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("lid", "set"))).alias("m")).where(F.size("m") > 1)
+    return listed.select("m").mapInArrow(compared, "a long, b long")
+
+
 def _within_texts(members: DataFrame) -> DataFrame:
     """(member, smallest line of its component) in groups (key; lid, block, line), without
     comparing lines of one block (not null)."""
@@ -266,10 +292,7 @@ def _within_texts(members: DataFrame) -> DataFrame:
                 if not block.null_count:
                     own = block.to_numpy(zero_copy_only=False)
                     linked &= own[:, None] != own[None, :]
-                label = labels(linked)
-                at = np.flatnonzero(label != np.arange(len(label)))
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(lid[at]), pa.array(lid[label[at]])], ["a", "b"])
+                yield from _linked(lid, linked)
 
     listed = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("lid", "block", "line"))).alias("m")).where(F.size("m") > 1)
     return listed.select("m").mapInArrow(compared, "a long, b long")
