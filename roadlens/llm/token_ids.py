@@ -1,13 +1,16 @@
-"""Token ids of whole documents for the materialisation operators, a batch at a time.
+"""Token ids of whole documents for the materialisation operators, a stretch of texts at a time.
 
-The words of a batch of texts are looked up in a table; the plain words that it
-lacks are cut into runs, and all new runs of the batch are merged in one call of
-the tokenizers library.  Any other word goes through the streaming encoder.
+The words of a stretch are split and numbered by Arrow, so only its distinct words
+are looked up in a table; the plain words that it lacks are cut into runs, and all
+new runs are merged in one call of the tokenizers library.  Any other word goes
+through the streaming encoder.  A document's ids are gathered by word number.
 The ids are those of the library on the whole text (white space ends every run,
 so words stand alone).
 
-Memory: a long text is read in parts of ``PART`` characters that end at white space;
-the tables are emptied at ``KNOWN`` entries, which costs time and never changes ids.
+Memory: a long text is read in parts of ``PART`` characters that end at white space,
+other texts in stretches of about ``PORTION`` bytes; the tables live as long as
+their Python worker and are emptied at ``KNOWN`` entries, which costs time and
+never changes ids.
 
 Defined results: a null text counts as empty and has no ids; repeated rows are
 separate documents; a null doc_id stays null; an empty table gives no rows; other
@@ -16,17 +19,24 @@ columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from . import bpe
-from .common import id_and_text, slices
+from .common import id_and_text
 
-PART = 1 << 20    # characters of a text read at a time
-KNOWN = 300_000   # words, and runs, remembered
+PART = 1 << 20     # characters of a text read at a time
+PORTION = 4 << 20  # bytes of texts read at a time (a longer one stands alone)
+KNOWN = 500_000    # words, and runs, remembered
+BLOCK = 50_000     # new words cut into runs at a time
+
+_RUNS = re.compile(f"{bpe._PIECES.pattern}|\n")
 
 
 def id_width(vocab: bpe.Vocabulary, extra: int = 2) -> int:
@@ -52,9 +62,10 @@ class BatchEncoder:
     def __init__(self, vocab: bpe.Vocabulary, width: int):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.vocab, self.dtype = vocab, f"<u{width}"
+        self.vocab, self.dtype = vocab, np.dtype(f"<u{width}")
         self.one = bpe.Encoder(vocab)
-        self.letters = str.maketrans({chr(b): c for b, c in enumerate(vocab.letters)})
+        # the library reads letters that stand for bytes, as its own byte-level step gives them
+        self.letters = str.maketrans({chr(b): c for b, c in enumerate(vocab.letters) if chr(b) != " "})
         self.runs = Tokenizer(vocab.library().model)  # merges only: words come as runs of letters
         self.runs.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ends = np.array([t.endswith(bpe.END) for t in vocab.tokens])
@@ -62,50 +73,88 @@ class BatchEncoder:
         self.known: dict[str, bytes] = {}  # by run
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [bpe._SPLIT.split(t) if bpe._ODD.search(t) else t.split() for t in texts]
+        return self.column(pa.array(texts, pa.string())).to_pylist()
+
+    def column(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text of a column without nulls, as binary."""
+        odd = pc.any(pc.match_substring_regex(texts, bpe._ODD.pattern)).as_py()  # Arrow takes these for white space
+        split = pc.split_pattern_regex(texts, bpe._SPLIT.pattern) if odd else pc.utf8_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()  # with empty words where white space begins or ends a text
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.words) > KNOWN:
             self.words = {}
-        self._learn(set().union(*split).difference(self.words))
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
-
-    def _learn(self, new: set[str]) -> None:
-        plain = {w: bpe._PIECES.findall(w.lower()) for w in new if bpe._PLAIN.fullmatch(w)}
-        for w in new.difference(plain):
-            self.words[w] = np.frombuffer(self.one.feed(w) + self.one.finish(), "<u4").astype(self.dtype).tobytes()
+        ids = list(map(self.words.get, words))
+        if None in ids:
+            self._learn([w for w, known in zip(words, ids) if known is None])
+            ids = list(map(self.words.__getitem__, words))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        data, starts, at = np.frombuffer(b"".join(ids), self.dtype), np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        counts = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        data = data[np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], counts)]
+        bounds = ends[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])] * self.dtype.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
+
+    def _learn(self, new: list[str]) -> None:
+        plain = [w for w in new if bpe._PLAIN.fullmatch(w)]
+        if len(plain) < len(new):
+            for w in set(new).difference(plain):
+                self.words[w] = np.frombuffer(self.one.feed(w) + self.one.finish(), "<u4").astype(self.dtype).tobytes()
         if len(self.known) > KNOWN:
             self.known = {}
-        self._merge(list({p for pieces in plain.values() for p in pieces if p not in self.known}))
-        known = self.known.__getitem__
-        for w, pieces in plain.items():
-            self.words[w] = b"".join(map(known, pieces))
+        for block in range(0, len(plain), BLOCK):
+            some = plain[block:block + BLOCK]
+            pieces = _RUNS.findall("\n".join([*some, ""]).lower())  # a line feed ends each word
+            self._merge(list(set(pieces).difference(self.known, "\n")))
+            found = [self.known.get(p, b"") for p in pieces]
+            at = 0
+            for w in some:
+                to = pieces.index("\n", at)
+                self.words[w] = found[at] if to == at + 1 else b"".join(found[at:to])
+                at = to + 1
 
     def _merge(self, runs: list[str]) -> None:
         if not runs:
             return
-        # the library reads letters that stand for bytes, as its own byte-level step gives them
-        letters = [r.encode().decode("latin-1").translate(self.letters) for r in runs]
-        ids = np.array(self.runs.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, dtype=np.int64)
+        letters = " ".join(runs).encode().decode("latin-1").translate(self.letters)
+        ids = np.array(self.runs.encode_batch_fast([letters], add_special_tokens=False)[0].ids, dtype=np.int64)
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(runs):
             raise RuntimeError(f"{len(runs)} runs gave {len(cuts)} ends")
-        data, size = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
-        at = 0
-        for run, cut in zip(runs, (cuts * size).tolist()):
+        data, at = ids.astype(self.dtype).tobytes(), 0
+        for run, cut in zip(runs, (cuts * self.dtype.itemsize).tolist()):
             self.known[run] = data[at:cut]
             at = cut
 
 
+@lru_cache(maxsize=1)
+def encoder(vocab_path: str) -> BatchEncoder:
+    """One encoder for all tasks of a Python worker."""
+    vocab = bpe.vocabulary(vocab_path)
+    return BatchEncoder(vocab, id_width(vocab))
+
+
+def _stretches(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, number) of neighbours whose sizes add up to ``PORTION`` at most, or of a larger one."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + PORTION, "right")))
+        yield at, to - at
+        at = to
+
+
 def token_ids(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids): little-endian ids of ``id_width`` bytes, one row per document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = bpe.vocabulary(vocab_path)
-        encoder = BatchEncoder(vocab, id_width(vocab))
-        for batch in slices(batches):
-            texts = batch.column("text").to_pylist()
-            ids = encoder.encode([t if len(t) <= PART else "" for t in texts])
-            for i, t in enumerate(texts):
-                if len(t) > PART:
-                    ids[i] = b"".join(encoder.encode([part])[0] for part in parts(t))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        tool = encoder(vocab_path)
+        for batch in batches:
+            for at, n in _stretches(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64)):
+                part = batch.slice(at, n)
+                texts = part.column("text")
+                long = pc.greater(pc.utf8_length(texts), PART)
+                ids = tool.column(pc.if_else(long, "", texts))
+                if pc.any(long).as_py():
+                    ids = pa.array([b"".join(tool.encode([p])[0] for p in parts(t.as_py())) if far else own for t, far, own in zip(texts, long.to_pylist(), ids.to_pylist())], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
 
     return id_and_text(docs, id_col, text_col, binary=False).mapInArrow(run, "doc_id long, ids binary")

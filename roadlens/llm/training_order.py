@@ -14,7 +14,10 @@ row per partition, whatever it holds); a scan knows from it where its documents
 stand in the stream, cuts them and sends each piece straight to its shard (the
 one shuffle); shards are sorted by slot, joined and written by Spark's text
 writer, so task retries, commits and any Hadoop file system work as for every
-table.  Slots spread each document's pieces over all shards, so a hot source
+table.  Many shards are written in WAVES, so that the disk holds the shards and a
+small part of what they are made from: the pieces are stored by wave, the
+ids are deleted if the caller says so, and each wave's pieces and shuffle go when its shards
+(in a folder named by the first of them) are there.  Slots spread each document's pieces over all shards, so a hot source
 or a very long document makes no hot shard.  A task whose partition differs
 from the one counted (the input changed in between) fails instead of writing
 wrong offsets.
@@ -29,6 +32,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +40,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialise, release, shuffles_dropped
 from .common import SLICE_ROWS
 
 LENGTH = 2048
 SHARD_BYTES = 8 << 20
+WAVES, WAVE_SHARDS = 8, 16  # at most so many waves, of so many shards at least
 KEY = 0x5EED
 ROUNDS = 6
 #: Byte vocabulary: a token is a byte of the UTF-8 text; two bytes that UTF-8 never uses end and pad.
@@ -119,6 +125,15 @@ class Layout:
     def shards(self) -> int:
         return max(1, -(-self.sequences // self.per_shard))
 
+    @property
+    def per_wave(self) -> int:
+        return -(-self.shards // max(1, min(WAVES, self.shards // WAVE_SHARDS)))
+
+    def waves(self, path: str) -> list[tuple[int, int, str]]:
+        """(first shard, number of shards, folder) of each wave of shards under ``path``."""
+        firsts = range(0, self.shards, self.per_wave)
+        return [(k, min(self.per_wave, self.shards - k), f"{path}/from-{k:05d}" if len(firsts) > 1 else path) for k in firsts]
+
     @property
     def order(self) -> Permutation:
         return Permutation(self.sequences, self.key)
@@ -204,8 +219,11 @@ def _from(first: int, last: int) -> list[str]:
     return out
 
 
-def write_shards(tokens: DataFrame, path: str, **options) -> Layout:
-    """Write the sequences of ``tokens`` (doc_id, ids) as shards under ``path``; ``options`` as in ``pieces``."""
+def write_shards(tokens: DataFrame, path: str, free: bool = False, **options) -> Layout:
+    """Write the sequences of ``tokens`` (doc_id, ids) as shards under ``path``; ``options`` as in ``pieces``.
+
+    ``free``: nothing else reads ``tokens``, which ``materialise`` wrote and which may go once it is cut.
+    """
     rows, layout = pieces(tokens, **options)
     given, stored = f"<u{options.get('id_width') or layout.width}", f"<u{layout.width}"
 
@@ -228,8 +246,18 @@ def write_shards(tokens: DataFrame, path: str, **options) -> Layout:
         if n:
             raise RuntimeError(f"slot {now} has {n} of {size} bytes")
 
-    shards = rows.repartitionById(layout.shards, F.col("shard")).sortWithinPartitions("slot", "at").select("slot", "piece")
-    shards.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("compression", "none").text(path)
+    waves = layout.waves(path)
+    if len(waves) > 1:
+        rows = materialise(rows.withColumn("wave", F.floor(F.col("shard") / layout.per_wave).cast("int")), "pieces", compression="none", by="wave")
+        if free:
+            release(tokens)
+    with shuffles_dropped(tokens.sparkSession):
+        for wave, (first, n, folder) in enumerate(waves):
+            own = rows.where(F.col("wave") == wave) if len(waves) > 1 else rows
+            shards = own.repartitionById(n, F.col("shard") - first).sortWithinPartitions("slot", "at").select("slot", "piece")
+            shards.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("compression", "none").text(folder)
+            if len(waves) > 1:
+                release(rows, f"wave={wave}")
     return layout
 
 
@@ -242,19 +270,23 @@ def read_shards(spark: SparkSession, path: str, layout: Layout, first_slot: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
-                data = memoryview(content.as_buffer())
-                begin = shard * layout.per_shard
-                for lo in range(max(0, first_slot - begin), len(data) // layout.stride, 1024):
-                    hi = min(lo + 1024, len(data) // layout.stride)
+                records = np.frombuffer(content.as_buffer(), np.uint8)
+                records = records[:len(records) // layout.stride * layout.stride].reshape(-1, layout.stride)
+                begin, size = shard * layout.per_shard, layout.stride - 1
+                for lo in range(max(0, first_slot - begin), len(records), 1024):
+                    hi = min(lo + 1024, len(records))
                     slots = np.arange(begin + lo, begin + hi)
                     seqs = layout.order.sequence(slots)
+                    ids = pa.Array.from_buffers(pa.binary(size), hi - lo, [None, pa.py_buffer(records[lo:hi, :size].copy())])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(slots), pa.array(np.full(hi - lo, shard, np.int32)), pa.array(np.arange(lo, hi) * layout.stride), pa.array(seqs),
-                         pa.array(np.minimum(layout.length, layout.n_tokens - seqs * layout.length)),
-                         pa.array([bytes(data[r * layout.stride:(r + 1) * layout.stride - 1]) for r in range(lo, hi)], pa.binary())],
+                         pa.array(np.minimum(layout.length, layout.n_tokens - seqs * layout.length)), ids.cast(pa.binary())],
                         names=["slot", "shard", "byte_offset", "sequence", "n_tokens", "ids"])
 
-    names = ",".join(_from(first_slot // layout.per_shard, layout.shards))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"part-{{{names}}}-*").load(path)
-    shard = F.regexp_extract("path", r"part-([0-9]+)-", 1).cast("int")
-    return files.select(shard.alias("shard"), "content").mapInArrow(run, "slot long, shard int, byte_offset long, sequence long, n_tokens long, ids binary")
+    begin, parts = first_slot // layout.per_shard, []
+    for first, n, folder in layout.waves(path):
+        if first + n > begin or first + n == layout.shards:
+            names = ",".join(_from(max(0, begin - first), n))
+            shard = F.regexp_extract("path", r"part-([0-9]+)-", 1).cast("int") + first
+            parts.append(spark.read.format("binaryFile").option("pathGlobFilter", f"part-{{{names}}}-*").load(folder).select(shard.alias("shard"), "content"))
+    return reduce(DataFrame.unionAll, parts).mapInArrow(run, "slot long, shard int, byte_offset long, sequence long, n_tokens long, ids binary")

@@ -1,0 +1,62 @@
+"""op3: many shards are written in waves, and what they are made from goes on the way."""
+
+import os
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from roadlens import session
+from roadlens.llm import bpe, token_ids, training_order
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+def _folders(spark, name):
+    tables = f"{session.ensure_checkpoint_dir(spark)}/tables".removeprefix("file:")
+    return [d for top in os.listdir(tables) if top.startswith(name) for d, _, files in os.walk(f"{tables}/{top}") if any(f.startswith("part-") for f in files)]
+
+
+@pytest.mark.parametrize("waves", (1, 3, 8))
+def test_same_shards_in_any_number_of_waves(spark, odd, scratch, monkeypatch, waves):
+    monkeypatch.setattr(training_order, "WAVES", waves)
+    monkeypatch.setattr(training_order, "WAVE_SHARDS", 1)
+    tokens = session.materialise(training_order.byte_tokens(odd), "wave_ids")
+    layout = training_order.write_shards(tokens, f"{scratch}/w{waves}", free=True, length=100, shard_bytes=1 << 12)
+    assert len(layout.waves("")) == min(waves, layout.shards) and layout.shards > 8
+    assert sum(n for _, n, _ in layout.waves("")) == layout.shards
+    rows = training_order.read_shards(spark, f"{scratch}/w{waves}", layout).collect()
+    assert sorted(r.slot for r in rows) == list(range(layout.sequences))
+    assert all(r.byte_offset == r.slot % layout.per_shard * layout.stride and r.shard == r.slot // layout.per_shard for r in rows)
+    stream = b"".join(r.ids[:r.n_tokens] for r in sorted(rows, key=lambda r: r.sequence))
+    assert sorted(stream.split(b"\xff")[:-1]) == sorted((r.text or "").encode() for r in odd.collect())
+    for first in (1, 5 * layout.per_shard - 1, layout.sequences - 1, layout.sequences):
+        assert {r.slot for r in training_order.read_shards(spark, f"{scratch}/w{waves}", layout, first).collect()} == set(range(first, layout.sequences))
+    assert not _folders(spark, "pieces") and bool(_folders(spark, "wave_ids")) == (waves == 1)
+    for folder in _folders(spark, "wave_ids"):
+        session.release(tokens)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_ids_of_a_column_whatever_its_texts(monkeypatch):
+    """Words are numbered over a stretch: white space of every kind, odd and repeated words, small tables."""
+    monkeypatch.setattr(token_ids, "KNOWN", 30)
+    tool = Tokenizer.from_file(WORDS)
+    tool.no_truncation()
+    tool.no_padding()
+    vocab, pick = bpe.vocabulary(WORDS), random.Random(3)
+    encoder = token_ids.BatchEncoder(vocab, 2)
+    signs = ["The", "the", "ing,", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", " ", "　", "don't", "é", "É", "9", "漢", "<|endoftext|>", "zq" * 40]
+    for kinds in (signs, [s for s in signs if s not in "\x1c\x1f"]):
+        texts = ["", " ", "\n\n", *("".join(pick.choices(kinds, k=pick.randint(1, 60))) for _ in range(300))]
+        want = [tool.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(texts)] == want
+
+
+def test_stretches_cover_all_texts():
+    for sizes in ([], [0], [1, 2, 3], [9 << 20, 1, 1, 5 << 20], [1 << 20] * 9):
+        found = list(token_ids._stretches(np.array(sizes, np.int64)))
+        assert [k for at, n in found for k in range(at, at + n)] == list(range(len(sizes)))
+        assert all(n == 1 or sum(sizes[at:at + n]) <= token_ids.PORTION for at, n in found)
