@@ -1,16 +1,15 @@
 """Token ids of whole documents for the materialisation operators, a stretch of texts at a time.
 
-The words of a stretch are split and numbered by Arrow, so only its distinct words
-are looked up in a table; the plain words that it lacks are cut into runs, and all
-new runs are merged in one call of the tokenizers library.  Any other word goes
-through the streaming encoder.  A document's ids are gathered by word number.
+The words of a stretch are split and numbered by Arrow.  Its distinct plain words
+are cut into runs, which are looked up in a table, and all runs that it lacks are
+merged in one call of the tokenizers library.  Any other word goes through the
+streaming encoder.  A document's ids are gathered by word number.
 The ids are those of the library on the whole text (white space ends every run,
 so words stand alone).
 
 Memory: a long text is read in parts of ``PART`` characters that end at white space,
-other texts in stretches of about ``PORTION`` bytes; the tables live as long as
-their Python worker and are emptied at ``KNOWN`` entries, which costs time and
-never changes ids.
+other texts in stretches of about ``PORTION`` bytes; the tables are emptied at
+``KNOWN`` entries, which costs time and never changes ids.
 
 Defined results: a null text counts as empty and has no ids; repeated rows are
 separate documents; a null doc_id stays null; an empty table gives no rows; other
@@ -21,7 +20,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +31,10 @@ from .common import id_and_text
 
 PART = 1 << 20     # characters of a text read at a time
 PORTION = 4 << 20  # bytes of texts read at a time (a longer one stands alone)
-KNOWN = 500_000    # words, and runs, remembered
-BLOCK = 50_000     # new words cut into runs at a time
+KNOWN = 300_000    # runs, and words that are not plain, remembered
 
 _RUNS = re.compile(f"{bpe._PIECES.pattern}|\n")
+_PLAIN = bpe._PLAIN.pattern.removesuffix("{1,64}")
 
 
 def id_width(vocab: bpe.Vocabulary, extra: int = 2) -> int:
@@ -69,7 +67,7 @@ class BatchEncoder:
         self.runs = Tokenizer(vocab.library().model)  # merges only: words come as runs of letters
         self.runs.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.ends = np.array([t.endswith(bpe.END) for t in vocab.tokens])
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # that are not plain
         self.known: dict[str, bytes] = {}  # by run
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -80,38 +78,43 @@ class BatchEncoder:
         odd = pc.any(pc.match_substring_regex(texts, bpe._ODD.pattern)).as_py()  # Arrow takes these for white space
         split = pc.split_pattern_regex(texts, bpe._SPLIT.pattern) if odd else pc.utf8_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()  # with empty words where white space begins or ends a text
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.words) > KNOWN:
-            self.words = {}
-        ids = list(map(self.words.get, words))
-        if None in ids:
-            self._learn([w for w, known in zip(words, ids) if known is None])
-            ids = list(map(self.words.__getitem__, words))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-        data, starts, at = np.frombuffer(b"".join(ids), self.dtype), np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        data, starts, sizes = self._words(coded.dictionary)
+        at = coded.indices.to_numpy()
         counts = sizes[at]
         ends = np.concatenate([[0], np.cumsum(counts)])
         data = data[np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], counts)]
         bounds = ends[np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy())])] * self.dtype.itemsize
         return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
 
-    def _learn(self, new: list[str]) -> None:
-        plain = [w for w in new if bpe._PLAIN.fullmatch(w)]
-        if len(plain) < len(new):
-            for w in set(new).difference(plain):
-                self.words[w] = np.frombuffer(self.one.feed(w) + self.one.finish(), "<u4").astype(self.dtype).tobytes()
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each word start and how many they are."""
+        plain = pc.and_(pc.match_substring_regex(words, f"^{_PLAIN}*$"), pc.less_equal(pc.utf8_length(words), 64)).to_numpy(zero_copy_only=False)
+        words = words.to_numpy(zero_copy_only=False)
+        odd = np.flatnonzero(~plain)
+        lines = np.where(plain, words, "").tolist() if len(odd) else words.tolist()
+        pieces = _RUNS.findall("\n".join([*lines, ""]).lower())  # a line feed ends each word
         if len(self.known) > KNOWN:
             self.known = {}
-        for block in range(0, len(plain), BLOCK):
-            some = plain[block:block + BLOCK]
-            pieces = _RUNS.findall("\n".join([*some, ""]).lower())  # a line feed ends each word
-            self._merge(list(set(pieces).difference(self.known, "\n")))
-            found = [self.known.get(p, b"") for p in pieces]
-            at = 0
-            for w in some:
-                to = pieces.index("\n", at)
-                self.words[w] = found[at] if to == at + 1 else b"".join(found[at:to])
-                at = to + 1
+        self._merge(list(set(pieces).difference(self.known, "\n")))
+        self.known["\n"] = b""
+        ids = list(map(self.known.__getitem__, pieces))
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        ends = np.cumsum(lengths)[lengths == 0]  # every run has an id
+        starts = np.concatenate([[0], ends[:-1]])
+        sizes = ends - starts
+        for k in odd.tolist():
+            ids.append(self._odd(words[k]))
+            sizes[k] = len(ids[-1]) // self.dtype.itemsize
+        starts[odd] = ends[-1] + np.cumsum(sizes[odd]) - sizes[odd] if len(odd) else 0
+        return np.frombuffer(b"".join(ids), self.dtype), starts, sizes
+
+    def _odd(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) > KNOWN:
+                self.words = {}
+            ids = self.words[word] = np.frombuffer(self.one.feed(word) + self.one.finish(), "<u4").astype(self.dtype).tobytes()
+        return ids
 
     def _merge(self, runs: list[str]) -> None:
         if not runs:
@@ -127,13 +130,6 @@ class BatchEncoder:
             at = cut
 
 
-@lru_cache(maxsize=1)
-def encoder(vocab_path: str) -> BatchEncoder:
-    """One encoder for all tasks of a Python worker."""
-    vocab = bpe.vocabulary(vocab_path)
-    return BatchEncoder(vocab, id_width(vocab))
-
-
 def _stretches(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
     """(first, number) of neighbours whose sizes add up to ``PORTION`` at most, or of a larger one."""
     ends, at = np.cumsum(sizes), 0
@@ -146,7 +142,8 @@ def _stretches(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
 def token_ids(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids): little-endian ids of ``id_width`` bytes, one row per document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(vocab_path)
+        vocab = bpe.vocabulary(vocab_path)
+        tool = BatchEncoder(vocab, id_width(vocab))
         for batch in batches:
             for at, n in _stretches(pc.binary_length(batch.column("text")).to_numpy().astype(np.int64)):
                 part = batch.slice(at, n)
