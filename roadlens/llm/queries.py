@@ -82,7 +82,7 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = materialise(token_ids.token_ids(table(spark, sf_dir, "documents"), words), "token_ids", compression="zstd")
     vocab = bpe.vocabulary(words)
     end = len(vocab.tokens)  # two ids past the vocabulary end and pad
-    layout = training_order.write_shards(tokens, path, free=True, width=4, id_width=token_ids.id_width(vocab), end=end, pad=end + 1)
+    layout = training_order.write_shards(tokens, path, free=True, waves=8, width=4, id_width=token_ids.id_width(vocab), end=end, pad=end + 1)
     return training_order.read_shards(spark, path, layout).select(
         "slot", "shard", "byte_offset", "sequence", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
 

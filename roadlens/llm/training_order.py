@@ -14,7 +14,7 @@ row per partition, whatever it holds); a scan knows from it where its documents
 stand in the stream, cuts them and sends each piece straight to its shard (the
 one shuffle); shards are sorted by slot, joined and written by Spark's text
 writer, so task retries, commits and any Hadoop file system work as for every
-table.  Many shards are written in WAVES, so that the disk holds the shards and a
+table.  Many shards can be written in waves, so that the disk holds the shards and a
 small part of what they are made from: the pieces are stored by wave, the
 ids are deleted if the caller says so, and each wave's pieces and shuffle go when its shards
 (in a folder named by the first of them) are there.  Slots spread each document's pieces over all shards, so a hot source
@@ -45,7 +45,7 @@ from .common import SLICE_ROWS
 
 LENGTH = 2048
 SHARD_BYTES = 8 << 20
-WAVES, WAVE_SHARDS = 8, 16  # at most so many waves, of so many shards at least
+WAVE_SHARDS = 16  # a wave has so many shards at least
 KEY = 0x5EED
 ROUNDS = 6
 #: Byte vocabulary: a token is a byte of the UTF-8 text; two bytes that UTF-8 never uses end and pad.
@@ -108,6 +108,7 @@ class Layout:
     width: int = 1
     key: int = KEY
     shard_bytes: int = SHARD_BYTES
+    most_waves: int = 1
 
     @property
     def sequences(self) -> int:
@@ -127,7 +128,7 @@ class Layout:
 
     @property
     def per_wave(self) -> int:
-        return -(-self.shards // max(1, min(WAVES, self.shards // WAVE_SHARDS)))
+        return -(-self.shards // max(1, min(self.most_waves, self.shards // WAVE_SHARDS)))
 
     def waves(self, path: str) -> list[tuple[int, int, str]]:
         """(first shard, number of shards, folder) of each wave of shards under ``path``."""
@@ -152,11 +153,12 @@ def _partitions(tokens: DataFrame, width: int) -> DataFrame:
 
 
 def pieces(tokens: DataFrame, width: int = 1, end: int = END, pad: int = PAD, length: int = LENGTH, key: int = KEY, shard_bytes: int = SHARD_BYTES,
-           id_width: int | None = None) -> tuple[DataFrame, Layout]:
+           id_width: int | None = None, waves: int = 1) -> tuple[DataFrame, Layout]:
     """(slot, at, shard, compressed piece) rows that make up all sequences, and the layout.
 
     ``width`` is the bytes of a token in the shards, ``id_width`` those in ``tokens`` and
-    in the pieces (the same if None): narrow ids are widened when a shard is written.
+    in the pieces (the same if None): narrow ids are widened when a shard is written.  ``waves``: at most
+    so many, see above.
     """
     spark = tokens.sparkSession
     record, width = width, id_width or width
@@ -166,7 +168,7 @@ def pieces(tokens: DataFrame, width: int = 1, end: int = END, pad: int = PAD, le
     for r in _partitions(tokens, width).orderBy("part").collect():  # one row per scan partition
         known.append((r["part"], before, r["docs"], r["tokens"], r["ids_sum"]))
         before += r["tokens"]
-    layout = Layout(before, length, record, key, shard_bytes)
+    layout = Layout(before, length, record, key, shard_bytes, waves)
     starts = spark.createDataFrame(known, "part int, start long, docs long, tokens long, ids_sum long")
     end_bytes, pad_bytes = end.to_bytes(width, "little"), pad.to_bytes(width, "little")
 

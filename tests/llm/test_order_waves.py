@@ -21,10 +21,9 @@ def _folders(spark, name):
 
 @pytest.mark.parametrize("waves", (1, 3, 8))
 def test_same_shards_in_any_number_of_waves(spark, odd, scratch, monkeypatch, waves):
-    monkeypatch.setattr(training_order, "WAVES", waves)
     monkeypatch.setattr(training_order, "WAVE_SHARDS", 1)
     tokens = session.materialise(training_order.byte_tokens(odd), "wave_ids")
-    layout = training_order.write_shards(tokens, f"{scratch}/w{waves}", free=True, length=100, shard_bytes=1 << 12)
+    layout = training_order.write_shards(tokens, f"{scratch}/w{waves}", free=True, waves=waves, length=100, shard_bytes=1 << 12)
     assert len(layout.waves("")) == min(waves, layout.shards) and layout.shards > 8
     assert sum(n for _, n, _ in layout.waves("")) == layout.shards
     rows = training_order.read_shards(spark, f"{scratch}/w{waves}", layout).collect()
