@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, exact_dedup, html_text, line_dedup, merkle, mixing, mtree, pii, quality_rules, ranker, simhash, spelling, token_ids, training_order
-from ..session import ensure_checkpoint_dir, materialise
+from ..session import arrow_batches, ensure_checkpoint_dir, materialise
 from .common import table
 
 QUERIES = {}
@@ -78,11 +78,12 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the token ids as shards beside the shared tables; one row per sequence, read from them."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shards-{uuid.uuid4().hex}"
     words = public_tokenizers.path("word_bpe_49k.json")
-    # written once: counted and cut from the same files, without encoding twice
-    tokens = materialise(token_ids.token_ids(table(spark, sf_dir, "documents"), words), "token_ids", compression="zstd")
     vocab = bpe.vocabulary(words)
     end = len(vocab.tokens)  # two ids past the vocabulary end and pad
-    layout = training_order.write_shards(tokens, path, free=True, waves=8, width=4, id_width=token_ids.id_width(vocab), end=end, pad=end + 1)
+    with arrow_batches(spark, token_ids.PORTION):
+        # written once: counted and cut from the same files, without encoding twice
+        tokens = materialise(token_ids.token_ids(table(spark, sf_dir, "documents"), words), "token_ids", compression="zstd")
+        layout = training_order.write_shards(tokens, path, free=True, waves=8, width=4, id_width=token_ids.id_width(vocab), end=end, pad=end + 1)
     return training_order.read_shards(spark, path, layout).select(
         "slot", "shard", "byte_offset", "sequence", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"))
 

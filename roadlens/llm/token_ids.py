@@ -32,8 +32,11 @@ from .common import id_and_text
 PART = 1 << 20     # characters of a text read at a time
 PORTION = 4 << 20  # bytes of texts read at a time (a longer one stands alone)
 KNOWN = 300_000    # runs, and words that are not plain, remembered
+WORDS = 20_000     # distinct words cut into runs at a time
+MERGED = 8_000     # runs merged at a time (the library holds far more of a run than its ids)
 
 _RUNS = re.compile(f"{bpe._PIECES.pattern}|\n")
+_LETTERS = "[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]"  # any case of the first kind of run
 _PLAIN = bpe._PLAIN.pattern.removesuffix("{1,64}")
 
 
@@ -88,24 +91,37 @@ class BatchEncoder:
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and where those of each word start and how many they are."""
+        found = [self._portion(words.slice(at, WORDS)) for at in range(0, max(1, len(words)), WORDS)]
+        data, starts, sizes = zip(*found)
+        before = np.cumsum([0, *map(len, data[:-1])])
+        return np.concatenate(data), np.concatenate([s + n for s, n in zip(starts, before)]), np.concatenate(sizes)
+
+    def _portion(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         plain = pc.and_(pc.match_substring_regex(words, f"^{_PLAIN}*$"), pc.less_equal(pc.utf8_length(words), 64)).to_numpy(zero_copy_only=False)
+        one = plain & pc.match_substring_regex(words, f"^{_LETTERS}+$").to_numpy(zero_copy_only=False)  # a single run
         words = words.to_numpy(zero_copy_only=False)
-        odd = np.flatnonzero(~plain)
-        lines = np.where(plain, words, "").tolist() if len(odd) else words.tolist()
-        pieces = _RUNS.findall("\n".join([*lines, ""]).lower())  # a line feed ends each word
+        alone = "\n".join(words[one].tolist()).lower().split("\n") if one.any() else []
+        more, odd = np.flatnonzero(plain & ~one), np.flatnonzero(~plain)
+        pieces = _RUNS.findall("\n".join([*words[more].tolist(), ""]).lower())  # a line feed ends each word
         if len(self.known) > KNOWN:
             self.known = {}
-        self._merge(list(set(pieces).difference(self.known, "\n")))
+        new = list(set(alone).union(pieces).difference(self.known, "\n"))
+        for at in range(0, len(new), MERGED):
+            self._merge(new[at:at + MERGED])
         self.known["\n"] = b""
-        ids = list(map(self.known.__getitem__, pieces))
+        ids = [*map(self.known.__getitem__, alone), *map(self.known.__getitem__, pieces)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-        ends = np.cumsum(lengths)[lengths == 0]  # every run has an id
-        starts = np.concatenate([[0], ends[:-1]])
-        sizes = ends - starts
+        ends, sizes, starts = np.cumsum(lengths), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        sizes[one], starts[one] = lengths[:len(alone)], ends[:len(alone)] - lengths[:len(alone)]
+        marks = np.flatnonzero(lengths == 0)  # every run has an id
+        first = ends[len(alone) - 1] if alone else 0
+        starts[more] = np.concatenate([[first], ends[marks]])[:-1]
+        sizes[more] = ends[marks] - starts[more]
+        total = ends[-1] if len(ids) else 0
         for k in odd.tolist():
             ids.append(self._odd(words[k]))
-            sizes[k] = len(ids[-1]) // self.dtype.itemsize
-        starts[odd] = ends[-1] + np.cumsum(sizes[odd]) - sizes[odd] if len(odd) else 0
+            starts[k], sizes[k] = total, len(ids[-1]) // self.dtype.itemsize
+            total += sizes[k]
         return np.frombuffer(b"".join(ids), self.dtype), starts, sizes
 
     def _odd(self, word: str) -> bytes:
@@ -117,8 +133,6 @@ class BatchEncoder:
         return ids
 
     def _merge(self, runs: list[str]) -> None:
-        if not runs:
-            return
         letters = " ".join(runs).encode().decode("latin-1").translate(self.letters)
         ids = np.array(self.runs.encode_batch_fast([letters], add_special_tokens=False)[0].ids, dtype=np.int64)
         cuts = np.flatnonzero(self.ends[ids]) + 1

@@ -169,7 +169,8 @@ def pieces(tokens: DataFrame, width: int = 1, end: int = END, pad: int = PAD, le
         known.append((r["part"], before, r["docs"], r["tokens"], r["ids_sum"]))
         before += r["tokens"]
     layout = Layout(before, length, record, key, shard_bytes, waves)
-    starts = spark.createDataFrame(known, "part int, start long, docs long, tokens long, ids_sum long")
+    starts = spark.createDataFrame(pa.Table.from_arrays(  # from Arrow: no Python worker is started for it
+        [pa.array(c, t) for c, t in zip(list(zip(*known)) or [()] * 5, [pa.int32()] + [pa.int64()] * 4)], ["part", "start", "docs", "tokens", "ids_sum"]))
     end_bytes, pad_bytes = end.to_bytes(width, "little"), pad.to_bytes(width, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,12 +272,14 @@ def read_shards(spark: SparkSession, path: str, layout: Layout, first_slot: int
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content")):
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                folder, name = path.rsplit("/", 2)[1:]
+                shard = firsts.get(folder, 0) + int(name.split("-")[1])
                 records = np.frombuffer(content.as_buffer(), np.uint8)
                 records = records[:len(records) // layout.stride * layout.stride].reshape(-1, layout.stride)
                 begin, size = shard * layout.per_shard, layout.stride - 1
-                for lo in range(max(0, first_slot - begin), len(records), 1024):
-                    hi = min(lo + 1024, len(records))
+                for lo in range(max(0, first_slot - begin), len(records), SLICE_ROWS):
+                    hi = min(lo + SLICE_ROWS, len(records))
                     slots = np.arange(begin + lo, begin + hi)
                     seqs = layout.order.sequence(slots)
                     ids = pa.Array.from_buffers(pa.binary(size), hi - lo, [None, pa.py_buffer(records[lo:hi, :size].copy())])
@@ -285,10 +288,12 @@ def read_shards(spark: SparkSession, path: str, layout: Layout, first_slot: int
                          pa.array(np.minimum(layout.length, layout.n_tokens - seqs * layout.length)), ids.cast(pa.binary())],
                         names=["slot", "shard", "byte_offset", "sequence", "n_tokens", "ids"])
 
-    begin, parts = first_slot // layout.per_shard, []
-    for first, n, folder in layout.waves(path):
-        if first + n > begin or first + n == layout.shards:
-            names = ",".join(_from(max(0, begin - first), n))
-            shard = F.regexp_extract("path", r"part-([0-9]+)-", 1).cast("int") + first
-            parts.append(spark.read.format("binaryFile").option("pathGlobFilter", f"part-{{{names}}}-*").load(folder).select(shard.alias("shard"), "content"))
+    begin, waves, parts = first_slot // layout.per_shard, layout.waves(path), []
+    firsts = {folder.rsplit("/", 1)[1]: first for first, _, folder in waves} if len(waves) > 1 else {}
+    waves = [(max(0, begin - first), n, folder) for first, n, folder in waves if first + n > begin or first + n == layout.shards]
+    for these in (waves[:1], waves[1:]):  # only the first of them is read in part
+        if these:
+            names = ",".join(_from(these[0][0], max(n for _, n, _ in these)))
+            # as it is scanned: each column expression would copy whole shards in the JVM
+            parts.append(spark.read.format("binaryFile").option("pathGlobFilter", f"part-{{{names}}}-*").load([folder for _, _, folder in these]).select("path", "content"))
     return reduce(DataFrame.unionAll, parts).mapInArrow(run, "slot long, shard int, byte_offset long, sequence long, n_tokens long, ids binary")

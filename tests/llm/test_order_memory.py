@@ -1,0 +1,46 @@
+"""op3: what a task holds is small: batches, merged runs, and shards that are not copied before Python reads them."""
+
+import random
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+from tokenizers import Tokenizer
+
+from roadlens import session
+from roadlens.llm import bpe, token_ids, training_order
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_ids_in_small_portions(monkeypatch):
+    monkeypatch.setattr(token_ids, "WORDS", 7)
+    monkeypatch.setattr(token_ids, "MERGED", 5)
+    tool, vocab, pick = Tokenizer.from_file(WORDS), bpe.vocabulary(WORDS), random.Random(5)
+    encoder, merged = token_ids.BatchEncoder(vocab, 2), []
+    monkeypatch.setattr(encoder, "_merge", lambda runs, f=encoder._merge: merged.append(len(runs)) or f(runs))
+    signs = ["The", "the", "ing,", " ", "\n", "don't", "é", "9", "漢", "a1b2", "zq" * 40]
+    texts = ["", " ", *("".join(pick.choices(signs, k=pick.randint(1, 60))) for _ in range(100))]
+    assert [np.frombuffer(b, "<u2").tolist() for b in encoder.encode(texts)] == [tool.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(merged) == 5 and encoder.encode([]) == []
+
+
+def test_batches_of_a_write_are_small_and_the_setting_goes_back(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    texts, before = spark.range(0, 4000, 1, 1).selectExpr("repeat('abcdefgh', 100) AS t"), spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    with session.arrow_batches(spark, 1 << 18):
+        found = [r.n for r in session.materialise(texts.mapInArrow(sizes, "n long"), "batch_sizes").collect()]
+    assert sum(found) >= 4000 * 800 and max(found) < 1 << 19
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_shards_reach_python_as_scanned(spark, odd, scratch, monkeypatch):
+    monkeypatch.setattr(training_order, "WAVE_SHARDS", 1)
+    layout = training_order.write_shards(session.materialise(training_order.byte_tokens(odd), "ids"), f"{scratch}/s", waves=3, length=100, shard_bytes=1 << 12)
+    for first in (0, layout.per_shard):
+        rows = training_order.read_shards(spark, f"{scratch}/s", layout, first)
+        assert "Project" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.slot for r in rows.collect()) == list(range(first, layout.sequences))
