@@ -37,16 +37,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialise
-from .common import components, join_counted, slices
+from ..session import materialise, shuffles_dropped
+from .common import HOT_KEYS, components, join_counted, slices
 
 SPAN = 9  # characters of a shingle
 BINS, KEYS = 64, 16
 SMALL = 512
 FINE = 2048  # lines in two blocks of a larger band
+BUCKETS = 1 << 16  # in which band keys are counted to find the hot ones
 CHARS = 1 << 19  # characters whose shingles are hashed at a time (a longer line stands alone)
 CELLS = 1 << 24  # of a matrix of lines by shingles
 #: Elements of about 20 bytes up to which a measured table is broadcast; above, the join shuffles.
@@ -299,13 +300,15 @@ def _within_texts(members: DataFrame) -> DataFrame:
 
 
 def _compared(met: DataFrame, lines: DataFrame, total: int) -> DataFrame:
-    """Links of the lines that meet under a key.
+    """Links of the lines that meet under a key (key, lid; n: how many meet, counted if absent).
 
     Keys often bring the same lines together: groups are made distinct as ids
     before their lines (lid, line) join them.
     """
-    counts = materialise(met.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bands")
-    sized = join_counted(met, counts, ["key"], "n", total)
+    sized = met
+    if "n" not in met.columns:
+        counts = materialise(met.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "bands")
+        sized = join_counted(met, counts, ["key"], "n", total)
     none = F.lit(None).cast("long")
     small = sized.where(F.col("n") <= SMALL).select("key", none.alias("lo"), none.alias("hi"), "lid", none.alias("block"))
     width = F.ceil(F.col("n") / (FINE // 2))
@@ -343,15 +346,33 @@ def _lines_of(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
     return found.dropDuplicates(["lid"])
 
 
+def _met(keyed: DataFrame) -> tuple[DataFrame, int]:
+    """(key, lid, n) of the rows of ``keyed`` (key, lid) whose key n > 1 of them hold, and their number.
+
+    Rows move once, whatever the input's size.  Hot keys stay out of that exchange:
+    they are counted exactly among the rows of the few buckets that hold more
+    than one in HOT_KEYS of all rows, so fewer than HOT_KEYS keys are broadcast.
+    """
+    bucket = F.pmod("key", F.lit(BUCKETS))
+    buckets = materialise(keyed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")), "key_buckets")
+    limit = max(SMALL, (buckets.agg(F.sum("n")).first()[0] or 0) // HOT_KEYS)
+    full, rest, hot = buckets.where(F.col("n") > limit), keyed, None
+    if not full.isEmpty():
+        near = keyed.join(F.broadcast(full.select("bucket")), bucket == F.col("bucket"), "left_semi")
+        counts = materialise(near.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > limit), "hot_keys")
+        hot = keyed.join(F.broadcast(counts), "key").select("key", "lid", "n")
+        rest = keyed.join(F.broadcast(counts.select("key")), "key", "left_anti")
+    met = rest.select("key", "lid", F.count("*").over(Window.partitionBy("key")).alias("n")).where("n > 1")
+    met = materialise(met if hot is None else met.unionByName(hot), "met")
+    return met, met.count()
+
+
 def line_links(distinct: DataFrame, lines: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Verified links (a, b) between distinct lines, by their lid1."""
     keyed = distinct.select(F.col("lid1").alias("lid"), F.explode(F.array_distinct(F.array(*[F.col(f"m{k}") for k in range(KEYS)]))).alias("key"))
-    counts = materialise(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "band_sizes")
-    n_keys, total = counts.agg(F.count("*"), F.sum("n")).first()
+    met, total = _met(keyed)
     if not total:
         return distinct.sparkSession.createDataFrame([], "a long, b long")
-    met = keyed.join(F.broadcast(counts), "key") if n_keys <= BROADCAST_ELEMENTS else join_counted(keyed, counts, ["key"], "n", total)
-    met = materialise(met.select("key", "lid"), "met")
     wanted = met.select(F.col("lid").alias("lid1")).distinct().join(distinct.select("lid1", "lid2", "first"), "lid1")
     # rows that repeat an id and a line number with the same line differ in the document: one is enough
     at = lines.select("lid1", "lid2", "doc_hash", "line_no", _order().alias("first")).join(wanted, ["lid1", "lid2", "first"])
@@ -365,6 +386,11 @@ def line_links(distinct: DataFrame, lines: DataFrame, docs: DataFrame, id_col: s
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, doc_hash, drop): the numbers of the lines each document loses."""
+    with shuffles_dropped(docs.sparkSession):
+        return _repeated_lines(docs, id_col, text_col)
+
+
+def _repeated_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     lines = materialise(all_lines(docs, id_col, text_col), "lines")
     distinct = materialise(
         signatures(docs, id_col, text_col).groupBy("lid1", "lid2").agg(F.min(_order()).alias("first"), F.count("*").alias("n"), *[F.min(f"m{k}").alias(f"m{k}") for k in range(KEYS)]),
@@ -384,10 +410,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_lines, n_dropped, text (without the dropped lines)."""
     dropped = repeated_lines(docs, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("doc_hash").alias("__hash"), "drop")
-    elements = dropped.agg(F.sum(F.size("drop") + 1)).first()[0] or 0
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text(text_col).alias("text"), _doc_hash(docs, id_col, text_col).alias("__doc_hash"))
     same = (F.col("__doc_hash") == F.col("__hash")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    joined = rows.join(_sized(dropped, elements), same, "left").withColumn("lines", F.split("text", "\n"))
+    joined = rows.join(dropped, same, "left").withColumn("lines", F.split("text", "\n"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop")
     text = F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
     return joined.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"), text.alias("text"))
