@@ -106,3 +106,14 @@ def test_near_words_always_share_a_signature():
         assert set(sigs[0]) & set(sigs[1])
         differ = int(sketch[0] ^ sketch[1]) & S._WORD64
         assert bin(differ & 0xFFFFFFFF).count("1") <= 2 and (differ >> 48 == 0 or differ >> 32 & 0xFFFF == 0)
+
+
+def test_no_table_goes_through_the_driver(spark, monkeypatch):
+    """Spark takes these tables for far smaller than they are: no join may broadcast one."""
+    written, write = [], S.materialise
+    monkeypatch.setattr(S, "materialise", lambda df, name: written.append(df) or write(df, name))
+    rows = [(i, "waters water watr harbour harbor harbours") for i in range(9)] + [(i, "water harbour") for i in range(30)]
+    df = S.variants(spark.createDataFrame(rows, "doc_id long, text string"), every=10**9)
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in [*written, df]]
+    assert sum("SortMergeJoin" in x for x in plans) >= 4 and not any("Broadcast" in x for x in plans)
+    assert sorted(tuple(r) for r in df.select("word", "form", "root", "n", "n_near", "form_n").collect()) == plain(rows, every=10**9)
